@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from reelframe.plans.ingest import extract_records, stored_documents
-from reelframe.sinks.files import append_progress
 from reelframe.sinks.keyed import ChangeTable
 
 KEYS = ["file_key", "extracted_id"]
@@ -46,7 +45,7 @@ def stream_ingest(spark: SparkSession, source: str, table: ChangeTable, checkpoi
         table.append(stored_documents(records, *TIES), batch_id)
         if progress_path:
             finished = records.groupBy("file_key").agg(F.max("processed_at").alias("processed_at"))
-            append_progress(finished, progress_path)
+            finished.write.mode("overwrite").parquet(f"{progress_path}/batch_id={batch_id}")
 
     return (
         lines.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
