@@ -7,9 +7,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 from reelframe.functions import scoring
 from reelframe.operators.skew import lookup_join
 
+TIES = ("PlatformName", "CleanTitle", "Synopsis")  # order of rows with equal scores
+
 
 def dedupe_best(df: DataFrame, key: str = "ID", score: str = "Score",
-                ties: tuple[str, ...] = ("PlatformName", "CleanTitle", "Synopsis")) -> DataFrame:
+                ties: tuple[str, ...] = TIES) -> DataFrame:
     """The row with the highest score per key; equal scores go by the columns ``ties``.
 
     Spark keeps one row per key in each map task before the shuffle, so a key with

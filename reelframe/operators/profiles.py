@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from reelframe.functions.text import normalize_key, split_list
 from reelframe.operators.skew import lookup_join
@@ -36,7 +36,11 @@ def collect_profile(rows: DataFrame, columns: list[str], user: str = "userId", p
     """
     ordered = F.array_sort(F.collect_list(F.struct(pos, *columns)))
     grouped = rows.groupBy(user).agg(ordered.alias("_rows"))
-    return grouped.select(user, *[F.transform("_rows", lambda r, c=c: r[c]).alias(c) for c in columns])
+    return grouped.select(user, *[_field_list("_rows", c) for c in columns])
+
+
+def _field_list(structs: str, field: str) -> Column:
+    return F.transform(structs, lambda s: s[field]).alias(field)
 
 
 def assemble_profile(first: DataFrame, *others: DataFrame, user: str = "userId") -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from reelframe.operators.numbering import number_rows
 from reelframe.session import scratch_path
 
 SHELF = 1000  # part keys per shelf: a customer's favourites on one shelf are at most this many
@@ -95,12 +96,9 @@ class Views:
     def genres(self) -> DataFrame:
         """Genre dimension: part types numbered in alphabetical order, names with a blank in front."""
         names = self.table("part").select(F.col("p_type").alias("name")).distinct()
-        earlier = names.select(F.col("name").alias("other"))
-        return (
-            names.join(earlier, F.col("other") <= F.col("name")).groupBy("name")
-            .agg(F.count(F.lit(1)).cast("int").alias("genero_id"))
-            .select("genero_id", F.concat(F.lit(" "), "name").alias("genero_name"))
-        )
+        return number_rows(names, "name", name="genero_id").select(
+            F.col("genero_id").cast("int").alias("genero_id"),
+            F.concat(F.lit(" "), "name").alias("genero_name"))
 
     @property
     def prefs(self) -> DataFrame:
