@@ -26,17 +26,17 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.asc(column))
 
 
-def map_external_ids(df: DataFrame, id_map: DataFrame, key: str = "ID") -> DataFrame:
+def map_external_ids(df: DataFrame, id_map: DataFrame, key: str = "ID", unique: bool = False) -> DataFrame:
     """Non-numeric IDs replaced through ``id_map(external_id, movie_id, tv_id)``.
 
     A film match goes before a series match; rows without a match are dropped.
-    ``id_map`` has one row per ``external_id``.
+    ``id_map`` has one row per ``external_id``; ``unique`` says the same of ``df``.
     """
     numeric = df.where(scoring.is_numeric(key))
     mapping = id_map.select(F.col("external_id").alias(key),
                             F.coalesce("movie_id", "tv_id").cast("string").alias("_mapped"))
     mapped = (
-        lookup_join(df.where(~scoring.is_numeric(key)), mapping, key)
+        lookup_join(df.where(~scoring.is_numeric(key)), mapping, key, skewed=not unique)
         .where(F.col("_mapped").isNotNull())
         .withColumn(key, F.col("_mapped"))
     )
@@ -44,12 +44,13 @@ def map_external_ids(df: DataFrame, id_map: DataFrame, key: str = "ID") -> DataF
 
 
 def enrich_missing(df: DataFrame, details: DataFrame, key: str = "ID",
-                   placeholders: dict[str, str] = scoring.EXPORT) -> DataFrame:
+                   placeholders: dict[str, str] = scoring.EXPORT, unique: bool = False) -> DataFrame:
     """Placeholders filled from ``details``; complete rows pass by untouched.
 
     ``details`` has one row per ``id``: ``title, name, overview, genres, credits``
     with lists of structs, as a film database answers. A row without details keeps
-    its placeholders; a detail that is missing gives the empty text.
+    its placeholders; a detail that is missing gives the empty text. ``unique`` says
+    that ``df`` has one row per ID, too.
     """
     gaps = scoring.has_placeholder(placeholders)
     found = details.select(
@@ -60,7 +61,7 @@ def enrich_missing(df: DataFrame, details: DataFrame, key: str = "ID",
         scoring.cast_names(F.col("credits.cast")).alias("_Cast"),
         scoring.director_names(F.col("credits.crew")).alias("_Directors"),
     )
-    joined = lookup_join(df.where(gaps), found, key, "left")
+    joined = lookup_join(df.where(gaps), found, key, "left", skewed=not unique)
     filled = joined.withColumns({
         name: F.when(F.col("_found"), scoring.fill_if_placeholder(name, F.col(f"_{name}"), mark))
         .otherwise(F.col(name))

@@ -26,54 +26,62 @@ def call_with_retry(fn: Callable[[list[str]], list], texts: list[str], retries:
     return [None] * len(texts), error
 
 
+def batch_ends(lengths: list[int], max_items: int, max_codepoints: int | None) -> list[int]:
+    """End positions of the greedy batches of texts of these lengths; the last batch may still grow."""
+    ends, items, used = [], 0, 0
+    for i, n in enumerate(lengths):
+        if items and (items + 1 > max_items or (max_codepoints is not None and used + n > max_codepoints)):
+            ends.append(i)
+            items, used = 0, 0
+        items, used = items + 1, used + n
+    return ends
+
+
 def apply_batched(df: DataFrame, key: str, text: str, load: Callable[[], Callable[[list[str]], list]],
-                  result_type: T.DataType | str, *, max_items: int = 50, max_codepoints: int | None = None,
-                  retries: int = 3, wait: float = 1.0, backoff: float = 2.0, pause: float = 0.0) -> DataFrame:
-    """``(key, text, result, error)`` with the answer of the external function for each text.
+                  result_type: T.DataType | str, *, keep: tuple[str, ...] = (), max_items: int = 50,
+                  max_codepoints: int | None = None, retries: int = 3, wait: float = 1.0, backoff: float = 2.0,
+                  pause: float = 0.0) -> DataFrame:
+    """``(key, text, *keep, result, error)`` with the answer of the external function for each text.
 
     ``load`` is called once per task and returns the function, which takes a list of
     texts and answers with a list of the same length. Batches are cut while the rows
     stream through the task, so nothing is shuffled and memory holds one batch.
     Null or blank text is not sent and has a null result; a batch that fails gets
     its error beside each key and the others go on.
+
+    The result is lazy: write or checkpoint it before reading it more than once, or
+    the function is called again.
     """
     result_type = T._parse_datatype_string(result_type) if isinstance(result_type, str) else result_type
-    source = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    schema = T.StructType([
-        T.StructField("key", source.schema["key"].dataType), T.StructField("text", T.StringType()),
-        T.StructField("result", result_type), T.StructField("error", T.StringType()),
-    ])
+    source = df.select(key, text, *keep)
+    schema = T.StructType([*source.schema.fields, T.StructField("result", result_type),
+                           T.StructField("error", T.StringType())])
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fn = load()
-        keys, texts, used, first = [], [], 0, True
+        fn, called, open_batch = load(), False, None
 
-        def flush() -> pd.DataFrame:
-            nonlocal keys, texts, used, first
-            if pause and not first:
+        def send(batch: pd.DataFrame) -> pd.DataFrame:
+            nonlocal called
+            if pause and called:
                 time.sleep(pause)
-            first = False
-            answers, error = call_with_retry(fn, texts, retries, wait, backoff)
-            out = pd.DataFrame({"key": keys, "text": texts, "result": pd.Series(answers, dtype=object),
-                                "error": pd.Series([error] * len(keys), dtype=object)})
-            keys, texts, used = [], [], 0
-            return out
+            called = True
+            answers, error = call_with_retry(fn, batch[text].tolist(), retries, wait, backoff)
+            return batch.assign(result=pd.Series(answers, dtype=object, index=batch.index), error=error)
 
         for part in parts:
-            blank = part["text"].isna() | (part["text"].fillna("").str.strip() == "")
+            blank = part[text].isna() | (part[text].fillna("").str.strip() == "")
             if blank.any():
                 yield part[blank].assign(result=None, error=None)
-            for k, t in zip(part["key"][~blank], part["text"][~blank]):
-                over = max_codepoints is not None and used + len(t) > max_codepoints
-                if keys and (over or len(keys) + 1 > max_items):
-                    yield flush()
-                keys.append(k)
-                texts.append(t)
-                used += len(t)
-        if keys:
-            yield flush()
-
-    return source.mapInPandas(run, schema).withColumnsRenamed({"key": key, "text": text})
+            rows = part[~blank] if open_batch is None else pd.concat([open_batch, part[~blank]])
+            rows, start = rows.reset_index(drop=True), 0
+            for end in batch_ends(rows[text].str.len().tolist(), max_items, max_codepoints):
+                yield send(rows.iloc[start:end])
+                start = end
+            open_batch = rows.iloc[start:]
+        if open_batch is not None and len(open_batch):
+            yield send(open_batch)
+
+    return source.mapInPandas(run, schema)
 
 
 def failures(results: DataFrame, key: str) -> DataFrame:

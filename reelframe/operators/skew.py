@@ -21,18 +21,20 @@ def heavy_keys(df: DataFrame, key: str, share: float = 0.005, min_rows: int = 1_
     return [row[key] for row in top if row["n"] > rows * share and row[key] is not None]
 
 
-def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
-                share: float = 0.005, min_rows: int = 1_000_000) -> DataFrame:
+def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", *,
+                skewed: bool = True, share: float = 0.005, min_rows: int = 1_000_000) -> DataFrame:
     """Join ``left`` to ``right``, where ``right`` has at most one row per ``key``.
 
     Rows of a heavy key never meet in one task: they are joined in place with the
     few matching rows of ``right`` (fewer than ``1/share``, hence safe to
     broadcast). All other rows take the plain join, which Spark turns into a
-    broadcast join by itself when ``right`` is under its size threshold.
+    broadcast join by itself when ``right`` is under its size threshold. Finding the
+    heavy keys reads ``left`` once more: pass ``skewed=False`` when its keys are
+    known to be unique, too.
     """
     if how not in ("inner", "left", "left_anti", "left_semi"):
         raise ValueError(f"unsupported join type {how!r}")
-    heavy = heavy_keys(left, key, share, min_rows)
+    heavy = heavy_keys(left, key, share, min_rows) if skewed else []
     if not heavy:
         return left.join(right, key, how)
     is_heavy: Column = F.coalesce(F.col(key).isin(heavy), F.lit(False))

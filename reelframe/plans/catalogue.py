@@ -13,5 +13,6 @@ def clean_catalogue(raw: DataFrame, id_map: DataFrame, details: DataFrame, least
                     strict: bool = False, ties: tuple[str, ...] = TIES) -> DataFrame:
     """Gaps marked, best row per ID, external IDs mapped, gaps filled, complete rows kept."""
     best = dedupe_best(fill_placeholders(raw).withColumn("Score", completeness_score("rank")), ties=ties)
-    enriched = enrich_missing(map_external_ids(best, id_map), details)
+    mapped = map_external_ids(best, id_map, unique=True)
+    enriched = enrich_missing(mapped, details, unique=True)  # at most two rows per ID after the mapping
     return score_threshold(enriched.withColumn("Score", completeness_score("final", strict)), least)

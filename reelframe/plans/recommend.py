@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from reelframe.functions.text import profile_sentence
+from reelframe.functions.text import profile_sentence, split_list
 from reelframe.operators.external import apply_batched
 from reelframe.operators.filters import drop_incomplete, valid_keys
-from reelframe.operators.profiles import (
-    assemble_profile, collect_profile, explode_favorites, join_genres, join_titles)
+from reelframe.operators.profiles import assemble_profile, join_genres, join_titles
 from reelframe.operators.similarity import recommend_topk
+from reelframe.session import shared_dir
 
-_TITLE_COLUMNS = {"CleanTitle": "Titles", "Synopsis": "Synopsis", "Cast": "Cast", "Directors": "Directors"}
+LISTS = {"Genres": "favoriteGenresIds", "Movies": "favoriteMoviesIds", "Series": "favoriteSeriesIds"}
+TITLE_FIELDS = {"CleanTitle": "Titles", "Synopsis": "Synopsis", "Cast": "Cast", "Directors": "Directors"}
 
 # The column order of a profile.
 PROFILE_COLUMNS = [
@@ -23,21 +24,35 @@ PROFILE_COLUMNS = [
 ]
 
 
-def _titles(prefs: DataFrame, content: DataFrame, column: str, kind: str) -> DataFrame:
-    found = join_titles(explode_favorites(prefs, column), content, list(_TITLE_COLUMNS))
-    named = found.withColumnsRenamed({old: f"{kind}_{new}" for old, new in _TITLE_COLUMNS.items()})
-    return collect_profile(named, [f"{kind}_{new}" for new in _TITLE_COLUMNS.values()])
+def _entries(users: DataFrame, *kinds: str) -> DataFrame:
+    """One row per favourite of the given kinds: ``(userId, kind, pos, item)``."""
+    lists = [F.struct(F.lit(k).alias("kind"), split_list(LISTS[k]).alias("items")) for k in kinds]
+    return users.select("userId", F.explode(F.array(*lists)).alias("l")).select(
+        "userId", "l.kind", F.posexplode("l.items").alias("pos", "item"))
+
+
+def _of_kind(kind: str, field: str) -> Column:
+    rows = F.filter("_rows", lambda r: r["kind"] == kind)
+    return F.transform(rows, lambda r: r[field])
 
 
 def user_profiles(prefs: DataFrame, content: DataFrame, genres: DataFrame, key_length: int = 36) -> DataFrame:
-    """One row per user that has a valid key, all three lists and at least one known genre."""
+    """One row per user that has a valid key, all three lists and at least one known genre.
+
+    Films and series take one join with the catalogue, and all lists one grouping by
+    user. ``prefs`` is read more than once and should be a stored table.
+    """
     users = drop_incomplete(valid_keys(prefs, "userId", key_length))
-    liked = collect_profile(join_genres(explode_favorites(users, "favoriteGenresIds"), genres), ["Genres"])
-    return assemble_profile(
-        users, liked,
-        _titles(users, content, "favoriteMoviesIds", "Movies"),
-        _titles(users, content, "favoriteSeriesIds", "Series"),
-    ).select(*PROFILE_COLUMNS)
+    titled = join_titles(_entries(users, "Movies", "Series"), content, list(TITLE_FIELDS))
+    liked = join_genres(_entries(users, "Genres"), genres).withColumn("item", F.col("item").cast("string"))
+    entries = titled.unionByName(liked, allowMissingColumns=True)
+    entry = F.struct("kind", "pos", "Genres", *TITLE_FIELDS)
+    lists = entries.groupBy("userId").agg(F.array_sort(F.collect_list(entry)).alias("_rows"))
+    columns = {"Genres": _of_kind("Genres", "Genres")}
+    for kind in ("Movies", "Series"):
+        columns |= {f"{kind}_{new}": _of_kind(kind, old) for old, new in TITLE_FIELDS.items()}
+    profiles = assemble_profile(users, lists.withColumns(columns).where(F.size("Genres") > 0))
+    return profiles.select(*PROFILE_COLUMNS)
 
 
 def with_sentences(profiles: DataFrame) -> DataFrame:
@@ -55,21 +70,27 @@ def recommend_for_all(prefs: DataFrame, content: DataFrame, genres: DataFrame, v
                       exclude_seen: bool = False, **call) -> DataFrame:
     """``(userId, kind, rank, ID, score)``: films by the film text, series by the series text.
 
-    Both lists are drawn from all of ``vectors(ID, embedding)``; pass a filtered
-    table, or set ``exclude_seen``, to narrow them.
+    Both lists are drawn from all of ``vectors(ID, embedding)``, a stored table; pass
+    a filtered one, or set ``exclude_seen``, to narrow them. The user vectors are
+    checkpointed, so the model sees every text once.
     """
+    shared_dir(prefs.sparkSession)
     profiles = with_sentences(user_profiles(prefs, content, genres))
-
-    def ranked(kind: str, liked: str, k: int) -> DataFrame:
-        texts = profiles.select("userId", f"{kind}_sentences_to_embed")
-        embedded = (
-            apply_batched(texts, "userId", f"{kind}_sentences_to_embed", load, "array<float>", **call)
-            .where(F.col("result").isNotNull()).select("userId", F.col("result").alias("embedding"))
-        )
-        if exclude_seen:
-            embedded = embedded.join(profiles.select("userId", F.split(liked, ";").alias("seen")), "userId")
-        best = recommend_topk(embedded, vectors, k, seen="seen" if exclude_seen else None)
+    wanted = lambda kind, liked, sentence: F.struct(
+        F.lit(kind).alias("kind"), F.split(liked, ";").alias("seen"), F.col(sentence).alias("sentence"))
+    texts = profiles.select("userId", F.explode(F.array(
+        wanted("movies", "favoriteMoviesIds", "movies_sentences_to_embed"),
+        wanted("series", "favoriteSeriesIds", "series_sentences_to_embed"),
+    )).alias("text")).select("userId", "text.*")
+    embedded = (
+        apply_batched(texts, "userId", "sentence", load, "array<float>", keep=("kind", "seen"), **call)
+        .where(F.col("result").isNotNull())
+        .select("userId", "kind", "seen", F.col("result").alias("embedding")).checkpoint()
+    )
+
+    def ranked(kind: str, k: int) -> DataFrame:
+        users = embedded.where(F.col("kind") == kind)
+        best = recommend_topk(users, vectors, k, seen="seen" if exclude_seen else None)
         return best.select("userId", F.lit(kind).alias("kind"), "rank", "ID", "score")
 
-    return ranked("movies", "favoriteMoviesIds", k_movies).unionByName(
-        ranked("series", "favoriteSeriesIds", k_series))
+    return ranked("movies", k_movies).unionByName(ranked("series", k_series))

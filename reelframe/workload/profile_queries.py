@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from reelframe.functions import vectors as vec
-from reelframe.functions.text import profile_sentence
 from reelframe.operators import batching, external, profiles, sets, similarity
 from reelframe.operators.filters import drop_incomplete, valid_keys
 from reelframe.operators.translate import translate_columns
@@ -78,7 +77,14 @@ _PROFILE_VIEWS = ("movie_rows", "serie_rows", "genre_rows", "genres", "content")
     SELECT users.*, genre_text, movie_titles, serie_titles
     FROM users JOIN g USING (userId) JOIN m USING (userId) JOIN s USING (userId)""", *_PROFILE_VIEWS))
 def assemble_profile(v):
-    found = user_profiles(v.prefs, v.content, v.genres)
+    users = drop_incomplete(valid_keys(v.stored_prefs, "userId"))
+    titles = lambda column, name: profiles.collect_profile(
+        profiles.join_titles(profiles.explode_favorites(users, column), v.content, ["CleanTitle"]),
+        ["CleanTitle"]).withColumnRenamed("CleanTitle", name)
+    liked = profiles.collect_profile(
+        profiles.join_genres(profiles.explode_favorites(users, "favoriteGenresIds"), v.genres), ["Genres"])
+    found = profiles.assemble_profile(users, liked, titles("favoriteMoviesIds", "Movies_Titles"),
+                                      titles("favoriteSeriesIds", "Series_Titles"))
     return found.select(
         "userId", "favoriteMoviesIds", "favoriteGenresIds", "favoriteSeriesIds",
         F.array_join("Genres", "|").alias("genre_text"),
@@ -86,11 +92,22 @@ def assemble_profile(v):
         F.array_join("Series_Titles", "|", "?").alias("serie_titles"))
 
 
+@query("user_profiles", sql(_PROFILE + """
+    SELECT users.*, genre_text, movie_titles, serie_titles
+    FROM users JOIN g USING (userId) JOIN m USING (userId) JOIN s USING (userId)""", *_PROFILE_VIEWS))
+def user_profiles_query(v):
+    return user_profiles(v.stored_prefs, v.content, v.genres).select(
+        "userId", "favoriteMoviesIds", "favoriteGenresIds", "favoriteSeriesIds",
+        F.array_join("Genres", "|").alias("genre_text"),
+        F.array_join("Movies_Titles", "|", "?").alias("movie_titles"),
+        F.array_join("Series_Titles", "|", "?").alias("serie_titles"))
+
+
 @query("profile_sentence", sql(_PROFILE + """
     SELECT userId, concat_ws(' ', t, s, genre_words, c, d) AS sentence
     FROM users JOIN g USING (userId) JOIN m USING (userId) JOIN s USING (userId)""", *_PROFILE_VIEWS))
 def profile_sentence_query(v):
-    found = with_sentences(user_profiles(v.prefs, v.content, v.genres))
+    found = with_sentences(user_profiles(v.stored_prefs, v.content, v.genres))
     return found.select("userId", F.col("movies_sentences_to_embed").alias("sentence"))
 
 
@@ -307,9 +324,10 @@ def _load_shape():
 @query("recommend_for_all")
 def recommend_for_all_query(v):
     """Profiles to recommendations in one plan; the vectors come from a stand-in model."""
-    items = embed_items(v.content, _load_shape, "full").select(
-        "ID", F.col("embedding").cast("array<float>").alias("embedding"))
-    found = recommend_for_all(v.prefs, v.content, v.genres, items, _load_shape, exclude_seen=True)
+    path = v.scratch("vectors")
+    files.write_vectors(embed_items(v.content, _load_shape, "full"), path)
+    items = vector_source.scan_vector_store(v.spark, path, "ID", "embedding")
+    found = recommend_for_all(v.stored_prefs, v.content, v.genres, items, _load_shape, exclude_seen=True)
     return found.withColumn("score", F.round("score", 6))
 
 

@@ -128,6 +128,13 @@ class Views:
                 "favoriteMoviesIds", "favoriteGenresIds", "favoriteSeriesIds")
         )
 
+    @property
+    def stored_prefs(self) -> DataFrame:
+        """The preferences as a stored table, for plans that read them more than once."""
+        path = self.scratch("prefs")
+        self.prefs.write.parquet(path)
+        return self.spark.read.parquet(path)
+
     @property
     def lines(self) -> DataFrame:
         """Feed lines from events: file, line number, text and time."""
