@@ -15,6 +15,7 @@ FIELDS_TYPED = {"UID": None, "PlatformName": None, "Title": None, "CleanTitle":
 
 _DIGITS = "^[0-9]+$"
 _INTEGER = "^-?[0-9]+$"
+_WIDE = r"^(DECIMAL\([0-9]+,0\)|DOUBLE)$"  # an integer beyond 64 bits, or a fraction that looks like one
 
 
 def parse_line(line: Column) -> Column:
@@ -29,22 +30,25 @@ def first_numeric_id(line: Column, doc: Column) -> Column:
     """First ``ExternalIds[*].ID`` that is a JSON integer or an all-digit string, as text.
 
     Booleans and fractions are no IDs. A Variant shows ``1.0`` and integers beyond
-    64 bits alike, so the digits of a number are taken from the text of the line.
+    64 bits alike; only lines with such a number look at the digits in their text.
     """
-    typed = F.try_variant_get(doc, "$.ExternalIds", "array<variant>")
+    items = F.transform(
+        F.try_variant_get(doc, "$.ExternalIds", "array<variant>"),
+        lambda item: F.struct(_type_of(F.try_variant_get(item, "$.ID", "variant")).alias("kind"),
+                              F.try_variant_get(item, "$.ID", "string").alias("value")))
     texts = F.from_json(line, "ExternalIds array<string>")["ExternalIds"]
 
-    def candidate(item: Column, text: Column) -> Column:
-        kind = _type_of(F.try_variant_get(item, "$.ID", "variant"))
-        quoted = F.try_variant_get(item, "$.ID", "string")
-        plain = F.get_json_object(text, "$.ID")
-        return (
-            F.when((kind == "STRING") & quoted.rlike(_DIGITS), quoted)
-            .when(kind.rlike("^(BIGINT|DECIMAL|DOUBLE)") & plain.rlike(_INTEGER), plain)
-        )
-
-    found = F.filter(F.zip_with(typed, texts, candidate), lambda x: x.isNotNull())
-    return F.try_element_at(found, F.lit(1))
+    def plain(item: Column) -> Column:
+        is_id = (item["kind"] == "BIGINT") | ((item["kind"] == "STRING") & item["value"].rlike(_DIGITS))
+        return F.when(is_id, item["value"])
+
+    def exact(item: Column, text: Column) -> Column:
+        digits = F.get_json_object(text, "$.ID")
+        return F.when(item["kind"].rlike(_WIDE) & digits.rlike(_INTEGER), digits).otherwise(plain(item))
+
+    first = lambda found: F.try_element_at(F.filter(found, lambda x: x.isNotNull()), F.lit(1))
+    has_wide = F.exists(items, lambda item: item["kind"].rlike(_WIDE))
+    return F.when(has_wide, first(F.zip_with(items, texts, exact))).otherwise(first(F.transform(items, plain)))
 
 
 def extract_object(doc: Column, field: str = "Deeplinks") -> Column:

@@ -16,6 +16,9 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 CELL_ROWS = 16_384   # rows of one side in one cell
 CHUNK_ROWS = 256     # user rows multiplied at once inside a cell
+LEAST_ROWS = 64      # fewer user rows than this are not worth a cell of their own
+STRIP = 32           # columns searched together for a first bound
+GATHERED = 4_000_000 # vector components gathered at once
 TIE_DECIMALS = 9     # scores equal to this many decimals are ties, broken by ID
 
 
@@ -29,18 +32,31 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
 
 
 def _scores(users: np.ndarray, items: np.ndarray, metric: str) -> np.ndarray:
+    """All scores of the two matrices; larger is better (squared L2 is negated)."""
     if metric == "cosine":
-        raw = users @ items.T
-    else:  # squared L2, negated so that larger is always better
-        raw = 2 * users @ items.T - (users ** 2).sum(1)[:, None] - (items ** 2).sum(1)[None, :]
-    return np.round(raw, TIE_DECIMALS) + 0.0
+        return users @ items.T
+    return 2 * users @ items.T - (users ** 2).sum(1)[:, None] - (items ** 2).sum(1)[None, :]
+
+
+def _pair_scores(users: np.ndarray, items: np.ndarray, rows: np.ndarray, cols: np.ndarray,
+                 metric: str) -> np.ndarray:
+    """Scores of single pairs in double precision, rounded so that equal vectors tie.
+
+    Many copies of one item can make many pairs, so their vectors are gathered in slices.
+    """
+    found, step = np.empty(len(rows)), max(1, GATHERED // users.shape[1])
+    for start in range(0, len(rows), step):
+        part = slice(start, start + step)
+        u, v = users[rows[part]], items[cols[part]]
+        found[part] = np.einsum("ij,ij->i", u, v) if metric == "cosine" else -((u - v) ** 2).sum(1)
+    return np.round(found, TIE_DECIMALS) + 0.0
 
 
 def _grid(users: DataFrame, items: DataFrame) -> tuple[int, int]:
     """Grid rows and columns: cells of bounded size, and enough of them to share out."""
     n_users, n_items = users.count(), items.count()
     tasks = users.sparkSession.sparkContext.defaultParallelism
-    rows = max(-(-n_users // CELL_ROWS), min(2 * tasks, -(-n_users // CHUNK_ROWS)), 1)
+    rows = max(-(-n_users // CELL_ROWS), min(2 * tasks, -(-n_users // LEAST_ROWS)), 1)
     return rows, max(-(-n_items // CELL_ROWS), 1)
 
 
@@ -83,16 +99,39 @@ def _seen_mask(seen: pd.Series, item_index: pd.Index) -> tuple[np.ndarray, np.nd
     return row_of[col_of >= 0], col_of[col_of >= 0]
 
 
-def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows and columns of the k best finite scores per row; ties go to the lower column."""
-    n = scores.shape[1]
-    floor = np.partition(scores, n - k, axis=1)[:, n - k] if n > k else np.full(len(scores), -np.inf)
-    rows, cols = np.nonzero((scores >= floor[:, None]) & np.isfinite(scores))
-    order = np.lexsort((cols, -scores[rows, cols], rows))
-    rows, cols = rows[order], cols[order]
-    first = np.searchsorted(rows, rows, side="left")
-    keep = np.arange(len(rows)) - first < k
-    return rows[keep], cols[keep]
+def _floor(scores: np.ndarray, k: int) -> np.ndarray:
+    """Per row a value that at least k scores reach: the k-th best of the best in each strip of columns."""
+    n, strips = scores.shape[1], scores.shape[1] // STRIP
+    if n <= k:
+        return np.full(len(scores), -np.inf, dtype=scores.dtype)
+    if strips >= 2 * k:
+        scores = scores[:, :strips * STRIP].reshape(len(scores), strips, STRIP).max(axis=2)
+        n = strips
+    return np.partition(scores, n - k, axis=1)[:, n - k]
+
+
+def _best(users: np.ndarray, items: np.ndarray, k: int, metric: str,
+          hidden: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """User rows, item columns and scores of the k best items per user; ties go to the lower column.
+
+    Cosines are searched in single precision with a margin for its rounding error;
+    the few that may be among the best are scored again in double precision.
+    """
+    if metric == "cosine":
+        rough = _scores(users.astype(np.float32), items.astype(np.float32), metric)
+        margin = 2 * (users.shape[1] + 8) * 2.0 ** -24
+    else:
+        rough = _scores(users, items, metric)
+        margin = 1e-9 * max(1.0, float(np.abs(rough).max(initial=0.0)))
+    if hidden is not None:
+        rough[hidden] = -np.inf
+    least = _floor(rough, k)[:, None] - 2 * margin - 10.0 ** -TIE_DECIMALS
+    rows, cols = np.nonzero((rough >= least) & (rough > -np.inf))
+    scores = _pair_scores(users, items, rows, cols, metric)
+    order = np.lexsort((cols, -scores, rows))
+    rows, cols, scores = rows[order], cols[order], scores[order]
+    keep = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left") < k
+    return rows[keep], cols[keep], scores[keep]
 
 
 def recommend_topk(users: DataFrame, items: DataFrame, k: int, *, user_id: str = "userId", item_id: str = "ID",
@@ -103,6 +142,8 @@ def recommend_topk(users: DataFrame, items: DataFrame, k: int, *, user_id: str =
     ``seen`` names an array column of ``users`` whose items are left out. Filter
     ``items`` beforehand to draw from part of the catalogue only.
     """
+    if user_id.lower() == item_id.lower():
+        raise ValueError("the names of the user and item columns must differ, not only in case")
     extra = [F.col(seen).alias("seen")] if seen else []
     left = _prepare(users, user_id, vector, "user", *extra)
     right = _prepare(items, item_id, vector, "item")
@@ -120,14 +161,12 @@ def recommend_topk(users: DataFrame, items: DataFrame, k: int, *, user_id: str =
         imat, index, found = _loaded(ipart, metric), pd.Index(ipart["item"]), []
         for start in range(0, len(upart), CHUNK_ROWS):
             chunk = upart.iloc[start:start + CHUNK_ROWS]
-            scores = _scores(_loaded(chunk, metric), imat, metric)
-            if has_seen:
-                scores[_seen_mask(chunk["seen"], index)] = -np.inf
-            rows, cols = _best(scores, k)
+            hidden = _seen_mask(chunk["seen"], index) if has_seen else None
+            rows, cols, scores = _best(_loaded(chunk, metric), imat, k, metric, hidden)
             found.append(pd.DataFrame({
                 "user": chunk["user"].to_numpy()[rows],
                 "item": ipart["item"].to_numpy()[cols],
-                "score": scores[rows, cols],
+                "score": scores,
             }))
         return pd.concat(found)
 

@@ -20,8 +20,9 @@ def _users(v: Views):
     return drop_incomplete(valid_keys(v.prefs, "userId"))
 
 
-def _movies(v: Views):
-    return profiles.explode_favorites(_users(v), "favoriteMoviesIds")
+def _movies(v: Views, stored: bool = False):
+    users = drop_incomplete(valid_keys(v.stored_prefs, "userId")) if stored else _users(v)
+    return profiles.explode_favorites(users, "favoriteMoviesIds")
 
 
 # -- favourites and profiles
@@ -35,7 +36,8 @@ def explode_favorites(v):
     SELECT userId, pos::INT AS pos, item::INT AS item, trim(genero_name) AS "Genres"
     FROM genre_rows JOIN genres ON genero_id = item::INT""", "genre_rows", "genres"))
 def join_genres(v):
-    liked = profiles.explode_favorites(_users(v), "favoriteGenresIds")
+    users = drop_incomplete(valid_keys(v.stored_prefs, "userId"))
+    liked = profiles.explode_favorites(users, "favoriteGenresIds")
     return profiles.join_genres(liked, v.genres)
 
 
@@ -43,7 +45,7 @@ def join_genres(v):
     SELECT userId, pos::INT AS pos, item, CleanTitle FROM movie_rows LEFT JOIN content ON ID = item""",
     "movie_rows", "content"))
 def join_titles(v):
-    return profiles.join_titles(_movies(v), v.content, ["CleanTitle"])
+    return profiles.join_titles(_movies(v, stored=True), v.content, ["CleanTitle"])
 
 
 _TITLE_LIST = """
@@ -54,7 +56,7 @@ _TITLE_LIST = """
 
 @query("collect_profile", sql(_TITLE_LIST, "movie_rows", "content"))
 def collect_profile(v):
-    rows = profiles.join_titles(_movies(v), v.content, ["CleanTitle"])
+    rows = profiles.join_titles(_movies(v, stored=True), v.content, ["CleanTitle"])
     lists = profiles.collect_profile(rows, ["item", "CleanTitle"])
     return lists.select("userId", F.array_join("item", ";").alias("items"),
                         F.array_join("CleanTitle", "|", "?").alias("titles"))

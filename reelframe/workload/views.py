@@ -110,7 +110,7 @@ class Views:
         bought = (
             self.table("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
             .join(self.table("lineitem").select("l_orderkey", "l_partkey"), "l_orderkey")
-            .select("o_custkey", "l_partkey").distinct()
+            .select("o_custkey", "l_partkey")
         )
         liked = bought.join(
             self.table("part").select(F.col("p_partkey").alias("l_partkey"), "p_size"), "l_partkey")
