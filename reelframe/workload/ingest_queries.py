@@ -164,8 +164,8 @@ def scan_vector_documents(v):
     )
     alone.unionByName(listed).write.text(path)
     found = vectors.scan_vector_documents(v.spark, path)
-    return found.select("ID", "original_text", F.round(
-        F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x), 5).alias("total"))
+    total = F.aggregate(F.col("embedding").cast("array<float>"), F.lit(0.0), lambda a, x: a + x.cast("double"))
+    return found.select("ID", "original_text", F.round(total, 5).alias("total"))
 
 
 @query("scan_vector_store", """

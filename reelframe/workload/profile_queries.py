@@ -289,7 +289,7 @@ def recommend_unseen(v):
 
 @query("l2_topk", """
     SELECT u.vec_id AS user_id, v.vec_id AS item_id,
-           round(pow(list_distance(u.embedding::DOUBLE[], v.embedding::DOUBLE[]), 2), 6) AS score,
+           round(round(pow(list_distance(u.embedding::DOUBLE[], v.embedding::DOUBLE[]), 2), 9), 6) AS score,
            row_number() OVER (PARTITION BY u.vec_id ORDER BY
                round(pow(list_distance(u.embedding::DOUBLE[], v.embedding::DOUBLE[]), 2), 9), v.vec_id)::INT AS rank
     FROM embeddings u CROSS JOIN embeddings v QUALIFY rank <= 10""")
@@ -298,13 +298,13 @@ def l2_topk(v):
 
 
 @query("cross_score", sql("""
-    SELECT user_id, count(*) AS n_scores, round(avg(score), 6) AS mean_score, round(min(score), 6) AS min_score,
-           round(max(score), 6) AS max_score
+    SELECT user_id, count(*) AS n_scores, round(avg(exact), 6) + 0.0::DOUBLE AS mean_score,
+           round(min(exact), 6) + 0.0::DOUBLE AS min_score, round(max(exact), 6) + 0.0::DOUBLE AS max_score
     FROM pairs GROUP BY user_id""", "pairs"))
 def cross_score(v):
     found = similarity.score_summary(v.vecs, v.vecs, user_id="vec_id", item_id="vec_id")
     return found.select(F.col("vec_id").alias("user_id"), "n_scores",
-                        *[F.round(c, 6).alias(c) for c in ("mean_score", "min_score", "max_score")])
+                        *[(F.round(c, 6) + 0.0).alias(c) for c in ("mean_score", "min_score", "max_score")])
 
 
 @query("recommend_one_user", sql("""

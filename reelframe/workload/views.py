@@ -260,7 +260,7 @@ _SQL = {
         FROM users""",
     "pairs": """
         SELECT u.vec_id AS user_id, v.vec_id AS item_id,
-               round(list_cosine_similarity(u.embedding::DOUBLE[], v.embedding::DOUBLE[]), 9) AS score
+               list_cosine_similarity(u.embedding::DOUBLE[], v.embedding::DOUBLE[]) AS exact, round(exact, 9) AS score
         FROM embeddings u CROSS JOIN embeddings v""",
     "centroids": """
         SELECT label, list(m ORDER BY pos) AS centroid FROM (
