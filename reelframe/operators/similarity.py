@@ -11,19 +11,30 @@ user, never the pairs themselves. Both IDs must be unique, as they are after
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 CELL_ROWS = 16_384   # rows of one side in one cell
-CHUNK_ROWS = 256     # user rows multiplied at once inside a cell
+CHUNK_ROWS = 64      # user rows multiplied at once inside a cell
 LEAST_ROWS = 64      # fewer user rows than this are not worth a cell of their own
 STRIP = 32           # columns searched together for a first bound
 GATHERED = 4_000_000 # vector components gathered at once
 TIE_DECIMALS = 9     # scores equal to this many decimals are ties, broken by ID
 
 
-def _matrix(vectors: pd.Series) -> np.ndarray:
-    return np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
+def _array(table: pa.Table, column: str) -> pa.Array:
+    return pa.concat_arrays(table.column(column).chunks)
+
+
+def _typed(table: pa.Table, column: str) -> pa.Array:
+    """No rows, of the type of a column."""
+    return pa.array([], table.schema.field(column).type)
+
+
+def _matrix(vectors: pa.Array) -> np.ndarray:
+    """The vectors of a list column as rows; all must have the same length."""
+    return vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(vectors), -1)
 
 
 def _unit(matrix: np.ndarray) -> np.ndarray:
@@ -84,19 +95,17 @@ def _prepare(df: DataFrame, id_col: str, vector_col: str, name: str, *extra: str
     )
 
 
-def _loaded(pdf: pd.DataFrame, metric: str) -> np.ndarray:
-    matrix = _matrix(pdf["vector"])
+def _loaded(table: pa.Table, metric: str) -> np.ndarray:
+    matrix = _matrix(_array(table, "vector"))
     return _unit(matrix) if metric == "cosine" else matrix
 
 
-def _seen_mask(seen: pd.Series, item_index: pd.Index) -> tuple[np.ndarray, np.ndarray]:
-    """Matrix positions (user row, item column) of items a user has already seen."""
-    lists = [() if s is None else s for s in seen]
-    row_of = np.repeat(np.arange(len(lists)), [len(s) for s in lists])
-    if not len(row_of):
-        return row_of, row_of
-    col_of = item_index.get_indexer(np.concatenate([np.asarray(s, dtype=object) for s in lists]))
-    return row_of[col_of >= 0], col_of[col_of >= 0]
+def _seen_pairs(seen: pa.Array, item_ids: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """User rows and item columns of the items that users have already seen, by user row."""
+    rows = pc.list_parent_indices(seen).to_numpy()
+    cols = pc.index_in(pc.list_flatten(seen), value_set=item_ids)
+    known = pc.is_valid(cols).to_numpy(zero_copy_only=False)
+    return rows[known], cols.drop_null().to_numpy()
 
 
 def _floor(scores: np.ndarray, k: int) -> np.ndarray:
@@ -110,18 +119,22 @@ def _floor(scores: np.ndarray, k: int) -> np.ndarray:
     return np.partition(scores, n - k, axis=1)[:, n - k]
 
 
-def _best(users: np.ndarray, items: np.ndarray, k: int, metric: str,
+def _search_form(items: np.ndarray, metric: str) -> np.ndarray:
+    return items.astype(np.float32) if metric == "cosine" else items
+
+
+def _best(users: np.ndarray, items: np.ndarray, search: np.ndarray, k: int, metric: str,
           hidden: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """User rows, item columns and scores of the k best items per user; ties go to the lower column.
 
-    Cosines are searched in single precision with a margin for its rounding error;
-    the few that may be among the best are scored again in double precision.
+    ``search`` is the items in the form of :func:`_search_form`: cosines are searched in
+    single precision, with a margin for its rounding error, and the few that may be
+    among the best are scored again in double precision.
     """
+    rough = _scores(users.astype(search.dtype), search, metric)
     if metric == "cosine":
-        rough = _scores(users.astype(np.float32), items.astype(np.float32), metric)
         margin = 2 * (users.shape[1] + 8) * 2.0 ** -24
     else:
-        rough = _scores(users, items, metric)
         margin = 1e-9 * max(1.0, float(np.abs(rough).max(initial=0.0)))
     if hidden is not None:
         rough[hidden] = -np.inf
@@ -154,24 +167,29 @@ def recommend_topk(users: DataFrame, items: DataFrame, k: int, *, user_id: str =
     ])
     has_seen = seen is not None
 
-    def score_cell(upart: pd.DataFrame, ipart: pd.DataFrame) -> pd.DataFrame:
-        if upart.empty or ipart.empty:
-            return pd.DataFrame({"user": [], "item": [], "score": []})
-        ipart = ipart.sort_values("item", ignore_index=True)  # column order = ID order, for ties
-        imat, index, found = _loaded(ipart, metric), pd.Index(ipart["item"]), []
-        for start in range(0, len(upart), CHUNK_ROWS):
-            chunk = upart.iloc[start:start + CHUNK_ROWS]
-            hidden = _seen_mask(chunk["seen"], index) if has_seen else None
-            rows, cols, scores = _best(_loaded(chunk, metric), imat, k, metric, hidden)
-            found.append(pd.DataFrame({
-                "user": chunk["user"].to_numpy()[rows],
-                "item": ipart["item"].to_numpy()[cols],
-                "score": scores,
-            }))
-        return pd.concat(found)
+    def score_cell(upart: pa.Table, ipart: pa.Table) -> pa.Table:
+        if not upart.num_rows or not ipart.num_rows:
+            return pa.table({"user": _typed(upart, "user"), "item": _typed(ipart, "item"),
+                             "score": pa.array([], pa.float64())})
+        ipart = ipart.take(pc.sort_indices(_array(ipart, "item")))  # column order = ID order, for ties
+        umat, imat = _loaded(upart, metric), _loaded(ipart, metric)
+        search = _search_form(imat, metric)
+        user_ids, item_ids = _array(upart, "user"), _array(ipart, "item")
+        seen_rows, seen_cols = _seen_pairs(_array(upart, "seen"), item_ids) if has_seen else (None, None)
+        found = []
+        for start in range(0, len(umat), CHUNK_ROWS):
+            hidden = None
+            if has_seen:
+                low, high = np.searchsorted(seen_rows, [start, start + CHUNK_ROWS])
+                hidden = seen_rows[low:high] - start, seen_cols[low:high]
+            rows, cols, scores = _best(umat[start:start + CHUNK_ROWS], imat, search, k, metric, hidden)
+            found.append((rows + start, cols, scores))
+        rows, cols, scores = (np.concatenate(part) for part in zip(*found))
+        return pa.table({"user": user_ids.take(pa.array(rows)), "item": item_ids.take(pa.array(cols)),
+                         "score": pa.array(scores)})
 
     cells_left, cells_right = _cells(left, right)
-    partial = cells_left.cogroup(cells_right).applyInPandas(score_cell, schema)
+    partial = cells_left.cogroup(cells_right).applyInArrow(score_cell, schema)
     best = Window.partitionBy("user").orderBy(F.desc("score"), F.asc("item"))
     sign = 1.0 if metric == "cosine" else -1.0
     return (
@@ -198,22 +216,23 @@ def score_summary(users: DataFrame, items: DataFrame, *, user_id: str = "userId"
         T.StructField("high", T.DoubleType()),
     ])
 
-    def score_cell(upart: pd.DataFrame, ipart: pd.DataFrame) -> pd.DataFrame:
-        if upart.empty or ipart.empty:
-            return pd.DataFrame({"user": [], "n": [], "total": [], "low": [], "high": []})
-        imat, found = _loaded(ipart, "cosine"), []
-        for start in range(0, len(upart), CHUNK_ROWS):
-            chunk = upart.iloc[start:start + CHUNK_ROWS]
-            scores = _scores(_loaded(chunk, "cosine"), imat, "cosine")
-            found.append(pd.DataFrame({
-                "user": chunk["user"].to_numpy(), "n": scores.shape[1], "total": scores.sum(1),
-                "low": scores.min(1), "high": scores.max(1),
-            }))
-        return pd.concat(found)
+    def score_cell(upart: pa.Table, ipart: pa.Table) -> pa.Table:
+        if not upart.num_rows or not ipart.num_rows:
+            none = pa.array([], pa.float64())
+            return pa.table({"user": _typed(upart, "user"), "n": pa.array([], pa.int64()), "total": none,
+                             "low": none, "high": none})
+        umat, imat = _loaded(upart, "cosine"), _loaded(ipart, "cosine")
+        parts = []
+        for start in range(0, len(umat), CHUNK_ROWS):
+            scores = _scores(umat[start:start + CHUNK_ROWS], imat, "cosine")
+            parts.append((scores.sum(1), scores.min(1), scores.max(1)))
+        total, low, high = (np.concatenate(part) for part in zip(*parts))
+        return pa.table({"user": _array(upart, "user"), "n": np.full(len(umat), len(imat)), "total": total,
+                         "low": low, "high": high})
 
     cells_left, cells_right = _cells(left, right)
     return (
-        cells_left.cogroup(cells_right).applyInPandas(score_cell, schema)
+        cells_left.cogroup(cells_right).applyInArrow(score_cell, schema)
         .groupBy(F.col("user").alias(user_id))
         .agg(F.sum("n").alias("n_scores"), (F.sum("total") / F.sum("n")).alias("mean_score"),
              F.min("low").alias("min_score"), F.max("high").alias("max_score"))
