@@ -26,29 +26,37 @@ def _type_of(variant: Column) -> Column:
     return F.schema_of_variant(variant)
 
 
-def first_numeric_id(line: Column, doc: Column) -> Column:
-    """First ``ExternalIds[*].ID`` that is a JSON integer or an all-digit string, as text.
+def external_ids(doc: Column) -> Column:
+    """``ExternalIds[*].ID`` with the type each has in JSON; null unless there is a list."""
+    return F.transform(
+        F.try_variant_get(doc, "$.ExternalIds", "array<variant>"),
+        lambda item: F.struct(_type_of(F.try_variant_get(item, "$.ID", "variant")).alias("kind"),
+                              F.try_variant_get(item, "$.ID", "string").alias("value")))
+
+
+def first_numeric_id(line: Column, ids: Column) -> Column:
+    """First of the :func:`external_ids` that is a JSON integer or an all-digit string, as text.
 
     Booleans and fractions are no IDs. A Variant shows ``1.0`` and integers beyond
     64 bits alike; only lines with such a number look at the digits in their text.
+    Keep ``ids`` in a column of its own, as it is used more than once.
     """
-    items = F.transform(
-        F.try_variant_get(doc, "$.ExternalIds", "array<variant>"),
-        lambda item: F.struct(_type_of(F.try_variant_get(item, "$.ID", "variant")).alias("kind"),
-                              F.try_variant_get(item, "$.ID", "string").alias("value")))
     texts = F.from_json(line, "ExternalIds array<string>")["ExternalIds"]
 
-    def plain(item: Column) -> Column:
-        is_id = (item["kind"] == "BIGINT") | ((item["kind"] == "STRING") & item["value"].rlike(_DIGITS))
-        return F.when(is_id, item["value"])
+    def is_id(item: Column) -> Column:
+        return (item["kind"] == "BIGINT") | ((item["kind"] == "STRING") & item["value"].rlike(_DIGITS))
 
     def exact(item: Column, text: Column) -> Column:
         digits = F.get_json_object(text, "$.ID")
-        return F.when(item["kind"].rlike(_WIDE) & digits.rlike(_INTEGER), digits).otherwise(plain(item))
+        return (
+            F.when(item["kind"].rlike(_WIDE) & digits.rlike(_INTEGER), digits)
+            .when(is_id(item), item["value"])
+        )
 
-    first = lambda found: F.try_element_at(F.filter(found, lambda x: x.isNotNull()), F.lit(1))
-    has_wide = F.exists(items, lambda item: item["kind"].rlike(_WIDE))
-    return F.when(has_wide, first(F.zip_with(items, texts, exact))).otherwise(first(F.transform(items, plain)))
+    has_wide = F.exists(ids, lambda item: item["kind"].rlike(_WIDE))
+    plain = F.try_element_at(F.filter(ids, is_id), F.lit(1))["value"]
+    wide = F.try_element_at(F.filter(F.zip_with(ids, texts, exact), lambda x: x.isNotNull()), F.lit(1))
+    return F.when(has_wide, wide).otherwise(plain)
 
 
 def extract_object(doc: Column, field: str = "Deeplinks") -> Column:
@@ -57,14 +65,14 @@ def extract_object(doc: Column, field: str = "Deeplinks") -> Column:
     return F.when(_type_of(value).startswith("OBJECT"), F.to_json(value)).otherwise(F.lit("{}"))
 
 
-def extract_fields(line: Column, doc: Column, fields: dict[str, str | None] = FIELDS_TEXT) -> Column:
+def extract_fields(doc: Column, fields: dict[str, str | None] = FIELDS_TEXT) -> Column:
     """Struct of the named fields; a default replaces an absent key, not a JSON null."""
-    keys = F.json_object_keys(line)
 
     def field(name: str, default: str | None) -> Column:
         value = F.try_variant_get(doc, f"$.{name}", "string")
         if default is not None:
-            value = F.when(F.coalesce(F.array_contains(keys, name), F.lit(False)), value).otherwise(F.lit(default))
+            is_absent = F.try_variant_get(doc, f"$.{name}", "variant").isNull()
+            value = F.coalesce(value, F.when(is_absent, default))
         return value.alias(name)
 
     return F.struct(*[field(n, d) for n, d in fields.items()])

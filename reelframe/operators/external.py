@@ -40,7 +40,7 @@ def batch_ends(lengths: list[int], max_items: int, max_codepoints: int | None) -
 def apply_batched(df: DataFrame, key: str, text: str, load: Callable[[], Callable[[list[str]], list]],
                   result_type: T.DataType | str, *, keep: tuple[str, ...] = (), max_items: int = 50,
                   max_codepoints: int | None = None, retries: int = 3, wait: float = 1.0, backoff: float = 2.0,
-                  pause: float = 0.0) -> DataFrame:
+                  pause: float = 0.0, tasks: int | None = None) -> DataFrame:
     """``(key, text, *keep, result, error)`` with the answer of the external function for each text.
 
     ``load`` is called once per task and returns the function, which takes a list of
@@ -49,11 +49,16 @@ def apply_batched(df: DataFrame, key: str, text: str, load: Callable[[], Callabl
     Null or blank text is not sent and has a null result; a batch that fails gets
     its error beside each key and the others go on.
 
+    ``tasks`` spreads the rows over that many tasks, which is how many calls can be
+    under way at once; without it the partitions stay as they are.
+
     The result is lazy: write or checkpoint it before reading it more than once, or
     the function is called again.
     """
     result_type = T._parse_datatype_string(result_type) if isinstance(result_type, str) else result_type
     source = df.select(key, text, *keep)
+    if tasks:
+        source = source.repartition(tasks, key)
     schema = T.StructType([*source.schema.fields, T.StructField("result", result_type),
                            T.StructField("error", T.StringType())])
 

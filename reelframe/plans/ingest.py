@@ -15,14 +15,15 @@ def extract_records(lines: DataFrame, processed_at: Column | None = None, mode:
     line, doc = F.col("line"), F.col("_doc")
     records = (
         lines.withColumn("_doc", feed.parse_line(line))
+        .withColumn("_ids", feed.external_ids(doc))
         .withColumns({
-            "extracted_id": feed.first_numeric_id(line, doc),
+            "extracted_id": feed.first_numeric_id(line, F.col("_ids")),
             "deeplinks": feed.extract_object(doc),
-            "additional_fields": feed.extract_fields(line, doc, chosen),
+            "additional_fields": feed.extract_fields(doc, chosen),
             "malformed": has_text("line") & doc.isNull(),
             "processed_at": processed_at if processed_at is not None else F.current_timestamp(),
         })
-        .drop("_doc")
+        .drop("_doc", "_ids")
     )
     valid = feed.is_valid_record(F.col("extracted_id"), F.col("deeplinks"), mode)
     records = records.withColumn("is_valid", F.coalesce(valid, F.lit(False)))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from reelframe.functions import vectors as vec
 from reelframe.operators import batching, external, profiles, sets, similarity
 from reelframe.operators.filters import drop_incomplete, valid_keys
+from reelframe.operators.skew import lookup_join
 from reelframe.operators.translate import translate_columns
 from reelframe.plans.embed import embed_items
 from reelframe.plans.recommend import recommend_for_all, user_profiles, with_sentences
@@ -250,8 +251,8 @@ def _with_centroid(v: Views):
         .groupBy("label", "pos").agg(F.avg(F.col("x").cast("double")).alias("m"))
     )
     centroids = means.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("pos", "m"))).alias("rows"))
-    return v.vecs.join(
-        centroids.select("label", F.transform("rows", lambda r: r["m"]).alias("centroid")), "label")
+    return lookup_join(
+        v.vecs, centroids.select("label", F.transform("rows", lambda r: r["m"]).alias("centroid")), "label")
 
 
 def _topk(v: Views, k: int, **options):

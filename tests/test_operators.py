@@ -306,6 +306,17 @@ def test_heavy_keys(spark):
     assert heavy_keys(skewed(spark), "key", 0.01) == []
 
 
+def test_no_heavy_keys_without_rows(spark):
+    assert heavy_keys(skewed(spark).where("id < 0"), "key", 0.01, min_rows=0) == []
+    assert heavy_keys(spark.createDataFrame([], "key string"), "key", 0.01, min_rows=0) == []
+
+
+def test_hot_keys_of_a_join_are_not_shuffled(spark, capsys):
+    right = spark.createDataFrame([("hot", 1), ("k1", 2)], "key string, v int")
+    lookup_join(skewed(spark), right, "key", share=0.01, min_rows=0).explain()
+    assert "Union" in capsys.readouterr().out
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_anti", "left_semi"])
 def test_lookup_join_equals_a_plain_join(spark, how):
     left = skewed(spark)
