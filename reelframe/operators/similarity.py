@@ -105,7 +105,8 @@ def _seen_pairs(seen: pa.Array, item_ids: pa.Array) -> tuple[np.ndarray, np.ndar
     rows = pc.list_parent_indices(seen).to_numpy()
     cols = pc.index_in(pc.list_flatten(seen), value_set=item_ids)
     known = pc.is_valid(cols).to_numpy(zero_copy_only=False)
-    return rows[known], cols.drop_null().to_numpy()
+    pairs = np.unique(rows[known] * np.int64(len(item_ids)) + cols.drop_null().to_numpy())  # listed twice counts once
+    return np.divmod(pairs, len(item_ids))
 
 
 def _floor(scores: np.ndarray, k: int) -> np.ndarray:
@@ -119,32 +120,66 @@ def _floor(scores: np.ndarray, k: int) -> np.ndarray:
     return np.partition(scores, n - k, axis=1)[:, n - k]
 
 
-def _search_form(items: np.ndarray, metric: str) -> np.ndarray:
-    return items.astype(np.float32) if metric == "cosine" else items
+class _Catalogue:
+    """The item vectors of a cell, each different vector once, with the columns that hold it."""
 
+    def __init__(self, matrix: np.ndarray, metric: str):
+        self.n_items = len(matrix)
+        self.vectors, self.group_of, self.copies = np.unique(
+            matrix + 0.0, axis=0, return_inverse=True, return_counts=True)
+        self.members = np.argsort(self.group_of, kind="stable")  # columns by vector, ascending
+        self.starts = np.cumsum(self.copies) - self.copies
+        # Cosines are searched in single precision, then scored again in double precision.
+        self.search = self.vectors.astype(np.float32) if metric == "cosine" else self.vectors
 
-def _best(users: np.ndarray, items: np.ndarray, search: np.ndarray, k: int, metric: str,
+    def columns(self, groups: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+        """The first ``most`` columns of each listed vector, and how many each gives."""
+        taken = np.minimum(self.copies[groups], most)
+        step = np.arange(taken.sum()) - np.repeat(np.cumsum(taken) - taken, taken)
+        return self.members[np.repeat(self.starts[groups], taken) + step], taken
+
+
+def _nth_in_row(rows: np.ndarray) -> np.ndarray:
+    """Position of each entry among those of its row; ``rows`` is sorted."""
+    return np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
+
+
+def _best(users: np.ndarray, items: _Catalogue, k: int, metric: str,
           hidden: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """User rows, item columns and scores of the k best items per user; ties go to the lower column.
 
-    ``search`` is the items in the form of :func:`_search_form`: cosines are searched in
-    single precision, with a margin for its rounding error, and the few that may be
-    among the best are scored again in double precision.
+    Copies of a vector are scored once. ``hidden`` lists the (row, column) pairs to leave out.
     """
-    rough = _scores(users.astype(search.dtype), search, metric)
+    rough = _scores(users.astype(items.search.dtype), items.search, metric)
     if metric == "cosine":
-        margin = 2 * (users.shape[1] + 8) * 2.0 ** -24
+        margin = 2 * (users.shape[1] + 8) * 2.0 ** -24  # rounding of both the vectors and their product
     else:
         margin = 1e-9 * max(1.0, float(np.abs(rough).max(initial=0.0)))
-    if hidden is not None:
-        rough[hidden] = -np.inf
+    most = k
+    if hidden is not None and len(hidden[0]):
+        rows, cols = hidden
+        most += int(np.bincount(rows).max())
+        pairs, n_hidden = np.unique(rows * len(items.copies) + items.group_of[cols], return_counts=True)
+        rows, groups = np.divmod(pairs, len(items.copies))
+        gone = n_hidden == items.copies[groups]
+        rough[rows[gone], groups[gone]] = -np.inf
     least = _floor(rough, k)[:, None] - 2 * margin - 10.0 ** -TIE_DECIMALS
-    rows, cols = np.nonzero((rough >= least) & (rough > -np.inf))
-    scores = _pair_scores(users, items, rows, cols, metric)
+    rows, groups = np.nonzero((rough >= least) & (rough > -np.inf))
+    scores = _pair_scores(users, items.vectors, rows, groups, metric)
+    # The k-th best vector of a row bounds its items; vectors that tie with it stay.
+    order = np.lexsort((-scores, rows))
+    rows, groups, scores = rows[order], groups[order], scores[order]
+    last = np.minimum(np.searchsorted(rows, rows, side="left") + k, np.searchsorted(rows, rows, side="right")) - 1
+    keep = scores >= scores[last]
+    rows, groups, scores = rows[keep], groups[keep], scores[keep]
+    cols, taken = items.columns(groups, most)
+    rows, scores = np.repeat(rows, taken), np.repeat(scores, taken)
+    if hidden is not None:
+        shown = ~np.isin(rows * items.n_items + cols, hidden[0] * items.n_items + hidden[1])
+        rows, cols, scores = rows[shown], cols[shown], scores[shown]
     order = np.lexsort((cols, -scores, rows))
-    rows, cols, scores = rows[order], cols[order], scores[order]
-    keep = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left") < k
-    return rows[keep], cols[keep], scores[keep]
+    order = order[_nth_in_row(rows[order]) < k]
+    return rows[order], cols[order], scores[order]
 
 
 def recommend_topk(users: DataFrame, items: DataFrame, k: int, *, user_id: str = "userId", item_id: str = "ID",
@@ -172,8 +207,7 @@ def recommend_topk(users: DataFrame, items: DataFrame, k: int, *, user_id: str =
             return pa.table({"user": _typed(upart, "user"), "item": _typed(ipart, "item"),
                              "score": pa.array([], pa.float64())})
         ipart = ipart.take(pc.sort_indices(_array(ipart, "item")))  # column order = ID order, for ties
-        umat, imat = _loaded(upart, metric), _loaded(ipart, metric)
-        search = _search_form(imat, metric)
+        umat, items_here = _loaded(upart, metric), _Catalogue(_loaded(ipart, metric), metric)
         user_ids, item_ids = _array(upart, "user"), _array(ipart, "item")
         seen_rows, seen_cols = _seen_pairs(_array(upart, "seen"), item_ids) if has_seen else (None, None)
         found = []
@@ -182,7 +216,7 @@ def recommend_topk(users: DataFrame, items: DataFrame, k: int, *, user_id: str =
             if has_seen:
                 low, high = np.searchsorted(seen_rows, [start, start + CHUNK_ROWS])
                 hidden = seen_rows[low:high] - start, seen_cols[low:high]
-            rows, cols, scores = _best(umat[start:start + CHUNK_ROWS], imat, search, k, metric, hidden)
+            rows, cols, scores = _best(umat[start:start + CHUNK_ROWS], items_here, k, metric, hidden)
             found.append((rows + start, cols, scores))
         rows, cols, scores = (np.concatenate(part) for part in zip(*found))
         return pa.table({"user": user_ids.take(pa.array(rows)), "item": item_ids.take(pa.array(cols)),

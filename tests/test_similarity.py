@@ -69,6 +69,20 @@ def test_seen_items_are_left_out(spark):
     assert run(spark, with_seen, items, 7, seen="seen") == brute(users, items, 7, hidden=hidden)
 
 
+def test_seen_copies_give_way_to_the_next_copy(spark):
+    """Copies and scaled copies tie; a user who has seen some gets the lowest of the others."""
+    rng = np.random.default_rng(6)
+    users, items = rng.normal(size=(8, 5)), rng.normal(size=(40, 5))
+    items[10:30] = items[3]
+    items[30:35] = items[3] * 2
+    users[0] = users[1] = items[3]
+    hidden = {(0, i) for i in (3, 10, 11, 12, 30)} | {(1, i) for i in range(10, 30)} | {(2, 3)}
+    seen = spark.createDataFrame([(f"u{u:04d}", [f"i{i:04d}" for v, i in sorted(hidden) if v == u] * 2)
+                                  for u in range(8)], "userId string, seen array<string>")
+    with_seen = frame(spark, "u", users).join(seen, "userId")
+    assert run(spark, with_seen, items, 6, seen="seen") == brute(users, items, 6, hidden=hidden)
+
+
 def test_scores_and_summary(spark):
     users, items = frame(spark, "u", np.eye(2)), frame(spark, "i", np.array([[1, 0], [-1, 0], [3, 4]]))
     rows = sim.score_summary(users, items).orderBy("userId").collect()
