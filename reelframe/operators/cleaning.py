@@ -32,27 +32,23 @@ def map_external_ids(df: DataFrame, id_map: DataFrame, key: str = "ID", unique:
     A film match goes before a series match; rows without a match are dropped.
     ``id_map`` has one row per ``external_id``; ``unique`` says the same of ``df``.
     """
-    numeric = df.where(scoring.is_numeric(key))
     mapping = id_map.select(F.col("external_id").alias(key),
                             F.coalesce("movie_id", "tv_id").cast("string").alias("_mapped"))
-    mapped = (
-        lookup_join(df.where(~scoring.is_numeric(key)), mapping, key, skewed=not unique)
-        .where(F.col("_mapped").isNotNull())
-        .withColumn(key, F.col("_mapped"))
-    )
-    return numeric.unionByName(mapped.select(*df.columns))
+    # Numeric IDs join as well, in vain: that spares a second pass over df, and they spread evenly.
+    mapped = lookup_join(df.where(F.col(key).isNotNull()), mapping, key, "left", skewed=not unique)
+    new_id = F.when(scoring.is_numeric(key), F.col(key)).otherwise(F.col("_mapped"))
+    return mapped.withColumn(key, new_id).where(F.col(key).isNotNull()).select(*df.columns)
 
 
 def enrich_missing(df: DataFrame, details: DataFrame, key: str = "ID",
                    placeholders: dict[str, str] = scoring.EXPORT, unique: bool = False) -> DataFrame:
-    """Placeholders filled from ``details``; complete rows pass by untouched.
+    """Placeholders filled from ``details``; complete rows stay as they are.
 
     ``details`` has one row per ``id``: ``title, name, overview, genres, credits``
     with lists of structs, as a film database answers. A row without details keeps
     its placeholders; a detail that is missing gives the empty text. ``unique`` says
     that ``df`` has one row per ID, too.
     """
-    gaps = scoring.has_placeholder(placeholders)
     found = details.select(
         F.col("id").alias(key), F.lit(True).alias("_found"),
         F.coalesce("title", "name").alias("_CleanTitle"),
@@ -61,13 +57,14 @@ def enrich_missing(df: DataFrame, details: DataFrame, key: str = "ID",
         scoring.cast_names(F.col("credits.cast")).alias("_Cast"),
         scoring.director_names(F.col("credits.crew")).alias("_Directors"),
     )
-    joined = lookup_join(df.where(gaps), found, key, "left", skewed=not unique)
+    joined = lookup_join(df, found, key, "left", skewed=not unique)
+    # A complete row has no placeholder to fill, so it passes as it is.
     filled = joined.withColumns({
         name: F.when(F.col("_found"), scoring.fill_if_placeholder(name, F.col(f"_{name}"), mark))
         .otherwise(F.col(name))
         for name, mark in placeholders.items()
     })
-    return df.where(~gaps).unionByName(filled.select(*df.columns))
+    return filled.select(*df.columns)
 
 
 def null_profile(df: DataFrame) -> DataFrame:

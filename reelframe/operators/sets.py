@@ -29,8 +29,12 @@ def drop_duplicates(df: DataFrame) -> DataFrame:
 
 
 def count_duplicates(df: DataFrame) -> DataFrame:
-    """One row: how many rows repeat an earlier one."""
-    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    """One row: how many rows repeat an earlier one.
+
+    Rows are compared by their SHA-256 digest, so long texts are not shuffled.
+    """
+    whole = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    groups = df.select(F.unhex(F.sha2(whole, 256)).alias("_row")).groupBy("_row").agg(F.count(F.lit(1)).alias("_n"))
     return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("n_duplicates"))
 
 

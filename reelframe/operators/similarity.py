@@ -16,6 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 CELL_ROWS = 16_384   # rows of one side in one cell
+CELL_VALUES = 4_194_304  # vector components of one side in one cell: longer vectors make smaller cells
 CHUNK_ROWS = 64      # user rows multiplied at once inside a cell
 LEAST_ROWS = 64      # fewer user rows than this are not worth a cell of their own
 STRIP = 32           # columns searched together for a first bound
@@ -63,29 +64,36 @@ def _pair_scores(users: np.ndarray, items: np.ndarray, rows: np.ndarray, cols: n
     return np.round(found, TIE_DECIMALS) + 0.0
 
 
-def _grid(users: DataFrame, items: DataFrame) -> tuple[int, int]:
-    """Grid rows and columns: cells of bounded size, and enough of them to share out."""
+def _grid(users: DataFrame, items: DataFrame) -> tuple[int, int, int]:
+    """Grid rows, grid columns and shuffle partitions.
+
+    Cells hold a bounded number of vector components, and there are enough of them to
+    share out; a partition takes several cells when there are very many.
+    """
+    spark = users.sparkSession
     n_users, n_items = users.count(), items.count()
-    tasks = users.sparkSession.sparkContext.defaultParallelism
-    rows = max(-(-n_users // CELL_ROWS), min(2 * tasks, -(-n_users // LEAST_ROWS)), 1)
-    return rows, max(-(-n_items // CELL_ROWS), 1)
+    one = items.select(F.size("vector")).first()
+    cell = max(1, min(CELL_ROWS, CELL_VALUES // max(1, one[0] if one else 1)))
+    tasks = spark.sparkContext.defaultParallelism
+    rows = max(-(-n_users // cell), min(2 * tasks, -(-n_users // LEAST_ROWS)), 1)
+    cols = max(-(-n_items // cell), 1)
+    most = max(4 * tasks, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return rows, cols, min(rows * cols, most)
 
 
 def _cells(users: DataFrame, items: DataFrame):
     """Both tables keyed by cell and hash-partitioned alike, so the co-group needs no further shuffle."""
-    rows, cols = _grid(users, items)
-    all_rows, all_cols = F.sequence(F.lit(0), F.lit(rows - 1)), F.sequence(F.lit(0), F.lit(cols - 1))
+    rows, cols, partitions = _grid(users, items)
     left = (
         users.withColumn("_row", F.pmod(F.xxhash64("user"), F.lit(rows)).cast("int"))
-        .withColumn("_col", F.explode(all_cols))
+        .withColumn("_col", F.explode(F.sequence(F.lit(0), F.lit(cols - 1))))
     )
     right = (
         items.withColumn("_col", F.pmod(F.xxhash64("item"), F.lit(cols)).cast("int"))
-        .withColumn("_row", F.explode(all_rows))
+        .withColumn("_row", F.explode(F.sequence(F.lit(0), F.lit(rows - 1))))
     )
-    n = rows * cols
-    place = lambda df: df.repartition(n, "_row", "_col")
-    return place(left).groupBy("_row", "_col"), place(right).groupBy("_row", "_col")
+    place = lambda df: df.repartition(partitions, "_row", "_col").groupBy("_row", "_col")
+    return place(left), place(right)
 
 
 def _prepare(df: DataFrame, id_col: str, vector_col: str, name: str, *extra: str) -> DataFrame:

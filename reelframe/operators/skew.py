@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 
 def heavy_keys(df: DataFrame, key: str, share: float = 0.005, min_rows: int = 1_000_000) -> list:
-    """Values of ``key`` that hold more than ``share`` of all rows.
+    """Values of ``key``, null among them, that hold more than ``share`` of all rows.
 
     By counting there are fewer than ``1/share`` of them, so the list the driver
     receives is bounded whatever the data. The counts are pre-aggregated in the map
@@ -18,7 +18,7 @@ def heavy_keys(df: DataFrame, key: str, share: float = 0.005, min_rows: int = 1_
     rows = total.get["rows"] or 0
     if rows < min_rows:
         return []
-    return [row[key] for row in top if row["n"] > rows * share and row[key] is not None]
+    return [row[key] for row in top if row["n"] > rows * share]
 
 
 def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", *,
@@ -27,16 +27,17 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
 
     Rows of a heavy key never meet in one task: they are joined in place with the
     few matching rows of ``right`` (fewer than ``1/share``, hence safe to
-    broadcast). All other rows take the plain join, which Spark turns into a
-    broadcast join by itself when ``right`` is under its size threshold. Finding the
-    heavy keys reads ``left`` once more: pass ``skewed=False`` when its keys are
-    known to be unique, too.
+    broadcast), and so are rows without a key when there are many. All other rows
+    take the plain join, which Spark turns into a broadcast join by itself when
+    ``right`` is under its size threshold. Finding the heavy keys reads ``left`` once
+    more: pass ``skewed=False`` when its keys are known to be unique, too.
     """
     if how not in ("inner", "left", "left_anti", "left_semi"):
         raise ValueError(f"unsupported join type {how!r}")
     heavy = heavy_keys(left, key, share, min_rows) if skewed else []
     if not heavy:
         return left.join(right, key, how)
-    is_heavy: Column = F.coalesce(F.col(key).isin(heavy), F.lit(False))
-    hot = left.where(is_heavy).join(F.broadcast(right.where(F.col(key).isin(heavy))), key, how)
+    listed = F.col(key).isin([k for k in heavy if k is not None])
+    is_heavy: Column = F.coalesce(listed, F.lit(None in heavy))
+    hot = left.where(is_heavy).join(F.broadcast(right.where(listed)), key, how)
     return hot.unionByName(left.where(~is_heavy).join(right, key, how))

@@ -32,6 +32,7 @@ def translate_columns(df: DataFrame, columns: list[str], load: Callable[[], Call
         wanted = has_text(name)
         if language is not None:
             wanted = wanted & ~language.eqNullSafe(F.lit(target))
+        # Rows that need no translation have no key, so many of them are not shuffled for the join.
         keyed = df.withColumn("_text_key", F.when(wanted, F.sha2(name, 256)))
         # A text with very many copies is one row per map task before the shuffle.
         texts = (

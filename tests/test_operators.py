@@ -304,6 +304,7 @@ def skewed(spark):
 def test_heavy_keys(spark):
     assert heavy_keys(skewed(spark), "key", 0.01, min_rows=0) == ["hot"]
     assert heavy_keys(skewed(spark), "key", 0.01) == []
+    assert set(heavy_keys(skewed(spark), "key", 0.001, min_rows=0)) == {"hot", None}
 
 
 def test_no_heavy_keys_without_rows(spark):
@@ -318,13 +319,17 @@ def test_hot_keys_of_a_join_are_not_shuffled(spark, capsys):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_anti", "left_semi"])
-def test_lookup_join_equals_a_plain_join(spark, how):
+@pytest.mark.parametrize("share", [0.001, 0.01])
+@pytest.mark.parametrize("only_nulls", [False, True])
+def test_lookup_join_equals_a_plain_join(spark, how, share, only_nulls):
     left = skewed(spark)
+    if only_nulls:  # no heavy key but the missing one
+        left = left.withColumn("key", F.when(F.col("key") != "hot", F.col("key")))
     right = spark.range(1000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("key"),
                                      (F.col("id") * 2).alias("v")).union(
         spark.createDataFrame([("hot", -1)], "key string, v long"))
     plain = left.join(right, "key", how)
-    split = lookup_join(left, right, "key", how, share=0.01, min_rows=0)
+    split = lookup_join(left, right, "key", how, share=share, min_rows=0)
     assert split.columns == plain.columns
     assert split.exceptAll(plain).count() == 0 and plain.exceptAll(split).count() == 0
 
