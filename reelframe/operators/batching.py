@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from reelframe.operators.numbering import number_rows
 
@@ -18,30 +21,27 @@ def budget_batches(df: DataFrame, key: str, text: str, max_codepoints: int = 30_
     """``(key, block, batch)``: greedy batches inside blocks of ``block`` rows in key order.
 
     A batch closes before the text that would take it over either limit; a text
-    longer than the limit is a batch alone. Only the lengths travel, and a group
-    holds one block.
+    longer than the limit is a batch alone. Only the lengths travel; a task reads its
+    blocks in order and remembers no more than the open batch.
     """
-    lengths = df.select(F.col(key).alias("_key"), F.char_length(text).cast("bigint").alias("_len"))
-    numbered = number_rows(lengths, "_key").withColumn(
-        "block", F.floor((F.col("row_no") - 1) / block).cast("bigint"))
-    ordered = F.array_sort(F.collect_list(F.struct("row_no", "_key", "_len")))
-    start = F.struct(F.lit(0).alias("batch"), F.lit(0).alias("items"), F.lit(0).cast("bigint").alias("used"),
-                     F.array().cast("array<int>").alias("batches"))
-
-    def add(state, row):
-        full = (state["items"] > 0) & (
-            (state["used"] + row["_len"] > max_codepoints) | (state["items"] + 1 > max_items))
-        batch = F.when(full, state["batch"] + 1).otherwise(state["batch"])
-        return F.struct(
-            batch.alias("batch"),
-            F.when(full, F.lit(1)).otherwise(state["items"] + 1).alias("items"),
-            F.when(full, row["_len"]).otherwise(state["used"] + row["_len"]).alias("used"),
-            F.concat(state["batches"], F.array(batch)).alias("batches"),
-        )
-
-    return (
-        numbered.groupBy("block").agg(ordered.alias("rows"))
-        .withColumn("batches", F.aggregate("rows", start, add, lambda s: s["batches"]))
-        .select("block", F.explode(F.arrays_zip("rows", "batches")).alias("z"))
-        .select(F.col("z.rows._key").alias(key), "block", F.col("z.batches").alias("batch"))
-    )
+    lengths = df.select(key, F.char_length(text).cast("bigint").alias("_len"))
+    numbered = number_rows(lengths, key, name="_no").withColumn(
+        "block", F.floor((F.col("_no") - 1) / block).cast("bigint"))
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = numbered.repartition(n, "block").sortWithinPartitions("_no").select(key, "block", "_len")
+    schema = T.StructType([blocks.schema[key], blocks.schema["block"], T.StructField("batch", T.IntegerType())])
+
+    def cut(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, batch, items, used = None, 0, 0, 0
+        for part in parts:
+            batches = []
+            for in_block, length in zip(part["block"].tolist(), part["_len"].tolist()):
+                if in_block != current:
+                    current, batch, items, used = in_block, 0, 0, 0
+                elif items + 1 > max_items or used + length > max_codepoints:
+                    batch, items, used = batch + 1, 0, 0
+                items, used = items + 1, used + length
+                batches.append(batch)
+            yield part[[key, "block"]].assign(batch=batches)
+
+    return blocks.mapInPandas(cut, schema)

@@ -38,6 +38,6 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
     if not heavy:
         return left.join(right, key, how)
     listed = F.col(key).isin([k for k in heavy if k is not None])
-    is_heavy: Column = F.coalesce(listed, F.lit(None in heavy))
+    is_heavy: Column = F.when(F.col(key).isNull(), F.lit(None in heavy)).otherwise(listed)
     hot = left.where(is_heavy).join(F.broadcast(right.where(listed)), key, how)
     return hot.unionByName(left.where(~is_heavy).join(right, key, how))

@@ -11,6 +11,7 @@ from reelframe.functions.text import has_text
 from reelframe.operators.external import apply_batched
 from reelframe.operators.sets import missing_columns
 from reelframe.operators.skew import lookup_join
+from reelframe.session import shared_dir
 
 log = logging.getLogger(__name__)
 
@@ -28,6 +29,7 @@ def translate_columns(df: DataFrame, columns: list[str], load: Callable[[], Call
     absent = missing_columns(df, columns)
     if absent:
         log.warning("columns not found, not translated: %s", ", ".join(absent))
+    shared_dir(df.sparkSession)
     for name in [c for c in columns if c not in absent]:
         wanted = has_text(name)
         if language is not None:
@@ -41,7 +43,8 @@ def translate_columns(df: DataFrame, columns: list[str], load: Callable[[], Call
         )
         answers = apply_batched(texts, "_text_key", "_text", load, "string", max_items=max_items,
                                 max_codepoints=max_codepoints, **call)
-        found = answers.select("_text_key", F.col("result").alias("_translated"))
+        # Kept, so that no text is sent twice when the join reads the answers more than once.
+        found = answers.select("_text_key", F.col("result").alias("_translated")).checkpoint()
         joined = lookup_join(keyed, found, "_text_key", "left")
         df = joined.withColumn((prefix or "") + name, F.coalesce("_translated", name)).drop("_text_key", "_translated")
     return df
