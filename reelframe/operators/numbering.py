@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from reelframe.session import shared_dir
+from reelframe.session import scratch_path
 
 _INDEX_BITS = 33  # monotonically_increasing_id: partition number above, row index below
 
@@ -14,17 +14,19 @@ def number_rows(df: DataFrame, *order: str, name: str = "row_no", partitions: in
 
     The rows are range-partitioned and sorted, so every task numbers its own
     range; only one count per partition is summed globally. ``order`` must be
-    unique per row for a defined result. The sorted rows are checkpointed, so a
-    lost executor cannot change the ranges between the two reads: pass only the
-    columns that are needed.
+    unique per row for a defined result. The placed rows are written to the shared
+    folder, so a lost executor cannot change the ranges between the two reads: pass
+    only the columns that are needed.
     """
     spark = df.sparkSession
-    shared_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = (
+    path = scratch_path(spark, "numbered")
+    (
         df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-        .withColumn("_place", F.monotonically_increasing_id())
-        .checkpoint()
+        .withColumn("_place", F.monotonically_increasing_id()).write.parquet(path)
+    )
+    placed = (
+        spark.read.parquet(path)
         .withColumn("_range", F.shiftright("_place", _INDEX_BITS))
         .withColumn("_index", F.col("_place").bitwiseAND(F.lit((1 << _INDEX_BITS) - 1)))
     )

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from reelframe.operators.skew import lookup_join
+
 
 def concat_tables(first: DataFrame, *others: DataFrame) -> DataFrame:
     for other in others:
@@ -16,8 +18,11 @@ def union_ids(first: DataFrame, second: DataFrame) -> DataFrame:
 
 
 def missing_items(required: DataFrame, present: DataFrame) -> DataFrame:
-    """Distinct rows of ``required`` that ``present`` does not hold."""
-    return required.subtract(present)
+    """Distinct rows of ``required`` that ``present`` does not hold.
+
+    Both sides are made distinct before they meet, so copies collapse in the map tasks.
+    """
+    return required.distinct().subtract(present.distinct())
 
 
 def missing_columns(df: DataFrame, wanted: list[str]) -> list[str]:
@@ -38,13 +43,17 @@ def count_duplicates(df: DataFrame) -> DataFrame:
     return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("n_duplicates"))
 
 
-def point_lookup(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is listed; listed keys without a row give nothing."""
-    return df.join(keys.select(key), key, "left_semi")
+def point_lookup(df: DataFrame, keys: DataFrame, key: str, unique: bool = False) -> DataFrame:
+    """Rows whose key is listed; listed keys without a row give nothing.
+
+    ``unique`` says that ``df`` has one row per key, so that no key can be heavy.
+    """
+    return lookup_join(df, keys.select(key).distinct(), key, "left_semi", skewed=not unique)
 
 
-def skip_processed(df: DataFrame, done: DataFrame, key: str) -> DataFrame:
-    return df.join(done.select(key), key, "left_anti")
+def skip_processed(df: DataFrame, done: DataFrame, key: str, unique: bool = False) -> DataFrame:
+    """Rows whose key is not in ``done``."""
+    return lookup_join(df, done.select(key).distinct(), key, "left_anti", skewed=not unique)
 
 
 def resume_from(df: DataFrame, key: str, start=None) -> DataFrame:
@@ -52,12 +61,12 @@ def resume_from(df: DataFrame, key: str, start=None) -> DataFrame:
     return df if start is None else df.where(F.col(key) >= F.lit(start))
 
 
-def flag_existing(df: DataFrame, existing: DataFrame, key: str) -> DataFrame:
+def flag_existing(df: DataFrame, existing: DataFrame, key: str, unique: bool = False) -> DataFrame:
     """Adds ``status``: ``updated`` when the key exists already, else ``new``."""
     known = existing.select(key).na.drop().distinct().withColumn("_known", F.lit(True))
     status = F.when(F.col("_known"), "updated").otherwise("new")
-    return df.join(known, key, "left").withColumn("status", status).drop("_known")
+    return lookup_join(df, known, key, "left", skewed=not unique).withColumn("status", status).drop("_known")
 
 
-def only_new(df: DataFrame, existing: DataFrame, key: str) -> DataFrame:
-    return skip_processed(df, existing, key)
+def only_new(df: DataFrame, existing: DataFrame, key: str, unique: bool = False) -> DataFrame:
+    return skip_processed(df, existing, key, unique)

@@ -22,9 +22,9 @@ def embed_items(items: DataFrame, load: Callable[[], Callable[[list[str]], list]
     texts = items.select(F.col(key).alias("ID"), item_sentence(recipe).alias("original_text"))
     texts = texts.where(F.col("original_text") != "")
     if existing is not None and skip_existing:
-        texts = only_new(texts, existing, "ID")
+        texts = only_new(texts, existing, "ID", unique=True)
     done = apply_batched(texts, "ID", "original_text", load, "array<double>", **call).withColumnRenamed(
         "result", "embedding")
     if existing is None:
         return done.withColumn("status", F.lit("new"))
-    return flag_existing(done, existing, "ID")
+    return flag_existing(done, existing, "ID", unique=True)

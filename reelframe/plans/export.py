@@ -11,6 +11,6 @@ from reelframe.sources.documents import flatten_document_tree
 
 def export_documents(trees: DataFrame, done: DataFrame | None, rows_path: str, progress_path: str) -> None:
     """Flattens ``trees(file_key, tree, processed_at)`` that are not in ``done`` and notes them as finished."""
-    todo = trees if done is None else skip_processed(trees, done, "file_key")
+    todo = trees if done is None else skip_processed(trees, done, "file_key", unique=True)
     append_rows_csv(flatten_document_tree(todo, "tree"), rows_path)
     append_progress(todo, progress_path)

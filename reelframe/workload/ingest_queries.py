@@ -179,7 +179,7 @@ def scan_vector_store(v):
 
 @query("point_lookup", "SELECT doc_id, lang, source FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)")
 def point_lookup(v):
-    return sets.point_lookup(v.table("documents").select("doc_id", "lang", "source"), v.table("labels"), "doc_id")
+    return sets.point_lookup(v.table("documents").select("doc_id", "lang", "source"), v.table("labels"), "doc_id", unique=True)
 
 
 # -- extraction
@@ -342,7 +342,7 @@ def malformed(v):
 
 @query("skip_processed", "SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def skip_processed(v):
-    return sets.skip_processed(v.table("documents").select("doc_id", "lang"), v.table("labels"), "doc_id")
+    return sets.skip_processed(v.table("documents").select("doc_id", "lang"), v.table("labels"), "doc_id", unique=True)
 
 
 @query("resume_from", "SELECT doc_id, lang FROM documents WHERE source >= 'src5'")
@@ -354,7 +354,7 @@ def resume_from(v):
     SELECT doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'updated' ELSE 'new' END AS status
     FROM documents""")
 def flag_existing(v):
-    return sets.flag_existing(v.table("documents").select("doc_id"), v.table("labels"), "doc_id")
+    return sets.flag_existing(v.table("documents").select("doc_id"), v.table("labels"), "doc_id", unique=True)
 
 
 @query("select_key", sql("SELECT line_number, extracted_id FROM records WHERE extracted_id = '42'", "records"))
