@@ -113,7 +113,7 @@ def value_counts(v):
     FROM best LEFT JOIN id_map ON external_id = ID
     WHERE ID NOT LIKE 'tt%' OR movie_id IS NOT NULL OR tv_id IS NOT NULL""", "best", "id_map"))
 def map_external_ids(v):
-    return cleaning.map_external_ids(_best(v), v.id_map).select("ID", "PlatformName", "Score")
+    return cleaning.map_external_ids(_best(v), v.id_map, unique=True).select("ID", "PlatformName", "Score")
 
 
 _ENRICHED = """
@@ -128,7 +128,7 @@ _ENRICHED = """
 
 @query("enrich_missing", sql(_ENRICHED.format(source="best"), "best", "details"))
 def enrich_missing(v):
-    return cleaning.enrich_missing(_best(v), v.details).drop("Score")
+    return cleaning.enrich_missing(_best(v), v.details, unique=True).drop("Score")
 
 
 @query("clean_catalogue", sql("""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reelframe.operators.numbering import number_rows
-from reelframe.session import scratch_path
+from reelframe.session import scratch_path, spread
 
 SHELF = 1000  # part keys per shelf: a customer's favourites on one shelf are at most this many
 
@@ -46,7 +46,7 @@ class Views:
         """The same items as several platforms deliver them: many rows per ID, with gaps."""
         key, text = F.col("l_partkey").cast("string"), lambda c: F.col(c).cast("string")
         line = F.col("l_linenumber")
-        return self.table("lineitem").select(
+        return spread(self.table("lineitem"), "l_orderkey", "l_partkey").select(
             F.when(line == 7, F.concat(F.lit("tt"), key)).otherwise(key).alias("ID"),
             F.nullif("l_returnflag", F.lit("R")).alias("Genre"),
             F.when(line == 6, None).when(line == 5, "No Title").otherwise(F.concat(F.lit("Part "), key))
@@ -109,7 +109,7 @@ class Views:
         """
         bought = (
             self.table("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-            .join(self.table("lineitem").select("l_orderkey", "l_partkey"), "l_orderkey")
+            .join(spread(self.table("lineitem").select("l_orderkey", "l_partkey"), "l_orderkey"), "l_orderkey")
             .select("o_custkey", "l_partkey")
         )
         liked = bought.join(
@@ -158,7 +158,7 @@ class Views:
             lit('{"ExternalIds":[{"Provider":"x","ID":"tt'), text("event_id"), lit('"},'), id_part,
             lit('],"Deeplinks":'), links, title, lit(',"Type":"'), kind, lit('","Year":'), user,
             lit(',"At":"'), F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), lit('"}'))
-        return self.table("events").select(
+        return spread(self.table("events"), "event_id").select(
             kind.alias("file_key"), F.col("event_id").alias("line_number"),
             F.when(value > 480, F.substring(whole, 1, 30)).otherwise(whole).alias("line"),
             F.col("ts").alias("processed_at"))
