@@ -51,11 +51,14 @@ class ChangeTable:
     """Newest row per key over appended batches.
 
     A batch is one Parquet folder named by its number, so writing it again after a
-    failure replaces it. The table is never rewritten in place: :meth:`current`
-    picks the newest rows while reading and :meth:`compact` writes them to a new
-    folder.
+    failure replaces it; a number must not be used for other data, so a stream that
+    starts anew with an empty checkpoint needs a table of its own. The table is never
+    rewritten in place: :meth:`current` picks the newest rows while reading and
+    :meth:`compact` writes them to a new folder, where a stream may go on.
     """
 
+    COMPACTED = -1  # before the first batch of any stream
+
     def __init__(self, path: str, keys: list[str], time: str, ties: tuple[str, ...] = ()):
         self.path, self.keys, self.time, self.ties = path.rstrip("/"), keys, time, ties
 
@@ -69,7 +72,7 @@ class ChangeTable:
         return newest_per_key(rows, self.keys, F.desc(self.time), F.asc("batch_id")).drop("batch_id")
 
     def compact(self, spark: SparkSession, target: str) -> ChangeTable:
-        """A new table at ``target`` with the current rows as its batch 0."""
+        """A new table at ``target`` with the current rows as its earliest batch."""
         compacted = ChangeTable(target, self.keys, self.time, self.ties)
-        self.current(spark).write.mode("overwrite").parquet(f"{compacted.path}/batch_id=0")
+        self.current(spark).write.mode("overwrite").parquet(f"{compacted.path}/batch_id={self.COMPACTED}")
         return compacted

@@ -12,9 +12,14 @@ _TREE = ("map<string, struct<content: struct<Genres: string, CleanTitle: string,
          "Directors: string, Cast: string, Type: string, PlatformName: string>>>")
 
 
-def scan_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Headed CSV with a declared schema; blanks after a comma do not belong to the value."""
-    return spark.read.csv(path, schema=schema, header=True, ignoreLeadingWhiteSpace=True, escape='"', multiLine=False)
+def scan_csv(spark: SparkSession, path: str, schema: str, multi_line: bool = True) -> DataFrame:
+    """Headed CSV with a declared schema; blanks after a comma do not belong to the value.
+
+    A quoted value may run over several lines, so a file is read by one task. Files
+    whose values have no line breaks can be split with ``multi_line=False``.
+    """
+    return spark.read.csv(path, schema=schema, header=True, ignoreLeadingWhiteSpace=True, escape='"',
+                          multiLine=multi_line)
 
 
 def scan_documents(spark: SparkSession, path: str, key: str, format: str = "parquet") -> DataFrame:

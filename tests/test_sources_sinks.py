@@ -54,7 +54,7 @@ def test_last_vector_wins(spark, tmp_path):
 
 def test_csv_round_trip_of_awkward_text(spark, tmp_path):
     path = str(tmp_path / "out")
-    rows = [("1", 'say "hi", now'), ("2", "a;b"), ("3", None)]
+    rows = [("1", 'say "hi", now'), ("2", "a;b\nnext line\n\nand more"), ("3", None)]
     files.append_rows_csv(spark.createDataFrame(rows[:1], "a string, b string"), path)
     files.append_rows_csv(spark.createDataFrame(rows[1:], "a string, b string"), path)
     assert sorted(tuple(r) for r in documents.scan_csv(spark, path, "a STRING, b STRING").collect()) == rows
@@ -131,3 +131,5 @@ def test_change_table_equals_the_newest_rows(spark, tmp_path_factory, data, cut)
     assert current == want
     compact = table.compact(spark, table.path + "-compact")
     assert {r["k"]: (r["t"], r["i"]) for r in compact.current(spark).collect()} == want
+    compact.append(frame([("a", 9, 0)]), 0)  # a stream goes on after the compaction
+    assert {r["k"]: (r["t"], r["i"]) for r in compact.current(spark).collect()} == {**want, "a": (9, 0)}
