@@ -26,8 +26,8 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
     """Join ``left`` to ``right``, where ``right`` has at most one row per ``key``.
 
     Rows of a heavy key never meet in one task: they are joined in place with the
-    few matching rows of ``right`` (fewer than ``1/share``, hence safe to
-    broadcast), and so are rows without a key when there are many. All other rows
+    few matching rows of ``right`` (fewer than ``1/share``, which is checked before
+    they are broadcast), and so are rows without a key when there are many. All other rows
     take the plain join, which Spark turns into a broadcast join by itself when
     ``right`` is under its size threshold. Finding the heavy keys reads ``left`` once
     more: pass ``skewed=False`` when its keys are known to be unique, too.
@@ -35,9 +35,10 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
     if how not in ("inner", "left", "left_anti", "left_semi"):
         raise ValueError(f"unsupported join type {how!r}")
     heavy = heavy_keys(left, key, share, min_rows) if skewed else []
-    if not heavy:
+    keys = [k for k in heavy if k is not None]
+    matches = right.where(F.col(key).isin(keys))
+    if not heavy or matches.limit(len(keys) + 1).count() > len(keys):  # the second: right repeats a heavy key
         return left.join(right, key, how)
-    listed = F.col(key).isin([k for k in heavy if k is not None])
-    is_heavy: Column = F.when(F.col(key).isNull(), F.lit(None in heavy)).otherwise(listed)
-    hot = left.where(is_heavy).join(F.broadcast(right.where(listed)), key, how)
+    is_heavy: Column = F.when(F.col(key).isNull(), F.lit(None in heavy)).otherwise(F.col(key).isin(keys))
+    hot = left.where(is_heavy).join(F.broadcast(matches), key, how)
     return hot.unionByName(left.where(~is_heavy).join(right, key, how))

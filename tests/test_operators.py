@@ -318,6 +318,13 @@ def test_hot_keys_of_a_join_are_not_shuffled(spark, capsys):
     assert "Union" in capsys.readouterr().out
 
 
+def test_repeated_heavy_keys_are_not_broadcast(spark):
+    left = skewed(spark)
+    right = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3)], "key string, v int")
+    split = lookup_join(left, right, "key", share=0.01, min_rows=0)
+    assert split.count() == left.join(right, "key").count()
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_anti", "left_semi"])
 @pytest.mark.parametrize("share", [0.001, 0.01])
 @pytest.mark.parametrize("only_nulls", [False, True])

@@ -12,8 +12,12 @@ def db(sf_dir):
 
 
 @pytest.mark.parametrize("name", sorted(queries()))
-def test_query(spark, db, sf_dir, name):
-    got = queries()[name](spark, sf_dir).toPandas()
+def test_query(spark, db, sf_dir, name, capsys):
+    df = queries()[name](spark, sf_dir)
+    df.explain()
+    plan = capsys.readouterr().out
+    assert not [bad for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython") if bad in plan]
+    got = df.toPandas()
     if name in oracle_sql():
         assert difference(got, db.execute(oracle_sql()[name]).df()) is None
     else:
