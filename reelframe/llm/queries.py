@@ -30,3 +30,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return copy_plan(_documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "source",
                                                        "copies")
+
+
+@_query
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelframe.llm.bpe import encode_decode
+
+    return encode_decode(_documents(spark, sf_dir))
