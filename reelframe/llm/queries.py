@@ -37,3 +37,19 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from reelframe.llm.bpe import encode_decode
 
     return encode_decode(_documents(spark, sf_dir))
+
+
+@_query
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelframe.llm.language import fit, held_out, identify
+
+    docs, out = _documents(spark, sf_dir), held_out(F.col("doc_id"), 4, 2)
+    return identify(docs, fit(docs, ~out)).select("doc_id", out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@_query
+def op6_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelframe.llm.language import held_out
+    from reelframe.llm.lattice import score_texts
+
+    return score_texts(_documents(spark, sf_dir), held_out(F.col("doc_id"), 10, 0))
