@@ -53,3 +53,10 @@ def op6_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     from reelframe.llm.lattice import score_texts
 
     return score_texts(_documents(spark, sf_dir), held_out(F.col("doc_id"), 10, 0))
+
+
+@_query
+def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelframe.llm.near_vectors import near_vectors
+
+    return near_vectors(_embeddings(spark, sf_dir))
