@@ -60,3 +60,10 @@ def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     from reelframe.llm.near_vectors import near_vectors
 
     return near_vectors(_embeddings(spark, sf_dir))
+
+
+@_query
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelframe.llm.neighbours import nearest
+
+    return nearest(_embeddings(spark, sf_dir), F.col("vec_id") % 50 == 0)
