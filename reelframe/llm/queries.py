@@ -67,3 +67,10 @@ def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     from reelframe.llm.neighbours import nearest
 
     return nearest(_embeddings(spark, sf_dir), F.col("vec_id") % 50 == 0)
+
+
+@_query
+def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelframe.llm.suffixes import repeated_bytes
+
+    return repeated_bytes(_documents(spark, sf_dir))
