@@ -115,8 +115,8 @@ def _names(text: np.ndarray, starts: np.ndarray, order: np.ndarray) -> np.ndarra
     return out[starts]
 
 
-def _doubled(text: np.ndarray) -> np.ndarray:
-    """Suffixes in order by doubling of ranks, for strings of too many different names to go bucket by bucket."""
+def doubled(text: np.ndarray) -> np.ndarray:
+    """Suffixes in order by doubling of ranks (below the length), for too many different names to go bucket by bucket."""
     rank, step, n = text.astype(np.int64), 1, len(text)
     while True:
         second = np.zeros(n, np.int64)
@@ -143,7 +143,7 @@ def suffix_array(text: np.ndarray, top: int) -> np.ndarray:
     elif most <= _FEW_NAMES:
         order = starts[suffix_array(names.astype(np.uint16), most)]
     else:
-        order = starts[_doubled(names)]
+        order = starts[doubled(names)]
     return _induce(text, order, top)
 
 
