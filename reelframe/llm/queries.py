@@ -87,19 +87,19 @@ ORACLES["op3_fm_index"] = """
 WITH split AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
 ), windows AS (
-  SELECT doc_id, len(words) AS n, unnest(range(1, len(words) - 48)) AS at, words FROM split WHERE len(words) >= 50
+  SELECT doc_id, len(words) AS n, unnest(range(1, len(words) - 48)) AS pos, words FROM split WHERE len(words) >= 50
 ), keyed AS (
-  SELECT doc_id, at, array_to_string(words[at:at + 49], ' ') AS w FROM windows
+  SELECT doc_id, pos, array_to_string(words[pos:pos + 49], ' ') AS w FROM windows
 ), firsts AS (
   SELECT md5(w) AS w, min(doc_id) AS first FROM keyed GROUP BY 1
 ), hits AS (
-  SELECT k.doc_id, unnest(range(k.at, k.at + 50)) AS word_no
+  SELECT k.doc_id, unnest(range(k.pos, k.pos + 50)) AS word_no
   FROM keyed k JOIN firsts f ON md5(k.w) = f.w WHERE f.first < k.doc_id
 ), gone AS (
   SELECT doc_id, list(DISTINCT word_no) AS numbers FROM hits GROUP BY 1
 )
 SELECT s.doc_id, CAST(len(s.words) AS BIGINT) AS n_words, CAST(coalesce(len(g.numbers), 0) AS BIGINT) AS n_removed,
        sha256(array_to_string(CASE WHEN g.numbers IS NULL THEN s.words ELSE
-         list_filter(s.words, (x, i) -> NOT list_contains(g.numbers, i)) END, ' ')) AS kept_sha256
+         list_filter(s.words, lambda x, i: NOT list_contains(g.numbers, i)) END, ' ')) AS kept_sha256
 FROM split s LEFT JOIN gone g USING (doc_id)
 """
