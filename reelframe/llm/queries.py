@@ -103,3 +103,10 @@ SELECT s.doc_id, CAST(len(s.words) AS BIGINT) AS n_words, CAST(coalesce(len(g.nu
          list_filter(s.words, lambda x, i: NOT list_contains(g.numbers, i)) END, ' ')) AS kept_sha256
 FROM split s LEFT JOIN gone g USING (doc_id)
 """
+
+
+@_query
+def op5_near_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelframe.llm.near_texts import near_texts
+
+    return near_texts(_documents(spark, sf_dir)).select("doc_id", "component_id", "kept", "n_words")
