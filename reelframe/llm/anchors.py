@@ -98,16 +98,19 @@ class Segments:
 
 
 class Cut:
-    """A batch of texts cut into units, without windows across texts."""
+    """A batch of texts cut into units, without windows across texts.
+
+    ``starts`` are the bytes at which the texts begin; ``offset`` those of a long text that lie before this part of it.
+    """
 
     def __init__(self, texts: list[bytes], unit: Unit):
         gap = 0 if unit.cut is byte_units else 1
         self.unit, self.raw = unit, np.frombuffer((b"\n" * gap).join(texts), np.uint8)
         self.hashes, self.first, self.last = unit.cut(self.raw)
         sizes = np.array([len(t) for t in texts], np.int64)
-        starts = np.cumsum(sizes + gap) - sizes - gap
-        self.begin = np.searchsorted(self.first, starts)
-        self.end = np.searchsorted(self.first, starts + sizes)
+        self.starts, self.offset = np.cumsum(sizes + gap) - sizes - gap, 0
+        self.begin = np.searchsorted(self.first, self.starts)
+        self.end = np.searchsorted(self.first, self.starts + sizes)
         self.rolling = Rolling(self.hashes)
 
     def segments(self) -> Segments:
@@ -137,19 +140,19 @@ class Cut:
 _BLANK = regex.compile(rb"[\x20\x09-\x0D]")
 
 
-def pieces(text: bytes, unit: Unit) -> Iterator[tuple[bytes, int]]:
-    """A long text in parts: each with its number of own units, followed by the units its last windows need."""
+def pieces(text: bytes, unit: Unit) -> Iterator[tuple[bytes, int, int]]:
+    """A long text in parts, each followed by the units its last windows need: the number of own units, the start."""
     if len(text) <= _LONG:
-        yield text, -1
+        yield text, len(text), 0
     elif unit.cut is byte_units:
         for at in range(0, len(text), _LONG):
-            yield text[at:at + _LONG + unit.window - 1], min(_LONG, len(text) - at)
+            yield text[at:at + _LONG + unit.window - 1], min(_LONG, len(text) - at), at
     else:
         more, at = regex.compile(rb"(?:[\x20\x09-\x0D]*[^\x20\x09-\x0D]+){0,%d}" % (unit.window - 1)), 0
         while at < len(text):
             blank = _BLANK.search(text, min(len(text), at + _LONG))
             stop = blank.start() if blank else len(text)
-            yield text[at:more.match(text, stop).end()], len(text[at:stop].split())
+            yield text[at:more.match(text, stop).end()], len(text[at:stop].split()), at
             at = stop
 
 
@@ -164,13 +167,16 @@ def parts_of(batch: pa.RecordBatch, column: int,
         if len(texts) > 1 or len(texts[0]) <= _LONG:
             yield part, ((Cut(texts, unit), 0) for _ in range(1))
         else:
-            yield part, _long_cuts(texts[0], unit)
+            yield part, long_cuts(texts[0], unit)
 
 
-def _long_cuts(text: bytes, unit: Unit) -> Iterator[tuple[Cut, int]]:
+def long_cuts(text: bytes, unit: Unit) -> Iterator[tuple[Cut, int]]:
+    """The parts of a long text, each with the number of units before it."""
     before = 0
-    for piece, own in pieces(text, unit):
-        yield Cut([piece], unit), before
+    for piece, own, offset in pieces(text, unit):
+        cut = Cut([piece], unit)
+        cut.offset = offset
+        yield cut, before
         before += own
 
 

@@ -110,3 +110,10 @@ def op5_near_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from reelframe.llm.near_texts import near_texts
 
     return near_texts(_documents(spark, sf_dir)).select("doc_id", "component_id", "kept", "n_words")
+
+
+@_query
+def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelframe.llm.licences import licences
+
+    return licences(_documents(spark, sf_dir))

@@ -79,7 +79,7 @@ def test_long_text_in_pieces(monkeypatch):
     whole = anchors.Cut([text], SMALL).segments()
     monkeypatch.setattr(anchors, "_LONG", 300)
     starts = sorted(x for s, c in zip(whole.start, whole.count) for x in range(s, s + c))
-    parts = [(cut.segments(), before) for cut, before in anchors._long_cuts(text, SMALL)]
+    parts = [(cut.segments(), before) for cut, before in anchors.long_cuts(text, SMALL)]
     assert len(parts) > 10
     assert starts == sorted(x + b for p, b in parts for s, c in zip(p.start, p.count) for x in range(s, s + c))
 

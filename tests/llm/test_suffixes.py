@@ -89,7 +89,7 @@ def test_long_text_in_pieces(spark, monkeypatch):
         monkeypatch.setattr(anchors, "_LONG", 700)
         whole = anchors.Cut([texts[0]], unit).segments()
         starts = sorted(x for s, c in zip(whole.start, whole.count) for x in range(s, s + c))
-        parts = [(cut.segments(), before) for cut, before in anchors._long_cuts(texts[0], unit)]
+        parts = [(cut.segments(), before) for cut, before in anchors.long_cuts(texts[0], unit)]
         assert starts == sorted(x + b for p, b in parts for s, c in zip(p.start, p.count) for x in range(s, s + c))
 
 
