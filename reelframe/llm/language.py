@@ -13,7 +13,7 @@ calibrate, chosen by a hash. Counting is a shuffle of n-gram hashes counted befo
 the sample, and they are sent to the tasks. Prediction reads every whole text once, in pieces, without a shuffle.
 
 Defined results: a null text or one without a letter is ``und`` with score 0, and rejected; with no labelled document
-at all every text is ``und``; ties go to the first language by name; equal rows get equal results; an empty table
+at all every text is ``und`` and one with a letter is not rejected; ties go to the first language by name; equal rows get equal results; an empty table
 gives an empty one; other columns are left out, so their names cannot clash.
 """
 
@@ -161,7 +161,7 @@ class Model:
         """Language, score, cost per character and rejection of every text."""
         codes = [letters(t or "") for t in texts]
         if not self.langs:
-            return [("und", 0.0, 0.0, True)] * len(texts)
+            return [("und", 0.0, 0.0, len(c) < 3) for c in codes]
         out = []
         for nats, size in zip(self.costs(codes), (len(c) - 1 for c in codes)):
             if size < 2:
@@ -294,6 +294,20 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
         _costed(shared, key), f"{key} {kind}, lang_pred string, score double, cost double, rejected boolean")
 
 
+def _accepting(shared, at: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, at, 1 << 22):
+                yield part.filter(pa.array([not r[3] for r in shared.value.judged(part.column(at).to_pylist())]))
+    return run
+
+
+def accepted(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not rejected, in all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return docs.mapInArrow(_accepting(shared, docs.columns.index(text)), docs.schema)
+
+
 def held_out(key: Column, folds: int, fold: int) -> Column:
     """Whether the checksum of the key as text falls into a fold."""
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % folds == fold, F.lit(False))
