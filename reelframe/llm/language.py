@@ -262,13 +262,13 @@ def fit(docs: DataFrame, labelled: Column, key: str = "doc_id", text: str = "tex
     grams = "lang string, n int, gram long, head long, tail long, count long"
     counts = sample.filter("part = 1").select("lang", "text").mapInArrow(_counted, grams) \
         .groupBy("lang", "n", "gram", "head", "tail").agg(F.sum("count").alias("count")).toArrow()
+    if not counts.num_rows:
+        return Model([], [], [], [], [], np.zeros((0, 2)))
     table = {c: counts.column(c).to_numpy(zero_copy_only=False) if c == "lang"
              else counts.column(c).to_numpy() for c in counts.column_names}
     for c in ("gram", "head", "tail"):
         table[c] = table[c].view(U64)
     model = _smoothed(table, sorted(set(table["lang"].tolist())))
-    if not model.langs:
-        return model
     shared = docs.sparkSession.sparkContext.broadcast(model)
     seen = sample.filter(F.col("lang").isin(model.langs)).filter("part = 0") \
         .select("lang", "text").mapInArrow(_calibrating(shared), "lang string, cost double, size long").toArrow()
