@@ -154,7 +154,7 @@ class Model:
                 known = self.contexts[n][at] == context
                 out[missed[known]] -= self.back[n][at[known]]
             open_ = np.concatenate([later, missed])
-        out[open_] -= np.log(_FLOOR)
+        out[open_] -= np.log(_FLOOR) + self.back[1]
         return out
 
     def judged(self, texts: list[str | None]) -> list[tuple[str, float, float, bool]]:
@@ -210,6 +210,7 @@ def _smoothed(counts, langs: list[str]) -> Model:
         key_head[at], key_tail[at] = head_at, tail
         if n == 1:
             p = p + weight[0] * _FLOOR
+            back[1] = np.log(weight)
         else:
             place = np.searchsorted(lower[0], key_tail)
             p = p + weight[key_head] * np.exp(lower[1][place])

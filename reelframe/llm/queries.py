@@ -117,3 +117,53 @@ def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     from reelframe.llm.licences import licences
 
     return licences(_documents(spark, sf_dir))
+
+ORACLES["op1_near_vectors"] = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.95
+), reach AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), groups AS (
+  SELECT a, min(b) AS least FROM reach GROUP BY 1
+), counts AS (
+  SELECT a, count(*) AS n FROM links GROUP BY 1
+)
+SELECT e.vec_id, CAST(coalesce(c.n, 0) AS BIGINT) AS n_links, least(e.vec_id, coalesce(g.least, e.vec_id)) AS component_id,
+       least(e.vec_id, coalesce(g.least, e.vec_id)) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN counts c ON c.a = e.vec_id LEFT JOIN groups g ON g.a = e.vec_id
+"""
+
+ORACLES["op10_suffix_array"] = """
+WITH texts AS (
+  SELECT row_number() OVER () AS nr, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), windows AS (
+  SELECT nr, pos, md5(substr(h, 2 * pos + 1, 400)) AS w
+  FROM (SELECT nr, h, unnest(range(0, length(h) // 2 - 199)) AS pos FROM texts WHERE length(h) >= 400)
+), repeated AS (
+  SELECT w FROM windows GROUP BY w HAVING count(*) > 1
+), starts AS (
+  SELECT nr, pos FROM windows SEMI JOIN repeated USING (w)
+), marked AS (
+  SELECT nr, pos, CASE WHEN pos > lag(pos) OVER (PARTITION BY nr ORDER BY pos) + 200 THEN 1 ELSE 0 END AS fresh FROM starts
+), numbered AS (
+  SELECT nr, pos, sum(fresh) OVER (PARTITION BY nr ORDER BY pos) AS span FROM marked
+), spans AS (
+  SELECT nr, span, min(pos) AS a, max(pos) + 200 AS b FROM numbered GROUP BY 1, 2
+), cuts AS (
+  SELECT nr, a, b, lag(b, 1, 0) OVER (PARTITION BY nr ORDER BY a) AS before FROM spans
+), kept AS (
+  SELECT nr, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last,
+         string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS front
+  FROM cuts JOIN texts USING (nr) GROUP BY nr
+)
+SELECT t.doc_id, CAST(length(t.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(k.n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(k.n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(CASE WHEN k.nr IS NULL THEN t.h ELSE k.front || substr(t.h, 2 * k.last + 1) END)) AS kept_sha256
+FROM texts t LEFT JOIN kept k ON k.nr = t.nr
+"""
