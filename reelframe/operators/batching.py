@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from reelframe.functions.text import has_text
 from reelframe.operators.numbering import number_rows
 
 
@@ -20,11 +21,12 @@ def budget_batches(df: DataFrame, key: str, text: str, max_codepoints: int = 30_
                    block: int = 500) -> DataFrame:
     """``(key, block, batch)``: greedy batches inside blocks of ``block`` rows in key order.
 
-    A batch closes before the text that would take it over either limit; a text
-    longer than the limit is a batch alone. Only the lengths travel; a task reads its
-    blocks in order and remembers no more than the open batch.
+    Null and blank texts are left out beforehand. A batch closes before the text that
+    would take it over either limit; a text longer than the limit is a batch alone.
+    Only the lengths travel; a task reads its blocks in order and remembers no more
+    than the open batch.
     """
-    lengths = df.select(key, F.char_length(text).cast("bigint").alias("_len"))
+    lengths = df.where(has_text(text)).select(key, F.char_length(text).cast("bigint").alias("_len"))
     numbered = number_rows(lengths, key, name="_no").withColumn(
         "block", F.floor((F.col("_no") - 1) / block).cast("bigint"))
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -46,8 +46,9 @@ def apply_batched(df: DataFrame, key: str, text: str, load: Callable[[], Callabl
     ``load`` is called once per task and returns the function, which takes a list of
     texts and answers with a list of the same length. Batches are cut while the rows
     stream through the task, so nothing is shuffled and memory holds one batch.
-    Null or blank text is not sent and has a null result; a batch that fails gets
-    its error beside each key and the others go on.
+    Null or blank text is not sent and has a null result. A batch that fails in all
+    its tries is halved, down to single texts, so an error stands beside the key of
+    the text that causes it and the others get their answers.
 
     ``tasks`` spreads the rows over that many tasks, which is how many calls can be
     under way at once; without it the partitions stay as they are.
@@ -71,6 +72,9 @@ def apply_batched(df: DataFrame, key: str, text: str, load: Callable[[], Callabl
                 time.sleep(pause)
             called = True
             answers, error = call_with_retry(fn, batch[text].tolist(), retries, wait, backoff)
+            if error is not None and len(batch) > 1:
+                half = len(batch) // 2
+                return pd.concat([send(batch.iloc[:half]), send(batch.iloc[half:])])
             return batch.assign(result=pd.Series(answers, dtype=object, index=batch.index), error=error)
 
         for part in parts:

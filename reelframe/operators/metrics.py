@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
+from reelframe.sinks.keyed import upsert_counts
+
 
 def latest_per_key(df: DataFrame, keys: list[str], value: str, order: str) -> DataFrame:
     """Per key the ``value`` at the greatest ``order``; with no keys, over the whole table."""
@@ -26,6 +28,16 @@ def run_metrics(lines: DataFrame, by: str | None = "file_key") -> DataFrame:
     return lines.groupBy(by).agg(*counts)
 
 
+def file_metrics(lines: DataFrame, merged: DataFrame, by: str = "file_key") -> DataFrame:
+    """One row per file: its lines, and how many keys its upsert inserted and updated and how many lines failed.
+
+    ``merged`` is the result of :func:`reelframe.sinks.keyed.upsert_latest`.
+    """
+    outcomes = upsert_counts(merged, by).select(by, "inserted", "updated")
+    counts = run_metrics(lines, by).withColumn("failed", F.col("malformed_lines"))
+    return counts.join(outcomes, by, "left").na.fill(0, ["inserted", "updated"])
+
+
 def observed(lines: DataFrame, name: str = "ingest") -> tuple[DataFrame, Observation]:
     """The same rows, with the counts gathered while another action reads them."""
     seen = Observation(name)

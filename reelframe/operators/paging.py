@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from reelframe.operators.numbering import number_rows
 
-_SHALLOW = 10_000  # rows up to which a page is cheapest as a top-k
-
-
 def keyset_page(df: DataFrame, key: str, n: int = 5000, after=None) -> DataFrame:
     """The next ``n`` rows in key order after the last key seen."""
     rest = df if after is None else df.where(F.col(key) > F.lit(after))
@@ -16,13 +13,21 @@ def keyset_page(df: DataFrame, key: str, n: int = 5000, after=None) -> DataFrame
 
 
 def offset_page(df: DataFrame, key: str, page: int, size: int = 10) -> DataFrame:
-    """Page ``page`` (from 1) in key order. A deep page is cut from numbered rows, never sorted on the driver."""
+    """Page ``page`` (from 1) in key order, rows with equal keys in the order of all other columns.
+
+    One plan for every depth: the keys are numbered in range partitions, the at most
+    ``size`` keys of the page are sent to the tasks, and only rows with these keys are
+    put in their final order. Nothing is sorted on the driver.
+    """
     start = (page - 1) * size
-    if start + size <= _SHALLOW:
-        return df.orderBy(key).offset(start).limit(size)
     numbered = number_rows(df.select(key), key, name="_no")
-    wanted = numbered.where((F.col("_no") > start) & (F.col("_no") <= start + size)).select(key)
-    return df.join(F.broadcast(wanted), key, "left_semi").orderBy(key)  # at most `size` keys
+    wanted = numbered.where(F.col("_no").between(start + 1, start + size)).select(key).distinct()
+    first = numbered.join(F.broadcast(wanted), key, "left_semi").groupBy(key).agg(F.min("_no").alias("_first"))
+    rows = df.join(F.broadcast(first), key)  # at most `size` keys
+    within = F.row_number().over(Window.partitionBy(key).orderBy(*[c for c in df.columns if c != key] or [key]))
+    placed = rows.withColumn("_no", F.col("_first") + within - 1).where(
+        F.col("_no").between(start + 1, start + size))
+    return placed.orderBy("_no").select(*df.columns)
 
 
 def page_numbers(df: DataFrame, key: str, size: int = 10) -> DataFrame:

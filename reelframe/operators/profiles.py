@@ -7,8 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from reelframe.functions.text import normalize_key, split_list
 from reelframe.operators.skew import lookup_join
 
-GENRES_AT_ONCE = 1000  # rows up to which the genre table is sent to every task
-
 
 def explode_favorites(prefs: DataFrame, column: str, user: str = "userId", item: str = "item",
                       separator: str = ";") -> DataFrame:
@@ -21,8 +19,6 @@ def join_genres(favorites: DataFrame, genres: DataFrame, item: str = "item") ->
     names = genres.select(F.col("genero_id").cast("int").alias(item),
                           F.trim("genero_name").alias("Genres"))
     keyed = favorites.withColumn(item, F.trim(item).try_cast("int"))
-    if names.limit(GENRES_AT_ONCE + 1).count() <= GENRES_AT_ONCE:  # a genre table of the usual size
-        return keyed.join(F.broadcast(names), item)
     return lookup_join(keyed, names, item)
 
 

@@ -43,17 +43,14 @@ def count_duplicates(df: DataFrame) -> DataFrame:
     return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("n_duplicates"))
 
 
-def point_lookup(df: DataFrame, keys: DataFrame, key: str, unique: bool = False) -> DataFrame:
-    """Rows whose key is listed; listed keys without a row give nothing.
-
-    ``unique`` says that ``df`` has one row per key, so that no key can be heavy.
-    """
-    return lookup_join(df, keys.select(key).distinct(), key, "left_semi", skewed=not unique)
+def point_lookup(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is listed; listed keys without a row give nothing."""
+    return lookup_join(df, keys.select(key).distinct(), key, "left_semi")
 
 
-def skip_processed(df: DataFrame, done: DataFrame, key: str, unique: bool = False) -> DataFrame:
+def skip_processed(df: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not in ``done``."""
-    return lookup_join(df, done.select(key).distinct(), key, "left_anti", skewed=not unique)
+    return lookup_join(df, done.select(key).distinct(), key, "left_anti")
 
 
 def resume_from(df: DataFrame, key: str, start=None) -> DataFrame:
@@ -61,12 +58,12 @@ def resume_from(df: DataFrame, key: str, start=None) -> DataFrame:
     return df if start is None else df.where(F.col(key) >= F.lit(start))
 
 
-def flag_existing(df: DataFrame, existing: DataFrame, key: str, unique: bool = False) -> DataFrame:
+def flag_existing(df: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     """Adds ``status``: ``updated`` when the key exists already, else ``new``."""
     known = existing.select(key).na.drop().distinct().withColumn("_known", F.lit(True))
     status = F.when(F.col("_known"), "updated").otherwise("new")
-    return lookup_join(df, known, key, "left", skewed=not unique).withColumn("status", status).drop("_known")
+    return lookup_join(df, known, key, "left").withColumn("status", status).drop("_known")
 
 
-def only_new(df: DataFrame, existing: DataFrame, key: str, unique: bool = False) -> DataFrame:
-    return skip_processed(df, existing, key, unique)
+def only_new(df: DataFrame, existing: DataFrame, key: str) -> DataFrame:
+    return skip_processed(df, existing, key)

@@ -13,7 +13,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 CELL_ROWS = 16_384   # rows of one side in one cell
 CELL_VALUES = 4_194_304  # vector components of one side in one cell: longer vectors make smaller cells
@@ -21,7 +21,7 @@ CHUNK_ROWS = 64      # user rows multiplied at once inside a cell
 LEAST_ROWS = 64      # fewer user rows than this are not worth a cell of their own
 STRIP = 32           # columns searched together for a first bound
 GATHERED = 4_000_000 # vector components gathered at once
-TIE_DECIMALS = 9     # scores equal to this many decimals are ties, broken by ID
+TIE_DECIMALS = 9     # cosines equal to this many decimals are ties, broken by ID; distances tie when equal
 
 
 def _array(table: pa.Table, column: str) -> pa.Array:
@@ -52,7 +52,7 @@ def _scores(users: np.ndarray, items: np.ndarray, metric: str) -> np.ndarray:
 
 def _pair_scores(users: np.ndarray, items: np.ndarray, rows: np.ndarray, cols: np.ndarray,
                  metric: str) -> np.ndarray:
-    """Scores of single pairs in double precision, rounded so that equal vectors tie.
+    """Scores of single pairs in double precision, from the vectors as they are.
 
     Many copies of one item can make many pairs, so their vectors are gathered in slices.
     """
@@ -61,7 +61,28 @@ def _pair_scores(users: np.ndarray, items: np.ndarray, rows: np.ndarray, cols: n
         part = slice(start, start + step)
         u, v = users[rows[part]], items[cols[part]]
         found[part] = np.einsum("ij,ij->i", u, v) if metric == "cosine" else -((u - v) ** 2).sum(1)
-    return np.round(found, TIE_DECIMALS) + 0.0
+    return (np.round(found, TIE_DECIMALS) if metric == "cosine" else found) + 0.0
+
+
+def _fault(vector: str, size: int | None) -> Column:
+    """What is wrong with a vector; null if nothing is."""
+    finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
+    return (
+        F.when(F.size(vector) != F.lit(size), F.concat(F.size(vector).cast("string"), F.lit(f" components, not {size}")))
+        .when(~F.forall(vector, finite), "a component that is no finite number")
+    )
+
+
+def _length_of(items: DataFrame, vector: str) -> int | None:
+    one = items.where(F.col(vector).isNotNull()).select(F.size(vector)).first()
+    return one[0] if one else None
+
+
+def vector_faults(df: DataFrame, id_col: str = "ID", vector: str = "embedding", size: int | None = None) -> DataFrame:
+    """``(ID, error)`` of the vectors that similarity search refuses; without ``size`` the first one's length counts."""
+    size = _length_of(df, vector) if size is None else size
+    return df.where(F.col(vector).isNotNull()).select(id_col, _fault(vector, size).alias("error")).where(
+        F.col("error").isNotNull())
 
 
 def _grid(users: DataFrame, items: DataFrame) -> tuple[int, int, int]:
@@ -72,8 +93,7 @@ def _grid(users: DataFrame, items: DataFrame) -> tuple[int, int, int]:
     """
     spark = users.sparkSession
     n_users, n_items = users.count(), items.count()
-    one = items.select(F.size("vector")).first()
-    cell = max(1, min(CELL_ROWS, CELL_VALUES // max(1, one[0] if one else 1)))
+    cell = max(1, min(CELL_ROWS, CELL_VALUES // max(1, _length_of(items, "vector") or 1)))
     tasks = spark.sparkContext.defaultParallelism
     rows = max(-(-n_users // cell), min(2 * tasks, -(-n_users // LEAST_ROWS)), 1)
     cols = max(-(-n_items // cell), 1)
@@ -96,10 +116,14 @@ def _cells(users: DataFrame, items: DataFrame):
     return place(left), place(right)
 
 
-def _prepare(df: DataFrame, id_col: str, vector_col: str, name: str, *extra: str) -> DataFrame:
+def _prepare(df: DataFrame, id_col: str, vector_col: str, name: str, size: int | None, *extra: str) -> DataFrame:
+    """Rows that have an ID and a vector; a faulty vector stops the query."""
+    fault = _fault(vector_col, size)
+    stop = F.raise_error(F.concat(F.lit(f"the vector of {id_col} "), F.col(id_col).cast("string"), F.lit(" has "), fault))
+    checked = F.when(fault.isNull(), F.col(vector_col)).otherwise(stop)
     return (
-        df.select(F.col(id_col).alias(name), F.col(vector_col).alias("vector"), *extra)
-        .where(F.col(name).isNotNull() & F.col("vector").isNotNull())
+        df.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull())
+        .select(F.col(id_col).alias(name), checked.alias("vector"), *extra)
     )
 
 
@@ -137,8 +161,10 @@ class _Catalogue:
             matrix + 0.0, axis=0, return_inverse=True, return_counts=True)
         self.members = np.argsort(self.group_of, kind="stable")  # columns by vector, ascending
         self.starts = np.cumsum(self.copies) - self.copies
-        # Cosines are searched in single precision, then scored again in double precision.
-        self.search = self.vectors.astype(np.float32) if metric == "cosine" else self.vectors
+        # Cosines are searched in single precision, distances around the mean of the items; both are scored again
+        # from the vectors as they are.
+        self.centre = np.zeros(matrix.shape[1]) if metric == "cosine" else self.vectors.mean(axis=0)
+        self.search = self.vectors.astype(np.float32) if metric == "cosine" else self.vectors - self.centre
 
     def columns(self, groups: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
         """The first ``most`` columns of each listed vector, and how many each gives."""
@@ -158,11 +184,14 @@ def _best(users: np.ndarray, items: _Catalogue, k: int, metric: str,
 
     Copies of a vector are scored once. ``hidden`` lists the (row, column) pairs to leave out.
     """
-    rough = _scores(users.astype(items.search.dtype), items.search, metric)
-    if metric == "cosine":
-        margin = 2 * (users.shape[1] + 8) * 2.0 ** -24  # rounding of both the vectors and their product
-    else:
-        margin = 1e-9 * max(1.0, float(np.abs(rough).max(initial=0.0)))
+    near = (users - items.centre).astype(items.search.dtype)
+    rough = _scores(near, items.search, metric)
+    if metric == "cosine":  # rounding of both the vectors and their product, and of the scores to their ties
+        margin = 2 * (users.shape[1] + 8) * 2.0 ** -24 + 10.0 ** -TIE_DECIMALS / 2
+    else:  # rounding of the product and of the centring, by the lengths of the vectors
+        length = np.linalg.norm(near, axis=1)[:, None] + np.linalg.norm(items.search, axis=1).max(initial=0.0)
+        whole = max(np.abs(users).max(initial=0.0), np.abs(items.vectors).max(initial=0.0)) * users.shape[1] ** 0.5
+        margin = (4 * (users.shape[1] + 8) * length + 16 * whole) * length * 2.0 ** -52
     most = k
     if hidden is not None and len(hidden[0]):
         rows, cols = hidden
@@ -171,7 +200,7 @@ def _best(users: np.ndarray, items: _Catalogue, k: int, metric: str,
         rows, groups = np.divmod(pairs, len(items.copies))
         gone = n_hidden == items.copies[groups]
         rough[rows[gone], groups[gone]] = -np.inf
-    least = _floor(rough, k)[:, None] - 2 * margin - 10.0 ** -TIE_DECIMALS
+    least = _floor(rough, k)[:, None] - 2 * margin
     rows, groups = np.nonzero((rough >= least) & (rough > -np.inf))
     scores = _pair_scores(users, items.vectors, rows, groups, metric)
     # The k-th best vector of a row bounds its items; vectors that tie with it stay.
@@ -201,8 +230,9 @@ def recommend_topk(users: DataFrame, items: DataFrame, k: int, *, user_id: str =
     if user_id.lower() == item_id.lower():
         raise ValueError("the names of the user and item columns must differ, not only in case")
     extra = [F.col(seen).alias("seen")] if seen else []
-    left = _prepare(users, user_id, vector, "user", *extra)
-    right = _prepare(items, item_id, vector, "item")
+    size = _length_of(items, vector)
+    left = _prepare(users, user_id, vector, "user", size, *extra)
+    right = _prepare(items, item_id, vector, "item", size)
     schema = T.StructType([
         T.StructField("user", left.schema["user"].dataType),
         T.StructField("item", right.schema["item"].dataType),
@@ -248,8 +278,9 @@ def score_summary(users: DataFrame, items: DataFrame, *, user_id: str = "userId"
     Each user meets each item once; the result is the number of scores, their
     mean, least and greatest value.
     """
-    left = _prepare(users, user_id, vector, "user")
-    right = _prepare(items, item_id, vector, "item")
+    size = _length_of(items, vector)
+    left = _prepare(users, user_id, vector, "user", size)
+    right = _prepare(items, item_id, vector, "item", size)
     schema = T.StructType([
         T.StructField("user", left.schema["user"].dataType),
         T.StructField("n", T.LongType()),
@@ -286,7 +317,9 @@ def recommend_one_user(users: DataFrame, items: DataFrame, user, k: int, titles:
     """The list of one user, in rank order, with the columns of ``titles`` beside each item."""
     one = users.where(F.col(user_id) == F.lit(user))
     found = recommend_topk(one, items, k, user_id=user_id, item_id=item_id, vector=vector)
-    return found.join(titles, item_id, "left").orderBy("rank")
+    # Only the titles of the k items take part in the join, not the whole catalogue.
+    shown = titles.join(F.broadcast(found.select(item_id)), item_id, "left_semi")  # k rows
+    return found.join(shown, item_id, "left").orderBy("rank")
 
 
 def recommendation_lists(recommendations: DataFrame, user_id: str = "userId", item_id: str = "ID") -> DataFrame:

@@ -1,44 +1,18 @@
-"""Joins that stay balanced when one key holds a large share of the rows."""
+"""Joins with tables of one row per key."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame
 
 
-def heavy_keys(df: DataFrame, key: str, share: float = 0.005, min_rows: int = 1_000_000) -> list:
-    """Values of ``key``, null among them, that hold more than ``share`` of all rows.
-
-    By counting there are fewer than ``1/share`` of them, so the list the driver
-    receives is bounded whatever the data. The counts are pre-aggregated in the map
-    tasks. Tables below ``min_rows`` cannot overload a task and give no heavy key.
-    """
-    total = Observation()
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).observe(total, F.sum("n").alias("rows"))
-    top = counts.orderBy(F.desc("n")).limit(int(1 / share)).collect()
-    rows = total.get["rows"] or 0
-    if rows < min_rows:
-        return []
-    return [row[key] for row in top if row["n"] > rows * share]
-
-
-def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", *,
-                skewed: bool = True, share: float = 0.005, min_rows: int = 1_000_000) -> DataFrame:
+def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join ``left`` to ``right``, where ``right`` has at most one row per ``key``.
 
-    Rows of a heavy key never meet in one task: they are joined in place with the
-    few matching rows of ``right`` (fewer than ``1/share``, which is checked before
-    they are broadcast), and so are rows without a key when there are many. All other rows
-    take the plain join, which Spark turns into a broadcast join by itself when
-    ``right`` is under its size threshold. Finding the heavy keys reads ``left`` once
-    more: pass ``skewed=False`` when its keys are known to be unique, too.
+    One plan for every size: Spark sends ``right`` to all tasks if it is under the
+    session's size threshold and else shuffles both sides by key. Of a key that holds a
+    large share of the rows, null among them, adaptive execution splits the left side's
+    partition into several tasks, each beside the one row of ``right``.
     """
     if how not in ("inner", "left", "left_anti", "left_semi"):
         raise ValueError(f"unsupported join type {how!r}")
-    heavy = heavy_keys(left, key, share, min_rows) if skewed else []
-    keys = [k for k in heavy if k is not None]
-    matches = right.where(F.col(key).isin(keys))
-    if not heavy or matches.limit(len(keys) + 1).count() > len(keys):  # the second: right repeats a heavy key
-        return left.join(right, key, how)
-    is_heavy: Column = F.when(F.col(key).isNull(), F.lit(None in heavy)).otherwise(F.col(key).isin(keys))
-    hot = left.where(is_heavy).join(F.broadcast(matches), key, how)
-    return hot.unionByName(left.where(~is_heavy).join(right, key, how))
+    return left.join(right, key, how)

@@ -21,30 +21,42 @@ def translate_columns(df: DataFrame, columns: list[str], load: Callable[[], Call
                       max_items: int = 500, max_codepoints: int = 30_000, **call) -> DataFrame:
     """Each listed column in the target language.
 
-    Every distinct text is translated once. Blank text, text already in the target
-    language (by the column ``language``) and text whose batch failed keep the
-    original. With ``prefix`` the result goes to ``<prefix><column>``. Listed columns
-    that do not exist are reported and skipped.
+    Every distinct text is translated once, also one that stands in several columns.
+    Blank text, text already in the target language (by the column ``language``) and
+    text that failed keep the original. With ``prefix`` the result goes to
+    ``<prefix><column>``. Listed columns that do not exist are reported and skipped.
+
+    ``df`` is read twice: for its different texts, and for the joins with the answers.
     """
     absent = missing_columns(df, columns)
     if absent:
         log.warning("columns not found, not translated: %s", ", ".join(absent))
+    names = [c for c in columns if c not in absent]
+    if not names:
+        return df
     shared_dir(df.sparkSession)
-    for name in [c for c in columns if c not in absent]:
+
+    def key(name: str) -> Column:
+        """A digest of the text; rows that need no translation have none."""
         wanted = has_text(name)
         if language is not None:
             wanted = wanted & ~language.eqNullSafe(F.lit(target))
-        # Rows that need no translation have no key, so many of them are not shuffled for the join.
-        keyed = df.withColumn("_text_key", F.when(wanted, F.sha2(name, 256)))
-        # A text with very many copies is one row per map task before the shuffle.
-        texts = (
-            keyed.where(F.col("_text_key").isNotNull())
-            .groupBy("_text_key").agg(F.first(name).alias("_text"))
-        )
-        answers = apply_batched(texts, "_text_key", "_text", load, "string", max_items=max_items,
-                                max_codepoints=max_codepoints, **call)
-        # Kept, so that no text is sent twice when the join reads the answers more than once.
-        found = answers.select("_text_key", F.col("result").alias("_translated")).checkpoint()
-        joined = lookup_join(keyed, found, "_text_key", "left")
-        df = joined.withColumn((prefix or "") + name, F.coalesce("_translated", name)).drop("_text_key", "_translated")
-    return df
+        return F.when(wanted, F.sha2(name, 256))
+
+    each = F.array(*[F.struct(key(c).alias("_text_key"), F.col(c).alias("_text")) for c in names])
+    # A text with very many copies is one row per map task before the shuffle.
+    texts = (
+        df.select(F.explode(each).alias("_each")).select("_each.*").where(F.col("_text_key").isNotNull())
+        .groupBy("_text_key").agg(F.first("_text").alias("_text"))
+    )
+    answers = apply_batched(texts, "_text_key", "_text", load, "string", max_items=max_items,
+                            max_codepoints=max_codepoints, **call)
+    # Kept, so that no text is sent twice when the joins read the answers.
+    found = answers.select("_text_key", F.col("result").alias("_translated")).checkpoint()
+    keyed = df.withColumns({f"_key_{i}": key(c) for i, c in enumerate(names)})
+    for i, name in enumerate(names):
+        one = found.select(F.col("_text_key").alias(f"_key_{i}"), F.col("_translated").alias(f"_translated_{i}"))
+        keyed = lookup_join(keyed, one, f"_key_{i}", "left")
+    results = {(prefix or "") + c: F.coalesce(f"_translated_{i}", c) for i, c in enumerate(names)}
+    helpers = [f"{h}_{i}" for h in ("_key", "_translated") for i in range(len(names))]
+    return keyed.withColumns(results).drop(*helpers)

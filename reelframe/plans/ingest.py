@@ -10,19 +10,24 @@ from reelframe.functions.text import has_text
 
 def extract_records(lines: DataFrame, processed_at: Column | None = None, mode: str = "text",
                     fields: dict[str, str | None] | None = None) -> DataFrame:
-    """Every line with its ID, deeplinks, fields, validity and time, from one parse of the text."""
+    """Every line with its ID, deeplinks, fields, validity and time, from one parse of the text.
+
+    The parsed line and the parts of it come out of a generator of one row: a later
+    filter on them cannot be moved below it, where Spark would parse the line again.
+    """
     chosen = fields or (feed.FIELDS_TEXT if mode == "text" else feed.FIELDS_TYPED)
     line, doc = F.col("line"), F.col("_doc")
+    once = lambda **columns: F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()])))
     records = (
-        lines.withColumn("_doc", feed.parse_line(line))
-        .withColumn("_ids", feed.external_ids(doc))
-        .withColumns({
-            "extracted_id": feed.first_numeric_id(line, F.col("_ids")),
-            "deeplinks": feed.extract_object(doc),
-            "additional_fields": feed.extract_fields(doc, chosen),
-            "malformed": has_text("line") & doc.isNull(),
-            "processed_at": processed_at if processed_at is not None else F.current_timestamp(),
-        })
+        lines.select("*", once(_doc=feed.parse_line(line)))
+        .select("*", once(_ids=feed.external_ids(doc)))
+        .select("*", once(
+            extracted_id=feed.first_numeric_id(line, F.col("_ids")),
+            deeplinks=feed.extract_object(doc),
+            additional_fields=feed.extract_fields(doc, chosen),
+            malformed=has_text("line") & doc.isNull(),
+        ))
+        .withColumn("processed_at", processed_at if processed_at is not None else F.current_timestamp())
         .drop("_doc", "_ids")
     )
     valid = feed.is_valid_record(F.col("extracted_id"), F.col("deeplinks"), mode)
@@ -33,10 +38,16 @@ def extract_records(lines: DataFrame, processed_at: Column | None = None, mode:
 
 
 def stored_documents(records: DataFrame, *extra: str) -> DataFrame:
-    """The kept records in the shape of the document table."""
+    """The kept records in the shape of the document table.
+
+    ``document_name`` is the name of the feed file without its folders and with ``_``
+    for the dot of its suffix; ``line_number`` is there when the lines were numbered.
+    """
+    name = F.regexp_replace(F.regexp_extract("file_key", "([^/]*)/*$", 1), r"\.([^.]*)$", "_$1")
+    numbered = ["line_number"] if "line_number" in records.columns and "line_number" not in extra else []
     return records.where("is_valid").select(
-        "file_key", "extracted_id", F.col("line").alias("content"), "deeplinks", "additional_fields",
-        "processed_at", *extra)
+        "file_key", name.alias("document_name"), *numbered, "extracted_id", F.col("line").alias("content"),
+        "deeplinks", "additional_fields", "processed_at", *extra)
 
 
 def malformed_lines(records: DataFrame) -> DataFrame:

@@ -67,12 +67,14 @@ def with_sentences(profiles: DataFrame) -> DataFrame:
 
 def recommend_for_all(prefs: DataFrame, content: DataFrame, genres: DataFrame, vectors: DataFrame,
                       load: Callable[[], Callable[[list[str]], list]], k_movies: int = 10, k_series: int = 25,
-                      exclude_seen: bool = False, **call) -> DataFrame:
+                      exclude_seen: bool = False, failures_path: str | None = None, **call) -> DataFrame:
     """``(userId, kind, rank, ID, score)``: films by the film text, series by the series text.
 
     Both lists are drawn from all of ``vectors(ID, embedding)``, a stored table; pass
     a filtered one, or set ``exclude_seen``, to narrow them. The user vectors are
-    checkpointed, so the model sees every text once.
+    checkpointed, so the model sees every text once. Users whose text got no vector
+    after all tries go to ``failures_path`` as ``(userId, kind, error)``; without one
+    the plan stops and names one of them.
     """
     shared_dir(prefs.sparkSession)
     profiles = with_sentences(user_profiles(prefs, content, genres))
@@ -84,9 +86,15 @@ def recommend_for_all(prefs: DataFrame, content: DataFrame, genres: DataFrame, v
     )).alias("text")).select("userId", "text.*")
     embedded = (
         apply_batched(texts, "userId", "sentence", load, "array<float>", keep=("kind", "seen"), **call)
-        .where(F.col("result").isNotNull())
-        .select("userId", "kind", "seen", F.col("result").alias("embedding")).checkpoint()
+        .select("userId", "kind", "seen", F.col("result").alias("embedding"), "error").checkpoint()
     )
+    failed = embedded.where(F.col("embedding").isNull()).select(
+        "userId", "kind", F.coalesce("error", F.lit("no text to embed")).alias("error"))
+    if failures_path:
+        failed.write.mode("overwrite").json(failures_path)
+    elif (one := failed.first()) is not None:
+        raise RuntimeError(f"no vector for the {one['kind']} of user {one['userId']}: {one['error']}")
+    embedded = embedded.where(F.col("embedding").isNotNull())
 
     def ranked(kind: str, k: int) -> DataFrame:
         users = embedded.where(F.col("kind") == kind)

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from reelframe.operators.similarity import recommendation_lists
 
 
+WRITTEN = "written_ns"  # the folder of each write to a vector store
+
+
 def append_rows_csv(df: DataFrame, path: str) -> None:
     """Appends to a headed CSV table; each file of the table carries the header once."""
     df.write.mode("append").csv(path, header=True, escape='"')
@@ -33,8 +38,17 @@ def write_json_documents(df: DataFrame, path: str, mode: str = "append") -> None
 
 
 def write_vectors(df: DataFrame, path: str) -> None:
-    """``(ID, original_text, embedding)`` as Parquet, for :func:`reelframe.sources.vectors.scan_vector_store`."""
-    df.select("ID", "original_text", "embedding").write.mode("overwrite").parquet(path)
+    """Adds ``(ID, original_text, embedding)`` to a store, for :func:`reelframe.sources.vectors.scan_vector_store`.
+
+    A stored vector is replaced by a new one of its ID; the others stay. Rows without a
+    vector, as failed items have, are left out. Each call appends a folder that is
+    numbered by time, and readers take the newest row per ID, so nothing that is being
+    read is rewritten.
+    """
+    good = df.where(F.col("embedding").isNotNull())
+    if "error" in df.columns:
+        good = good.where(F.col("error").isNull())
+    good.select("ID", "original_text", "embedding").write.parquet(f"{path.rstrip('/')}/{WRITTEN}={time.time_ns()}")
 
 
 def write_recommendations(recommendations: DataFrame, path: str, user_id: str = "userId",

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 
@@ -17,22 +20,18 @@ def upsert_latest(stored: DataFrame, incoming: DataFrame, keys: list[str], time:
 
     A key that is not stored is ``inserted``; a stored row is ``updated`` only by a
     row that is later, else ``kept``. Equal times within ``incoming`` go by ``ties``
-    descending. ``stored`` has one row per key; it is not shuffled when the incoming
-    keys are few enough for Spark to broadcast.
+    descending. ``stored`` has one row per key. Each side is read once: the newest
+    incoming rows meet the stored ones in one full join.
     """
     columns = stored.columns
-    values = [c for c in columns if c not in keys]
-    new = newest_per_key(incoming.select(*columns), keys, F.desc(time), *[F.desc(c) for c in ties])
-    beside = new.select(*keys, F.struct(*values).alias("_new"))
-    later = F.col(f"_new.{time}") > F.col(time)
-    merged = stored.join(beside, keys, "left").select(
-        *keys,
-        *[F.when(later, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) for c in values],
-        F.when(later, "updated").otherwise("kept").alias("outcome"),
-    )
-    matched = stored.select(*keys).join(new.select(*keys), keys, "left_semi")
-    inserted = new.join(matched, keys, "left_anti").withColumn("outcome", F.lit("inserted"))
-    return merged.unionByName(inserted).select(*columns, "outcome")
+    row = lambda df: df.select(*keys, F.struct(*columns).alias("_row"))
+    new = row(newest_per_key(incoming.select(*columns), keys, F.desc(time), *[F.desc(c) for c in ties])) \
+        .withColumnRenamed("_row", "_new")
+    both = row(stored).withColumnRenamed("_row", "_old").join(new, keys, "full")
+    old, later = F.col("_old"), F.coalesce(F.col(f"_new.{time}") > F.col(f"_old.{time}"), F.lit(False))
+    outcome = F.when(old.isNull(), "inserted").when(later, "updated").otherwise("kept")
+    chosen = F.when(old.isNull() | later, F.col("_new")).otherwise(old)
+    return both.select(chosen.alias("_row"), outcome.alias("outcome")).select("_row.*", "outcome")
 
 
 def upsert_counts(merged: DataFrame, by: str) -> DataFrame:
@@ -42,19 +41,22 @@ def upsert_counts(merged: DataFrame, by: str) -> DataFrame:
 
 
 def upsert_by_id(stored: DataFrame, incoming: DataFrame, key: str, *order) -> DataFrame:
-    """Whole rows replaced by key; of several incoming rows the first in ``order`` counts."""
-    new = newest_per_key(incoming, [key], *order) if order else incoming
+    """Whole rows replaced by key; of several incoming rows the first in ``order`` counts.
+
+    Without an order the one with the greatest values counts, column by column.
+    """
+    new = newest_per_key(incoming, [key], *(order or [F.desc(c) for c in incoming.columns if c != key] or [key]))
     return stored.join(new.select(key), key, "left_anti").unionByName(new)
 
 
 class ChangeTable:
     """Newest row per key over appended batches.
 
-    A batch is one Parquet folder named by its number, so writing it again after a
-    failure replaces it; a number must not be used for other data, so a stream that
-    starts anew with an empty checkpoint needs a table of its own. The table is never
-    rewritten in place: :meth:`current` picks the newest rows while reading and
-    :meth:`compact` writes them to a new folder, where a stream may go on.
+    A batch is one Parquet folder named by its stream and number, so writing it again
+    after a failure replaces it, and a stream that starts anew with an empty checkpoint
+    takes another name and leaves older batches alone. The table is never rewritten in
+    place: :meth:`current` picks the newest rows while reading and :meth:`compact` writes
+    them to a new folder, where a stream may go on.
     """
 
     COMPACTED = -1  # before the first batch of any stream
@@ -62,17 +64,24 @@ class ChangeTable:
     def __init__(self, path: str, keys: list[str], time: str, ties: tuple[str, ...] = ()):
         self.path, self.keys, self.time, self.ties = path.rstrip("/"), keys, time, ties
 
-    def append(self, batch: DataFrame, batch_id: int) -> None:
+    def append(self, batch: DataFrame, batch_id: int, stream: str = "0") -> None:
         newest = newest_per_key(batch, self.keys, F.desc(self.time), *[F.desc(c) for c in self.ties])
-        newest.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        newest.write.mode("overwrite").parquet(f"{self.path}/stream={stream}/batch_id={batch_id}")
 
     def current(self, spark: SparkSession) -> DataFrame:
-        """One row per key: the latest, and of equally late ones that of the earliest batch."""
+        """One row per key: the latest, and of equally late ones that of the earliest batch.
+
+        Only keys and times are ranked; the rows chosen are fetched by batch, key and time.
+        """
         rows = spark.read.option("basePath", self.path).parquet(self.path)
-        return newest_per_key(rows, self.keys, F.desc(self.time), F.asc("batch_id")).drop("batch_id")
+        place = [*self.keys, self.time, "stream", "batch_id"]
+        chosen = newest_per_key(rows.select(*place), self.keys, F.desc(self.time), F.asc("batch_id"), F.asc("stream"))
+        same = [rows[c].eqNullSafe(chosen[c]) for c in place]
+        joined = rows.join(chosen.select(*place), reduce(and_, same), "left_semi")
+        return joined.drop("batch_id", "stream")
 
     def compact(self, spark: SparkSession, target: str) -> ChangeTable:
         """A new table at ``target`` with the current rows as its earliest batch."""
         compacted = ChangeTable(target, self.keys, self.time, self.ties)
-        self.current(spark).write.mode("overwrite").parquet(f"{compacted.path}/batch_id={self.COMPACTED}")
+        self.current(spark).write.mode("overwrite").parquet(f"{compacted.path}/stream=0/batch_id={self.COMPACTED}")
         return compacted

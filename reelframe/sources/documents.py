@@ -38,16 +38,17 @@ def scan_query(spark: SparkSession, query: str, **tables: DataFrame) -> DataFram
 
 
 def _list_text(value: Column, default: str) -> Column:
-    """A JSON list joined with ``'; '``; a text as it is; the default when missing or empty."""
+    """A JSON list joined with ``'; '``; a text, in brackets or not, as it is; the default when missing or empty."""
     items = F.from_json(value, "array<string>")
-    text = F.when(value.startswith("["), F.array_join(items, "; ")).otherwise(value)
+    text = F.when(value.startswith("[") & items.isNotNull(), F.array_join(items, "; ")).otherwise(value)
     return F.when(F.coalesce(text, F.lit("")) == "", F.lit(default)).otherwise(text)
 
 
 def flatten_document_tree(df: DataFrame, column: str) -> DataFrame:
     """One row of eight columns per record of ``{record_id: {content: {...}}}``.
 
-    A missing field gives its ``No ...`` text, and so does a JSON null.
+    A missing field gives its ``No ...`` text, and so does a JSON null. A document that
+    is no such tree gives no row; :func:`tree_faults` lists those.
     """
     records = df.select(F.explode(F.from_json(column, _TREE)).alias("ID", "record"))
     content = lambda name: F.col(f"record.content.{name}")
@@ -63,13 +64,20 @@ def flatten_document_tree(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def tree_faults(df: DataFrame, key: str, column: str) -> DataFrame:
+    """``(key, error)`` of the documents that :func:`flatten_document_tree` gets no row from."""
+    tree = F.from_json(column, _TREE)
+    error = F.when(tree.isNull(), "not a tree of documents").when(F.size(tree) == 0, "no documents")
+    return df.select(key, error.alias("error")).where(F.col("error").isNotNull())
+
+
 def list_document_keys(df: DataFrame, column: str) -> DataFrame:
     """The top-level keys of a JSON object, without reading what is below them."""
     return df.select(F.explode(F.json_object_keys(column)).alias("key"))
 
 
 def scan_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Rows of files that hold one JSON array each; a file that holds anything else is an error.
+    """Rows of files that hold one JSON array each; anything else, also an array cut off, stops with the file's name.
 
     JSON arrays cannot be split, so each file is one cell (2 GB at most); many files
     are read in parallel.
@@ -77,6 +85,8 @@ def scan_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     struct = T._parse_datatype_string(schema)
     whole = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
     rows = F.from_json("value", T.ArrayType(struct))
-    is_list = F.ltrim(F.regexp_replace("value", r"^\s+", "")).startswith("[")
-    checked = F.when(is_list, rows).otherwise(F.raise_error(F.lit("the JSON file must hold a list")))
+    is_list = F.schema_of_variant(F.try_parse_json("value")).startswith("ARRAY")
+    name = F.col("_metadata.file_path")
+    checked = F.when(is_list & rows.isNotNull(), rows).otherwise(
+        F.raise_error(F.concat(F.lit("the file must hold a JSON list of rows: "), name)))
     return whole.select(F.inline(checked))

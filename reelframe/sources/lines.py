@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from reelframe.functions.text import has_text
+from reelframe.session import scratch_path
 
 
 def _raw_lines(spark: SparkSession, path: str, pattern: str | None) -> DataFrame:
@@ -28,21 +29,26 @@ def scan_numbered_lines(spark: SparkSession, path: str, pattern: str | None = No
     """``(file_key, line_number, line)``; blank lines are counted but not returned.
 
     Large files stay split: each split numbers its own lines and starts where the
-    splits before it in the same file end. Should the two reads ever see different
-    splits, the query fails instead of numbering wrongly.
+    splits before it in the same file end. The table of splits, five numbers each, is
+    written first: Spark knows its size and sends it to the tasks as long as it is under
+    the session's threshold, so the text is not shuffled. Should the two reads ever see
+    different splits, the query fails instead of numbering wrongly.
     """
-    raw = _raw_lines(spark, path, pattern)
+    raw = _raw_lines(spark, path, pattern).withColumn("_file", F.xxhash64("file_key"))
     before = F.sum("_n").over(
-        Window.partitionBy("file_key").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
-    splits = (
-        raw.groupBy("file_key", "_block").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+        Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
+    counted = (
+        raw.groupBy("_file", "_block").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
         .withColumn("_before", F.coalesce(before, F.lit(0)))
     )
+    counts = scratch_path(spark, "splits")
+    counted.write.parquet(counts)
+    splits = spark.read.schema(counted.schema).parquet(counts)
     index = F.col("_row") - F.col("_first")
     number = F.when((index >= 0) & (index < F.col("_n")), F.col("_before") + index + 1).otherwise(
         F.raise_error(F.lit("file splits changed between two reads")))
     return (
-        raw.join(splits, ["file_key", "_block"], "left")
+        raw.join(splits, ["_file", "_block"], "left")
         .select("file_key", number.alias("line_number"), "line")
         .where(has_text("line"))
     )

@@ -38,5 +38,11 @@ def scan_vector_documents(spark: SparkSession, path: str, one_per_file: bool = F
 
 
 def scan_vector_store(spark: SparkSession, path: str, key: str, vector: str) -> DataFrame:
-    """A Parquet table of vectors: ID and vector in one row, so no list of IDs has to be kept in step."""
-    return spark.read.parquet(path).select(F.col(key), F.col(vector).alias("embedding"))
+    """A Parquet table of vectors: ID and vector in one row, so no list of IDs has to be kept in step.
+
+    Of a store that :func:`reelframe.sinks.files.write_vectors` made, the newest vector per ID.
+    """
+    rows = spark.read.parquet(path)
+    if "written_ns" in rows.columns:
+        rows = last_vector_per_id(rows, key, "written_ns")
+    return rows.select(F.col(key), F.col(vector).alias("embedding"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -25,8 +26,8 @@ def stream_ingest(spark: SparkSession, source: str, table: ChangeTable, checkpoi
     """Reads every file that is new since the last run and ends; returns the started query, to be awaited.
 
     The checkpoint remembers the files, so a restart neither skips nor repeats one,
-    and a batch that is run again overwrites its own folder. A record replaces a
-    stored one only when it is later.
+    and a batch that is run again overwrites its own folder, which is named by the ID
+    that the checkpoint holds. A record replaces a stored one only when it is later.
     """
     reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
     if pattern:
@@ -39,13 +40,14 @@ def stream_ingest(spark: SparkSession, source: str, table: ChangeTable, checkpoi
         F.col("_metadata.file_block_start").alias("_block"))
 
     def store(batch: DataFrame, batch_id: int) -> None:
+        stream = json.loads(spark.read.text(f"{checkpoint}/metadata").first()["value"])["id"]
         placed = batch.withColumn("_row", F.monotonically_increasing_id())
         time = processed_at(F.col("line")) if processed_at else None
-        records = extract_records(placed, time, mode)
-        table.append(stored_documents(records, *TIES), batch_id)
-        if progress_path:
-            finished = records.groupBy("file_key").agg(F.max("processed_at").alias("processed_at"))
-            finished.write.mode("overwrite").parquet(f"{progress_path}/batch_id={batch_id}")
+        table.append(stored_documents(extract_records(placed, time, mode), *TIES), batch_id, stream)
+        if progress_path:  # from the lines alone, which are not parsed again
+            at = time if time is not None else F.current_timestamp()
+            finished = batch.groupBy("file_key").agg(F.max(at).alias("processed_at"))
+            finished.write.mode("overwrite").parquet(f"{progress_path}/stream={stream}/batch_id={batch_id}")
 
     return (
         lines.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)

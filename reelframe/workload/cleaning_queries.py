@@ -61,9 +61,12 @@ def non_numeric_ids(v):
     return filters.non_numeric_ids(v.content).select("ID", "CleanTitle")
 
 
-@query("valid_text", sql("SELECT ID, n_chars FROM docs WHERE trim(Synopsis) <> ''", "docs"))
+@query("valid_text", sql("SELECT ID, n_chars FROM docs WHERE trim(Synopsis) <> '' AND doc_id % 7 > 1", "docs"))
 def valid_text(v):
-    return filters.valid_text(v.docs, "Synopsis").select("ID", "n_chars")
+    """Two of seven documents get a blank or a missing text first."""
+    blanked = v.docs.withColumn("Synopsis", F.when(F.col("doc_id") % 7 == 0, " \t ")
+                                .when(F.col("doc_id") % 7 > 1, F.col("Synopsis")))
+    return filters.valid_text(blanked, "Synopsis").select("ID", "n_chars")
 
 
 @query("not_in_language", sql("SELECT ID, lang FROM docs WHERE lang <> 'en'", "docs"))
@@ -113,7 +116,7 @@ def value_counts(v):
     FROM best LEFT JOIN id_map ON external_id = ID
     WHERE ID NOT LIKE 'tt%' OR movie_id IS NOT NULL OR tv_id IS NOT NULL""", "best", "id_map"))
 def map_external_ids(v):
-    return cleaning.map_external_ids(_best(v), v.id_map, unique=True).select("ID", "PlatformName", "Score")
+    return cleaning.map_external_ids(_best(v), v.id_map).select("ID", "PlatformName", "Score")
 
 
 _ENRICHED = """
@@ -128,7 +131,7 @@ _ENRICHED = """
 
 @query("enrich_missing", sql(_ENRICHED.format(source="best"), "best", "details"))
 def enrich_missing(v):
-    return cleaning.enrich_missing(_best(v), v.details, unique=True).drop("Score")
+    return cleaning.enrich_missing(_best(v), v.details).drop("Score")
 
 
 @query("clean_catalogue", sql("""
@@ -174,10 +177,12 @@ def combine_first(v):
 
 
 @query("null_profile", sql("""
-    SELECT count(*) AS n_rows, count(ID) AS "n_ID", count(Genre) AS "n_Genre", count("Cast") AS "n_Cast",
-           true AS any_null FROM content""", "content"))
+    SELECT count(*) AS n_rows, count(ID) AS "n_ID", count(Genre) AS "n_Genre", count(CleanTitle) AS "n_CleanTitle",
+           count(Synopsis) AS "n_Synopsis", count(Directors) AS "n_Directors", count("Cast") AS "n_Cast",
+           count(Type) AS "n_Type", count(PlatformName) AS "n_PlatformName", true AS any_null
+    FROM content""", "content"))
 def null_profile(v):
-    return cleaning.null_profile(v.content.select("ID", "Genre", "Cast"))
+    return cleaning.null_profile(v.content)
 
 
 # -- projections
@@ -220,13 +225,16 @@ def parse_list_literal(v):
 
 
 @query("item_sentence", sql("""
-    SELECT ID, CleanTitle || Synopsis || coalesce(Genre, '') || coalesce("Cast", '') || Directors AS "full",
-           CleanTitle || Synopsis || coalesce(Genre, '') AS short,
-           CleanTitle || ' ' || Synopsis || coalesce(Genre, '') AS spaced,
-           CleanTitle || ' ' || coalesce(Genre, '') || ' ' || Synopsis AS stripped
-    FROM content""", "content"))
+    , listed AS (SELECT *, '["' || Genre || '", "' || Type || '"]' AS literal, Genre || ', ' || Type AS words FROM content)
+    SELECT ID, CleanTitle || Synopsis || coalesce(words, '') || coalesce("Cast", '') || Directors AS "full",
+           CleanTitle || Synopsis || coalesce(words, '') AS short,
+           CleanTitle || ' ' || Synopsis || coalesce(literal, '') AS spaced,
+           CleanTitle || ' ' || coalesce(literal, '') || ' ' || Synopsis AS stripped
+    FROM listed""", "content"))
 def item_sentence(v):
-    return v.content.select("ID", *[text.item_sentence(r).alias(r) for r in ("full", "short", "spaced", "stripped")])
+    """The genres stand as a list literal, as the export writes them."""
+    listed = v.content.withColumn("Genre", F.concat(F.lit('["'), "Genre", F.lit('", "'), "Type", F.lit('"]')))
+    return listed.select("ID", *[text.item_sentence(r).alias(r) for r in ("full", "short", "spaced", "stripped")])
 
 
 @query("codepoint_length", sql("SELECT ID, length(Synopsis)::BIGINT AS n FROM docs", "docs"))

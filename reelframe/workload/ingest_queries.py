@@ -77,6 +77,14 @@ def keyset_page(v):
     return paging.keyset_page(v.docs.select("ID", "doc_id", "lang"), "doc_id", 50, after=100)
 
 
+@query("deep_page", """
+    SELECT lang, doc_id FROM documents ORDER BY lang, doc_id LIMIT 10 OFFSET (SELECT count(*) * 9 // 100 * 10 FROM documents)""")
+def deep_page(v):
+    """Nine tenths into the table, in the order of a key that many rows share."""
+    rows = v.table("documents").select("lang", "doc_id")
+    return paging.offset_page(rows, "lang", rows.count() * 9 // 100 + 1, 10)
+
+
 @query("scan_projected", sql('SELECT doc_id, lang FROM documents'))
 def scan_projected(v):
     return documents.scan_projected(v.spark, v.path("documents"), ["doc_id", "lang"])
@@ -179,7 +187,7 @@ def scan_vector_store(v):
 
 @query("point_lookup", "SELECT doc_id, lang, source FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)")
 def point_lookup(v):
-    return sets.point_lookup(v.table("documents").select("doc_id", "lang", "source"), v.table("labels"), "doc_id", unique=True)
+    return sets.point_lookup(v.table("documents").select("doc_id", "lang", "source"), v.table("labels"), "doc_id")
 
 
 # -- extraction
@@ -215,15 +223,21 @@ def extract_fields(v):
 
 
 @query("provenance_columns", sql("""
-    SELECT file_key, count(*) AS n, strftime(max(processed_at), '%Y-%m-%d %H:%M:%S.%f') AS last_at
-    FROM records WHERE extracted_id IS NOT NULL GROUP BY file_key""", "records"))
+    , numbered AS (SELECT *, row_number() OVER (PARTITION BY file_key ORDER BY line_number) AS number FROM records)
+    SELECT file_key, file_key || '_jsonl' AS document_name, number AS line_number,
+           strftime(processed_at, '%Y-%m-%d %H:%M:%S.%f') AS processed_at
+    FROM numbered WHERE extracted_id IS NOT NULL""", "records"))
 def provenance_columns(v):
-    found = line_source.scan_lines(v.spark, _line_files(v)).withColumn("file_key", _folder_key(F.col("file_key")))
+    """One file per event type, its lines in the order of the events."""
+    path = v.scratch("numbered")
+    v.lines.repartition("file_key").sortWithinPartitions("file_key", "line_number").select(
+        "file_key", F.col("line").alias("value")).write.partitionBy("file_key").text(path)
+    found = line_source.scan_numbered_lines(v.spark, path, "*.txt").withColumn(
+        "file_key", F.concat(F.lit("feeds/"), _folder_key(F.col("file_key")), F.lit(".jsonl")))
     at = F.get_json_object("line", "$.At").try_cast("timestamp_ntz")
     stored = stored_documents(extract_records(found, at))
-    return stored.groupBy("file_key").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.date_format(F.max("processed_at"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("last_at"))
+    return stored.select(F.regexp_extract("file_key", "feeds/(.*)[.]jsonl", 1).alias("file_key"), "document_name",
+                         "line_number", F.date_format("processed_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("processed_at"))
 
 
 # -- keyed sinks, resume
@@ -327,6 +341,27 @@ def run_metrics(v):
     return metrics.run_metrics(_records(v))
 
 
+@query("file_metrics", sql("""
+    , s AS (SELECT file_key, extracted_id, max(processed_at) AS old FROM records
+          WHERE extracted_id IS NOT NULL AND line_number < 1000 GROUP BY ALL),
+    n AS (SELECT file_key, extracted_id, max(processed_at) AS new FROM records
+          WHERE extracted_id IS NOT NULL AND line_number >= 1000 GROUP BY ALL),
+    u AS (SELECT file_key, count_if(old IS NULL)::BIGINT AS inserted, count_if(new > old)::BIGINT AS updated
+          FROM n LEFT JOIN s USING (file_key, extracted_id) GROUP BY file_key)
+    SELECT file_key, count(*) AS total_lines, count(extracted_id) AS valid_lines,
+           count_if(malformed)::BIGINT AS malformed_lines, count_if(malformed)::BIGINT AS failed,
+           coalesce(any_value(inserted), 0)::BIGINT AS inserted, coalesce(any_value(updated), 0)::BIGINT AS updated
+    FROM records LEFT JOIN u USING (file_key) WHERE line_number >= 1000 GROUP BY file_key""", "records"))
+def file_metrics(v):
+    """Lines from number 1000 on are new; those before are stored."""
+    keys, new = ["file_key", "extracted_id"], F.col("line_number") >= 1000
+    records = _records(v)
+    rows = stored_documents(records).select(*keys, "line_number", "processed_at")
+    stored = keyed.newest_per_key(rows.where(~new), keys, F.desc("processed_at"), F.desc("line_number"))
+    merged = keyed.upsert_latest(stored, rows.where(new), keys, "processed_at", ("line_number",))
+    return metrics.file_metrics(records.where(new), merged)
+
+
 @query("average_rates", """
     SELECT event_type, count(*) AS n, round(sum(value) / count(*), 6) AS value_rate FROM events GROUP BY event_type""")
 def average_rates(v):
@@ -342,7 +377,7 @@ def malformed(v):
 
 @query("skip_processed", "SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def skip_processed(v):
-    return sets.skip_processed(v.table("documents").select("doc_id", "lang"), v.table("labels"), "doc_id", unique=True)
+    return sets.skip_processed(v.table("documents").select("doc_id", "lang"), v.table("labels"), "doc_id")
 
 
 @query("resume_from", "SELECT doc_id, lang FROM documents WHERE source >= 'src5'")
@@ -354,7 +389,7 @@ def resume_from(v):
     SELECT doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'updated' ELSE 'new' END AS status
     FROM documents""")
 def flag_existing(v):
-    return sets.flag_existing(v.table("documents").select("doc_id"), v.table("labels"), "doc_id", unique=True)
+    return sets.flag_existing(v.table("documents").select("doc_id"), v.table("labels"), "doc_id")
 
 
 @query("select_key", sql("SELECT line_number, extracted_id FROM records WHERE extracted_id = '42'", "records"))

@@ -71,7 +71,9 @@ _PROFILE = """
                  string_agg(CleanTitle, ' ' ORDER BY pos) AS t, string_agg(Synopsis, ' ' ORDER BY pos) AS s,
                  string_agg("Cast", ' ' ORDER BY pos) AS c, string_agg(Directors, ' ' ORDER BY pos) AS d
           FROM movie_rows LEFT JOIN content ON ID = item GROUP BY userId),
-    s AS (SELECT userId, string_agg(coalesce(CleanTitle, '?'), '|' ORDER BY pos) AS serie_titles
+    s AS (SELECT userId, string_agg(coalesce(CleanTitle, '?'), '|' ORDER BY pos) AS serie_titles,
+                 string_agg(CleanTitle, ' ' ORDER BY pos) AS st, string_agg(Synopsis, ' ' ORDER BY pos) AS ss,
+                 string_agg("Cast", ' ' ORDER BY pos) AS sc, string_agg(Directors, ' ' ORDER BY pos) AS sd
           FROM serie_rows LEFT JOIN content ON ID = item GROUP BY userId)"""
 _PROFILE_VIEWS = ("movie_rows", "serie_rows", "genre_rows", "genres", "content")
 
@@ -107,11 +109,13 @@ def user_profiles_query(v):
 
 
 @query("profile_sentence", sql(_PROFILE + """
-    SELECT userId, concat_ws(' ', t, s, genre_words, c, d) AS sentence
+    SELECT userId, concat_ws(' ', t, m.s, genre_words, c, d) AS sentence,
+           concat_ws(' ', st, ss, genre_words, sc, sd) AS series_sentence
     FROM users JOIN g USING (userId) JOIN m USING (userId) JOIN s USING (userId)""", *_PROFILE_VIEWS))
 def profile_sentence_query(v):
     found = with_sentences(user_profiles(v.stored_prefs, v.content, v.genres))
-    return found.select("userId", F.col("movies_sentences_to_embed").alias("sentence"))
+    return found.select("userId", F.col("movies_sentences_to_embed").alias("sentence"),
+                        F.col("series_sentences_to_embed").alias("series_sentence"))
 
 
 @query("distinct_ids", sql("SELECT DISTINCT item FROM movie_rows", "movie_rows"))
@@ -213,19 +217,33 @@ def write_failures(v):
         return fn
 
     path = v.scratch("failures")
-    done = external.apply_batched(v.docs, "doc_id", "Synopsis", load, "array<double>", max_items=1, retries=1)
+    done = external.apply_batched(v.docs, "doc_id", "Synopsis", load, "array<double>", max_items=50, retries=1)
     files.write_failures(done, path, "doc_id")
     return v.spark.read.schema("doc_id BIGINT, error STRING").json(path)
 
 
 @query("write_vectors", sql("""
-    SELECT ID, CleanTitle || ' ' || coalesce(Genre, '') || ' ' || Synopsis AS original_text,
-           length(CleanTitle || ' ' || coalesce(Genre, '') || ' ' || Synopsis)::DOUBLE AS first
+    SELECT ID, length(CleanTitle || ' ' || coalesce(Genre, '') || ' ' || Synopsis)::DOUBLE AS first
     FROM content""", "content"))
 def write_vectors(v):
+    """Two overlapping halves; items of Type movie fail in the first write and come with the second."""
+    def load():
+        def fn(texts):
+            if any("of size 1" in t for t in texts):
+                raise ValueError("no vector")
+            return [[0.0] for _ in texts]
+        return fn
+
     path = v.scratch("vectors")
+    files.write_vectors(embed_items(v.content.where("Type = 'movie'"), load, retries=1), path)
     files.write_vectors(embed_items(v.content, _load_counter), path)
-    return v.spark.read.parquet(path).select("ID", "original_text", F.col("embedding")[0].alias("first"))
+    files.write_vectors(embed_items(v.content, lambda: _fail, retries=1), path)
+    found = vector_source.scan_vector_store(v.spark, path, "ID", "embedding")
+    return found.select("ID", F.col("embedding")[0].alias("first"))
+
+
+def _fail(texts):
+    raise ValueError("no vector")
 
 
 # -- similarity
@@ -290,14 +308,30 @@ def recommend_unseen(v):
 
 @query("l2_topk", """
     SELECT u.vec_id AS user_id, v.vec_id AS item_id,
-           round(round(pow(list_distance(u.embedding::DOUBLE[], v.embedding::DOUBLE[]), 2), 9), 6) AS score,
+           round(pow(list_distance(u.embedding::DOUBLE[], v.embedding::DOUBLE[]), 2), 6) AS score,
            row_number() OVER (PARTITION BY u.vec_id ORDER BY
-               round(pow(list_distance(u.embedding::DOUBLE[], v.embedding::DOUBLE[]), 2), 9), v.vec_id)::INT AS rank
+               list_distance(u.embedding::DOUBLE[], v.embedding::DOUBLE[]), v.vec_id)::INT AS rank
     FROM embeddings u CROSS JOIN embeddings v QUALIFY rank <= 10""")
 def l2_topk(v):
     return _topk(v, 10, metric="l2")
 
 
+@query("l2_topk_far", """
+    WITH far AS (SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: x / 1024 + 65536) AS embedding
+                 FROM embeddings)
+    SELECT u.vec_id AS user_id, v.vec_id AS item_id,
+           round(pow(list_distance(u.embedding, v.embedding), 2) * 1048576, 3) AS score,
+           row_number() OVER (PARTITION BY u.vec_id ORDER BY list_distance(u.embedding, v.embedding), v.vec_id)::INT
+               AS rank
+    FROM far u CROSS JOIN far v QUALIFY rank <= 10""")
+def l2_topk_far(v):
+    """Small vectors far from the origin, where squared lengths hide the distances."""
+    far = v.vecs.select("vec_id", F.transform("embedding", lambda x: x.cast("double") / 1024 + 65536).alias("embedding"))
+    found = similarity.recommend_topk(far, far.withColumnRenamed("vec_id", "item_id"), 10, user_id="vec_id",
+                                      item_id="item_id", metric="l2")
+    return found.withColumnRenamed("vec_id", "user_id").withColumn("score", F.round(F.col("score") * 1048576, 3))
+
+
 @query("cross_score", sql("""
     SELECT user_id, count(*) AS n_scores, round(avg(exact), 6) + 0.0::DOUBLE AS mean_score,
            round(min(exact), 6) + 0.0::DOUBLE AS min_score, round(max(exact), 6) + 0.0::DOUBLE AS max_score
@@ -324,7 +358,29 @@ def _load_shape():
     return lambda texts: [[t.count(c) / len(t) for c in "aeiou"] for t in texts]
 
 
-@query("recommend_for_all")
+def _shape(text: str) -> str:
+    """The same in SQL."""
+    return "[" + ", ".join(f"(length({text}) - length(replace({text}, '{c}', '')))::DOUBLE / length({text})"
+                           for c in "aeiou") + "]"
+
+
+@query("recommend_for_all", sql(_PROFILE + f"""
+    , texts AS (
+        SELECT userId, 'movies' AS kind, favoriteMoviesIds AS seen, 10 AS k, concat_ws(' ', t, m.s, genre_words, c, d) AS x
+        FROM users JOIN g USING (userId) JOIN m USING (userId) JOIN s USING (userId)
+        UNION ALL
+        SELECT userId, 'series', favoriteSeriesIds, 25, concat_ws(' ', st, ss, genre_words, sc, sd)
+        FROM users JOIN g USING (userId) JOIN m USING (userId) JOIN s USING (userId)),
+    asked AS (SELECT userId, kind, k, string_split(seen, ';') AS seen, {_shape('x')}::FLOAT[]::DOUBLE[] AS u FROM texts),
+    full_texts AS (SELECT ID, CleanTitle || Synopsis || coalesce(Genre, '') || coalesce("Cast", '') || Directors AS x
+                   FROM content),
+    items AS (SELECT ID, {_shape('x')} AS v FROM full_texts),
+    scored AS (SELECT userId, kind, k, ID, CASE WHEN list_sum(u) = 0 OR list_sum(v) = 0 THEN 0::DOUBLE
+                      ELSE round(list_cosine_similarity(u, v), 9) END AS score
+               FROM asked CROSS JOIN items WHERE NOT list_contains(seen, ID))
+    SELECT userId, kind, row_number() OVER (PARTITION BY userId, kind ORDER BY score DESC, ID)::INT AS rank, ID,
+           round(score, 6) AS score
+    FROM scored QUALIFY rank <= k""", *_PROFILE_VIEWS))
 def recommend_for_all_query(v):
     """Profiles to recommendations in one plan; the vectors come from a stand-in model."""
     path = v.scratch("vectors")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from reelframe.functions import scoring, text
 from reelframe.operators import batching, cleaning, external, filters, paging, profiles, sets
 from reelframe.operators.numbering import number_rows
-from reelframe.operators.skew import heavy_keys, lookup_join
+from reelframe.operators.skew import lookup_join
 from reelframe.operators.translate import translate_columns
 from reelframe.plans.catalogue import clean_catalogue
 from reelframe.plans.embed import embed_items
@@ -182,17 +182,27 @@ def test_budget_batches(spark, lengths, budget, limit, want):
     assert [b for _, b in sorted((r["k"], r["batch"]) for r in got)] == want
 
 
+def test_budget_batches_leave_out_missing_and_blank_texts(spark):
+    rows = spark.createDataFrame([(0, "xx"), (1, None), (2, "x" * 8), (3, "  "), (4, "x" * 8), (5, "x" * 8)],
+                                 "k int, t string")
+    got = batching.budget_batches(rows, "k", "t", 10, 500).collect()
+    assert sorted((r["k"], r["batch"]) for r in got) == [(0, 0), (2, 0), (4, 1), (5, 2)]
+
+
 @few
-@given(st.lists(st.integers(0, 12), min_size=1, max_size=40), st.integers(1, 20), st.integers(1, 9),
-       st.integers(3, 15))
-def test_budget_batches_follow_the_greedy_rule(spark, lengths, budget, limit, block):
-    rows = spark.createDataFrame([(i, "é" * n) for i, n in enumerate(lengths)], "k int, t string")
+@given(st.lists(st.one_of(st.none(), st.integers(0, 12)), min_size=1, max_size=40), st.integers(1, 20),
+       st.integers(1, 9), st.integers(3, 15))
+def test_budget_batches_follow_the_greedy_rule(spark, drawn, budget, limit, block):
+    texts = [None if n is None else " " if n == 0 else "é" * n for n in drawn]
+    rows = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
+    keys = [i for i, n in enumerate(drawn) if n]
+    lengths = [drawn[i] for i in keys]
     got = sorted((r["k"], r["block"], r["batch"])
                  for r in batching.budget_batches(rows, "k", "t", budget, limit, block).collect())
     want = []
     for start in range(0, len(lengths), block):
         want += [(start // block, b) for b in greedy(lengths[start:start + block], budget, limit)]
-    assert [(b, c) for _, b, c in got] == want and [k for k, _, _ in got] == list(range(len(lengths)))
+    assert [(b, c) for _, b, c in got] == want and [k for k, _, _ in got] == keys
 
 
 def test_fixed_batches_and_pages(spark):
@@ -209,6 +219,14 @@ def test_deep_page_is_cut_from_numbered_rows(spark):
     assert [r["id"] for r in paging.offset_page(rows, "id", 1501, 10).collect()] == list(range(15_000, 15_010))
 
 
+def test_pages_of_a_repeated_key_are_whole_at_every_depth(spark):
+    rows = spark.range(300).select((F.col("id") % 3).alias("key"), ((F.col("id") * 7) % 300).alias("x"))
+    want = sorted((r["key"], r["x"]) for r in rows.collect())
+    got = [tuple(r) for page in (1, 5, 10, 11, 20, 30) for r in paging.offset_page(rows, "key", page, 10).collect()]
+    assert got == [r for page in (1, 5, 10, 11, 20, 30) for r in want[10 * page - 10:10 * page]]
+    assert paging.offset_page(rows, "key", 31, 10).count() == 0
+
+
 def test_sample_does_not_depend_on_partitions(spark):
     take = lambda n: [r["id"] for r in paging.sample_rows(spark.range(100).repartition(n), "id", 15).collect()]
     assert take(1) == take(7) and len(set(take(1))) == 15
@@ -228,7 +246,7 @@ def test_apply_batched_reports_failures_and_keeps_the_rest(spark):
 
     rows = spark.createDataFrame([(1, "a", "p"), (2, None, "p"), (3, "  ", "p"), (4, "bad", "p"), (5, "abc", "p"),
                                   (6, "short", "p")], "k int, t string, other string").coalesce(1)
-    got = external.apply_batched(rows, "k", "t", load, "int", keep=("other",), max_items=1, retries=2, wait=0)
+    got = external.apply_batched(rows, "k", "t", load, "int", keep=("other",), max_items=50, retries=2, wait=0)
     found = {r["k"]: (r["result"], r["error"]) for r in got.collect()}
     assert found == {1: (1, None), 2: (None, None), 3: (None, None), 4: (None, "RuntimeError: no"), 5: (3, None),
                      6: (None, "0 answers to 1 texts")}
@@ -301,44 +319,36 @@ def skewed(spark):
         .otherwise(F.concat(F.lit("k"), F.col("id").cast("string"))).alias("key"), "id")
 
 
-def test_heavy_keys(spark):
-    assert heavy_keys(skewed(spark), "key", 0.01, min_rows=0) == ["hot"]
-    assert heavy_keys(skewed(spark), "key", 0.01) == []
-    assert set(heavy_keys(skewed(spark), "key", 0.001, min_rows=0)) == {"hot", None}
-
-
-def test_no_heavy_keys_without_rows(spark):
-    assert heavy_keys(skewed(spark).where("id < 0"), "key", 0.01, min_rows=0) == []
-    assert heavy_keys(spark.createDataFrame([], "key string"), "key", 0.01, min_rows=0) == []
-
-
-def test_hot_keys_of_a_join_are_not_shuffled(spark, capsys):
-    right = spark.createDataFrame([("hot", 1), ("k1", 2)], "key string, v int")
-    lookup_join(skewed(spark), right, "key", share=0.01, min_rows=0).explain()
-    assert "Union" in capsys.readouterr().out
-
-
-def test_repeated_heavy_keys_are_not_broadcast(spark):
-    left = skewed(spark)
-    right = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3)], "key string, v int")
-    split = lookup_join(left, right, "key", share=0.01, min_rows=0)
-    assert split.count() == left.join(right, "key").count()
-
-
 @pytest.mark.parametrize("how", ["inner", "left", "left_anti", "left_semi"])
-@pytest.mark.parametrize("share", [0.001, 0.01])
-@pytest.mark.parametrize("only_nulls", [False, True])
-def test_lookup_join_equals_a_plain_join(spark, how, share, only_nulls):
+def test_lookup_join_equals_a_plain_join(spark, how):
     left = skewed(spark)
-    if only_nulls:  # no heavy key but the missing one
-        left = left.withColumn("key", F.when(F.col("key") != "hot", F.col("key")))
     right = spark.range(1000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("key"),
                                      (F.col("id") * 2).alias("v")).union(
         spark.createDataFrame([("hot", -1)], "key string, v long"))
-    plain = left.join(right, "key", how)
-    split = lookup_join(left, right, "key", how, share=share, min_rows=0)
-    assert split.columns == plain.columns
-    assert split.exceptAll(plain).count() == 0 and plain.exceptAll(split).count() == 0
+    plain, found = left.join(right, "key", how), lookup_join(left, right, "key", how)
+    assert found.columns == plain.columns
+    assert found.exceptAll(plain).count() == 0 and plain.exceptAll(found).count() == 0
+
+
+@pytest.mark.parametrize("how", ["left", "left_semi", "left_anti"])
+def test_a_hot_key_is_split_into_several_tasks(spark, how):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {c: spark.conf.get(c, None) for c in conf}
+    try:
+        for c, value in conf.items():
+            spark.conf.set(c, value)
+        left = spark.range(200_000).repartition(8).select(
+            F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("key"), F.rand(1).alias("x"))
+        found = lookup_join(left, spark.range(1000).select(F.col("id").alias("key")), "key", how)
+        found.write.format("noop").mode("overwrite").save()
+        found.collect()
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for c, value in before.items():
+            spark.conf.unset(c) if value is None else spark.conf.set(c, value)
 
 
 def test_duplicate_counts(spark):
@@ -346,3 +356,40 @@ def test_duplicate_counts(spark):
     assert sets.count_duplicates(rows).first()[0] == 2
     assert sets.drop_duplicates(rows).count() == 3
     assert sets.count_duplicates(rows.limit(0)).first()[0] == 0
+
+
+def plan_of(df, capsys):
+    capsys.readouterr()
+    df.explain()
+    return capsys.readouterr().out
+
+
+def test_a_line_is_parsed_once(spark, capsys):
+    from reelframe.plans.ingest import extract_records
+
+    lines = spark.createDataFrame([("f", '{"ExternalIds":[{"ID":1}],"Deeplinks":{"w":1}}')], "file_key string, line string")
+    for mode in ("text", "typed"):
+        records = extract_records(lines, mode=mode)
+        for df in (records, records.where("is_valid"), records.where("extracted_id = '1'").select("extracted_id")):
+            assert plan_of(df, capsys).count("parseJson") == 1
+
+
+def test_an_upsert_reads_each_side_once(spark, capsys):
+    from reelframe.sinks.keyed import upsert_latest
+
+    rows = spark.createDataFrame([("a", 1, "x")], "k string, t int, v string")
+    plan = plan_of(upsert_latest(rows, rows, ["k"], "t"), capsys)
+    assert plan.count("ExistingRDD") == 2 and plan.count("Window [") == 1 and plan.count("Join") == 1
+
+
+def test_details_by_external_id(spark):
+    schema = "id string, title string, name string, overview string, genres array<struct<name string>>, " \
+             "credits struct<cast array<struct<name string>>, crew array<struct<name string, job string>>>"
+    details = spark.createDataFrame([("7", "Seven", None, "o", [], ([], [])), ("tt9", "Nine", None, "o", [], ([], []))], schema)
+    rows = spark.createDataFrame([("tt1", "No Title"), ("7", "No Title"), ("tt9", "No Title"), ("8", "No Title"), ("7", "kept")],
+                                 "ID string, CleanTitle string")
+    id_map = spark.createDataFrame([("tt1", 7, None), ("tt9", 7, None)], "external_id string, movie_id int, tv_id int")
+    fill = lambda **kw: sorted(tuple(r) for r in cleaning.enrich_missing(
+        rows, details, placeholders={"CleanTitle": "No Title"}, **kw).collect())
+    assert fill() == [("7", "Seven"), ("7", "kept"), ("8", "No Title"), ("tt1", "No Title"), ("tt9", "Nine")]
+    assert fill(id_map=id_map) == [("7", "Seven"), ("7", "kept"), ("8", "No Title"), ("tt1", "Seven"), ("tt9", "Nine")]

@@ -115,3 +115,36 @@ def test_names_that_differ_only_in_case_are_refused(spark):
     users = frame(spark, "u", np.eye(2)).withColumnRenamed("userId", "id")
     with pytest.raises(ValueError, match="differ"):
         sim.recommend_topk(users, frame(spark, "i", np.eye(2)), 1, user_id="id")
+
+
+@pytest.mark.parametrize("shift, scale", [(0.0, 1e-6), (1e5, 1e-3), (65536.0, 2.0 ** -10), (-3e4, 1.0)])
+def test_distances_far_from_the_origin_and_tiny(spark, shift, scale):
+    rng = np.random.default_rng(11)
+    users, items = shift + scale * rng.normal(size=(20, 6)), shift + scale * rng.normal(size=(300, 6))
+    items[200:210] = items[3]
+    double = lambda prefix, name, m: spark.createDataFrame(
+        [(f"{prefix}{i:04d}", [float(x) for x in row]) for i, row in enumerate(m)], f"{name} string, embedding array<double>")
+    found = sim.recommend_topk(double("u", "userId", users), double("i", "ID", items), 10, metric="l2")
+    got = sorted((r["userId"], r["rank"], r["ID"], r["score"]) for r in found.collect())
+    want = []
+    for u, x in enumerate(users):
+        d = ((x - items) ** 2).sum(1)
+        want += [(f"u{u:04d}", r + 1, f"i{i:04d}", d[i]) for r, i in enumerate(sorted(range(300), key=lambda i: (d[i], i))[:10])]
+    assert [g[:3] for g in got] == [w[:3] for w in want]
+    assert np.allclose([g[3] for g in got], [w[3] for w in want], rtol=1e-12, atol=0)
+
+
+@pytest.mark.parametrize("bad, why", [([1.0, float("nan")], "no finite number"), ([float("inf"), 0.0], "no finite number"),
+                                      ([1.0, None], "no finite number"), ([1.0], "1 components, not 2"),
+                                      ([1.0, 2.0, 3.0, 4.0], "4 components, not 2")])
+@pytest.mark.parametrize("side", ["users", "items"])
+def test_bad_vectors_stop_the_query_and_are_listed(spark, bad, why, side):
+    good = [(f"{i:03d}", [float(i), 1.0]) for i in range(20)]
+    schema = "{} string, embedding array<double>"
+    users = spark.createDataFrame(good + [("bad", bad)] * (side == "users"), schema.format("userId"))
+    items = spark.createDataFrame(good + [("bad", bad)] * (side == "items"), schema.format("ID"))
+    for metric in ("cosine", "l2"):
+        with pytest.raises(Exception, match=f"bad has .*{why}"):
+            sim.recommend_topk(users, items, 3, metric=metric).collect()
+    faulty, key = (users, "userId") if side == "users" else (items, "ID")
+    assert [r[key] for r in sim.vector_faults(faulty, key, size=2).collect()] == ["bad"]

@@ -35,10 +35,26 @@ def test_json_array_must_be_a_list(spark, tmp_path):
     (tmp_path / "a.json").write_text('\n [{"ID":"1"},\n {"ID":"2"}]')
     assert documents.scan_json_array(spark, str(tmp_path), "ID STRING").count() == 2
     (tmp_path / "b.json").write_text('{"ID":"3"}')
-    with pytest.raises(Exception, match="must hold a list"):
+    with pytest.raises(Exception, match="must hold a JSON list.*b.json"):
         documents.scan_json_array(spark, str(tmp_path), "ID STRING").collect()
 
 
+@pytest.mark.parametrize("text", ['[{"ID":"1"},{"ID":"2"},{"ID":', '[{"ID":"1"} {"ID":"2"}]', "[1"])
+def test_a_broken_json_array_is_an_error(spark, tmp_path, text):
+    (tmp_path / "cut.json").write_text(text)
+    with pytest.raises(Exception, match="cut.json"):
+        documents.scan_json_array(spark, str(tmp_path), "ID STRING").collect()
+
+
+def test_text_in_brackets_stays_and_bad_trees_are_listed(spark):
+    tree = json.dumps({"r": {"content": {"Genres": "[Drama] x", "Cast": "[a", "Directors": "[\"d\"]"}}})
+    rows = spark.createDataFrame([("good", tree), ("bad", "{broken"), ("none", "{}"), ("null", None)], "k string, t string")
+    found = documents.flatten_document_tree(rows, "t").collect()
+    assert [(r["Genre"], r["Cast"], r["Directors"]) for r in found] == [("[Drama] x", "[a", "d")]
+    faults = {r["k"]: r["error"] for r in documents.tree_faults(rows, "k", "t").collect()}
+    assert faults == {"bad": "not a tree of documents", "none": "no documents", "null": "not a tree of documents"}
+
+
 def test_vector_documents_alone_and_in_lists(spark, tmp_path):
     (tmp_path / "7.json").write_text('{\n "original_text": "t",\n "embedding": [1, 2]}')
     (tmp_path / "many.json").write_text('[{"ID":"8","embedding":[1.5]},\n {"ID":"9","embedding":[2.5]}]')
@@ -68,6 +84,13 @@ def test_export_skips_finished_documents(spark, tmp_path):
     export_documents(trees, spark.read.parquet(done), rows, done)
     assert documents.scan_csv(spark, rows, documents.CONTENT_SCHEMA).count() == 6
     assert sorted(r["file_key"] for r in spark.read.parquet(done).collect()) == ["d1", "d2"]
+    broken = spark.createDataFrame([("d3", "{cut"), ("d4", TREE)], "file_key string, tree string").withColumn(
+        "processed_at", F.lit("2024-01-02").cast("timestamp"))
+    for _ in range(2):  # a run that is repeated under its name replaces itself
+        export_documents(broken, spark.read.parquet(done).where("run <> 'x'"), rows, done, str(tmp_path / "errors"), run="x")
+    assert documents.scan_csv(spark, rows, documents.CONTENT_SCHEMA).count() == 9
+    assert sorted(r["file_key"] for r in spark.read.parquet(done).collect()) == ["d1", "d2", "d4"]
+    assert [r["file_key"] for r in spark.read.json(str(tmp_path / "errors")).collect()] == ["d3"]
 
 
 def test_failures_and_vectors(spark, tmp_path):
@@ -75,8 +98,12 @@ def test_failures_and_vectors(spark, tmp_path):
                                     "ID string, original_text string, embedding array<double>, error string")
     files.write_failures(results, str(tmp_path / "f"), "ID")
     assert [r["ID"] for r in spark.read.json(str(tmp_path / "f")).collect()] == ["2"]
-    files.write_vectors(results.where("error IS NULL"), str(tmp_path / "v"))
+    files.write_vectors(results, str(tmp_path / "v"))
     assert vectors.scan_vector_store(spark, str(tmp_path / "v"), "ID", "embedding").first()["embedding"] == [1.0]
+    later = spark.createDataFrame([("3", "w", [3.0], None), ("1", "t", [1.5], None)], results.schema)
+    files.write_vectors(later, str(tmp_path / "v"))
+    stored = vectors.scan_vector_store(spark, str(tmp_path / "v"), "ID", "embedding").collect()
+    assert sorted((r["ID"], r["embedding"]) for r in stored) == [("1", [1.5]), ("3", [3.0])]
 
 
 def test_overwrite_counts_rows(spark, tmp_path):
