@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -50,3 +52,18 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors, once per Spark context.
+
+    Functions that run in tasks import it there; without this it has to be installed
+    on every machine or lie on its ``PYTHONPATH``.
+    """
+    context = spark.sparkContext
+    if not getattr(context, "_reelframe_shipped", False):
+        folder = Path(__file__).resolve().parent
+        archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='reelframe-')}/{folder.name}", "zip", folder.parent,
+                                      folder.name)
+        context.addPyFile(archive)
+        context._reelframe_shipped = True
