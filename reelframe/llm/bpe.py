@@ -55,7 +55,7 @@ class Vocabulary:
         self.pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}")
         self.strings = {i: s for s, i in (ids | self.special).items()}
         size = max(self.strings) + 1
-        shown = _byte_characters()
+        shown = byte_characters()
         self.inner = np.array([ids[c] for c in shown], np.int32)
         self.final = np.array([ids[c + end] for c in shown], np.int32)
         self.rank, self.left, self.right = np.full(size, -1), np.full(size, -1), np.full(size, -1)
@@ -99,7 +99,7 @@ class Vocabulary:
                 limit, y = int(rank[y]) + 1, int(self.left[y])
 
 
-def _byte_characters() -> list[str]:
+def byte_characters() -> list[str]:
     """The printable character that stands for each byte: itself if printable, else one from U+0100 on."""
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
     others = iter(range(256, 512))

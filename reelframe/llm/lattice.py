@@ -4,10 +4,13 @@ The pieces of an existing vocabulary, with a probability each, span every way of
 probability of the text is the sum over all of them, found by a forward recursion in log space. Words are runs of
 bytes without ASCII white space, written with a leading blank, and a piece never reaches over a blank, so the recursion
 runs once for every different word. A text ends with an end piece, which makes the sum over all texts one. Single bytes
-are always pieces: no text has probability zero.
+are always pieces: no text has probability zero. A word of the training texts has one more edge, over the whole word,
+which takes its count less a discount; the pieces share the mass that the discounts free.
 
-The vocabulary file gives the pieces and, by rank, their first weights; the weights are then fitted to the training
-texts by expectation maximisation over their word counts: some rounds over the most frequent words, one over all.
+The vocabulary files give the pieces and, by rank, their first weights; the weights are then fitted to the different
+words of the training texts by expectation maximisation: some rounds over the most frequent words, one over all. There
+is one set of weights for each of the ``CLASSES`` most frequent labels of the training texts (all other labels, and
+none, make one more); the label of a text to be scored is not known to the model, which sums over the classes.
 
 At scale: words are counted in each task before they are shuffled. The at most ``HEAD`` most frequent words are sent to
 the tasks; all other words of a document go through a shuffle by word to their counts and scores, and come back summed.
@@ -19,17 +22,22 @@ texts; equal rows are separate documents; an empty table gives an empty result;
 
 from __future__ import annotations
 
+import json
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reelframe.llm.bpe import byte_characters
 from reelframe.llm.common import U64, Lookup, slices, written
 
-VOCABULARY = "piece_bpe_32k.model"
+VOCABULARIES = ("piece_bpe_32k.model", "word_bpe_49k.json")
+CLASSES = 7
+DISCOUNT = 0.7
 HEAD = 200_000
 """At most so many words are sent to the tasks, none of them longer than ``HEAD_BYTES``."""
 HEAD_BYTES = 64
@@ -38,30 +46,41 @@ _GATHERED = 300_000
 _LANES_UP_TO = 48
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _PIECE_BYTES = 1 << 20
+_WORDS = 10_000
 _LOG10 = np.log(10.0)
 
 
-def vocabulary_path() -> str:
+def vocabulary_paths() -> list[str]:
     import public_tokenizers
 
-    return public_tokenizers.path(VOCABULARY)
+    return [public_tokenizers.path(v) for v in VOCABULARIES]
 
 
-def vocabulary_pieces(path: str) -> list[bytes]:
-    """The pieces of a sentencepiece file by rank, with a blank for the mark of a word's start, and all single bytes."""
+def _pieces_of(path: str) -> list[bytes]:
+    """The pieces of a file by rank, with a blank for the start of a word; a piece that ends words comes with and without."""
+    if path.endswith(".json"):
+        with open(path, encoding="utf-8") as file:
+            named = json.load(file)["model"]["vocab"]
+        raw = {c: bytes([b]) for b, c in enumerate(byte_characters())}
+        plain = [b"".join(raw[c] for c in p.removesuffix("</w>")) for p in named]
+        return [q for p in plain for q in (p, b" " + p)]
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    named = [model.id_to_piece(i).replace("▁", " ").encode() for i in range(model.get_piece_size())
-             if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
-    usable = [p for p in named if p.translate(_LOWER) == p and b" " not in p[1:]]
+    return [model.id_to_piece(i).replace("▁", " ").encode() for i in range(model.get_piece_size())
+            if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
+
+
+def vocabulary_pieces(paths: list[str]) -> list[bytes]:
+    """The pieces that lower-case words can hold, and all single bytes."""
+    usable = [p for path in paths for p in _pieces_of(path) if p.translate(_LOWER) == p and b" " not in p[1:]]
     return list(dict.fromkeys(usable + [bytes([b]) for b in range(256)]))
 
 
 class Lattice:
-    """Pieces, their log weights (natural), the weight of the end, and the trie of reversed pieces."""
+    """Pieces, the trie of them reversed, and their log weights (natural) with a column for each class."""
 
-    def __init__(self, pieces: list[bytes]):
+    def __init__(self, pieces: list[bytes], classes: int = 1):
         steps, ends_in = {}, [-1]
         for t, piece in enumerate(pieces):
             state = 0
@@ -73,7 +92,7 @@ class Lattice:
         self.ends_in = np.array(ends_in, np.int64)
         self.steps, self.states = Lookup(np.fromiter(steps, U64)), np.fromiter(steps.values(), np.int64)
         first = 1 / (np.arange(len(pieces)) + 100.0)
-        self.weight, self.end = np.log(first / first.sum()) + np.log(0.999), np.log(0.001)
+        self.weight = np.repeat(np.log(first / first.sum())[:, None], classes, axis=1)
 
     def _ends(self, raw: np.ndarray, start: np.ndarray, i: int) -> tuple[np.ndarray, np.ndarray]:
         """All pieces that end at byte ``i`` of each word: (word, piece)."""
@@ -90,66 +109,98 @@ class Lattice:
         return np.concatenate(words), np.concatenate(pieces)
 
     def score(self, words: list[bytes], counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None]:
-        """Log probability of every word; with counts also the expected number of uses of every piece."""
+        """Log probability of every word in every class; with counts also the expected uses of every piece."""
+        classes = self.weight.shape[1]
         lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
-        out, uses = np.zeros(len(words)), None if counts is None else np.zeros(len(self.length))
+        out, uses = np.zeros((len(words), classes)), None if counts is None else np.zeros_like(self.weight)
         order = np.argsort(-lengths, kind="stable")
         long = int(np.searchsorted(-lengths[order], -_LANES_UP_TO))
         for w in order[:long].tolist():
-            out[w] = self._one(b" " + words[w], 0 if counts is None else counts[w], uses)
+            out[w] = self._one(b" " + words[w], None if counts is None else counts[w], uses)
         order = order[long:]
         if not len(order):
             return out, uses
         raw = np.frombuffer(b"".join(b" " + words[w] for w in order.tolist()), np.uint8).astype(np.int64)
         length = lengths[order]
         start = np.cumsum(length) - length
-        forward, edges = np.full((len(order), int(length[0]) + 1), -np.inf), []
-        forward[:, 0] = 0
+        forward, edges = np.full((classes, len(order), int(length[0]) + 1), -np.inf), []
+        forward[:, :, 0] = 0
         for i in range(int(length[0])):
             lanes = int(np.searchsorted(-length, -i))
             word, piece = self._ends(raw, start[:lanes], i)
-            value = forward[word, i + 1 - self.length[piece]] + self.weight[piece]
-            top = np.full(lanes, -np.inf)
-            np.maximum.at(top, word, value)
-            forward[:lanes, i + 1] = top + np.log(np.bincount(word, np.exp(value - top[word]), minlength=lanes))
-            edges.append((word, piece, value))
-        total = forward[np.arange(len(order)), length]
-        out[order] = total
-        if counts is not None:
-            share = np.zeros_like(forward)
-            share[np.arange(len(order)), length] = counts[order]
+            by_word = np.argsort(word, kind="stable")
+            word, piece = word[by_word], piece[by_word]
+            first = np.searchsorted(word, np.arange(lanes))
+            for c in range(classes):
+                value = forward[c, word, i + 1 - self.length[piece]] + self.weight[piece, c]
+                top = np.maximum.reduceat(value, first)
+                forward[c, :lanes, i + 1] = top + np.log(np.add.reduceat(np.exp(value - top[word]), first))
+            if counts is not None:
+                edges.append((word, piece))
+        ends = np.arange(len(order))
+        out[order] = forward[:, ends, length].T
+        for c in range(classes if counts is not None else 0):
+            share = np.zeros(forward.shape[1:])
+            share[ends, length] = counts[order, c]
             for i in range(int(length[0]) - 1, -1, -1):
-                word, piece, value = edges[i]
-                part = share[word, i + 1] * np.exp(value - forward[word, i + 1])
-                uses += np.bincount(piece, part, minlength=len(uses))
+                word, piece = edges[i]
+                value = forward[c, word, i + 1 - self.length[piece]] + self.weight[piece, c]
+                part = share[word, i + 1] * np.exp(value - forward[c, word, i + 1])
+                uses[:, c] += np.bincount(piece, part, minlength=len(uses))
                 np.add.at(share, (word, i + 1 - self.length[piece]), part)
         return out, uses
 
-    def _one(self, word: bytes, count: float, uses: np.ndarray | None) -> float:
+    def _one(self, word: bytes, counts: np.ndarray | None, uses: np.ndarray | None) -> np.ndarray:
         """The same for one long word."""
-        raw, forward, edges = np.frombuffer(word, np.uint8).astype(np.int64), np.full(len(word) + 1, -np.inf), []
+        raw, edges = np.frombuffer(word, np.uint8).astype(np.int64), []
+        forward = np.full((len(word) + 1, self.weight.shape[1]), -np.inf)
         forward[0] = 0
+        longest = int(self.length.max())
         for i in range(len(word)):
-            begin = max(0, i + 1 - int(self.length.max()))
+            begin = max(0, i + 1 - longest)
             _, piece = self._ends(raw[begin:], np.zeros(1, np.int64), i - begin)
             value = forward[i + 1 - self.length[piece]] + self.weight[piece]
-            forward[i + 1] = value.max() + np.log(np.exp(value - value.max()).sum())
+            top = value.max(axis=0)
+            forward[i + 1] = top + np.log(np.exp(value - top).sum(axis=0))
             if uses is not None:
                 edges.append((piece, value))
         if uses is not None:
-            share = np.zeros(len(word) + 1)
-            share[-1] = count
+            share = np.zeros_like(forward)
+            share[-1] = counts
             for i in range(len(word) - 1, -1, -1):
                 piece, value = edges[i]
                 part = share[i + 1] * np.exp(value - forward[i + 1])
                 uses[piece] += part
                 share[i + 1 - self.length[piece]] += part
-        return float(forward[-1])
+        return forward[-1]
+
+    def refit(self, uses: np.ndarray) -> None:
+        """New weights from expected uses, a hundredth of a use added to each."""
+        self.weight = np.log((uses + 0.01) / (uses + 0.01).sum(axis=0))
+
+
+@dataclass
+class Model:
+    """The lattice and, for each class, its tokens, ends and different words in training, and its share of the texts.
 
-    def refit(self, uses: np.ndarray, ends: float) -> None:
-        """New weights from expected uses, a tenth of a use added to each."""
-        total = uses.sum() + 0.1 * len(uses) + ends + 0.1
-        self.weight, self.end = np.log((uses + 0.1) / total), np.log((ends + 0.1) / total)
+    A word of class c has probability ``(count - DISCOUNT) / tokens`` by its own edge plus
+    ``DISCOUNT * different / tokens`` times its sum over pieces; nothing is discounted from the end.
+    """
+
+    lattice: Lattice
+    tokens: np.ndarray
+    ends: np.ndarray
+    different: np.ndarray
+    prior: np.ndarray
+
+    def log10(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
+        spelled = self.lattice.score(words)[0] + np.log((DISCOUNT * self.different + 0.5) / self.tokens)
+        whole = np.log(np.maximum(counts - DISCOUNT, 1e-300) / self.tokens)
+        return np.logaddexp(spelled, np.where(counts > 0, whole, -np.inf)) / _LOG10
+
+    @property
+    def end(self) -> np.ndarray:
+        return np.log10((self.ends + 0.5) / self.tokens)
 
 
 def text_words(text: bytes) -> list[bytes]:
@@ -160,52 +211,60 @@ def _texts(column: pa.Array) -> list[bytes]:
     return [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]
 
 
-def _word_rows(counts: Counter, trained: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(list(counts), pa.binary()), pa.array([trained.get(w, 0) for w in counts], pa.int64())], ["word", "c"])
+def _counting(classes: int):
+    """Words of the task with their counts in the training texts of each class; other words come with zeros."""
+    def rows(counts: list[Counter], seen: Counter) -> pa.RecordBatch:
+        words = list(set().union(seen, *counts))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(words, pa.binary()), *[pa.array([c.get(w, 0) for w in words], pa.int64()) for c in counts]],
+            ["word", *[f"c{i}" for i in range(classes)]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, seen = [Counter() for _ in range(classes)], Counter()
+        for batch in batches:
+            for part in slices(batch, 1, _PIECE_BYTES):
+                for k, text in zip(part.column(0).to_pylist(), _texts(part.column(1))):
+                    (seen if k is None else counts[k]).update(text_words(text))
+                if len(seen) + sum(map(len, counts)) > _GATHERED:
+                    yield rows(counts, seen)
+                    counts, seen = [Counter() for _ in range(classes)], Counter()
+        yield rows(counts, seen)
+    return run
 
 
-def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words of the task with their counts in training texts; words of held-out texts come with 0."""
-    seen, trained = Counter(), Counter()
-    for batch in batches:
-        for part in slices(batch, 1, _PIECE_BYTES):
-            for out, text in zip(part.column(0).to_pylist(), _texts(part.column(1))):
-                words = text_words(text)
-                seen.update(words) if out else trained.update(words)
-            if len(seen) + len(trained) > _GATHERED:
-                yield _word_rows(seen | trained, trained)
-                seen, trained = Counter(), Counter()
-    yield _word_rows(seen | trained, trained)
+def _counts(batch: pa.RecordBatch, classes: int) -> np.ndarray:
+    return np.stack([batch.column(f"c{i}").to_numpy() for i in range(classes)], axis=1).astype(float)
 
 
-def _expecting(shared):
+def _expecting(shared, classes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice, total = shared.value, None
         for batch in batches:
-            words, counts = batch.column(0).to_pylist(), batch.column(1).to_numpy().astype(float)
-            for at in range(0, len(words), 20_000):
-                _, uses = lattice.score(words[at:at + 20_000], counts[at:at + 20_000])
+            words, types = batch.column("word").to_pylist(), np.minimum(_counts(batch, classes), 1)
+            for at in range(0, len(words), _WORDS):
+                _, uses = lattice.score(words[at:at + _WORDS], types[at:at + _WORDS])
                 total = uses if total is None else total + uses
         if total is not None:
-            used = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["piece", "uses"])
+            used, k = np.nonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(k), pa.array(total[used, k])],
+                                             ["piece", "class", "uses"])
     return run
 
 
-def _scoring(shared):
+def _scoring(shared, classes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = shared.value
+        model = shared.value
         for batch in batches:
-            words = batch.column(0).to_pylist()
-            scores = [lattice.score(words[at:at + 20_000])[0] for at in range(0, len(words), 20_000)]
+            words, counts = batch.column("word").to_pylist(), _counts(batch, classes)
+            scores = [model.log10(words[at:at + _WORDS], counts[at:at + _WORDS]) for at in range(0, len(words), _WORDS)]
+            found = np.concatenate(scores) if scores else np.zeros((0, classes))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(np.concatenate(scores) / _LOG10 if scores else [],
-                                                            pa.float64())], ["word", "c", "log_p"])
+                [batch.column("word"), batch.column("c"), batch.column("level"), *[pa.array(x) for x in found.T]],
+                ["word", "c", "level", *[f"p{i}" for i in range(classes)]])
     return run
 
 
-def _reading(shared):
+def _reading(shared, classes: int):
     """Sums over the frequent words of each text, and its other words with their counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, c, log_p = shared.value
@@ -213,25 +272,25 @@ def _reading(shared):
         log_c = np.log10(c + 0.1)
         for batch in batches:
             for part in slices(batch, 2, _PIECE_BYTES):
-                rows = []
-                for text in _texts(part.column(2)):
+                rows, sums = [], np.zeros((part.num_rows, classes))
+                for i, text in enumerate(_texts(part.column(2))):
                     words = text_words(text)
                     at = np.fromiter((index.get(w, -1) for w in words), np.int64, len(words))
-                    rest = Counter(words[i] for i in np.flatnonzero(at < 0).tolist())
+                    rest = Counter(words[j] for j in np.flatnonzero(at < 0).tolist())
                     at = at[at >= 0]
-                    rows.append((len(words), int((c[at] > 0).sum()), float(log_c[at].sum()), float(log_p[at].sum()),
-                                 rest))
-                size = np.array([len(r[4]) for r in rows], np.int32)
+                    sums[i] = log_p[at].sum(axis=0)
+                    rows.append((len(words), len(at), float(log_c[at].sum()), rest))
+                size = np.array([len(r[3]) for r in rows], np.int32)
                 rest = pa.ListArray.from_arrays(
                     pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()),
-                    pa.StructArray.from_arrays([pa.array([w for r in rows for w in r[4]], pa.binary()),
-                                                pa.array([n for r in rows for n in r[4].values()], pa.int64())],
+                    pa.StructArray.from_arrays([pa.array([w for r in rows for w in r[3]], pa.binary()),
+                                                pa.array([n for r in rows for n in r[3].values()], pa.int64())],
                                                ["word", "n"]))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array([r[0] for r in rows], pa.int64()),
                      pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.float64()),
-                     pa.array([r[3] for r in rows], pa.float64()), rest],
-                    ["doc_id", "held_out", "words", "known", "log_c", "log_p", "rest"])
+                     *[pa.array(x) for x in sums.T], rest],
+                    ["doc_id", "held_out", "words", "known", "log_c", *[f"p{i}" for i in range(classes)], "rest"])
     return run
 
 
@@ -246,53 +305,73 @@ def _head_level(words: DataFrame) -> int:
     return level
 
 
-def score_texts(docs: DataFrame, held_out: Column, path: str | None = None, id_col: str = "doc_id",
-                text_col: str = "text") -> DataFrame:
+def score_texts(docs: DataFrame, held_out: Column, paths: list[str] | None = None, id_col: str = "doc_id",
+                text_col: str = "text", label_col: str | None = "lang") -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every row."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).alias("doc_id"), held_out.alias("held_out"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), held_out.alias("held_out"), F.col(text_col).alias("text"),
+                       (F.col(label_col) if label_col else F.lit(None)).cast("string").alias("label"))
+    trained = rows.filter(~F.col("held_out"))
+    top = trained.filter("label is not null").groupBy("label").count().orderBy(F.desc("count"), "label") \
+        .limit(CLASSES).collect()
+    kind_of = F.lit(len(top))
+    for i, r in enumerate(top):
+        kind_of = F.when(F.col("label") == r.label, i).otherwise(kind_of)
+    n_ends = trained.count()
+    ends = np.array([r["count"] for r in top] + [n_ends - sum(r["count"] for r in top)], float)
+    classes = len(ends)
+    counted, scores = [f"c{i}" for i in range(classes)], [f"p{i}" for i in range(classes)]
+    total = sum((F.col(c) for c in counted[1:]), F.col("c0"))
     level = F.when((F.col("c") > 0) & (F.length("word") <= HEAD_BYTES), F.floor(8 * F.log2("c"))).otherwise(-1)
-    words = written(rows.select("held_out", "text").mapInArrow(_counting, "word binary, c long")
-                    .groupBy("word").agg(F.sum("c").alias("c")).withColumn("level", level.cast("int")), "lm-words")
-    ends = rows.filter(~F.col("held_out")).count()
-    sums = words.agg(F.sum("c"), F.sum((F.col("c") > 0).cast("long"))).first()
-    train_tokens, different = (sums[0] or 0) + ends, (sums[1] or 0) + (ends > 0)
+    words = written(
+        rows.select(F.when(~F.col("held_out"), kind_of).alias("k"), "text")
+        .mapInArrow(_counting(classes), "word binary, " + ", ".join(f"{c} long" for c in counted))
+        .groupBy("word").agg(*[F.sum(c).alias(c) for c in counted])
+        .withColumn("c", total).withColumn("level", level.cast("int")), "lm-words")
+    sums = words.agg(F.sum("c"), F.sum((F.col("c") > 0).cast("long")), *[F.sum(c) for c in counted],
+                     *[F.sum((F.col(c) > 0).cast("long")) for c in counted]).first()
+    train_tokens, different = (sums[0] or 0) + n_ends, (sums[1] or 0) + (n_ends > 0)
+    of_class = np.array([x or 0 for x in sums[2:]], float).reshape(2, classes)
     least = _head_level(words)
 
-    lattice = Lattice(vocabulary_pieces(path or vocabulary_path()))
+    lattice = Lattice(vocabulary_pieces(paths or vocabulary_paths()), classes)
     frequent = F.col("level") >= least
     for turn in range(HEAD_ROUNDS + 1):
         shared = spark.sparkContext.broadcast(lattice)
-        some = words.filter(frequent if turn < HEAD_ROUNDS else F.col("c") > 0).select("word", "c")
-        uses = some.mapInArrow(_expecting(shared), "piece long, uses double") \
-            .groupBy("piece").agg(F.sum("uses").alias("uses")).toArrow()
-        if not uses.num_rows:
-            continue
-        total = np.zeros(len(lattice.length))
-        total[uses.column("piece").to_numpy()] = uses.column("uses").to_numpy()
-        lattice.refit(total, ends)
-    shared = spark.sparkContext.broadcast(lattice)
-    scored = written(words.select("word", "c").mapInArrow(_scoring(shared), "word binary, c long, log_p double")
-                     .withColumn("level", level.cast("int")), "lm-scores")
-    head = scored.filter(frequent).select("word", "c", "log_p").toArrow()
-    sent = spark.sparkContext.broadcast((head.column("word").to_pylist(), head.column("c").to_numpy(),
-                                         head.column("log_p").to_numpy()))
+        some = words.filter(frequent if turn < HEAD_ROUNDS else F.col("c") > 0).select("word", *counted)
+        uses = some.mapInArrow(_expecting(shared, classes), "piece long, class long, uses double") \
+            .groupBy("piece", "class").agg(F.sum("uses").alias("uses")).toArrow()
+        found = np.zeros_like(lattice.weight)
+        found[uses.column("piece").to_numpy(), uses.column("class").to_numpy()] = uses.column("uses").to_numpy()
+        lattice.refit(found)
+    model = Model(lattice, of_class[0] + ends + 1, ends, of_class[1], (ends + 0.5) / (ends + 0.5).sum())
+    shared = spark.sparkContext.broadcast(model)
+    scored = written(words.mapInArrow(_scoring(shared, classes), "word binary, c long, level int, "
+                                      + ", ".join(f"{p} double" for p in scores)), "lm-scores")
+    head = scored.filter(frequent).select("word", "c", *scores).toArrow()
+    log_p = np.stack([head.column(p).to_numpy() for p in scores], axis=1)
+    sent = spark.sparkContext.broadcast((head.column("word").to_pylist(), head.column("c").to_numpy(), log_p))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    read = written(rows.mapInArrow(
-        _reading(sent), f"doc_id {kind}, held_out boolean, words long, known long, log_c double, log_p double, "
-                        "rest array<struct<word: binary, n: long>>")
+    read = written(rows.select("doc_id", "held_out", "text").mapInArrow(
+        _reading(sent, classes), f"doc_id {kind}, held_out boolean, words long, known long, log_c double, "
+        + ", ".join(f"{p} double" for p in scores) + ", rest array<struct<word: binary, n: long>>")
         .withColumn("row", F.monotonically_increasing_id()), "lm-texts")
+    each = lambda c: F.sum(F.col("n") * c)
     rare = read.select("row", F.explode("rest").alias("r")).select("row", "r.word", "r.n") \
         .join(scored.filter(~frequent), "word") \
-        .groupBy("row").agg(F.sum(F.col("n") * (F.col("c") > 0).cast("long")).alias("known_2"),
-                            F.sum(F.col("n") * F.log10(F.col("c") + 0.1)).alias("log_c_2"),
-                            F.sum(F.col("n") * F.col("log_p")).alias("log_p_2"))
-    floor, end = np.log10(train_tokens + 0.1 * (different + 1)), lattice.end / _LOG10
+        .groupBy("row").agg(each((F.col("c") > 0).cast("long")).alias("known_2"),
+                            each(F.log10(F.col("c") + 0.1)).alias("log_c_2"),
+                            *[each(F.col(p)).alias(f"{p}_2") for p in scores])
+    floor = np.log10(train_tokens + 0.1 * (different + 1))
     tokens = F.col("words") + 1
     or_0 = lambda c: F.coalesce(c, F.lit(0))
-    return read.select("row", "doc_id", "held_out", "words", "known", "log_c", "log_p").join(rare, "row", "left").select(
+    by_class = [F.col(p) + or_0(f"{p}_2") + float(e + np.log10(share))
+                for p, e, share in zip(scores, model.end, model.prior)]
+    highest = F.greatest(*by_class) if classes > 1 else by_class[0]
+    rest = sum((F.pow(F.lit(10.0), x - F.col("top")) for x in by_class[1:]), F.pow(F.lit(10.0), by_class[0] - F.col("top")))
+    return read.drop("rest").join(rare, "row", "left").withColumn("top", highest).select(
         "doc_id", "held_out", tokens.alias("n_tokens"),
-        (F.col("known") + or_0("known_2") + int(ends > 0)).alias("n_known"),
+        (F.col("known") + or_0("known_2") + int(n_ends > 0)).alias("n_known"),
         F.lit(train_tokens).cast("long").alias("train_tokens"),
-        (F.col("log_c") + or_0("log_c_2") + float(np.log10(ends + 0.1)) - tokens * float(floor)).alias("base_score"),
-        (F.col("log_p") + or_0("log_p_2") + float(end)).alias("score"))
+        (F.col("log_c") + or_0("log_c_2") + float(np.log10(n_ends + 0.1)) - tokens * float(floor)).alias("base_score"),
+        (F.col("top") + F.log10(rest)).alias("score"))

@@ -22,24 +22,40 @@ def brute(word, pieces):
 def test_sum_over_segmentations_and_expected_uses():
     pieces = [b" a", b"ab", b"b", b"aba", b" ", b"a", b"c", b"ca"]
     lattice = m.Lattice(pieces)
-    weights = dict(zip(pieces, np.exp(lattice.weight)))
+    weights = dict(zip(pieces, np.exp(lattice.weight[:, 0])))
     words = [b"ab", b"aba", b"cab", b"abab" * 3, b"b" * 60, b"ca" * 30]
-    got, uses = lattice.score(words, np.arange(1.0, 7.0))
-    for w, x in zip(words[:4], got):
+    got, uses = lattice.score(words, np.arange(1.0, 7.0)[:, None])
+    for w, x in zip(words[:4], got[:, 0]):
         assert math.isclose(x, math.log(brute(b" " + w, weights)), rel_tol=1e-12)
     spans = sum(c * (len(w) + 1) for w, c in zip(words, range(1, 7)))
-    assert math.isclose(float(uses @ lattice.length), spans, rel_tol=1e-9)
+    assert math.isclose(float(uses[:, 0] @ lattice.length), spans, rel_tol=1e-9)
     long, _ = lattice.score([b"ab" * 40])
     with pytest.MonkeyPatch.context() as patch:
         patch.setattr(m, "_LANES_UP_TO", 1000)
-        assert math.isclose(long[0], lattice.score([b"ab" * 40])[0][0], rel_tol=1e-12)
+        assert math.isclose(long[0, 0], lattice.score([b"ab" * 40])[0][0, 0], rel_tol=1e-12)
 
 
-def test_probabilities_of_all_texts_sum_to_at_most_one():
-    lattice = m.Lattice([b" ", b"a", b"b", b" a"])
-    w = {x: math.exp(v) for x, v in zip([b" ", b"a", b"b", b" a"], lattice.weight)}
-    words = [b"".join(t) for n in range(1, 6) for t in itertools.product([b"a", b"b"], repeat=n)]
-    assert sum(brute(b" " + x, w) for x in words) < 1
+def test_classes_are_scored_side_by_side():
+    both, alone = m.Lattice([b" ", b"a", b"b", b" a", b"ab"], 2), [m.Lattice([b" ", b"a", b"b", b" a", b"ab"]) for _ in "xy"]
+    counts = np.array([[1.0, 0], [0, 2], [3, 1]])
+    words = [b"ab", b"ba", b"ab" * 40]
+    for _ in range(3):
+        both.refit(both.score(words, counts)[1])
+        for c, one in enumerate(alone):
+            one.refit(one.score(words, counts[:, c:c + 1])[1])
+    got = both.score(words)[0]
+    assert np.allclose(got, np.concatenate([one.score(words)[0] for one in alone], axis=1))
+
+
+def test_probabilities_of_all_words_sum_to_one():
+    """Spelled over an alphabet of two, and with words of their own edge."""
+    lattice = m.Lattice([b" ", b"a", b"b"])
+    lattice.weight = np.log(np.array([[0.4], [0.3], [0.3]]))
+    model = m.Model(lattice, np.array([11.0]), np.array([2.0]), np.array([3.0]), np.array([1.0]))
+    counts = {b"a": 4, b"ab": 3, b"bb": 1}
+    words = [b"".join(w) for n in range(1, 12) for w in itertools.product([b"a", b"b"], repeat=n)]
+    p = 10 ** model.log10(words, np.array([[counts.get(w, 0)] for w in words], float))
+    assert p.sum() + 10 ** model.end[0] < 1
 
 
 HARD = [(0, None), (1, ""), (2, " \t"), (3, "The THE the É é"), (3, "The THE the É é"), (None, "zzz unseen\x0bword"),
@@ -49,8 +65,8 @@ HARD = [(0, None), (1, ""), (2, " \t"), (3, "The THE the É é"), (3, "The THE t
 @pytest.mark.parametrize("head", [3, 200_000])
 def test_counts_and_base(spark, sf_dir, head, monkeypatch):
     monkeypatch.setattr(m, "HEAD", head)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").limit(120) \
-        .union(spark.createDataFrame(HARD, "doc_id long, text string"))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang").limit(120) \
+        .union(spark.createDataFrame([(*r, None) for r in HARD], "doc_id long, text string, lang string"))
     rows = [(r.doc_id, r.text or "") for r in docs.collect()]
     low = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
     tokens = [(d, [*t.encode().translate(low).split(), None]) for d, t in rows]
@@ -62,13 +78,16 @@ def test_counts_and_base(spark, sf_dir, head, monkeypatch):
     got = m.score_texts(docs, held_out(F.col("doc_id"), 10, 0)).collect()
     assert sorted((r.doc_id is None, r.doc_id or 0, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6))
                   for r in got) == want
+    assert {r.score for r in got if r.n_tokens == 1} != set()
     assert all(r.held_out == out(r.doc_id) and r.score < 0 and math.isfinite(r.score) for r in got)
 
 
-def test_fit_beats_first_weights_and_empty_table(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    got = m.score_texts(docs, held_out(F.col("doc_id"), 10, 0)).filter("held_out").agg(F.sum("score")).first()[0]
-    start = m.Lattice(m.vocabulary_pieces(m.vocabulary_path()))
+def test_fit_beats_first_weights_and_base(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("row", F.lit(1))
+    got = m.score_texts(docs, held_out(F.col("doc_id"), 10, 0)).filter("held_out") \
+        .agg(F.sum("score"), F.sum("base_score")).first()
+    start = m.Lattice(m.vocabulary_pieces(m.vocabulary_paths()))
     words = [w for r in docs.filter(held_out(F.col("doc_id"), 10, 0)).collect() for w in m.text_words(r.text.encode())]
-    assert got > start.score(words)[0].sum() / math.log(10)
+    assert got[0] > start.score(words)[0].sum() / math.log(10)
+    assert got[0] > 1.1 * got[1]
     assert m.score_texts(docs.limit(0), held_out(F.col("doc_id"), 10, 0)).count() == 0
