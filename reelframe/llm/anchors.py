@@ -2,7 +2,7 @@
 
 Every window of a text is assigned an anchor, the gram in it with the smallest hash. Equal windows have equal anchors,
 so only windows whose anchor occurs elsewhere can repeat. Neighbouring windows with one anchor make a segment. Segments
-meet in shards by the hash of their anchor, never all texts in one place, and every window start of a text lies in
+meet by their anchor, in shards of about a megabyte that pass through a task one after another, and every window start of a text lies in
 exactly one segment. What a shard does with its segments is up to the operator (a suffix array, an FM-index).
 
 Scale: equal texts collapse first; grams are counted within the tasks before the shuffle; equal segments of a task are
@@ -26,10 +26,10 @@ from reelframe.llm.common import U64, mixed, ragged, slices, written
 
 CROWD = 1000
 SHARD_BYTES = 1 << 20
-_BATCH = 1 << 20
+_BATCH = 1 << 18
 _POSITION_BITS = 28
 _P, _Q = 0x9E3779B97F4A7C15, 0xA0761D6478BD642F
-_PACK = 32 << 20
+_PACK = 16 << 20
 _LONG = 4 << 20
 
 
@@ -300,19 +300,37 @@ _RUN = "array<struct<at: long, n: long, doc: long>>"
 
 
 def _matching(unit: Unit, matches):
-    """Applies ``matches`` to the groups of a shard: equal segments of several tasks are put together first."""
-    def run(rows: pa.Table) -> pa.Table:
-        groups: dict[int, dict[int, list]] = {}
-        for h, c, content, weight, doc in zip(*(rows.column(x).to_pylist() for x in ("h", "c", "content", "weight", "doc"))):
-            own = groups.setdefault(h, {}).setdefault(c, [content, 0, None])
-            own[1] += weight
-            own[2] = _least(own[2], doc)
+    """Applies ``matches`` to runs of whole groups; equal segments that several tasks sent are put together first.
+
+    The rows come in the order of their anchors, so a group ends where the next one begins and no more than
+    ``SHARD_BYTES`` and one group are held.
+    """
+    def found(groups: dict[int, dict[int, list]]) -> pa.RecordBatch:
         keys = [(h, c) for h, own in groups.items() for c in own]
         runs = matches([list(own.values()) for own in groups.values()], unit)
-        return pa.Table.from_arrays(
+        return pa.RecordBatch.from_arrays(
             [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
              pa.array(runs, pa.list_(pa.struct([("at", pa.int64()), ("n", pa.int64()), ("doc", pa.int64())])))],
             ["h", "c", "runs"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        groups: dict[int, dict[int, list]] = {}
+        held = 0
+        for batch in batches:
+            for part in slices(batch, 2, _BATCH):
+                for h, c, content, weight, doc in zip(*(x.to_pylist() for x in part.columns)):
+                    if h not in groups:
+                        if held > SHARD_BYTES:
+                            yield found(groups)
+                            groups, held = {}, 0
+                        groups[h] = {}
+                    own = groups[h].get(c)
+                    if own is None:
+                        own = groups[h][c] = [content, 0, None]
+                        held += len(content)
+                    own[1] += weight
+                    own[2] = _least(own[2], doc)
+        yield found(groups)
     return run
 
 
@@ -356,9 +374,7 @@ def find_repeats(docs: DataFrame, unit: Unit, matches, plain, twice: bool, id_co
     rows = written(suspects.select("digest", "text", "copies", "doc", "hs").mapInArrow(_segmenting(unit), schema),
                    "segments")
     contents = rows.filter("kind = 'content'").select("h", "c", "content", "weight", "doc")
-    size = contents.agg(F.sum(F.length("content"))).first()[0] or 0
-    shards = max(1, size // SHARD_BYTES)
-    runs = contents.groupBy(F.pmod(F.xxhash64("h"), F.lit(shards)).alias("shard")).applyInArrow(
+    runs = contents.repartition("h").sortWithinPartitions("h", "c").mapInArrow(
         _matching(unit, matches), f"h long, c long, runs {_RUN}")
     windows = rows.filter("kind = 'window'").select("w1", "w2", "h", "c", "at", "weight", "doc")
     several = windows.groupBy("w1", "w2").agg(F.sum("weight").alias("all"), F.min("doc").alias("doc")).filter("all > 1")
