@@ -150,8 +150,8 @@ def _radii(centres):
     return run
 
 
-def _tiles(placed: DataFrame, least: float) -> DataFrame:
-    """``leaf, part, tile, side``: the tiles that every part of a leaf takes part in.
+def _near_leaves(placed: DataFrame, least: float) -> DataFrame:
+    """``i, j``, i <= j: the pairs of leaves that may hold a link.
 
     The driver holds a centre and a radius per leaf, of which the tree has at most 1024 per vector length.
     """
@@ -166,15 +166,31 @@ def _tiles(placed: DataFrame, least: float) -> DataFrame:
     radii = {(r.leaf, r["size"]): r.radius for r in
              placed.select("leaf", "v").mapInArrow(_radii(sent), "leaf long, size long, radius double")
              .groupBy("leaf", "size").agg(F.max("radius").alias("radius")).collect()}
-    parts = {r.leaf: -(-r["count"] // (2 * PER_LEAF)) for r in placed.groupBy("leaf").count().collect()}
-    allowed, keys, pairs = np.arccos(least) + 1e-6, sorted(centres), set()
-    for x, (i, size) in enumerate(keys):
-        for j, other in keys[x:]:
-            if size == other and np.arccos(np.clip(centres[i, size] @ centres[j, size], -1, 1)) \
-                    <= allowed + radii[i, size] + radii[j, size]:
-                pairs |= {((i, a), (j, b)) for a in range(parts[i]) for b in range(parts[j]) if i != j or a <= b}
-    rows = [(*block, t, side) for t, pair in enumerate(sorted(pairs)) for side, block in enumerate(dict.fromkeys(pair))]
-    return placed.sparkSession.createDataFrame(rows, "leaf long, part int, tile int, side int")
+    pairs: set[tuple[int, int]] = set()
+    for size in {s for _, s in centres}:
+        leaves = sorted(leaf for leaf, s in centres if s == size)
+        middle, radius = np.stack([centres[x, size] for x in leaves]), np.array([radii[x, size] for x in leaves])
+        allowed = np.arccos(least) + 1e-6 + radius + radius[:, None]
+        i, j = np.nonzero(np.triu(np.arccos(np.clip(middle @ middle.T, -1, 1)) <= allowed))
+        pairs |= {(leaves[x], leaves[y]) for x, y in zip(i.tolist(), j.tolist())}
+    return placed.sparkSession.createDataFrame(sorted(pairs), "i long, j long")
+
+
+def _tiled(placed: DataFrame, least: float) -> DataFrame:
+    """Every vector in all its tiles: the tile's leaves and parts ``i, a, j, b``, the vector's ``side`` and columns."""
+    parts = written(placed.groupBy("leaf").agg(F.ceil(F.count("*") / (2 * PER_LEAF)).alias("parts")), "leaf-parts")
+    near = written(_near_leaves(placed, least), "near-leaves")
+    blocks = placed.join(parts, "leaf").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    of = lambda name: parts.select(F.col("leaf").alias(name), F.col("parts").alias("others"))
+    own = ["id", "copies", "v"]
+    left = blocks.join(near.join(of("j"), "j"), F.col("leaf") == F.col("i")).select(
+        "i", F.col("part").alias("a"), "j", upto("others").alias("b"), F.lit(0).alias("side"), *own) \
+        .filter("i < j or a <= b")
+    right = blocks.join(near.join(of("i"), "i"), F.col("leaf") == F.col("j")).select(
+        "i", upto("others").alias("a"), "j", F.col("part").alias("b"), F.lit(1).alias("side"), *own) \
+        .filter("i < j or a < b")
+    return left.unionByName(right)
 
 
 def near_vectors(rows: DataFrame, least: float = 0.95, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -184,12 +200,8 @@ def near_vectors(rows: DataFrame, least: float = 0.95, key: str = "vec_id", vect
     count = distinct.count()
     tree = spark.sparkContext.broadcast(fit_tree(distinct, count, PER_LEAF))
     placed = written(distinct.mapInArrow(_placed(tree), "v array<double>, id long, copies long, leaf long"), "placed")
-    sizes = placed.groupBy("leaf").agg(F.ceil(F.count("*") / (2 * PER_LEAF)).alias("parts"))
-    blocks = placed.join(sizes, "leaf").withColumn(
-        "part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    found = written(
-        blocks.join(_tiles(placed, least), ["leaf", "part"]).select("tile", "side", "id", "copies", "v")
-        .groupBy("tile").applyInArrow(_tile(least), "a long, b long, links long"), "tile-links")
+    found = written(_tiled(placed, least).groupBy("i", "a", "j", "b")
+                    .applyInArrow(_tile(least), "a long, b long, links long"), "tile-links")
     counts = found.filter("links > 0").groupBy("a").agg(F.sum("links").alias("links"))
     groups = components(found.filter("links = 0").select("a", "b"))
     result = distinct.join(counts, distinct["id"] == counts["a"], "left") \
