@@ -13,17 +13,18 @@ def components(links: DataFrame) -> DataFrame:
 
     Large-star and small-star steps take turns: first every node's larger neighbours are linked to its smallest one,
     then its smaller neighbours. After a logarithmic number of turns each component is a star. Minima are taken within
-    the tasks before rows are shuffled, the joins are ones that Spark can split at a hot node, and every turn is written
-    to the shared folder.
+    the tasks before rows are shuffled. Minima and links are written to the shared folder, so the joins are of two plain
+    tables and Spark can split them at a hot node.
     """
     links = written(links.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                     .distinct(), "links")
     while True:
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("least")).withColumn("least", F.least("a", "least"))
+        least = written(both.groupBy("a").agg(F.min("b").alias("least")).withColumn("least", F.least("a", "least")),
+                        "least")
         large = written(both.filter("b > a").join(least, "a").select(F.col("least").alias("a"), "b")
                         .filter("a <> b").distinct(), "links")
-        least = large.groupBy("b").agg(F.min("a").alias("least"))
+        least = written(large.groupBy("b").agg(F.min("a").alias("least")), "least")
         small = large.join(least, "b")
         new = written(small.select(F.col("least").alias("a"), "b")
                       .union(small.select(F.col("least").alias("a"), F.col("a").alias("b")))

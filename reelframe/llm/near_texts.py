@@ -21,7 +21,6 @@ texts; of equal rows one stays; a null key comes after all others; an empty tabl
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +36,7 @@ LANES = 16
 SHINGLE = 5
 LEAST = 0.8
 MEMBERS = 64
-_BATCH = 1 << 20
+_BATCH = 1 << 18
 _MAX = U64(0xFFFFFFFFFFFFFFFF)
 _NO_KEY = (1 << 63) - 1
 
@@ -114,30 +113,40 @@ def banded_distance(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
                         np.bincount(counts[len(a):], minlength=len(values))).sum()
     if max(len(a), len(b)) - shared > most:
         return None
-    goal, misses = len(b) - len(a), {}
+    rows, goal = len(a), len(b) - len(a)
 
     def slide(i: int, k: int) -> int:
-        """The first row from ``i`` on at which diagonal ``k`` differs."""
-        if k not in misses:
-            low, high = max(0, -k), min(len(a), len(b) - k)
-            misses[k] = (np.flatnonzero(a[low:high] != b[low + k:high + k]) + low).tolist() + [high]
-        row = misses[k]
-        return row[bisect_left(row, i)] if i <= row[-1] else i
-
-    reach = {0: slide(0, 0)}
-    if goal == 0 and reach[0] >= len(a):
-        return 0
+        """The first row from ``i`` on at which diagonal ``k`` differs or ends."""
+        end, step = min(rows, len(b) - k), 16
+        while i < end:
+            stop = min(end, i + step)
+            differ = a[i:stop] != b[i + k:stop + k]
+            at = int(differ.argmax())
+            if differ[at]:
+                return i + at
+            i, step = stop, 4 * step
+        return end
+
+    # reach[k + most + 1]: the furthest row on diagonal k with the edits so far
+    reach = np.full(2 * most + 3, -2)
+    reach[most + 1] = slide(0, 0)
     for edits in range(1, most + 1):
-        now = {}
-        for k in range(max(-edits, -len(a), goal - most + edits), min(edits, len(b), goal + most - edits) + 1):
-            i = max(reach.get(k, -2) + 1, reach.get(k - 1, -2), reach.get(k + 1, -2) + 1)
-            if i < max(0, -k):
-                continue
-            i = min(i, len(a), len(b) - k)
-            now[k] = slide(i, k)
-        if now.get(goal, -1) >= len(a):
+        low = max(-edits, -rows, goal - most + edits)
+        high = min(edits, len(b), goal + most - edits)
+        k = np.arange(low, high + 1)
+        at = k + most + 1
+        new = np.maximum(np.maximum(reach[at] + 1, reach[at - 1]), reach[at + 1] + 1)
+        ends = np.minimum(rows, len(b) - k)
+        valid = new >= np.maximum(0, -k)
+        new = np.where(valid, np.minimum(new, ends), -2)
+        going = np.flatnonzero(valid & (new < ends))
+        going = going[a[new[going]] == b[new[going] + k[going]]]
+        for x in going.tolist():
+            new[x] = slide(int(new[x]), int(k[x]))
+        if low <= goal <= high and new[goal - low] >= rows:
             return edits
-        reach = now
+        reach[:] = -2
+        reach[at] = new
     return None
 
 
@@ -199,8 +208,9 @@ def near_texts(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id", te
     groups = components(links)
     grouped = texts.select("digest", "doc", "t").join(groups, F.col("t") == F.col("node"), "left") \
         .select("digest", "doc", F.coalesce("component", "t").alias("c"))
-    best = grouped.groupBy("c").agg(F.min(F.struct("doc", "digest")).alias("best"))
-    result = grouped.join(best, "c").select(F.col("digest").alias("d"), "best")
+    best = written(grouped.groupBy("c").agg(F.min(F.struct("doc", "digest")).alias("best")), "near-best")
+    # Written, so that the join below is one of two plain tables and a text with many copies can be split.
+    result = written(grouped.join(best, "c").select(F.col("digest").alias("d"), "best"), "near-groups")
     known = F.col("best").isNotNull()
     component = F.when(known, F.nullif(F.col("best.doc"), F.lit(_NO_KEY))).otherwise(F.col("doc"))
     own = F.coalesce("doc", F.lit(_NO_KEY)) == F.col("best.doc")
