@@ -271,8 +271,9 @@ def repeated_bytes(docs: DataFrame, unit: Unit = BYTES, id_col: str = "doc_id",
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for every row."""
     texts, cut = _found(docs, unit, id_col, text_col, False)
     copies = texts.groupBy("digest").agg(F.count("*").alias("copies"))
-    known = copies.join(cut, F.col("digest") == F.col("d"), "left").select(
-        F.col("digest").alias("d"), "copies", "n_removed", "n_spans", "kept_sha256")
+    # Written, so that the join below is one of two plain tables and a text with many copies can be split.
+    known = written(copies.join(cut, F.col("digest") == F.col("d"), "left").select(
+        F.col("digest").alias("d"), "copies", "n_removed", "n_spans", "kept_sha256"), "repeats")
     whole = (F.col("copies") > 1) & (F.col("n") >= unit.window)
     return texts.join(known, F.col("digest") == F.col("d")).select(
         "doc_id", F.col("n").alias("n_bytes"),
