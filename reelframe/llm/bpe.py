@@ -31,7 +31,7 @@ from reelframe.llm.common import U64, Lookup, ragged, slices
 
 VOCABULARY = "word_bpe_49k.json"
 _PIECE_BYTES = 1 << 20
-_REMEMBERED = 250_000
+_REMEMBERED = 600_000
 _LANES_UP_TO = 48
 _NEVER = 1 << 30
 
@@ -137,8 +137,10 @@ class Encoder:
             yield self.ids[ragged(self.start[at], self.count[at])], b" ".join(filter(None, map(shown, at.tolist())))
 
     def _learn(self, words: list[bytes]) -> None:
-        plain = [w for w in words if not any(m in w for m in self.marks)]
-        marked = [w for w in words if any(m in w for m in self.marks)]
+        together, marked = b" ".join(words), []
+        if any(m in together for m in self.marks):
+            marked = [w for w in words if any(m in w for m in self.marks)]
+        plain = [w for w in words if not any(m in w for m in self.marks)] if marked else words
         flat, counts = self._encode([w.decode("utf-8", "replace") for w in plain])
         if marked:
             parts = [p for w in marked for p in (*filter(None, self.special.split(w.decode())), "")]
