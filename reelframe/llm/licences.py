@@ -184,12 +184,25 @@ def matches(index: Index, cut: Cut, least: float) -> list[tuple[int, int, int, i
             matched, first, stop = aligned(template, part, diagonal - low, band)
             if matched >= least * len(template):
                 out.append((text, t, matched, first + low, stop + low))
-    out.sort(key=lambda m: (m[0], -m[2], m[3], m[1]))
-    kept: list[tuple[int, int, int, int, int]] = []
-    for m in out:
-        if not any(k[0] == m[0] and k[3] <= m[3] and m[4] <= k[4] or k[:2] == m[:2] and k[3] < m[4] and m[3] < k[4]
-                   for k in kept[-50:]):
+    return _clear(out)
+
+
+def _clear(found: list[tuple[int, int, int, int, int]]) -> list[tuple[int, int, int, int, int]]:
+    """Of overlapping matches of one template the one with most words; none inside a match of another template."""
+    single: list[tuple[int, int, int, int, int]] = []
+    for m in sorted(found, key=lambda m: (m[0], m[1], m[3], m[4])):
+        if single and single[-1][:2] == m[:2] and m[3] < single[-1][4]:
+            if m[2] > single[-1][2]:
+                single[-1] = m
+        else:
+            single.append(m)
+    kept, text, reach = [], None, -1
+    for m in sorted(single, key=lambda m: (m[0], m[3], -m[4], -m[2], m[1])):
+        if m[0] != text:
+            text, reach = m[0], -1
+        if m[4] > reach:
             kept.append(m)
+            reach = m[4]
     return kept
 
 
@@ -201,17 +214,19 @@ def _scanning(shared, least: float):
                 texts = [b"" if t is None else t for t in part.column(1).cast(pa.binary()).to_pylist()]
                 cuts = [(Cut(texts, index.unit), 0)] if len(texts) > 1 else long_cuts(texts[0], index.unit)
                 rows: list[tuple] = []
+                ends: dict[tuple[int, str], int] = {}  # a match in the overlap of two parts of a long text comes twice
                 for cut, _ in cuts:
                     for text, t, matched, first, stop in matches(index, cut, least):
                         base, moved = int(cut.begin[text]), cut.offset - int(cut.starts[text])
                         start = int(cut.first[base + first]) + moved
                         end = int(cut.last[base + stop - 1]) + moved
+                        if start < ends.get((text, index.names[t]), -1):
+                            continue
+                        ends[text, index.names[t]] = end
                         begin = len(texts[text][:start].decode("utf-8", "ignore"))
-                        row = (text, index.names[t], begin,
-                               begin + len(texts[text][start:end].decode("utf-8", "ignore")), matched,
-                               len(index.words[t]))
-                        if not any(r[:2] == row[:2] and r[2] < row[3] and row[2] < r[3] for r in rows[-50:]):
-                            rows.append(row)
+                        rows.append((text, index.names[t], begin,
+                                     begin + len(texts[text][start:end].decode("utf-8", "ignore")), matched,
+                                     len(index.words[t])))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(pa.array([r[0] for r in rows], pa.int64())),
                      pa.array([r[1] for r in rows], pa.string()), *[pa.array([r[i] for r in rows], pa.int64())

@@ -83,3 +83,11 @@ def test_whole_table(spark, sf_dir):
             if t in re.sub(r"\W+", " ", r.text.lower())}
     got = {(r.doc_id, r.licence) for r in m.licences(df).collect()}
     assert want <= got and {d for d, _ in got} == {d for d, _ in want}
+
+
+def test_very_many_notices_in_one_text(spark):
+    notices = ["Released under the MIT License.", "Licensed under CC BY-NC 4.0."]
+    text = " x y z ".join(notices * 150)
+    got = run(spark, [(1, text)])
+    assert len(got) == 300 and {r[6] for r in got} == {1.0}
+    assert [text[r[2]:r[3]] + "." for r in sorted(got, key=lambda r: r[2])] == notices * 150
