@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from reelframe.functions.text import has_text
 from reelframe.operators.numbering import number_rows
@@ -23,27 +20,26 @@ def budget_batches(df: DataFrame, key: str, text: str, max_codepoints: int = 30_
 
     Null and blank texts are left out beforehand. A batch closes before the text that
     would take it over either limit; a text longer than the limit is a batch alone.
-    Only the lengths travel; a task reads its blocks in order and remembers no more
-    than the open batch.
+    Only the lengths travel, and the ``block`` lengths of a block are folded in order by
+    DataFrame functions.
     """
     lengths = df.where(has_text(text)).select(key, F.char_length(text).cast("bigint").alias("_len"))
     numbered = number_rows(lengths, key, name="_no").withColumn(
         "block", F.floor((F.col("_no") - 1) / block).cast("bigint"))
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = numbered.repartition(n, "block").sortWithinPartitions("_no").select(key, "block", "_len")
-    schema = T.StructType([blocks.schema[key], blocks.schema["block"], T.StructField("batch", T.IntegerType())])
-
-    def cut(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, batch, items, used = None, 0, 0, 0
-        for part in parts:
-            batches = []
-            for in_block, length in zip(part["block"].tolist(), part["_len"].tolist()):
-                if in_block != current:
-                    current, batch, items, used = in_block, 0, 0, 0
-                elif items + 1 > max_items or used + length > max_codepoints:
-                    batch, items, used = batch + 1, 0, 0
-                items, used = items + 1, used + length
-                batches.append(batch)
-            yield part[[key, "block"]].assign(batch=batches)
-
-    return blocks.mapInPandas(cut, schema)
+    rows = F.array_sort(F.collect_list(F.struct("_no", F.col(key).alias("_key"), "_len"))).alias("_rows")
+
+    def step(state: Column, row: Column) -> Column:
+        full = (state["items"] > 0) & (
+            (state["items"] + 1 > max_items) | (state["used"] + row["_len"] > max_codepoints))
+        batch = state["batch"] + full.cast("int")
+        return F.struct(
+            batch.alias("batch"), F.when(full, 1).otherwise(state["items"] + 1).alias("items"),
+            F.when(full, row["_len"]).otherwise(state["used"] + row["_len"]).alias("used"),
+            F.array_append(state["batches"], batch).alias("batches"))
+
+    start = F.struct(F.lit(0).alias("batch"), F.lit(0).alias("items"), F.lit(0).cast("bigint").alias("used"),
+                     F.array().cast("array<int>").alias("batches"))
+    folded = numbered.groupBy("block").agg(rows).select(
+        "block", F.aggregate("_rows", start, step, lambda s: F.arrays_zip(F.col("_rows"), s["batches"])).alias("_zip"))
+    return folded.select("block", F.explode("_zip").alias("_z")).select(
+        F.col("_z._rows._key").alias(key), "block", F.col("_z.batches").alias("batch"))
