@@ -2,8 +2,9 @@
 
 Every window of a text is assigned an anchor, the gram in it with the smallest hash. Equal windows have equal anchors,
 so only windows whose anchor occurs elsewhere can repeat. Neighbouring windows with one anchor make a segment. Segments
-meet by their anchor, in shards of about a megabyte that pass through a task one after another, and every window start of a text lies in
-exactly one segment. What a shard does with its segments is up to the operator (a suffix array, an FM-index).
+meet by their anchor, in shards of about a megabyte that pass through a task one after another, and every window start
+of a text lies in exactly one segment. What a shard does with its segments is up to the operator (a suffix array, an
+FM-index).
 
 Scale: equal texts collapse first; grams are counted within the tasks before the shuffle; equal segments of a task are
 sent once with their number. An anchor found in more than ``CROWD`` different texts would overfill a shard: its windows

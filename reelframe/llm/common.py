@@ -6,8 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from reelframe.session import scratch_path
 
@@ -24,19 +24,9 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def task_count(rows: int, per_task: int, at_least: int = 1) -> int:
-    """Tasks for ``rows`` rows at ``per_task`` rows each."""
-    return max(at_least, -(-rows // per_task))
-
-
-def packed(df: DataFrame) -> DataFrame:
-    """All columns as one struct ``row``, so that no name can clash with a helper column."""
-    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
-
-
 def slices(batch: pa.RecordBatch, column: int, most_bytes: int) -> Iterator[pa.RecordBatch]:
     """Cuts a batch into runs of rows with about ``most_bytes`` of text; one row is never cut."""
-    sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(sizes, dtype=np.int64)
     start = 0
     while start < batch.num_rows:
@@ -46,11 +36,6 @@ def slices(batch: pa.RecordBatch, column: int, most_bytes: int) -> Iterator[pa.R
         start = stop
 
 
-def text_bytes(column: pa.Array) -> list[bytes]:
-    """UTF-8 of every cell, null as empty."""
-    return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
-
-
 def mixed(h: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit values (the finaliser of SplitMix64)."""
     h = (h ^ (h >> U64(30))) * U64(0xBF58476D1CE4E5B9)

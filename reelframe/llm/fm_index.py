@@ -26,10 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelframe.llm.anchors import WORDS, Unit, find_repeats, removed, sha256
-from reelframe.llm.common import U64, slices
+from reelframe.llm.common import U64, slices, written
 from reelframe.llm.suffixes import doubled
 
-_INDEXED = 1 << 20
+_INDEXED = 1 << 17
 _BLOCK = 8192
 _LAST = 1 << 62
 
@@ -139,7 +139,7 @@ def matched_by_fm_index(groups: list[list[list]], unit: Unit) -> list[list[dict]
         if len(g) > 1:
             todo += range(at, at + len(g))
             size += sum(len(w) for w in words[at:at + len(g)])
-            if size > _INDEXED // 8:
+            if size > _INDEXED:
                 _index_shard(flat, words, todo, unit.window, out)
                 todo, size = [], 0
         at += len(g)
@@ -207,8 +207,9 @@ def repeated_windows(docs: DataFrame, unit: Unit = WORDS, id_col: str = "doc_id"
         _cutting(unit.window), "d binary, n_removed long, kept_sha256 string")
     texts = found.texts
     first = texts.groupBy("digest").agg(F.min("doc_id").alias("first"))
-    known = first.join(cut, F.col("digest") == F.col("d"), "left").select(
-        F.col("digest").alias("d"), "first", "n_removed", "kept_sha256")
+    # Written, so that the join below is one of two plain tables and a text with many copies can be split.
+    known = written(first.join(cut, F.col("digest") == F.col("d"), "left").select(
+        F.col("digest").alias("d"), "first", "n_removed", "kept_sha256"), "repeats")
     later = (F.col("n") >= unit.window) & F.col("first").isNotNull() & \
         (F.col("doc_id").isNull() | (F.col("first") < F.col("doc_id")))
     return texts.join(known, F.col("digest") == F.col("d")).select(

@@ -8,8 +8,8 @@ characters with the fewest nats each. It is rejected if even that cost is nearer
 random than to the dearest of the held-back training texts; both are measured per language, and short texts get the
 spread that their length allows.
 
-Fitting takes a bounded sample: of every language about ``SAMPLE_DOCS`` labelled documents to count and as many to
-calibrate, chosen by a hash. Counting is a shuffle of n-gram hashes counted beforehand in each task, the tables are at most as large as
+Fitting takes a bounded sample: of every language an equal share of ``SAMPLE_DOCS`` labelled documents to count (20 at
+least) and as many to calibrate, chosen by a hash. Counting is a shuffle of n-gram hashes counted beforehand in each task, the tables are at most as large as
 the sample, and they are sent to the tasks. Prediction reads every whole text once, in pieces, without a shuffle.
 
 Defined results: a null text or one without a letter is ``und`` with score 0, and rejected; with no labelled document
@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from reelframe.llm.common import U64, mixed, slices, written
 
 ORDER = 5
-SAMPLE_DOCS = 500
-"""Documents per language that a model is fitted on; as many again calibrate the rejection."""
+SAMPLE_DOCS = 2000
+"""Documents that the models are fitted on, the languages share them; as many again calibrate the rejection."""
 SAMPLE_LETTERS = 4000
 """Characters of each sampled document that enter the fit."""
 _PIECE = 1 << 18
@@ -258,7 +258,8 @@ def fit(docs: DataFrame, labelled: Column, key: str = "doc_id", text: str = "tex
         F.col(lang).cast("string").alias("lang"), F.substring(F.col(text), 1, SAMPLE_LETTERS).alias("text"),
         F.pmod(F.xxhash64(F.col(key), F.col(text), F.lit(17)), F.lit(1 << 30)).alias("turn"))
     sizes = written(rows.groupBy("lang").agg(F.count("*").alias("n")), "lang-sizes")
-    sample = written(rows.join(sizes, "lang").filter(F.col("turn") * F.col("n") < (2 * SAMPLE_DOCS) << 30)
+    each = max(20, SAMPLE_DOCS // max(1, sizes.count()))
+    sample = written(rows.join(sizes, "lang").filter(F.col("turn") * F.col("n") < (2 * each) << 30)
                      .select("lang", "text", (F.col("turn") % 2).alias("part")), "lang-texts")
     grams = "lang string, n int, gram long, head long, tail long, count long"
     counts = sample.filter("part = 1").select("lang", "text").mapInArrow(_counted, grams) \

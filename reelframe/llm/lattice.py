@@ -25,6 +25,7 @@ from __future__ import annotations
 import json
 from collections import Counter
 from collections.abc import Iterator
+from copy import copy
 from dataclasses import dataclass
 
 import numpy as np
@@ -174,6 +175,12 @@ class Lattice:
                 share[i + 1 - self.length[piece]] += part
         return forward[-1]
 
+    def of_class(self, c: int) -> Lattice:
+        """The same pieces with the weights of one class."""
+        one = copy(self)
+        one.weight = self.weight[:, c:c + 1]
+        return one
+
     def refit(self, uses: np.ndarray) -> None:
         """New weights from expected uses, a hundredth of a use added to each."""
         self.weight = np.log((uses + 0.01) / (uses + 0.01).sum(axis=0))
@@ -240,10 +247,13 @@ def _expecting(shared, classes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice, total = shared.value, None
         for batch in batches:
-            words, types = batch.column("word").to_pylist(), np.minimum(_counts(batch, classes), 1)
-            for at in range(0, len(words), _WORDS):
-                _, uses = lattice.score(words[at:at + _WORDS], types[at:at + _WORDS])
-                total = uses if total is None else total + uses
+            words, counts = batch.column("word").to_pylist(), _counts(batch, classes)
+            total = np.zeros_like(lattice.weight) if total is None else total
+            for c in range(classes):  # most words have counts in one class only
+                own = np.flatnonzero(counts[:, c])
+                for at in range(0, len(own), _WORDS):
+                    some = [words[i] for i in own[at:at + _WORDS].tolist()]
+                    total[:, c] += lattice.of_class(c).score(some, np.ones((len(some), 1)))[1][:, 0]
         if total is not None:
             used, k = np.nonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(k), pa.array(total[used, k])],
