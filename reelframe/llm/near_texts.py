@@ -221,7 +221,7 @@ def near_texts(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id", te
 
 def one_of_each(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: one of each group of near-duplicates, and all that belong to no group."""
-    found = near_texts(docs, least, id_col, text_col)
+    found = written(near_texts(docs, least, id_col, text_col), "near-rows")
     gone = found.filter("not kept").select(F.col("doc_id").alias("_doc"), F.col("digest").alias("_digest")).distinct()
     again = found.filter("kept and n_words > 0").groupBy("doc_id", "digest").count().filter("count > 1") \
         .select(F.col("doc_id").alias("_doc"), F.col("digest").alias("_digest"))
