@@ -3,16 +3,17 @@
 A text's k-mers are its runs of five words, each labelled with its occurrence number, so repeats count. Each of
 ``LANES`` sketches takes the two labelled k-mers with the smallest hashes and keeps them in the order of the text: two
 texts agree in a sketch if they share the k-mers and their order, which happens the more often the closer they are in
-edit distance. Texts that agree in a lane, and more narrowly in two neighbouring lanes, are candidates with the
-smallest text of that bucket; so buckets of any size give one candidate pair for each member. Candidates are verified
-by an alignment in a band around the diagonal: two texts are linked if the edit distance in words is at most
+edit distance. Texts that agree in a lane, and more narrowly in two neighbouring lanes, form a bucket. Its smallest text
+is compared with all others; where that does not bring the others together, more of them lead in turn, until any two
+texts of a bucket are in one group or have been compared. So a bucket of texts that are all linked to its leader costs
+one comparison for each, one of texts without a link a comparison for each pair. Candidates are verified by an alignment in a band around the diagonal: two texts are linked if the edit distance in words is at most
 ``1 - least`` of the longer one. Links make groups by connected components, equal texts belong together from the start.
 
 Texts at the least similarity of 0.8 in shingles (about 2 % of the words edited) agree in about 10 of 16 lanes; with
 5 % of the words edited they agree in some lane with probability 0.999, with 10 % with 0.95.
 
 Scale: sketches are made in one pass and equal texts collapse before buckets are formed; minima are taken in the tasks
-before the shuffle; only texts with a candidate are read again, one bucket leader with at most ``MEMBERS`` members at a
+before the shuffle; only texts in a shared bucket are read again, one leader with at most ``MEMBERS`` members at a
 time, so a large group spreads over many tasks.
 
 Defined results: a text without words, or a null one, is linked with nothing; texts of one to four words only with equal
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelframe.llm.anchors import WORDS, Cut, word_units
@@ -36,6 +37,7 @@ LANES = 16
 SHINGLE = 5
 LEAST = 0.8
 MEMBERS = 64
+LEADERS = 8
 _BATCH = 1 << 18
 _MAX = U64(0xFFFFFFFFFFFFFFFF)
 _NO_KEY = (1 << 63) - 1
@@ -173,6 +175,73 @@ def _verifying(least: float):
     return run
 
 
+def _close(least: float):
+    return F.least("n", "m") >= F.floor(least * F.greatest("n", "m") - 1e-9)
+
+
+def _links(pairs: DataFrame, bodies: DataFrame, least: float) -> DataFrame:
+    """The linked ones of ``pairs`` (``a``, ``b``), at most ``MEMBERS`` of the second texts behind the first at a time."""
+    sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).alias("parts"))
+    part = F.pmod(F.xxhash64("b"), F.col("parts")).alias("part")
+    asked = pairs.join(sizes, "a").select("a", part, "b").join(bodies, F.col("b") == F.col("t")) \
+        .select("a", "part", "b", "text")
+    leaders = sizes.join(bodies, F.col("a") == F.col("t")).select(
+        "a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
+        F.lit(None).cast("long").alias("b"), "text")
+    return written(leaders.unionByName(asked).repartition("a", "part")
+                   .sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+                   .mapInArrow(_verifying(least), "a long, b long"), "near-links")
+
+
+def _groups(rows: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """``node, component`` of all texts with a link to another text of one of their buckets.
+
+    The smallest text of every bucket is compared with all others there. Buckets whose other members are not yet in one
+    component go on in turns: of their members those with the most links (then the smallest) lead, ``LEADERS`` times as
+    many in each turn, and are compared with all members left that belong to other components. Who has led leaves the
+    bucket; it is done when those left are in one component.
+    """
+    members = texts.select(F.posexplode("keys").alias("lane", "key"), "t", "n")
+    buckets = members.groupBy("key").agg(F.min(F.struct("t", "n")).alias("l"), F.count("*").alias("size")) \
+        .filter("size > 1").select("key", F.col("l.t").alias("a"), F.col("l.n").alias("m"), "size")
+    placed = written(members.join(buckets, "key").filter(F.col("t") != F.col("a")), "members")
+    pairs = written(placed.filter(_close(least)).select("a", F.col("t").alias("b")).distinct(), "candidates")
+    involved = placed.select("t").union(placed.select("a")).distinct()
+    names = texts.select("t", "digest").join(involved, "t").select("t", F.col("digest").alias("d"))
+    bodies = written(rows.groupBy("digest").agg(F.any_value("text").alias("text"))
+                     .join(names, F.col("digest") == F.col("d")).select("t", "text"), "bodies")
+    links = _links(pairs, bodies, least)
+    groups = written(components(links), "near-components")
+    tested = pairs.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
+    # Texts of a bucket of two lanes meet in each of the two as well.
+    left, leaders = placed.filter((F.col("lane") < LANES) & (F.col("size") > 2)).select("key", "t", "n"), 1
+    while True:
+        left = left.join(groups, F.col("t") == F.col("node"), "left") \
+            .select("key", "t", "n", F.coalesce("component", "t").alias("c"))
+        left = written(left, "members-left")
+        several = left.groupBy("key").agg(F.min("c").alias("one"), F.max("c").alias("other")) \
+            .filter("one <> other").select("key")
+        left = written(left.join(several, "key"), "members-left")
+        if left.isEmpty():
+            return groups
+        ends = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count("*").alias("links"))
+        order = Window.partitionBy("key").orderBy(F.desc("links"), "t")
+        first = written(left.join(ends, F.col("t") == F.col("node"), "left").withColumn("links", F.coalesce("links", F.lit(0)))
+                        .withColumn("turn", F.row_number().over(order)).filter(F.col("turn") <= leaders)
+                        .select("key", F.col("t").alias("a"), F.col("n").alias("m"), F.col("c").alias("ac")), "leaders")
+        found = left.join(first, "key").filter((F.col("c") != F.col("ac")) & _close(least)) \
+            .groupBy(F.least("a", "t").alias("lo"), F.greatest("a", "t").alias("hi")).agg(F.min("a").alias("a"))
+        pairs = written(found.join(tested, ["lo", "hi"], "left_anti").select(
+            "lo", "hi", "a", F.when(F.col("a") == F.col("lo"), F.col("hi")).otherwise(F.col("lo")).alias("b")), "candidates")
+        new = _links(pairs.select("a", "b"), bodies, least)
+        if not new.isEmpty():
+            links = links.union(new)
+            groups = written(components(links), "near-components")
+        tested = tested.union(pairs.select("lo", "hi"))
+        left = left.select("key", "t", "n").join(first.select("key", F.col("a").alias("t")), ["key", "t"], "left_anti")
+        leaders *= LEADERS
+
+
 def near_texts(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, digest, n_words, component_id, kept``: the smallest key of the row's group, and whether it stays.
 
@@ -185,27 +254,7 @@ def near_texts(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id", te
     texts = written(sketched.filter("n > 0").withColumn("doc", F.coalesce("doc", F.lit(_NO_KEY)))
                     .groupBy("digest").agg(F.min("doc").alias("doc"), F.max("n").alias("n"),
                                            F.any_value("keys").alias("keys")).withColumn("t", node), "texts")
-    members = texts.select(F.explode("keys").alias("key"), "t", "n")
-    buckets = members.groupBy("key").agg(F.min(F.struct("t", "n")).alias("l"), F.count("*").alias("size")) \
-        .filter("size > 1").select("key", F.col("l.t").alias("a"), F.col("l.n").alias("m"))
-    close = F.least("n", "m") >= F.floor(least * F.greatest("n", "m") - 1e-9)
-    pairs = written(members.join(buckets, "key").filter((F.col("t") != F.col("a")) & close)
-                    .select("a", F.col("t").alias("b")).distinct(), "candidates")
-    involved = pairs.select(F.col("a").alias("t")).union(pairs.select("b")).distinct()
-    names = texts.select("t", "digest").join(involved, "t").select("t", F.col("digest").alias("d"))
-    bodies = written(rows.groupBy("digest").agg(F.any_value("text").alias("text"))
-                     .join(names, F.col("digest") == F.col("d")).select("t", "text"), "bodies")
-    sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).alias("parts"))
-    part = F.pmod(F.xxhash64("b"), F.col("parts")).alias("part")
-    asked = pairs.join(sizes, "a").select("a", part, "b").join(bodies, F.col("b") == F.col("t")) \
-        .select("a", "part", "b", "text")
-    leaders = sizes.join(bodies, F.col("a") == F.col("t")).select(
-        "a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
-        F.lit(None).cast("long").alias("b"), "text")
-    links = written(leaders.unionByName(asked).repartition("a", "part")
-                    .sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
-                    .mapInArrow(_verifying(least), "a long, b long"), "near-links")
-    groups = components(links)
+    groups = _groups(rows, texts, least)
     grouped = texts.select("digest", "doc", "t").join(groups, F.col("t") == F.col("node"), "left") \
         .select("digest", "doc", F.coalesce("component", "t").alias("c"))
     best = written(grouped.groupBy("c").agg(F.min(F.struct("doc", "digest")).alias("best")), "near-best")

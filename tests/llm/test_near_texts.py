@@ -96,3 +96,16 @@ def test_whole_table_against_shingles(spark, sf_dir):
         if c != d:
             assert any(len(words[d]) and distance(words[d], words[e]) <= 0.2 * max(len(words[d]), len(words[e])) + 1e-9
                        for e, f in got.items() if f == c and e != d)
+
+
+def test_a_hub_holds_its_unlinked_variants(spark):
+    """One text with 150 variants: each is linked with it, no two of them with one another."""
+    words = [f"w{i}" for i in range(400)]
+    split = [words] + [words[:i] + [f"v{i}-{j}" for j in range(4)] + words[i + 4:] for i in range(150)]
+    ids = {w: i for i, w in enumerate(dict.fromkeys(w for t in split for w in t))}
+    codes = [np.array([ids[w] for w in t], np.uint64) for t in split]
+    linked = [(i, j) for i in range(len(codes)) for j in range(i) if m.similar(codes[i], codes[j], 0.99)]
+    assert linked == [(i, 0) for i in range(1, len(codes))]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(split)], "doc_id long, text string")
+    got = m.near_texts(df, 0.99).collect()
+    assert [r.doc_id for r in got if r.component_id != 0] == [] and [r.doc_id for r in got if r.kept] == [0]
