@@ -107,9 +107,9 @@ FROM split s LEFT JOIN gone g USING (doc_id)
 
 @_query
 def op5_near_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from reelframe.llm.near_texts import near_texts
+    from reelframe.llm.near_texts import LEAST, near_texts
 
-    return near_texts(_documents(spark, sf_dir)).select("doc_id", "component_id", "kept", "n_words")
+    return near_texts(_documents(spark, sf_dir), shingles=LEAST).select("doc_id", "component_id", "kept", "n_words")
 
 
 @_query

@@ -109,3 +109,22 @@ def test_a_hub_holds_its_unlinked_variants(spark):
     df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(split)], "doc_id long, text string")
     got = m.near_texts(df, 0.99).collect()
     assert [r.doc_id for r in got if r.component_id != 0] == [] and [r.doc_id for r in got if r.kept] == [0]
+
+
+def test_revised_texts_stay(spark, tmp_path):
+    """A tenth of the words edited is a link by edit distance, but far from 0.8 of the shingles."""
+    import corpus_pipeline
+    from reelframe.llm.queries import QUERIES
+
+    words = [f"w{i}" for i in range(200)]
+    texts = [words, ["new" if i % 10 == 5 else w for i, w in enumerate(words)], words[:100] + ["one"] + words[101:]]
+    sets = [{tuple(t[i:i + 5]) for i in range(196)} for t in texts]
+    codes = [m.shingle_set(np.array([hash(w) % (1 << 64) for w in t], np.uint64)) for t in texts]
+    for a, x in zip(codes, sets):
+        for b, y in zip(codes, sets):
+            assert m.alike(a, b, 0.8) == (len(x & y) >= 0.8 * len(x | y))
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op5_near_texts"](spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in got) == [(0, 0, True), (1, 1, True), (2, 0, False)]
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, df, "").collect()) == [0, 1]
