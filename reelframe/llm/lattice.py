@@ -8,7 +8,7 @@ are always pieces: no text has probability zero. A word of the training texts ha
 which takes its count less a discount; the pieces share the mass that the discounts free.
 
 The vocabulary files give the pieces and, by rank, their first weights; the weights are then fitted to the different
-words of the training texts by expectation maximisation: some rounds over the most frequent words, one over all. There
+words of the training texts by expectation maximisation, every round over all of them. There
 is one set of weights for each of the ``CLASSES`` most frequent labels of the training texts (all other labels, and
 none, make one more); the label of a text to be scored is not known to the model, which sums over the classes.
 
@@ -42,7 +42,7 @@ DISCOUNT = 0.7
 HEAD = 200_000
 """At most so many words are sent to the tasks, none of them longer than ``HEAD_BYTES``."""
 HEAD_BYTES = 64
-HEAD_ROUNDS = 3
+ROUNDS = 4
 _GATHERED = 300_000
 _LANES_UP_TO = 48
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -346,10 +346,10 @@ def score_texts(docs: DataFrame, held_out: Column, paths: list[str] | None = Non
 
     lattice = Lattice(vocabulary_pieces(paths or vocabulary_paths()), classes)
     frequent = F.col("level") >= least
-    for turn in range(HEAD_ROUNDS + 1):
+    trained_words = words.filter(F.col("c") > 0).select("word", *counted)
+    for _ in range(ROUNDS):
         shared = spark.sparkContext.broadcast(lattice)
-        some = words.filter(frequent if turn < HEAD_ROUNDS else F.col("c") > 0).select("word", *counted)
-        uses = some.mapInArrow(_expecting(shared, classes), "piece long, class long, uses double") \
+        uses = trained_words.mapInArrow(_expecting(shared, classes), "piece long, class long, uses double") \
             .groupBy("piece", "class").agg(F.sum("uses").alias("uses")).toArrow()
         found = np.zeros_like(lattice.weight)
         found[uses.column("piece").to_numpy(), uses.column("class").to_numpy()] = uses.column("uses").to_numpy()

@@ -91,3 +91,12 @@ def test_fit_beats_first_weights_and_base(spark, sf_dir):
     assert got[0] > start.score(words)[0].sum() / math.log(10)
     assert got[0] > 1.1 * got[1]
     assert m.score_texts(docs.limit(0), held_out(F.col("doc_id"), 10, 0)).count() == 0
+
+
+def test_the_fit_does_not_depend_on_how_many_words_are_sent(spark, sf_dir, monkeypatch):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").filter("doc_id < 60")
+    run = lambda: {r.doc_id: r.score for r in m.score_texts(docs, held_out(F.col("doc_id"), 10, 0)).collect()}
+    whole = run()
+    monkeypatch.setattr(m, "HEAD", 50)
+    few = run()
+    assert whole and all(abs(few[d] - x) < 1e-6 * abs(x) for d, x in whole.items())
