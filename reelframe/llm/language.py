@@ -9,7 +9,7 @@ random than to the dearest of the held-back training texts; both are measured pe
 spread that their length allows.
 
 Fitting takes a bounded sample: of every language an equal share of ``SAMPLE_DOCS`` labelled documents to count (20 at
-least) and as many to calibrate, chosen by a hash. Counting is a shuffle of n-gram hashes counted beforehand in each task, the tables are at most as large as
+least) and as many to calibrate, chosen by a hash, all of them in whole. Counting is a shuffle of n-gram hashes counted beforehand in each task, the tables are at most as large as
 the sample, and they are sent to the tasks. Prediction reads every whole text once, in pieces, without a shuffle.
 
 Defined results: a null text or one without a letter is ``und`` with score 0, and rejected; with no labelled document
@@ -32,8 +32,6 @@ from reelframe.llm.common import U64, mixed, slices, written
 ORDER = 5
 SAMPLE_DOCS = 2000
 """Documents that the models are fitted on, the languages share them; as many again calibrate the rejection."""
-SAMPLE_LETTERS = 4000
-"""Characters of each sampled document that enter the fit."""
 _PIECE = 1 << 18
 _FLOOR = 1e-7
 _POINTS = 0x110000
@@ -70,10 +68,10 @@ def gram_hashes(codes: np.ndarray, n: int) -> np.ndarray:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """n-grams of each batch with their counts: language, order, hashes of the n-gram, its context and its tail."""
-    for batch in batches:
+    """n-grams of the whole texts with their counts: language, order, hashes of the n-gram, its context and its tail."""
+    for batch in (part for whole in batches for part in slices(whole, whole.schema.get_field_index("text"), 1 << 22)):
         langs = batch.column("lang").to_pylist()
-        texts = [letters(t[:SAMPLE_LETTERS]) for t in batch.column("text").to_pylist()]
+        texts = [letters(t) for t in batch.column("text").to_pylist()]
         for lang in sorted(set(langs)):
             own = [t for l, t in zip(langs, texts) if l == lang and len(t) > 2]
             for n in range(1, ORDER + 1):
@@ -239,7 +237,7 @@ def _costed(shared, column: str):
 def _calibrating(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, whole.schema.get_field_index("text"), 1 << 22)):
             texts = [letters(t) for t in batch.column("text").to_pylist()]
             out = [(lang, float(nats[model.langs.index(lang)]) / (len(t) - 1), len(t) - 1) for lang, t, nats
                    in zip(batch.column("lang").to_pylist(), texts, model.costs(texts)) if len(t) > 2]
@@ -252,10 +250,11 @@ def _calibrating(shared):
 def fit(docs: DataFrame, labelled: Column, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
     """A model of the languages of the ``labelled`` rows.
 
-    Two bounded samples per language are drawn by the hash of the key: one to count, one to calibrate.
+    Two bounded samples per language are drawn by the hash of the key: one to count, one to calibrate. Both read the
+    whole texts of their documents.
     """
     rows = docs.filter(labelled & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
-        F.col(lang).cast("string").alias("lang"), F.substring(F.col(text), 1, SAMPLE_LETTERS).alias("text"),
+        F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"),
         F.pmod(F.xxhash64(F.col(key), F.col(text), F.lit(17)), F.lit(1 << 30)).alias("turn"))
     sizes = written(rows.groupBy("lang").agg(F.count("*").alias("n")), "lang-sizes")
     each = max(20, SAMPLE_DOCS // max(1, sizes.count()))

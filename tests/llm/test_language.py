@@ -86,3 +86,15 @@ def test_nothing_labelled(docs):
     model = m.fit(docs, F.lit(False))
     assert {r.lang_pred for r in m.identify(docs, model).collect()} == {"und"}
     assert m.identify(docs.limit(0), model).count() == 0
+
+
+def test_bodies_behind_a_long_header_count(spark):
+    """Documents of two languages open with one long header; only their bodies tell them apart."""
+    rng = np.random.default_rng(4)
+    header = "the same licence stands before every text " * 120
+    body = lambda abc: " ".join("".join(rng.choice(list(abc), 5)) for _ in range(300))
+    rows = [(2 * i + k, header + body(abc), "xy"[k]) for i in range(30) for k, abc in enumerate(("aeioubdg", "kstmnprl"))]
+    model = m.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    tests = [body("aeioubdg") for _ in range(5)] + [body("kstmnprl") for _ in range(5)]
+    assert [j[0] for j in model.judged(tests)] == ["x"] * 5 + ["y"] * 5
+    assert not any(j[3] for j in model.judged([header + t for t in tests]))
