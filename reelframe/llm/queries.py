@@ -167,3 +167,35 @@ SELECT t.doc_id, CAST(length(t.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(k.n_
        sha256(unhex(CASE WHEN k.nr IS NULL THEN t.h ELSE k.front || substr(t.h, 2 * k.last + 1) END)) AS kept_sha256
 FROM texts t LEFT JOIN kept k ON k.nr = t.nr
 """
+
+
+@_query
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelframe.llm.fill_middle import fill_in_middle, restored
+
+    sha = lambda c: F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256")
+    return restored(fill_in_middle(_documents(spark, sf_dir))).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", sha("output"), sha("restored"))
+
+
+ORACLES["op11_fill_middle"] = """
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS units,
+         sha256('7:' || CAST(doc_id AS VARCHAR)) AS h FROM documents
+), numbered AS (
+  SELECT *, len(units) AS n, [CAST('0x' || substr(h, 8 * i + 1, 8) AS BIGINT) FOR i IN range(4)] AS hs FROM cut
+), placed AS (
+  SELECT *, least(hs[1] % (n + 1), hs[2] % (n + 1)) AS low, greatest(hs[1] % (n + 1), hs[2] % (n + 1)) AS high,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR hs[3] % 100 >= 100
+              THEN 'plain' WHEN hs[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM numbered
+), parts AS (
+  SELECT *, array_to_string(units[1:low], '') AS p, array_to_string(units[low + 1:high], '') AS m,
+         array_to_string(units[high + 1:], '') AS s FROM placed
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m
+                        ELSE '<P>' || p || '<S>' || s || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
