@@ -199,3 +199,54 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_c
        sha256(text) AS restored_sha256
 FROM parts
 """
+
+
+@_query
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelframe.llm.resample import resampled
+
+    return resampled(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(
+        "doc_id", "n_features", "weight", "score", "rank")
+
+
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ORACLES["op13_resample"] = f"""
+WITH bytes AS (
+  SELECT list(list_reduce(range(8), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)
+              ORDER BY n) AS crc_of FROM (SELECT unnest(range(256)) AS n)
+), split AS (
+  SELECT true AS target, NULL AS nr, NULL AS doc_id, {_LOWERED} AS text FROM benchmark
+  UNION ALL SELECT false, row_number() OVER (), doc_id, {_LOWERED} FROM documents
+), words AS (
+  SELECT target, nr, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM split
+), features AS (
+  SELECT target, nr, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS f FROM words
+), kinds AS (
+  SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM features)
+), hashed AS (
+  SELECT f, xor(list_reduce(list_transform(range(length(h) // 2), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)),
+                            lambda c, b: xor(c >> 8, crc_of[xor(c, b) % 256 + 1]), 4294967295), 4294967295) % 10000 AS bucket
+  FROM kinds, bytes
+), placed AS (
+  SELECT target, nr, bucket FROM features JOIN hashed USING (f)
+), sums AS (
+  SELECT count(*) FILTER (NOT target) + 10000 AS all_s, count(*) FILTER (target) + 10000 AS all_t FROM placed
+), counts AS (
+  SELECT bucket, count(*) FILTER (NOT target) AS s, count(*) FILTER (target) AS t FROM placed GROUP BY 1
+), gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((CAST(t + 1 AS DOUBLE) * all_s) / (CAST(s + 1 AS DOUBLE) * all_t))) AS BIGINT) AS gain
+  FROM counts, sums
+), means AS (
+  SELECT nr, count(*) AS n_features, CAST(floor(sum(gain) / count(*)) AS BIGINT) AS weight
+  FROM placed JOIN gains USING (bucket) WHERE NOT target GROUP BY 1
+), scored AS (
+  SELECT nr, doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, len(w) >= 20 AS able,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('7:' || CAST(doc_id AS VARCHAR)), 1, 8)
+           AS BIGINT) + 0.5) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM words LEFT JOIN means USING (nr) WHERE NOT target
+), ranked AS (
+  SELECT nr, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, 25 * count(*) OVER () // 100 AS drawn
+  FROM scored WHERE able
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= drawn THEN rank END AS rank FROM scored LEFT JOIN ranked USING (nr)
+"""
