@@ -26,10 +26,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelframe.llm.common import ragged, slices, written
+from reelframe.llm.common import slices, written
 from reelframe.operators.numbering import number_rows
 
 BUCKETS = 10_000
@@ -63,14 +64,21 @@ def checksums(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.nda
         if size > LONG:
             out[rows] = [zlib.crc32(flat[s:s + size].tobytes()) for s in starts[rows].tolist()]
             continue
-        matrix = flat[starts[rows][:, None] + np.arange(size)]
+        matrix = np.lib.stride_tricks.sliding_window_view(flat, size)[starts[rows]]
         crc = np.full(len(rows), 0xFFFFFFFF, np.uint32)
-        for column in matrix.T:
+        for column in np.ascontiguousarray(matrix.T):
             crc = (crc >> np.uint32(8)) ^ _TABLE[(crc ^ column) & np.uint32(255)]
         out[rows] = ~crc
     return out
 
 
+def _bytes_of(strings: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of an array of strings, where each begins, and their lengths."""
+    _, offsets, data = strings.buffers()
+    at = np.frombuffer(offsets, np.int32)[strings.offset:strings.offset + len(strings) + 1].astype(np.int64)
+    return np.frombuffer(data if data else b"", np.uint8), at[:-1], np.diff(at)
+
+
 class Features:
     """The features of a batch of texts: ``text`` and ``bucket`` of each occurrence, and numbers of words.
 
@@ -94,28 +102,18 @@ class Features:
             raw[inside[1:-1]].tobytes())]).dictionary_encode()
         number = words.indices.to_numpy()
         kinds = words.dictionary
-        at = np.frombuffer(kinds.buffers()[1], np.int32)[kinds.offset:kinds.offset + len(kinds) + 1].astype(np.int64)
-        flat = np.frombuffer(kinds.buffers()[2], np.uint8)
-        single = checksums(flat, at[:-1], np.diff(at)) % np.uint32(buckets)
+        single = checksums(*_bytes_of(kinds)) % np.uint32(buckets)
         first = np.flatnonzero(owner[1:] == owner[:-1])
-        pairs, place = np.unique(number[first].astype(np.int64) * len(kinds) + number[first + 1], return_inverse=True)
-        double = self._pairs(flat, at, pairs // len(kinds), pairs % len(kinds)) % np.uint32(buckets)
+        pairs = pa.array(number[first].astype(np.int64) * len(kinds) + number[first + 1]).dictionary_encode()
+        left, right = np.divmod(pairs.dictionary.to_numpy(), len(kinds))
+        joined = pc.binary_join_element_wise(kinds.take(pa.array(left)), kinds.take(pa.array(right)), b" ")
+        double = checksums(*_bytes_of(joined)) % np.uint32(buckets)
+        place = pairs.indices.to_numpy()
         new = slice(int(opened), None)
         self.text = np.concatenate([owner[new], owner[first]])
         self.bucket = np.concatenate([single[number][new], double[place]]).astype(np.int64)
         self.words = np.bincount(owner[new], minlength=len(texts))
 
-    @staticmethod
-    def _pairs(flat: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Checksums of two words with a blank between them."""
-        one, two = at[left + 1] - at[left], at[right + 1] - at[right]
-        sizes = one + two + 1
-        begins = np.cumsum(sizes) - sizes
-        joined = np.full(int(sizes.sum()), 32, np.uint8)
-        joined[ragged(begins, one)] = flat[ragged(at[left], one)]
-        joined[ragged(begins + one + 1, two)] = flat[ragged(at[right], two)]
-        return checksums(joined, begins, sizes)
-
 
 def _parts(text: bytes) -> Iterator[bytes]:
     """A long text in parts that end with a word; from the second on, each begins with the last word before it."""
