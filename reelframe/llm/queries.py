@@ -250,3 +250,107 @@ WITH bytes AS (
 )
 SELECT doc_id, n_features, weight, score, CASE WHEN rank <= drawn THEN rank END AS rank FROM scored LEFT JOIN ranked USING (nr)
 """
+
+
+@_query
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelframe.llm.secret_scan import secrets
+
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return secrets(_documents(spark, sf_dir)).select(
+        "doc_id", count("assign"), count("access"), count("hex"), F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"))
+
+
+def _secrets_sql() -> str:
+    """The rules, the battery and the cut-offs over rows of tokens."""
+    from reelframe.llm.secret_scan import ASSIGN, ENCODINGS
+
+    upper_lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    rules = [(0, ASSIGN, 2, 6), (1, "AKIA[A-Z0-9]+", 0, 20), (2, "[0-9a-f]+", 0, 24),
+             (3, "[A-Za-z0-9+/_-]{20,}={0,6}", 0, 0)]
+    found = " UNION ALL ".join(
+        f"SELECT nr, {kind} AS kind, {least} AS least, regexp_split_to_array(text, {quoted(rule)}) AS between, "
+        f"regexp_extract_all(text, {quoted(rule)}) AS found, regexp_extract_all(text, {quoted(rule)}, {group}) AS tokens FROM texts"
+        for kind, rule, group, least in rules)
+    encoding = "CASE " + " ".join(f"WHEN regexp_matches(token, {quoted(p)}) THEN {quoted(e)}" for e, (p, _) in ENCODINGS.items()) + " END"
+    alphabets = {"hex": "0123456789abcdef", "base32": upper_lower[:26] + "234567", "alnum": upper_lower,
+                 "base64": upper_lower + "+/", "base64url": upper_lower + "-_"}
+    alphabet = "CASE encoding " + " ".join(f"WHEN {quoted(e)} THEN {quoted(a)}" for e, a in alphabets.items()) + " END"
+    fit = "0.17087277"
+    for c in (-0.82215223, 1.48851587, -1.13520398, 0.27886807, -0.18628806, 0.09678418, 0.37409196, 1.00002368, -1.26551223):
+        fit = f"({fit} * t + {c}::DOUBLE)"
+    half = lambda z: ("list_transform([abs(" + z + ") / sqrt(2::DOUBLE)], lambda x: list_transform([1 / (1 + x / 2)], lambda t: "
+                      f"t * exp({fit} - x * x) / 2)[1])[1]")
+    return f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS nr, doc_id, coalesce(text, '') AS text FROM documents
+), scans AS (
+  {found}
+), placed AS (
+  SELECT nr, kind, least, tokens[i] AS token, len(found[i]) AS size,
+         list_sum([len(x) FOR x IN between[1:i]]) + coalesce(list_sum([len(x) FOR x IN found[1:i - 1]]), 0) AS start
+  FROM (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM scans)
+), base AS (
+  SELECT nr, kind, CAST(start AS BIGINT) AS start, CAST(start + size AS BIGINT) AS stop FROM placed
+  WHERE kind < 3 AND len(token) >= least
+), tokens AS (
+  SELECT nr, CAST(start AS BIGINT) AS start, CAST(start + size AS BIGINT) AS stop, rtrim(token, '=') AS token FROM placed p
+  WHERE kind = 3 AND NOT EXISTS (SELECT 1 FROM base b WHERE b.nr = p.nr AND b.start < p.start + p.size AND p.start < b.stop)
+), named AS (
+  SELECT *, {encoding} AS encoding FROM tokens
+), lettered AS (
+  SELECT *, {alphabet} AS alphabet, CAST(len(token) AS DOUBLE) AS n,
+         CASE encoding WHEN 'hex' THEN lower(token) ELSE token END AS plain FROM named WHERE encoding IS NOT NULL
+), celled AS (
+  SELECT *, [16 * (strpos(alphabet, substr(plain, i, 1)) - 1) // len(alphabet) FOR i IN range(1, len(plain) + 1)] AS cells,
+         [len([i FOR i IN range(len(alphabet)) IF 16 * i // len(alphabet) = q]) / len(alphabet) FOR q IN range(16)] AS shares FROM lettered
+), levelled AS (
+  SELECT *, [CAST(x // 4 AS DOUBLE) FOR x IN cells] AS v, CASE WHEN n >= 80 THEN 15.0::DOUBLE ELSE 3.0::DOUBLE END AS free FROM celled
+), sums AS (
+  SELECT *, CASE WHEN n >= 80 THEN list_sum([len([x FOR x IN cells IF x = q]) ** 2 / (n * shares[q + 1]) FOR q IN range(16)])
+              ELSE list_sum([len([x FOR x IN v IF x = q]) ** 2 / (n * list_sum(shares[4 * q + 1:4 * q + 4])) FOR q IN range(4)]) END - n AS chi,
+         CAST(len([x FOR x IN v IF x > 1]) AS DOUBLE) AS above, 2 / (free * 9) AS spread,
+         1 + len([i FOR i IN range(1, len(v)) IF (v[i] > 1) <> (v[i + 1] > 1)]) AS runs, list_sum(v) AS one,
+         list_sum([x * x FOR x IN v]) AS two, list_sum([v[i] * v[i + 1] FOR i IN range(1, len(v))]) AS products FROM levelled
+), scores AS (
+  SELECT *, (cbrt(greatest(chi, 0) / free) - (1 - spread)) / sqrt(spread) AS z1,
+         CASE WHEN above > 1 AND n - above > 1 THEN (runs - 2 * above * (n - above) / n - 1)
+           / sqrt((2 * above * (n - above) / n) * (2 * above * (n - above) / n - 1) / (n - 1)) END AS z2,
+         CASE WHEN two - one * one / n > 1e-9 THEN ((products - one / n * (2 * one - v[1] - v[len(v)]) + (n - 1) * (one / n) ** 2)
+           / (two - one * one / n) + 1 / n) * sqrt(n) END AS z3 FROM sums
+), tested AS (
+  SELECT nr, start, stop, encoding, CAST(floor(log2(n)) AS INTEGER) AS class,
+         -ln(greatest(CASE WHEN z1 >= 0 THEN {half("z1")} ELSE 1 - {half("z1")} END, 1e-300))
+         - ln(CASE WHEN z2 IS NULL THEN 1e-300 ELSE greatest(2 * {half("z2")}, 1e-300) END)
+         - ln(CASE WHEN z3 IS NULL THEN 1e-300 ELSE greatest(2 * {half("z3")}, 1e-300) END) AS h FROM scores
+), valued AS (
+  SELECT *, exp(-h) * (1 + h + h * h / 2) AS p FROM tested
+), counts AS (
+  SELECT encoding, class, least(CAST(floor(p * 64) AS INTEGER), 63) AS bin, count(*) AS n FROM valued GROUP BY ALL
+), levels AS (
+  SELECT encoding, class, bin, sum(n) OVER (PARTITION BY encoding, class ORDER BY bin DESC) AS above,
+         2 * sum(CASE WHEN bin >= 32 THEN n ELSE 0 END) OVER (PARTITION BY encoding, class) AS random FROM counts
+), limits AS (
+  SELECT encoding, class, greatest(min(bin) / 64, 0.01) AS least FROM levels
+  WHERE random > 0 AND above - random * (1 - bin / 64) <= 0.1 * above GROUP BY ALL
+), spans AS (
+  SELECT nr, kind, start, stop FROM base
+  UNION ALL SELECT nr, 3, start, stop FROM valued JOIN limits USING (encoding, class) WHERE p >= least
+), listed AS (
+  SELECT nr, kind, start, stop, ['assign', 'access', 'hex', 'random'][kind + 1] || ':' || start || ':' || stop AS x FROM spans
+), joined AS (
+  SELECT nr, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+         string_agg(x, ',' ORDER BY start, kind, stop) FILTER (kind < 3) AS base,
+         string_agg(x, ',' ORDER BY start, kind, stop) AS spans FROM listed GROUP BY 1
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN joined USING (nr)
+"""
+
+
+ORACLES["op12_secret_scan"] = _secrets_sql()
