@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelframe.llm.common import written
+from reelframe.llm.common import discard, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -24,14 +24,16 @@ def components(links: DataFrame) -> DataFrame:
                         "least")
         large = written(both.filter("b > a").join(least, "a").select(F.col("least").alias("a"), "b")
                         .filter("a <> b").distinct(), "links")
-        least = written(large.groupBy("b").agg(F.min("a").alias("least")), "least")
-        small = large.join(least, "b")
+        smallest = written(large.groupBy("b").agg(F.min("a").alias("least")), "least")
+        small = large.join(smallest, "b")
         new = written(small.select(F.col("least").alias("a"), "b")
                       .union(small.select(F.col("least").alias("a"), F.col("a").alias("b")))
                       .filter("a <> b").distinct(), "links")
-        if _digest(new) == _digest(links):
-            break
+        same = _digest(new) == _digest(links)
+        discard(least, large, smallest, links)
         links = new
+        if same:
+            break
     return links.select(F.col("b").alias("node"), F.col("a").alias("component")) \
         .union(links.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())
 
