@@ -7,8 +7,12 @@ of a text lies in exactly one segment. What a shard does with its segments is up
 FM-index).
 
 Scale: equal texts collapse first; grams are counted within the tasks before the shuffle; equal segments of a task are
-sent once with their number. An anchor found in more than ``CROWD`` different texts would overfill a shard: its windows
-are compared by 128-bit hashes instead, grouped by Spark, which gives the same answers at any size.
+sent once with their number. A group of over ``GROUP_BYTES`` would overfill a shard. Equal segments of all tasks become
+one there; if that is not enough, the group's windows are halved by how far into the window the anchor lies. All windows
+of a half have the units around the anchor that the shortest reach on either side covers; equal windows agree in them, so
+their hash deals the half to smaller groups. Groups are halved until they fit, at most until all windows of a group are
+one window, and the places found are carried back to the whole segments. So a passage in any number of texts goes through
+the same shards as a rare one. Scratch tables are removed when what was made from them is written.
 """
 
 from __future__ import annotations
@@ -25,8 +29,8 @@ from pyspark.sql import functions as F
 
 from reelframe.llm.common import U64, mixed, ragged, slices, written
 
-CROWD = 1000
 SHARD_BYTES = 1 << 20
+GROUP_BYTES = 4 << 20
 _BATCH = 1 << 18
 _POSITION_BITS = 28
 _P, _Q = 0x9E3779B97F4A7C15, 0xA0761D6478BD642F
@@ -90,12 +94,13 @@ WORDS = Unit(word_units, 50, 8)
 
 @dataclass
 class Segments:
-    """Runs of window starts with one anchor; positions count units of the whole batch."""
+    """Runs of window starts with one anchor and its place; positions count units of the whole batch."""
 
     text: np.ndarray
     anchor: np.ndarray
     start: np.ndarray
     count: np.ndarray
+    place: np.ndarray
 
 
 class Cut:
@@ -118,7 +123,7 @@ class Cut:
         window, gram = self.unit.window, self.unit.gram
         empty = np.zeros(0, np.int64)
         if len(self.hashes) < window:
-            return Segments(empty, empty.astype(U64), empty, empty)
+            return Segments(empty, empty.astype(U64), empty, empty, empty)
         hashes = self.rolling(gram)
         low = U64((1 << _POSITION_BITS) - 1)
         key = (hashes & ~low) | np.arange(len(hashes), dtype=U64)
@@ -135,7 +140,7 @@ class Cut:
         new[1:] = (at[starts[1:]] != at[starts[:-1]]) | (owner[1:] != owner[:-1])
         run = np.flatnonzero(new)
         return Segments(owner[run], hashes[at[starts[run]]], starts[run],
-                        np.diff(np.append(run, len(starts))).astype(np.int64))
+                        np.diff(np.append(run, len(starts))).astype(np.int64), at[starts[run]])
 
 
 _BLANK = regex.compile(rb"[\x20\x09-\x0D]")
@@ -220,39 +225,25 @@ class _Gathered:
     def __init__(self, unit: Unit):
         self.unit, self.seen, self.held = unit, {}, 0
 
-    def add(self, cut: Cut, s: Segments, keep: list[int], weights, docs, crowded) -> tuple[list[int], list[int]]:
+    def add(self, cut: Cut, s: Segments, keep: list[int], weights, docs) -> tuple[list[int], list[int]]:
         start, count, window = s.start[keep], s.count[keep], self.unit.window
         anchor = s.anchor[keep].view(np.int64).tolist()
         whole = cut.rolling.ranges(start, start + count + window - 1).view(np.int64).tolist()
-        raw, hashes = cut.raw.tobytes(), None
-        for t, h, c, a, n in zip(s.text[keep].tolist(), anchor, whole, start.tolist(), count.tolist()):
+        raw, inside = cut.raw.tobytes(), (s.place[keep] - start).tolist()
+        for t, h, c, a, n, p in zip(s.text[keep].tolist(), anchor, whole, start.tolist(), count.tolist(), inside):
             known = self.seen.get((h, c))
             if known is None:
-                if crowded[t][h]:
-                    hashes = hashes or (cut.rolling(window), Rolling(mixed(cut.hashes + U64(77)), _Q)(window))
-                    known = [(hashes[0][a:a + n].copy(), hashes[1][a:a + n].copy()), 0, docs[t]]
-                    self.held += 16 * n
-                else:
-                    known = [raw[cut.first[a]:cut.last[a + n + window - 2]], 0, docs[t]]
-                    self.held += len(known[0])
-                self.seen[h, c] = known
-                self.held += 200
+                known = self.seen[h, c] = [raw[cut.first[a]:cut.last[a + n + window - 2]], 0, docs[t], p]
+                self.held += len(known[0]) + 200
             known[1] += weights[t]
             known[2] = _least(known[2], docs[t])
         return anchor, whole
 
     def emit(self) -> Iterator[pa.RecordBatch]:
-        rows = [(*k, *v) for k, v in self.seen.items() if isinstance(v[0], bytes)]
-        if rows:
-            yield _rows("content", h=[r[0] for r in rows], c=[r[1] for r in rows], content=[r[2] for r in rows],
-                        weight=[r[3] for r in rows], doc=[r[4] for r in rows])
-        rows = [(*k, *v) for k, v in self.seen.items() if not isinstance(v[0], bytes)]
-        if rows:
-            n = np.array([len(r[2][0]) for r in rows])
-            each = lambda i: pa.array([r[i] for r in rows], pa.int64()).take(pa.array(np.repeat(np.arange(len(rows)), n)))
-            yield _rows("window", h=each(0), c=each(1), at=ragged(np.zeros(len(n), np.int64), n), weight=each(3),
-                        doc=each(4), w1=np.concatenate([r[2][0] for r in rows]).view(np.int64),
-                        w2=np.concatenate([r[2][1] for r in rows]).view(np.int64))
+        if self.seen:
+            content, weight, doc, inside = zip(*self.seen.values())
+            yield _rows("content", h=[k[0] for k in self.seen], c=[k[1] for k in self.seen], content=content,
+                        weight=weight, doc=doc, inside=inside)
         self.seen, self.held = {}, 0
 
 
@@ -262,20 +253,20 @@ def _least(a: int | None, b: int | None) -> int | None:
 
 
 def _segmenting(unit: Unit):
-    """Rows of three kinds: where a segment lies in a text, the content of a segment, a window of a crowded anchor."""
+    """Rows of two kinds: where a segment lies in a text, and its content with the anchor's place inside."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _Gathered(unit)
         for batch in batches:
             for part, cuts in parts_of(batch, 1, unit):
                 weights, docs = part.column(2).to_pylist(), part.column(3).to_pylist()
-                crowded = [{x["h"]: x["crowded"] for x in hs} for hs in part.column(4).to_pylist()]
+                wanted = [set(hs) for hs in part.column(4).to_pylist()]
                 for cut, before in cuts:
                     s = cut.segments()
                     keep = [i for i, (t, h) in enumerate(zip(s.text.tolist(), s.anchor.view(np.int64).tolist()))
-                            if h in crowded[t]]
+                            if h in wanted[t]]
                     if not keep:
                         continue
-                    anchor, whole = held.add(cut, s, keep, weights, docs, crowded)
+                    anchor, whole = held.add(cut, s, keep, weights, docs)
                     yield _rows("place", h=anchor, c=whole, digest=part.column(0).take(pa.array(s.text[keep])),
                                 at=s.start[keep] - cut.begin[s.text[keep]] + before, n=s.count[keep])
                     if held.held > _PACK:
@@ -285,8 +276,7 @@ def _segmenting(unit: Unit):
 
 
 _KINDS = {"kind": pa.string(), "h": pa.int64(), "c": pa.int64(), "digest": pa.binary(), "at": pa.int64(),
-          "n": pa.int64(), "content": pa.binary(), "weight": pa.int64(), "doc": pa.int64(), "w1": pa.int64(),
-          "w2": pa.int64()}
+          "n": pa.int64(), "content": pa.binary(), "weight": pa.int64(), "doc": pa.int64(), "inside": pa.int64()}
 
 
 def _rows(kind: str, **columns) -> pa.RecordBatch:
@@ -335,12 +325,95 @@ def _matching(unit: Unit, matches):
     return run
 
 
+_PARTS = "h long, c long, content binary, weight long, doc long, inside long, low long, high long, " \
+         "of_h long, of_c long, moved long"
+
+
+def _halving(unit: Unit):
+    """Splits the windows of each segment by how far the anchor lies in them: ``low`` to ``high``, halved.
+
+    A half's group is named by the units that all its windows have around the anchor.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 2, _BATCH):
+                cut = Cut(part.column(2).to_pylist(), unit)
+                raw, rows = cut.raw.tobytes(), []
+                for i, (h, c, _, weight, doc, inside, low, high) in enumerate(zip(*(x.to_pylist() for x in part.columns))):
+                    begin, last = int(cut.begin[i]), int(cut.end[i] - cut.begin[i]) - unit.window
+                    middle = (low + high) // 2
+                    for near, far in ((low, middle), (middle + 1, high)):
+                        first, stop = max(0, inside - far), min(last, inside - near)
+                        if first <= stop:
+                            a, b = begin + first, begin + stop + unit.window
+                            rows.append((begin + inside - near, begin + inside - far + unit.window, a, b,
+                                         h, (near << 32) + far, raw[cut.first[a]:cut.last[b - 1]], weight, doc, inside - first,
+                                         near, far, h, c, first))
+                if not rows:
+                    continue
+                held = list(zip(*rows))
+                edge = [np.array(x, np.int64) for x in held[:4]]
+                name = mixed(cut.rolling.ranges(edge[0], edge[1]) ^ mixed(np.array(held[4], np.int64).view(U64) + mixed(
+                    np.array(held[5], np.int64).view(U64))))
+                whole = cut.rolling.ranges(edge[2], edge[3])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(name.view(np.int64)), pa.array(whole.view(np.int64)), pa.array(held[6], pa.binary()),
+                     *[pa.array(x, pa.int64()) for x in held[7:]]],
+                    ["h", "c", "content", "weight", "doc", "inside", "low", "high", "of_h", "of_c", "moved"])
+    return run
+
+
+def _too_large(contents: DataFrame) -> DataFrame:
+    """The groups that would overfill a shard."""
+    return written(contents.groupBy("h").agg(F.sum(F.length("content") + 64).alias("bytes"))
+                   .filter(F.col("bytes") > GROUP_BYTES).select("h"), "large-groups")
+
+
+def _fitted(contents: DataFrame, unit: Unit) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Groups of ``contents`` that fit into a shard, and for each level of halving where the halves come from."""
+    large = _too_large(contents)
+    fitting = [contents.join(large, "h", "left_anti").select("h", "c", "content", "weight", "doc")]
+    origins: list[DataFrame] = []
+    if large.isEmpty():
+        return [contents.select("h", "c", "content", "weight", "doc")], origins
+    rows = contents.join(large, "h").withColumn("low", F.lit(0).cast("long")) \
+        .withColumn("high", F.lit(unit.window - unit.gram).cast("long"))
+    while True:
+        single = written(rows.groupBy("h", "c").agg(
+            F.any_value("content").alias("content"), F.sum("weight").alias("weight"), F.min("doc").alias("doc"),
+            F.any_value("inside").alias("inside"), F.any_value("low").alias("low"), F.any_value("high").alias("high")), "single")
+        large = _too_large(single.filter("low < high"))
+        fitting.append(single.join(large, "h", "left_anti").select("h", "c", "content", "weight", "doc"))
+        if large.isEmpty():
+            return fitting, origins
+        rows = written(single.join(large, "h").select("h", "c", "content", "weight", "doc", "inside", "low", "high")
+                       .mapInArrow(_halving(unit), _PARTS), "halves")
+        origins.append(rows.select("h", "c", "of_h", "of_c", "moved"))
+
+
+def _carried_back(runs: DataFrame, origins: list[DataFrame]) -> DataFrame:
+    """Runs of halves as runs of the segments they come from, level by level."""
+    found = runs
+    for level in reversed(origins):
+        back = level.join(found, ["h", "c"]).select("of_h", "of_c", F.transform("runs", lambda r: F.struct(
+            (r["at"] + F.col("moved")).alias("at"), r["n"].alias("n"), r["doc"].alias("doc"))).alias("runs"))
+        back = back.groupBy("of_h", "of_c").agg(F.flatten(F.collect_list("runs")).alias("runs"))
+        found = written(runs.unionByName(back.select(F.col("of_h").alias("h"), F.col("of_c").alias("c"), "runs")), "runs")
+    return found
+
+
 @dataclass
 class Repeats:
-    """``texts``: one row per input row; ``kept``: one row per different text that may lose something."""
+    """``texts``: one row per input row; ``kept``: one row per different text that may lose something.
+
+    ``texts`` reads the table ``anchors``, ``kept`` those in ``scratch``; they are to be removed when what is made of
+    them has been written.
+    """
 
     texts: DataFrame
     kept: DataFrame
+    anchors: DataFrame
+    scratch: list[DataFrame]
 
 
 def find_repeats(docs: DataFrame, unit: Unit, matches, plain, twice: bool, id_col: str, text_col: str) -> Repeats:
@@ -360,35 +433,34 @@ def find_repeats(docs: DataFrame, unit: Unit, matches, plain, twice: bool, id_co
     tag = F.xxhash64("digest")
     grams = texts.select(tag.alias("t"), F.explode("anchors").alias("a")).select(
         F.col("a.h").alias("h"), F.when(F.col("a.again"), F.bitwise_not("t")).otherwise(F.col("t")).alias("t"))
-    repeated = grams.groupBy("h").agg(F.min("t").alias("low"), F.max("t").alias("high"), F.count("*").alias("n")) \
-        .filter("low <> high").select("h", (F.col("n") > CROWD).alias("crowded"))
+    repeated = grams.groupBy("h").agg(F.min("t").alias("low"), F.max("t").alias("high")) \
+        .filter("low <> high").select("h")
     own = texts.select("digest", F.explode("anchors.h").alias("h"), tag.alias("t")).select("t", "h") \
-        .join(repeated, "h").groupBy("t").agg(F.collect_set(F.struct("h", "crowded")).alias("hs"))
+        .join(repeated, "h").groupBy("t").agg(F.collect_set("h").alias("hs"))
     names = texts.select("digest").distinct().select(tag.alias("t"), "digest")
     wanted = names.join(own, "t").select(F.col("digest").alias("d"), "hs")
     different = keyed.groupBy("digest").agg(F.any_value("text").alias("text"), F.count("*").alias("copies"),
                                             F.min("doc_id").alias("doc"))
     suspects = written(different.join(wanted, F.col("digest") == F.col("d"))
                        .select("digest", "text", "copies", "doc", "hs"), "suspects")
-    schema = "kind string, h long, c long, digest binary, at long, n long, content binary, weight long, doc long, " \
-             "w1 long, w2 long"
+    schema = "kind string, h long, c long, digest binary, at long, n long, content binary, weight long, doc long, inside long"
     rows = written(suspects.select("digest", "text", "copies", "doc", "hs").mapInArrow(_segmenting(unit), schema),
                    "segments")
-    contents = rows.filter("kind = 'content'").select("h", "c", "content", "weight", "doc")
-    runs = contents.repartition("h").sortWithinPartitions("h", "c").mapInArrow(
-        _matching(unit, matches), f"h long, c long, runs {_RUN}")
-    windows = rows.filter("kind = 'window'").select("w1", "w2", "h", "c", "at", "weight", "doc")
-    several = windows.groupBy("w1", "w2").agg(F.sum("weight").alias("all"), F.min("doc").alias("doc")).filter("all > 1")
-    crowded = windows.select("w1", "w2", "h", "c", "at").join(several, ["w1", "w2"]) \
-        .groupBy("h", "c").agg(F.collect_set(F.struct("at", F.lit(1).cast("long").alias("n"), "doc")).alias("runs"))
+    fitting, origins = _fitted(rows.filter("kind = 'content'").select("h", "c", "content", "weight", "doc", "inside"), unit)
+    contents = fitting[0]
+    for more in fitting[1:]:
+        contents = contents.unionByName(more)
+    runs = written(contents.repartition("h").sortWithinPartitions("h", "c").mapInArrow(
+        _matching(unit, matches), f"h long, c long, runs {_RUN}").filter("size(runs) > 0"), "runs")
+    runs = _carried_back(runs, origins)
     places = rows.filter("kind = 'place'").select("h", "c", "digest", F.col("at").alias("base"))
-    spans = places.join(runs.unionByName(crowded).filter("size(runs) > 0"), ["h", "c"]) \
+    spans = places.join(runs, ["h", "c"]) \
         .select("digest", F.transform("runs", lambda r: F.struct(
             (r["at"] + F.col("base")).alias("at"), r["n"].alias("n"), r["doc"].alias("doc"))).alias("s")) \
         .groupBy(F.col("digest").alias("d")).agg(F.flatten(F.collect_list("s")).alias("spans"))
     kept = suspects.select("digest", "text", "copies", "doc").join(spans, F.col("digest") == F.col("d")) \
         .select("digest", "text", "copies", "doc", "spans")
-    return Repeats(texts.select("doc_id", "digest", "n", "plain"), kept)
+    return Repeats(texts.select("doc_id", "digest", "n", "plain"), kept, texts, [suspects, rows, runs])
 
 
 def removed(spans: list[dict], window: int) -> list[tuple[int, int]]:

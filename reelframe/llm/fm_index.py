@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelframe.llm.anchors import WORDS, Unit, find_repeats, removed, sha256
-from reelframe.llm.common import U64, slices, written
+from reelframe.llm.common import U64, discard, slices, written
 from reelframe.llm.suffixes import doubled
 
 _INDEXED = 1 << 17
@@ -210,6 +210,7 @@ def repeated_windows(docs: DataFrame, unit: Unit = WORDS, id_col: str = "doc_id"
     # Written, so that the join below is one of two plain tables and a text with many copies can be split.
     known = written(first.join(cut, F.col("digest") == F.col("d"), "left").select(
         F.col("digest").alias("d"), "first", "n_removed", "kept_sha256"), "repeats")
+    discard(*found.scratch)
     later = (F.col("n") >= unit.window) & F.col("first").isNotNull() & \
         (F.col("doc_id").isNull() | (F.col("first") < F.col("doc_id")))
     return texts.join(known, F.col("digest") == F.col("d")).select(

@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelframe.llm.anchors import BYTES, Unit, find_repeats, removed, sha256
-from reelframe.llm.common import slices, written
+from reelframe.llm.anchors import BYTES, Repeats, Unit, find_repeats, removed, sha256
+from reelframe.llm.common import discard, slices, written
 
 _TEXT = 1 << 20
 _FEW_NAMES = 512
@@ -260,20 +260,22 @@ def _cutting(window: int, with_text: bool):
     return run
 
 
-def _found(docs: DataFrame, unit: Unit, id_col: str, text_col: str, with_text: bool) -> tuple[DataFrame, DataFrame]:
+def _found(docs: DataFrame, unit: Unit, id_col: str, text_col: str, with_text: bool) -> tuple[Repeats, DataFrame]:
     found = find_repeats(docs, unit, matched_by_suffixes, sha256, True, id_col, text_col)
     cut = found.kept.select("digest", "text", "spans").mapInArrow(
         _cutting(unit.window, with_text), "d binary, n_removed long, n_spans long, kept_sha256 string, kept string")
-    return found.texts, cut
+    return found, cut
 
 
 def repeated_bytes(docs: DataFrame, unit: Unit = BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for every row."""
-    texts, cut = _found(docs, unit, id_col, text_col, False)
+    found, cut = _found(docs, unit, id_col, text_col, False)
+    texts = found.texts
     copies = texts.groupBy("digest").agg(F.count("*").alias("copies"))
     # Written, so that the join below is one of two plain tables and a text with many copies can be split.
     known = written(copies.join(cut, F.col("digest") == F.col("d"), "left").select(
         F.col("digest").alias("d"), "copies", "n_removed", "n_spans", "kept_sha256"), "repeats")
+    discard(*found.scratch)
     whole = (F.col("copies") > 1) & (F.col("n") >= unit.window)
     return texts.join(known, F.col("digest") == F.col("d")).select(
         "doc_id", F.col("n").alias("n_bytes"),
@@ -287,10 +289,11 @@ def without_repeats(docs: DataFrame, unit: Unit = BYTES, id_col: str = "doc_id",
 
     Other columns stay as they are. Rows are never dropped, even if nothing of their text is left.
     """
-    texts, cut = _found(docs, unit, id_col, text_col, True)
-    copies = texts.filter(F.col("n") >= unit.window).groupBy("digest").agg(F.count("*").alias("copies")) \
+    found, cut = _found(docs, unit, id_col, text_col, True)
+    copies = found.texts.filter(F.col("n") >= unit.window).groupBy("digest").agg(F.count("*").alias("copies")) \
         .filter("copies > 1").select(F.col("digest").alias("d"), F.lit("").alias("kept"))
     changed = written(copies.unionByName(cut.select("d", "kept")).groupBy("d").agg(F.min("kept").alias("kept")), "cut")
+    discard(found.anchors, *found.scratch)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                        F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)).alias("digest"))
     return rows.join(changed, F.col("digest") == F.col("d"), "left") \

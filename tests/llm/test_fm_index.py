@@ -66,9 +66,9 @@ def run(df, unit=WORDS):
     return sorted(map(tuple, fm_index.repeated_windows(df, unit).collect()), key=repr)
 
 
-@pytest.mark.parametrize("crowd", [1000, 4])
-def test_hard_texts(spark, crowd, monkeypatch):
-    monkeypatch.setattr(anchors, "CROWD", crowd)
+@pytest.mark.parametrize("room", [4 << 20, 1000, 1])
+def test_hard_texts(spark, room, monkeypatch):
+    monkeypatch.setattr(anchors, "GROUP_BYTES", room)
     df = spark.createDataFrame([(*r, 1, 2) for r in hard_rows()], "doc_id long, text string, h int, spans int")
     assert run(df, SMALL) == brute(hard_rows(), 6)
 

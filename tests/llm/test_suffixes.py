@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -72,12 +73,35 @@ def hard_rows():
     return rows
 
 
-@pytest.mark.parametrize("crowd", [1000, 4])
-def test_hard_texts(spark, crowd, monkeypatch):
-    monkeypatch.setattr(anchors, "CROWD", crowd)
+@pytest.mark.parametrize("room", [4 << 20, 1000, 1])
+def test_hard_texts(spark, room, monkeypatch):
+    monkeypatch.setattr(anchors, "GROUP_BYTES", room)
     assert run(spark, hard_rows(), SMALL, h=1, digest=2) == brute(hard_rows(), 12)
 
 
+def test_a_header_repeated_in_one_text_and_a_passage_in_many(spark, monkeypatch):
+    """100,000 places of one anchor in one text, and a passage with other text around it in 3000 texts."""
+    rng = np.random.default_rng(10)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    some = lambda n: "".join(rng.choice(letters, n))
+    header, passage = "0123456789AB", some(40).upper()
+    rows = [(1, "".join(header + some(7) for _ in range(100_000)))]
+    rows += [(10 + i, some(30) + passage + some(30)) for i in range(3000)]
+    monkeypatch.setattr(anchors, "GROUP_BYTES", 20_000)
+    fitted, sizes, levels = anchors._fitted, [], []
+
+    def watched(*args):
+        fitting, origins = fitted(*args)
+        levels.append(len(origins))
+        for part in fitting:
+            sizes.extend(g.n for g in part.groupBy("h").agg(F.sum(F.length("content")).alias("n")).collect())
+        return fitting, origins
+
+    monkeypatch.setattr(anchors, "_fitted", watched)
+    assert run(spark, rows, SMALL) == brute(rows, 12)
+    assert levels[0] > 1 and max(sizes) <= 20_000
+
+
 def test_long_text_in_pieces(spark, monkeypatch):
     rng = np.random.default_rng(9)
     long = "".join(rng.choice(list("abcdefgh"), 5000))
