@@ -219,27 +219,8 @@ def _best(users: np.ndarray, items: _Catalogue, k: int, metric: str,
     return rows[order], cols[order], scores[order]
 
 
-def recommend_topk(users: DataFrame, items: DataFrame, k: int, *, user_id: str = "userId", item_id: str = "ID",
-                   vector: str = "embedding", seen: str | None = None, metric: str = "cosine") -> DataFrame:
-    """For each user the ``k`` best items: ``(user_id, rank, item_id, score)``.
-
-    ``metric`` is ``cosine`` (descending) or ``l2`` (squared distance, ascending).
-    ``seen`` names an array column of ``users`` whose items are left out. Filter
-    ``items`` beforehand to draw from part of the catalogue only.
-    """
-    if user_id.lower() == item_id.lower():
-        raise ValueError("the names of the user and item columns must differ, not only in case")
-    extra = [F.col(seen).alias("seen")] if seen else []
-    size = _length_of(items, vector)
-    left = _prepare(users, user_id, vector, "user", size, *extra)
-    right = _prepare(items, item_id, vector, "item", size)
-    schema = T.StructType([
-        T.StructField("user", left.schema["user"].dataType),
-        T.StructField("item", right.schema["item"].dataType),
-        T.StructField("score", T.DoubleType()),
-    ])
-    has_seen = seen is not None
-
+def _cell_scorer(k: int, metric: str, has_seen: bool):
+    """The k best items of a cell for each of its users."""
     def score_cell(upart: pa.Table, ipart: pa.Table) -> pa.Table:
         if not upart.num_rows or not ipart.num_rows:
             return pa.table({"user": _typed(upart, "user"), "item": _typed(ipart, "item"),
@@ -260,15 +241,39 @@ def recommend_topk(users: DataFrame, items: DataFrame, k: int, *, user_id: str =
         return pa.table({"user": user_ids.take(pa.array(rows)), "item": item_ids.take(pa.array(cols)),
                          "score": pa.array(scores)})
 
-    cells_left, cells_right = _cells(left, right)
-    partial = cells_left.cogroup(cells_right).applyInArrow(score_cell, schema)
+    return score_cell
+
+
+def _ranked(scored: DataFrame, k: int, metric: str) -> DataFrame:
+    """``user, rank, item, score`` of the k best rows per user."""
     best = Window.partitionBy("user").orderBy(F.desc("score"), F.asc("item"))
     sign = 1.0 if metric == "cosine" else -1.0
-    return (
-        partial.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-        .select(F.col("user").alias(user_id), "rank", F.col("item").alias(item_id),
-                (F.col("score") * sign + 0.0).alias("score"))
-    )
+    return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k) \
+        .select("user", "rank", "item", (F.col("score") * sign + 0.0).alias("score"))
+
+
+def recommend_topk(users: DataFrame, items: DataFrame, k: int, *, user_id: str = "userId", item_id: str = "ID",
+                   vector: str = "embedding", seen: str | None = None, metric: str = "cosine") -> DataFrame:
+    """For each user the ``k`` best items: ``(user_id, rank, item_id, score)``.
+
+    ``metric`` is ``cosine`` (descending) or ``l2`` (squared distance, ascending).
+    ``seen`` names an array column of ``users`` whose items are left out. Filter
+    ``items`` beforehand to draw from part of the catalogue only.
+    """
+    if user_id.lower() == item_id.lower():
+        raise ValueError("the names of the user and item columns must differ, not only in case")
+    extra = [F.col(seen).alias("seen")] if seen else []
+    size = _length_of(items, vector)
+    left = _prepare(users, user_id, vector, "user", size, *extra)
+    right = _prepare(items, item_id, vector, "item", size)
+    schema = T.StructType([
+        T.StructField("user", left.schema["user"].dataType),
+        T.StructField("item", right.schema["item"].dataType),
+        T.StructField("score", T.DoubleType()),
+    ])
+    cells_left, cells_right = _cells(left, right)
+    partial = cells_left.cogroup(cells_right).applyInArrow(_cell_scorer(k, metric, seen is not None), schema)
+    return _ranked(partial, k, metric).withColumnsRenamed({"user": user_id, "item": item_id})
 
 
 def score_summary(users: DataFrame, items: DataFrame, *, user_id: str = "userId", item_id: str = "ID",

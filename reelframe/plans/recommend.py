@@ -67,14 +67,16 @@ def with_sentences(profiles: DataFrame) -> DataFrame:
 
 def recommend_for_all(prefs: DataFrame, content: DataFrame, genres: DataFrame, vectors: DataFrame,
                       load: Callable[[], Callable[[list[str]], list]], k_movies: int = 10, k_series: int = 25,
-                      exclude_seen: bool = False, failures_path: str | None = None, **call) -> DataFrame:
+                      exclude_seen: bool = False, failures_path: str | None = None,
+                      search: Callable[..., DataFrame] = recommend_topk, **call) -> DataFrame:
     """``(userId, kind, rank, ID, score)``: films by the film text, series by the series text.
 
     Both lists are drawn from all of ``vectors(ID, embedding)``, a stored table; pass
     a filtered one, or set ``exclude_seen``, to narrow them. The user vectors are
     checkpointed, so the model sees every text once. Users whose text got no vector
     after all tries go to ``failures_path`` as ``(userId, kind, error)``; without one
-    the plan stops and names one of them.
+    the plan stops and names one of them. ``search`` may be ``recommend_pruned``, which
+    gives the same lists and compares fewer pairs where the vectors form groups.
     """
     shared_dir(prefs.sparkSession)
     profiles = with_sentences(user_profiles(prefs, content, genres))
@@ -98,7 +100,7 @@ def recommend_for_all(prefs: DataFrame, content: DataFrame, genres: DataFrame, v
 
     def ranked(kind: str, k: int) -> DataFrame:
         users = embedded.where(F.col("kind") == kind)
-        best = recommend_topk(users, vectors, k, seen="seen" if exclude_seen else None)
+        best = search(users, vectors, k, seen="seen" if exclude_seen else None)
         return best.select("userId", F.lit(kind).alias("kind"), "rank", "ID", "score")
 
     return ranked("movies", k_movies).unionByName(ranked("series", k_series))

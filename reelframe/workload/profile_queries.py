@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from reelframe.functions import vectors as vec
-from reelframe.operators import batching, external, profiles, sets, similarity
+from reelframe.operators import batching, external, profiles, pruned, sets, similarity
 from reelframe.operators.filters import drop_incomplete, valid_keys
 from reelframe.operators.skew import lookup_join
 from reelframe.operators.translate import translate_columns
@@ -21,16 +21,21 @@ def _users(v: Views):
     return drop_incomplete(valid_keys(v.prefs, "userId"))
 
 
-def _movies(v: Views, stored: bool = False):
+def _liked(v: Views, stored: bool = False):
+    """The entries of the film and the series lists, with their kind."""
     users = drop_incomplete(valid_keys(v.stored_prefs, "userId")) if stored else _users(v)
-    return profiles.explode_favorites(users, "favoriteMoviesIds")
+    films, series = (profiles.explode_favorites(users, c) for c in ("favoriteMoviesIds", "favoriteSeriesIds"))
+    return films.withColumn("kind", F.lit("film")).unionByName(series.withColumn("kind", F.lit("serie")))
+
+
+_LIKED = "(SELECT 'film' AS kind, * FROM movie_rows UNION ALL SELECT 'serie', * FROM serie_rows)"
 
 
 # -- favourites and profiles
 
-@query("explode_favorites", sql("SELECT userId, pos::INT AS pos, item FROM movie_rows", "movie_rows"))
+@query("explode_favorites", sql(f"SELECT userId, kind, pos::INT AS pos, item FROM {_LIKED}", "movie_rows", "serie_rows"))
 def explode_favorites(v):
-    return _movies(v)
+    return _liked(v)
 
 
 @query("join_genres", sql("""
@@ -42,24 +47,24 @@ def join_genres(v):
     return profiles.join_genres(liked, v.genres)
 
 
-@query("join_titles", sql("""
-    SELECT userId, pos::INT AS pos, item, CleanTitle FROM movie_rows LEFT JOIN content ON ID = item""",
-    "movie_rows", "content"))
+@query("join_titles", sql(f"""
+    SELECT userId, kind, pos::INT AS pos, item, CleanTitle FROM {_LIKED} LEFT JOIN content ON ID = item""",
+    "movie_rows", "serie_rows", "content"))
 def join_titles(v):
-    return profiles.join_titles(_movies(v, stored=True), v.content, ["CleanTitle"])
+    return profiles.join_titles(_liked(v, stored=True), v.content, ["CleanTitle"])
 
 
-_TITLE_LIST = """
-    SELECT userId, string_agg(item, ';' ORDER BY pos) AS items,
+_TITLE_LIST = f"""
+    SELECT userId, kind, string_agg(item, ';' ORDER BY pos) AS items,
            string_agg(coalesce(CleanTitle, '?'), '|' ORDER BY pos) AS titles
-    FROM movie_rows LEFT JOIN content ON ID = item GROUP BY userId"""
+    FROM {_LIKED} LEFT JOIN content ON ID = item GROUP BY userId, kind"""
 
 
-@query("collect_profile", sql(_TITLE_LIST, "movie_rows", "content"))
+@query("collect_profile", sql(_TITLE_LIST, "movie_rows", "serie_rows", "content"))
 def collect_profile(v):
-    rows = profiles.join_titles(_movies(v, stored=True), v.content, ["CleanTitle"])
-    lists = profiles.collect_profile(rows, ["item", "CleanTitle"])
-    return lists.select("userId", F.array_join("item", ";").alias("items"),
+    rows = profiles.join_titles(_liked(v, stored=True), v.content, ["CleanTitle"])
+    lists = profiles.collect_profile(rows.withColumn("userId", F.struct("userId", "kind")), ["item", "CleanTitle"])
+    return lists.select("userId.*", F.array_join("item", ";").alias("items"),
                         F.array_join("CleanTitle", "|", "?").alias("titles"))
 
 
@@ -118,9 +123,9 @@ def profile_sentence_query(v):
                         F.col("series_sentences_to_embed").alias("series_sentence"))
 
 
-@query("distinct_ids", sql("SELECT DISTINCT item FROM movie_rows", "movie_rows"))
+@query("distinct_ids", sql(f"SELECT DISTINCT item FROM {_LIKED}", "movie_rows", "serie_rows"))
 def distinct_ids(v):
-    return profiles.distinct_ids(_movies(v), "item")
+    return profiles.distinct_ids(_liked(v), "item")
 
 
 @query("rename_drop_reorder", sql("""
@@ -147,9 +152,9 @@ def union_ids(v):
     return sets.union_ids(_movies(v).select("item"), series.select("item"))
 
 
-@query("missing_items", sql("SELECT item FROM movie_rows EXCEPT SELECT ID FROM content", "movie_rows", "content"))
+@query("missing_items", sql(f"SELECT item FROM {_LIKED} EXCEPT SELECT ID FROM content", "movie_rows", "serie_rows", "content"))
 def missing_items(v):
-    return sets.missing_items(_movies(v).select("item"), v.content.select(F.col("ID").alias("item")))
+    return sets.missing_items(_liked(v).select("item"), v.content.select(F.col("ID").alias("item")))
 
 
 # -- batches and external functions
@@ -342,6 +347,30 @@ def cross_score(v):
                         *[(F.round(c, 6) + 0.0).alias(c) for c in ("mean_score", "min_score", "max_score")])
 
 
+_PRUNED_TOPK = """
+    SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id)::INT AS rank, item_id,
+           round(score, 6) AS score
+    FROM pairs QUALIFY rank <= 10"""
+
+
+@query("recommend_pruned", sql(_PRUNED_TOPK, "pairs"))
+def recommend_pruned_query(v):
+    """The ten best items again, by the search that skips cells out of reach."""
+    found = pruned.recommend_pruned(v.vecs, v.vecs.withColumnRenamed("vec_id", "item_id"), 10, user_id="vec_id",
+                                    item_id="item_id")
+    return found.withColumnRenamed("vec_id", "user_id").withColumn("score", F.round("score", 6))
+
+
+@query("cross_score_pruned", sql("""
+    SELECT user_id, count(*) AS n_scores, round(avg(exact), 6) + 0.0::DOUBLE AS mean_score,
+           round(min(exact), 6) + 0.0::DOUBLE AS min_score, round(max(exact), 6) + 0.0::DOUBLE AS max_score
+    FROM pairs GROUP BY user_id""", "pairs"))
+def cross_score_pruned(v):
+    found = pruned.score_summary_pruned(v.vecs, v.vecs, user_id="vec_id", item_id="vec_id")
+    return found.select(F.col("vec_id").alias("user_id"), "n_scores",
+                        *[(F.round(c, 6) + 0.0).alias(c) for c in ("mean_score", "min_score", "max_score")])
+
+
 @query("recommend_one_user", sql("""
     SELECT row_number() OVER (ORDER BY score DESC, item_id)::INT AS rank, item_id, round(score, 6) AS score,
            label AS title
