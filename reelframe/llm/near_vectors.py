@@ -12,8 +12,9 @@ Work grows with the number of tiles that the angles cannot rule out, in the wors
 of different vectors; memory does not, as a tile has a fixed size.
 
 Defined results: vectors that are null, empty or zero, or hold null or non-finite components, link with nothing; nor
-do vectors of different lengths; exact copies link with each other; rows with equal keys count as separate vectors; an
-empty table gives an empty result; other columns are left out.
+do vectors of different lengths; exact copies link with each other; rows with equal keys count as separate vectors; a
+null key comes after all others, so a component is named null, and its rows stay, only if none of them has a key; an empty
+table gives an empty result; other columns are left out.
 """
 
 from __future__ import annotations
@@ -196,21 +197,24 @@ def _tiled(placed: DataFrame, least: float) -> DataFrame:
 def near_vectors(rows: DataFrame, least: float = 0.95, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row: links by a cosine of ``least`` or more."""
     spark = rows.sparkSession
-    distinct = written(distinct_vectors(rows, vector, key), "vectors")
+    # A vector has a number of its own: its smallest key may be null, or belong to other vectors as well.
+    distinct = written(distinct_vectors(rows, vector, key).withColumnRenamed("id", "first")
+                       .withColumn("id", F.monotonically_increasing_id()), "vectors")
     count = distinct.count()
     tree = spark.sparkContext.broadcast(fit_tree(distinct, count, PER_LEAF))
-    placed = written(distinct.mapInArrow(_placed(tree), "v array<double>, id long, copies long, leaf long"), "placed")
+    placed = written(distinct.select("v", "id", "copies").mapInArrow(_placed(tree), "v array<double>, id long, copies long, leaf long"), "placed")
     found = written(_tiled(placed, least).groupBy("i", "a", "j", "b")
                     .applyInArrow(_tile(least), "a long, b long, links long"), "tile-links")
     counts = found.filter("links > 0").groupBy("a").agg(F.sum("links").alias("links"))
     groups = components(found.filter("links = 0").select("a", "b"))
-    result = distinct.join(counts, distinct["id"] == counts["a"], "left") \
-        .join(groups, distinct["id"] == groups["node"], "left") \
-        .select("v", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-                F.coalesce("component", "id").alias("component_id"))
+    named = written(distinct.join(groups, distinct["id"] == groups["node"], "left")
+                    .withColumn("group", F.coalesce("component", "id")).select("v", "id", "copies", "first", "group"), "named")
+    firsts = written(named.groupBy("group").agg(F.min("first").alias("component_id")), "firsts")
+    result = named.join(firsts, "group").join(counts, F.col("id") == F.col("a"), "left") \
+        .select("v", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
     clean = F.transform(F.col(vector), lambda x: (x + F.lit(0.0)).cast("double"))
     all_rows = rows.select(F.col(key).alias("vec_id"), F.when(usable(F.col(vector)), clean).alias("w"))
+    component = F.coalesce("component_id", "vec_id")
     return all_rows.join(result, F.col("w") == F.col("v"), "left").select(
-        "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("component_id", "vec_id").alias("component_id"),
-        (F.col("vec_id") == F.coalesce("component_id", "vec_id")).alias("kept"))
+        "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
+        F.col("vec_id").eqNullSafe(component).alias("kept"))

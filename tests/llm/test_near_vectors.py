@@ -54,6 +54,16 @@ def test_hard_vectors(spark):
     assert run(spark.createDataFrame([], schema)) == []
 
 
+def test_null_and_repeated_keys(spark):
+    schema = "vec_id long, embedding array<float>"
+    rows = [(None, [1.0, 0.1]), (0, [1.0, 0.0]), (None, [0.0, 1.0]), (7, [0.01, 1.0]), (7, [-1.0, 0.0]), (None, [0.0, -1.0]),
+            (None, [0.0, -2.0]), (None, None), (9, [1.0, 0.0]), (None, [1.0, 0.0])]
+    got = sorted(map(tuple, m.near_vectors(spark.createDataFrame(rows, schema)).collect()), key=repr)
+    assert got == sorted([(None, 3, 0, False), (0, 3, 0, True), (None, 1, 7, False), (7, 1, 7, True), (7, 0, 7, True),
+                          (None, 1, None, True), (None, 1, None, True), (None, 0, None, True), (9, 3, 0, False),
+                          (None, 3, 0, False)], key=repr)
+
+
 def test_error_bounds_hold():
     rng = np.random.default_rng(5)
     x = rng.standard_normal((300, 24))
