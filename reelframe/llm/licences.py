@@ -1,10 +1,12 @@
 """Licence scans: which licence texts and notices a document holds, how much of each, and where.
 
 Templates are cut into runs of three words whose hashes are winnowed: of every two neighbouring hashes the smaller one
-is kept, so any four words that a text shares with a template share a fingerprint. An inverted index leads from a
-fingerprint to its places in the templates. A text's own winnowed fingerprints are looked up in it; places on about one
-diagonal make a candidate, and a local alignment in a band around that diagonal says which words match. The number of
-matched words over the template's words is the coverage.
+is kept, so any four words that a text shares with a template share a fingerprint. Templates of under ``SHORT`` words have
+all their runs of two words instead, as one edit may leave no run of four. An inverted index leads from a fingerprint to
+its places in the templates. A text's own fingerprints are looked up in it; places on about one diagonal make a candidate,
+and an alignment in a band around that diagonal says which words match. A match weighs more there than all the edits that
+the least coverage allows, so the alignment never leaves out an end of the template beside an edit. The number of matched
+words over the template's words is the coverage.
 
 The templates are a parameter with a size the caller sets (the default list has about a dozen); the index is sent to the
 tasks, texts stream by once in whole, and nothing is shuffled.
@@ -29,6 +31,7 @@ from reelframe.llm.anchors import Cut, Unit, long_cuts, word_units
 from reelframe.llm.common import U64, slices
 
 GRAM, WINNOW = 3, 2
+SHORT, PAIR = 16, 2
 LEAST = 0.8
 
 # Notices and texts of public licences.
@@ -86,37 +89,50 @@ def winnowed(hashes: np.ndarray) -> np.ndarray:
     return np.unique(view.argmin(axis=1) + np.arange(len(view)))
 
 
+@dataclass
+class Prints:
+    """Sorted fingerprints of runs of ``gram`` words, each with its template and place."""
+
+    gram: int
+    value: np.ndarray
+    template: np.ndarray
+    place: np.ndarray
+
+    @classmethod
+    def of(cls, gram: int, rows: list[tuple[int, int, int]]) -> Prints:
+        value, template, place = zip(*sorted(rows)) if rows else ((), (), ())
+        return cls(gram, np.array(value, U64), np.array(template, np.int64), np.array(place, np.int64))
+
+
 @dataclass
 class Index:
-    """Names and word hashes of the templates; sorted fingerprints, each with its template and place."""
+    """Names and word hashes of the templates, and the fingerprints of long and of short ones."""
 
     names: list[str]
     words: list[np.ndarray]
-    prints: np.ndarray
-    template: np.ndarray
-    place: np.ndarray
+    prints: list[Prints]
     unit: Unit
 
     @classmethod
     def of(cls, templates: dict[str, str]) -> Index:
-        names, words, rows = list(templates), [], []
+        names, words, rows, short = list(templates), [], [], []
         unit = Unit(folded_units, GRAM, GRAM)
         for i, text in enumerate(templates.values()):
             cut = Cut([text.encode()], unit)
             words.append(cut.hashes)
-            if len(cut.hashes) >= GRAM:
+            if len(cut.hashes) < SHORT:
+                short += [(int(g), i, p) for p, g in enumerate(cut.rolling(PAIR))] if len(cut.hashes) >= PAIR else []
+            else:
                 grams = cut.rolling(GRAM)
                 rows += [(int(grams[p]), i, int(p)) for p in winnowed(grams)]
-        rows.sort()
         longest = max(map(len, words), default=GRAM)
-        return cls(names, words, np.array([r[0] for r in rows], U64), np.array([r[1] for r in rows], np.int64),
-                   np.array([r[2] for r in rows], np.int64), Unit(folded_units, 3 * longest + 8, GRAM))
+        return cls(names, words, [Prints.of(GRAM, rows), Prints.of(PAIR, short)], Unit(folded_units, 3 * longest + 8, GRAM))
 
 
-def aligned(template: np.ndarray, text: np.ndarray, diagonal: int, band: int) -> tuple[int, int, int]:
+def aligned(template: np.ndarray, text: np.ndarray, diagonal: int, band: int, gain: int = 1) -> tuple[int, int, int]:
     """The best local alignment in a band: matched words, and its first and one-past-last word in the text.
 
-    A match scores 1, a substitution, insertion or deletion -1. ``diagonal`` is text place less template place.
+    A match scores ``gain``, a substitution, insertion or deletion -1. ``diagonal`` is text place less template place.
     """
     width = 2 * band + 1
     score = np.zeros((len(template) + 1, width + 2), np.int64)
@@ -127,7 +143,7 @@ def aligned(template: np.ndarray, text: np.ndarray, diagonal: int, band: int) ->
         inside = (j >= 0) & (j < len(text))
         equal = np.zeros(width, bool)
         equal[inside] = text[j[inside]] == template[i - 1]
-        row = np.maximum(0, np.maximum(score[i - 1, 1:-1] + np.where(equal, 1, -1), score[i - 1, 2:] - 1))
+        row = np.maximum(0, np.maximum(score[i - 1, 1:-1] + np.where(equal, gain, -1), score[i - 1, 2:] - 1))
         row[~inside] = 0
         score[i, 1:-1] = row
         score[i, 1:-1] = np.maximum.accumulate(score[i] + offset)[1:-1] - offset[1:-1]
@@ -140,7 +156,7 @@ def aligned(template: np.ndarray, text: np.ndarray, diagonal: int, band: int) ->
     while i > 0 and score[i, c] > 0:
         j = i - 1 + diagonal - band + c - 1
         equal = 0 <= j < len(text) and text[j] == template[i - 1]
-        if score[i, c] == score[i - 1, c] + (1 if equal else -1):
+        if score[i, c] == score[i - 1, c] + (gain if equal else -1):
             matched += int(equal)
             first = j if equal else first
             i -= 1
@@ -153,35 +169,36 @@ def aligned(template: np.ndarray, text: np.ndarray, diagonal: int, band: int) ->
 
 def matches(index: Index, cut: Cut, least: float) -> list[tuple[int, int, int, int, int]]:
     """Text, template, matched words, first and one-past-last word (counted in its text) of every match."""
-    if len(cut.hashes) < GRAM or not len(index.prints):
-        return []
-    grams = cut.rolling(GRAM)
-    owner = np.searchsorted(cut.end, np.arange(len(grams)), "right")
-    whole = np.arange(len(grams)) + GRAM <= cut.end[np.minimum(owner, len(cut.end) - 1)]
-    spot = np.searchsorted(index.prints, grams)
-    known = np.zeros(len(grams), bool)
-    known[spot < len(index.prints)] = index.prints[spot[spot < len(index.prints)]] == grams[spot < len(index.prints)]
-    found: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
-    near = np.flatnonzero(known & whole)
-    for text in np.unique(owner[near]).tolist():
-        begin, end = int(cut.begin[text]), int(cut.end[text])
-        chosen = winnowed(grams[begin:end - GRAM + 1]) + begin
-        for p in chosen[known[chosen]].tolist():
-            for row in range(int(spot[p]), int(np.searchsorted(index.prints, grams[p], "right"))):
-                found[text, int(index.template[row])].append((p - begin - int(index.place[row]), p - begin))
+    found: dict[tuple[int, int], list[int]] = defaultdict(list)
+    for prints in index.prints:
+        if len(cut.hashes) < prints.gram or not len(prints.value):
+            continue
+        grams = cut.rolling(prints.gram)
+        owner = np.searchsorted(cut.end, np.arange(len(grams)), "right")
+        whole = np.arange(len(grams)) + prints.gram <= cut.end[np.minimum(owner, len(cut.end) - 1)]
+        spot = np.minimum(np.searchsorted(prints.value, grams), len(prints.value) - 1)
+        known = prints.value[spot] == grams
+        near = np.flatnonzero(known & whole)
+        for text in np.unique(owner[near]).tolist():
+            begin, end = int(cut.begin[text]), int(cut.end[text])
+            own = grams[begin:end - prints.gram + 1]
+            chosen = begin + (winnowed(own) if prints.gram == GRAM else np.arange(len(own)))
+            for p in chosen[known[chosen]].tolist():
+                for row in range(int(spot[p]), int(np.searchsorted(prints.value, grams[p], "right"))):
+                    found[text, int(prints.template[row])].append(p - begin - int(prints.place[row]))
     out = []
     for (text, t), hits in found.items():
         template = index.words[t]
         words, band = cut.hashes[cut.begin[text]:cut.end[text]], max(2, len(template) // 8)
         hits.sort()
         last = None
-        for diagonal, _ in hits:
+        for diagonal in hits:
             if last is not None and diagonal <= last + band:
                 continue
             last = diagonal
             low = max(0, diagonal - band)
             part = words[low:diagonal + len(template) + band + 1]
-            matched, first, stop = aligned(template, part, diagonal - low, band)
+            matched, first, stop = aligned(template, part, diagonal - low, band, int((1 - least) * len(template)) + 2)
             if matched >= least * len(template):
                 out.append((text, t, matched, first + low, stop + low))
     return _clear(out)

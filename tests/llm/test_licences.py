@@ -91,3 +91,25 @@ def test_very_many_notices_in_one_text(spark):
     got = run(spark, [(1, text)])
     assert len(got) == 300 and {r[6] for r in got} == {1.0}
     assert [text[r[2]:r[3]] + "." for r in sorted(got, key=lambda r: r[2])] == notices * 150
+
+
+def test_every_template_with_every_word_changed(spark):
+    """One word replaced, left out or doubled: found wherever the coverage allows it."""
+    rows, wanted = [], {}
+    for name, template in m.TEMPLATES.items():
+        words = template.split()
+        n = len(m.Cut([template.encode()], m.Unit(m.folded_units, m.GRAM, m.GRAM)).hashes)
+        for i in range(len(words)):
+            lost = len(m.Cut([words[i].encode()], m.Unit(m.folded_units, m.GRAM, m.GRAM)).hashes)
+            for kind, change in (("replaced", ["zzz"]), ("gone", []), ("doubled", [words[i]] * 2)):
+                left = n if kind == "doubled" else n - lost
+                if left >= m.LEAST * n:
+                    wanted[len(rows)] = (name, left, n)
+                    rows.append((len(rows), " ".join(["qq xx ww", *words[:i], *change, *words[i + 1:], "pp ss"])))
+    found = {}
+    for r in m.licences(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        found.setdefault(r.doc_id, {})[r.licence] = (r.matched_words, r.template_words)
+    inside = lambda name, d: any(name in other or other.startswith(name.split()[0]) for other in found.get(d, {}))
+    for d, (name, left, n) in wanted.items():
+        got = found.get(d, {}).get(name)
+        assert got is None and inside(name, d) or got is not None and got[0] >= left and got[1] == n, (name, rows[d], found.get(d))
