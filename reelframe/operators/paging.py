@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from reelframe.operators.numbering import number_rows
 
@@ -15,19 +15,20 @@ def keyset_page(df: DataFrame, key: str, n: int = 5000, after=None) -> DataFrame
 def offset_page(df: DataFrame, key: str, page: int, size: int = 10) -> DataFrame:
     """Page ``page`` (from 1) in key order, rows with equal keys in the order of all other columns.
 
-    One plan for every depth: the keys are numbered in range partitions, the at most
-    ``size`` keys of the page are sent to the tasks, and only rows with these keys are
-    put in their final order. Nothing is sorted on the driver.
+    The keys are numbered in range partitions, which a hash of the other columns cuts inside a key with very many rows.
+    The at most ``size`` keys of the page follow one another, so their rows are numbered once more in the order of all
+    columns, again in range partitions. Nothing is sorted on the driver or in one task.
     """
     start = (page - 1) * size
-    numbered = number_rows(df.select(key), key, name="_no")
-    wanted = numbered.where(F.col("_no").between(start + 1, start + size)).select(key).distinct()
-    first = numbered.join(F.broadcast(wanted), key, "left_semi").groupBy(key).agg(F.min("_no").alias("_first"))
-    rows = df.join(F.broadcast(first), key)  # at most `size` keys
-    within = F.row_number().over(Window.partitionBy(key).orderBy(*[c for c in df.columns if c != key] or [key]))
-    placed = rows.withColumn("_no", F.col("_first") + within - 1).where(
-        F.col("_no").between(start + 1, start + size))
-    return placed.orderBy("_no").select(*df.columns)
+    others = [c for c in df.columns if c != key]
+    spread = F.xxhash64(*others) if others else F.lit(0)
+    numbered = number_rows(df.select(key, spread.alias("_spread")), key, "_spread", name="_no")
+    wanted = numbered.where(F.col("_no").between(start + 1, start + size)).select(F.col(key).alias("_key")).distinct()
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    before = numbered.join(F.broadcast(wanted), same, "left_semi").agg(F.min("_no") - 1).first()[0] or 0
+    rows = df.join(F.broadcast(wanted), same, "left_semi")  # at most `size` keys
+    placed = number_rows(rows, key, *others, name="_no")
+    return placed.where(F.col("_no").between(start + 1 - before, start + size - before)).orderBy("_no").select(*df.columns)
 
 
 def page_numbers(df: DataFrame, key: str, size: int = 10) -> DataFrame:

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import time
+import uuid
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from reelframe.operators.similarity import recommendation_lists
 
 
 WRITTEN = "written_ns"  # the folder of each write to a vector store
+_POINTER = "CURRENT"
 
 
 def append_rows_csv(df: DataFrame, path: str) -> None:
@@ -26,12 +28,58 @@ def write_csv(df: DataFrame, path: str, rows_per_file: int | None = None) -> Non
 
 
 def overwrite_table(df: DataFrame, path: str) -> int:
-    """Truncates and loads a Parquet table; the schema is that of the data. Returns the rows written."""
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    """Truncates and loads a Parquet table; the schema is that of the data. Returns the rows written.
+
+    The rows are written beside the table, which is replaced only when all of them are there: a write that fails leaves
+    the old table, and ``df`` may read it.
+    """
+    path = path.rstrip("/")
+    beside, seen = f"{path}.next-{uuid.uuid4().hex[:12]}", Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(beside)
+    files, path_of = _file_system(df.sparkSession, path)
+    files.delete(path_of(path), True)
+    if not files.rename(path_of(beside), path_of(path)):
+        raise OSError(f"{beside} could not be renamed to {path}")
     return seen.get["n"]
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The file system of a path, and what makes its path objects."""
+    context = spark.sparkContext
+    path_of = context._jvm.org.apache.hadoop.fs.Path
+    return path_of(path).getFileSystem(context._jsc.hadoopConfiguration()), path_of
+
+
+def write_snapshot(df: DataFrame, path: str) -> int:
+    """Adds a version to a table of snapshots and makes it the current one; returns the rows written.
+
+    A version is a folder of its own, and a pointer names the current one. The pointer is replaced in one step after all
+    rows are written, so a write that fails changes nothing and readers keep the version they began with.
+    """
+    spark, path = df.sparkSession, path.rstrip("/")
+    version, seen = f"version={time.time_ns()}", Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(f"{path}/{version}")
+    context = spark.sparkContext
+    pointer = f"{path}/{_POINTER}-{version}"
+    files, path_of = _file_system(spark, path)
+    out = files.create(path_of(pointer), True)
+    out.write(bytearray(version.encode()))
+    out.close()
+    option = context._jvm.org.apache.hadoop.fs.Options.Rename
+    options = context._gateway.new_array(option, 1)
+    options[0] = option.OVERWRITE
+    qualified = files.makeQualified(path_of(path))
+    context._jvm.org.apache.hadoop.fs.FileContext.getFileContext(qualified.toUri(), context._jsc.hadoopConfiguration()) \
+        .rename(path_of(pointer), path_of(f"{path}/{_POINTER}"), options)
+    return seen.get["n"]
+
+
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a table of snapshots."""
+    path = path.rstrip("/")
+    return spark.read.parquet(f"{path}/{spark.read.text(f'{path}/{_POINTER}').first()['value']}")
+
+
 def write_json_documents(df: DataFrame, path: str, mode: str = "append") -> None:
     """JSON lines, one document each."""
     df.write.mode(mode).json(path, ignoreNullFields=False)
