@@ -270,6 +270,18 @@ def upsert_latest(v):
     return _shown(keyed.upsert_latest(stored, incoming, ["file_key", "extracted_id"], "processed_at", ("event_id",)))
 
 
+@query("bucketed_upsert", _LATEST)
+def bucketed_upsert(v):
+    """Three batches into buckets of keys, the later values first; the first two are folded."""
+    table = keyed.BucketTable(v.scratch("buckets"), ["file_key", "extracted_id"], "processed_at", ("event_id",), buckets=16)
+    value = F.col("value")
+    for n, part in enumerate((value >= 40, (value >= 20) & (value < 40), value.isNull() | (value < 20))):
+        table.append(_event_rows(v).where(part), n)
+        if n == 1:
+            table.fold(v.spark)
+    return _shown(table.current(v.spark))
+
+
 @query("upsert_counts", """
     WITH s AS (SELECT event_type, user_id, max(ts) AS old FROM events WHERE value < 20 GROUP BY ALL),
          n AS (SELECT event_type, user_id, max(ts) AS new FROM events WHERE value >= 20 GROUP BY ALL)

@@ -460,6 +460,15 @@ def overwrite_table(v):
                                           F.count(F.lit(1)).alias("stored"))
 
 
+@query("write_snapshot", "SELECT lang, count(*) AS n FROM documents GROUP BY 1")
+def write_snapshot(v):
+    """Two versions of a table; the second one reads the first and becomes the current one."""
+    path = v.scratch("snapshots")
+    files.write_snapshot(v.table("documents").select("doc_id", "lang"), path)
+    files.write_snapshot(files.read_snapshot(v.spark, path).groupBy("lang").agg(F.count("*").alias("n")), path)
+    return files.read_snapshot(v.spark, path)
+
+
 @query("write_json_documents", "SELECT doc_id, lang, md5(text) AS text_md5 FROM documents")
 def write_json_documents(v):
     path = v.scratch("documents")
