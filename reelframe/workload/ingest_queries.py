@@ -9,6 +9,7 @@ from reelframe.plans.ingest import extract_records, malformed_lines, stored_docu
 from reelframe.sinks import files, keyed
 from reelframe.sources import documents, lines as line_source, vectors
 from reelframe.streaming.ingest import document_table, stream_ingest
+from reelframe.streaming.stateful import stateful_ingest
 from reelframe.workload.registry import query
 from reelframe.workload.views import Views, sql
 
@@ -295,11 +296,13 @@ def upsert_counts(v):
     return keyed.upsert_counts(merged, "file_key")
 
 
-@query("stream_ingest", """
+_INGESTED = """
     SELECT file_key, extracted_id, title, strftime(processed_at, '%Y-%m-%d %H:%M:%S.%f') AS at
     FROM (""" + sql("SELECT * FROM records WHERE extracted_id IS NOT NULL", "records") + """)
-    QUALIFY row_number() OVER (PARTITION BY file_key, extracted_id ORDER BY processed_at DESC, line_number DESC) = 1""")
-def stream_ingest_query(v):
+    QUALIFY row_number() OVER (PARTITION BY file_key, extracted_id ORDER BY processed_at DESC, line_number DESC) = 1"""
+
+
+def _ingested(v: Views, ingest):
     """Two rounds of files, the later lines first, and a third run that finds nothing new."""
     source, state = v.scratch("feed"), v.scratch("state")
     table = document_table(f"{state}/table")
@@ -308,7 +311,7 @@ def stream_ingest_query(v):
         v.lines.where(part).select("file_key", F.col("line").alias("value")).write.mode("append").partitionBy(
             "file_key").text(source)
         for _ in range(1 if part is not older else 2):
-            stream_ingest(
+            ingest(
                 v.spark, source, table, f"{state}/checkpoint", file_key=_folder_key, pattern="*.txt",
                 processed_at=lambda line: F.get_json_object(line, "$.At").try_cast("timestamp_ntz"),
             ).awaitTermination()
@@ -317,6 +320,16 @@ def stream_ingest_query(v):
         F.date_format("processed_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at"))
 
 
+@query("stream_ingest", _INGESTED)
+def stream_ingest_query(v):
+    return _ingested(v, stream_ingest)
+
+
+@query("stateful_ingest", _INGESTED)
+def stateful_ingest_query(v):
+    return _ingested(v, stateful_ingest)
+
+
 @query("progress_table", """
     SELECT event_type AS file_key, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS at FROM events GROUP BY 1""")
 def progress_table(v):
