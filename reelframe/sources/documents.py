@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from reelframe.sources.splits import parsed_entries, scan_entries
+
 CONTENT_SCHEMA = ("ID STRING, Genre STRING, CleanTitle STRING, Synopsis STRING, Directors STRING, Cast STRING, "
                   "Type STRING, PlatformName STRING")
 GENRES_SCHEMA = "genero_id INT, genero_name STRING"
@@ -79,14 +81,15 @@ def list_document_keys(df: DataFrame, column: str) -> DataFrame:
 def scan_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Rows of files that hold one JSON array each; anything else, also an array cut off, stops with the file's name.
 
-    JSON arrays cannot be split, so each file is one cell (2 GB at most); many files
-    are read in parallel.
+    A file of any size feeds as many tasks as it has splits (:mod:`reelframe.sources.splits`).
     """
-    struct = T._parse_datatype_string(schema)
-    whole = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
-    rows = F.from_json("value", T.ArrayType(struct))
-    is_list = F.schema_of_variant(F.try_parse_json("value")).startswith("ARRAY")
-    name = F.col("_metadata.file_path")
-    checked = F.when(is_list & rows.isNotNull(), rows).otherwise(
-        F.raise_error(F.concat(F.lit("the file must hold a JSON list of rows: "), name)))
-    return whole.select(F.inline(checked))
+    return parsed_entries(scan_entries(spark, path), T._parse_datatype_string(schema))
+
+
+def scan_document_tree(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of :func:`flatten_document_tree` for files that hold one tree each, read in splits."""
+    entries = scan_entries(spark, path, "{}")
+    tree = F.concat(F.lit("{"), "entry", F.lit("}"))
+    broken = F.raise_error(F.concat(F.lit("the file must hold a JSON object: "), "file_key"))
+    checked = F.when(F.is_variant_null(F.try_parse_json(tree)).isNull(), broken).otherwise(tree)
+    return flatten_document_tree(entries.select(checked.alias("tree")), "tree")

@@ -113,7 +113,7 @@ def _trees(v: Views):
             F.lit('":{}}')).alias("tree"))
 
 
-@query("flatten_document_tree", """
+_TREE_ROWS = """
     SELECT 'a' || p_partkey AS ID, p_type || '; ' || p_brand AS Genre, p_name AS CleanTitle,
            'No Synopsis' AS Synopsis, p_brand AS Directors, 'No Cast' AS "Cast", 'movie' AS Type,
            'No Platform' AS PlatformName FROM part
@@ -122,11 +122,25 @@ def _trees(v: Views):
            'No Platform' FROM part
     UNION ALL
     SELECT 'c' || p_partkey, 'No Genre', 'No Title', 'No Synopsis', 'No Directors', 'No Cast', 'No Type',
-           'No Platform' FROM part""")
+           'No Platform' FROM part"""
+
+
+@query("flatten_document_tree", _TREE_ROWS)
 def flatten_document_tree(v):
     return documents.flatten_document_tree(_trees(v), "tree")
 
 
+@query("scan_document_tree", _TREE_ROWS)
+def scan_document_tree(v):
+    # A file holds the records of 1000 parts as one tree.
+    path = v.scratch("trees")
+    inner = F.expr("substring(tree, 2, length(tree) - 2)")
+    files = _trees(v).groupBy(F.expr("file_key::BIGINT div 1000").alias("block")).agg(
+        F.array_join(F.collect_list(inner), ",\n").alias("entries"))
+    files.select(F.concat(F.lit("{"), "entries", F.lit("}")).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    return documents.scan_document_tree(v.spark, path)
+
+
 @query("list_document_keys", """
     SELECT x || p_partkey AS key FROM part CROSS JOIN (VALUES ('a'), ('b'), ('c')) t(x)""")
 def list_document_keys(v):
