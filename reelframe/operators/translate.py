@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from reelframe.functions.text import has_text
+from reelframe.operators.answers import answer_key, collect_answers
 from reelframe.operators.external import apply_batched
 from reelframe.operators.sets import missing_columns
 from reelframe.operators.skew import lookup_join
@@ -18,7 +19,8 @@ log = logging.getLogger(__name__)
 
 def translate_columns(df: DataFrame, columns: list[str], load: Callable[[], Callable[[list[str]], list]], *,
                       language: Column | None = None, target: str = "es", prefix: str | None = None,
-                      max_items: int = 500, max_codepoints: int = 30_000, **call) -> DataFrame:
+                      max_items: int = 500, max_codepoints: int = 30_000, store: str | None = None, model: str = "",
+                      **call) -> DataFrame:
     """Each listed column in the target language.
 
     Every distinct text is translated once, also one that stands in several columns.
@@ -26,6 +28,9 @@ def translate_columns(df: DataFrame, columns: list[str], load: Callable[[], Call
     text that failed keep the original. With ``prefix`` the result goes to
     ``<prefix><column>``. Listed columns that do not exist are reported and skipped.
 
+    With ``store`` the answers are kept there by text, ``model`` and ``target``, round by round
+    (:func:`reelframe.operators.answers.collect_answers`): a run that was killed goes on where it ended.
+
     ``df`` is read twice: for its different texts, and for the joins with the answers.
     """
     absent = missing_columns(df, columns)
@@ -49,10 +54,16 @@ def translate_columns(df: DataFrame, columns: list[str], load: Callable[[], Call
         df.select(F.explode(each).alias("_each")).select("_each.*").where(F.col("_text_key").isNotNull())
         .groupBy("_text_key").agg(F.first("_text").alias("_text"))
     )
-    answers = apply_batched(texts, "_text_key", "_text", load, "string", max_items=max_items,
-                            max_codepoints=max_codepoints, **call)
-    # Kept, so that no text is sent twice when the joins read the answers.
-    found = answers.select("_text_key", F.col("result").alias("_translated")).checkpoint()
+    call |= {"max_items": max_items, "max_codepoints": max_codepoints}
+    if store is None:
+        # Kept, so that no text is sent twice when the joins read the answers.
+        answers = apply_batched(texts, "_text_key", "_text", load, "string", **call)
+        found = answers.select("_text_key", F.col("result").alias("_translated")).checkpoint()
+    else:
+        named = texts.select("_text_key", F.col("_text").alias("text"),
+                             answer_key(F.col("_text"), f"{model}\0{target}").alias("answer_key"))
+        answers = collect_answers(named, load, "string", store, **call)
+        found = named.join(answers, "answer_key").select("_text_key", F.col("result").alias("_translated"))
     keyed = df.withColumns({f"_key_{i}": key(c) for i, c in enumerate(names)})
     for i, name in enumerate(names):
         one = found.select(F.col("_text_key").alias(f"_key_{i}"), F.col("_translated").alias(f"_translated_{i}"))

@@ -111,7 +111,7 @@ class BucketTable(ChangeTable):
 
     def _marks(self, spark: SparkSession) -> dict[str, int]:
         """The last folded batch of each stream."""
-        if not _exists(spark, self.marks):
+        if not path_exists(spark, self.marks):
             return {}
         return {r["stream"]: r["last"] for r in spark.read.schema("stream string, last long").json(self.marks).collect()}
 
@@ -127,7 +127,7 @@ class BucketTable(ChangeTable):
         """The newest rows of the buckets with changes, and the folded rows of all others."""
         changes = self._changes(spark)
         order = [F.desc(self.time), F.asc("batch_id"), F.asc("stream")]
-        if not _exists(spark, self.folded):
+        if not path_exists(spark, self.folded):
             return newest_per_key(changes, ["bucket", *self.keys], *order).drop("stream", "batch_id"), None
         touched = [r["bucket"] for r in changes.select("bucket").distinct().collect()]  # at most `buckets`
         folded = spark.read.parquet(self.folded)
@@ -164,7 +164,7 @@ class BucketTable(ChangeTable):
         return compacted
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     context = spark.sparkContext
     place = context._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(context._jsc.hadoopConfiguration()).exists(place)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from reelframe.functions import vectors as vec
 from reelframe.operators import batching, external, profiles, pruned, sets, similarity
+from reelframe.operators.answers import apply_durable
 from reelframe.operators.filters import drop_incomplete, valid_keys
 from reelframe.operators.skew import lookup_join
 from reelframe.operators.translate import translate_columns
@@ -201,6 +202,21 @@ def apply_batched(v):
     return done.select("doc_id", F.col("result")[0].alias("n"), F.col("result")[1].alias("e"))
 
 
+@query("apply_durable", sql("""
+    SELECT doc_id, length(Synopsis)::DOUBLE AS n,
+           CASE WHEN Synopsis IN (SELECT Synopsis FROM docs WHERE doc_id % 2 = 0) THEN 1 ELSE 2 END::DOUBLE AS run
+    FROM docs""", "docs"))
+def apply_durable_query(v):
+    """Half of the texts come first; the second run, over all of them, sends only the others."""
+    def numbered(run: float):
+        return lambda: lambda texts: [[float(len(t)), run] for t in texts]
+
+    store = v.scratch("answers")
+    apply_durable(v.docs.where("doc_id % 2 = 0"), "doc_id", "Synopsis", numbered(1.0), "array<double>", store)
+    done = apply_durable(v.docs, "doc_id", "Synopsis", numbered(2.0), "array<double>", store)
+    return done.select("doc_id", F.col("result")[0].alias("n"), F.col("result")[1].alias("run"))
+
+
 @query("translate_columns", sql("""
     SELECT ID, md5(CASE WHEN lang = 'es' THEN Synopsis ELSE '[es] ' || Synopsis END) AS synopsis_md5,
            CASE WHEN lang = 'es' THEN PlatformName ELSE '[es] ' || PlatformName END AS "PlatformName"
