@@ -8,6 +8,7 @@ from reelframe.operators import filters, metrics, paging, sets
 from reelframe.plans.ingest import extract_records, malformed_lines, stored_documents
 from reelframe.sinks import files, keyed
 from reelframe.sources import documents, lines as line_source, vectors
+from reelframe.sinks.clustered import ClusteredTable
 from reelframe.streaming.ingest import document_table, stream_ingest
 from reelframe.streaming.stateful import stateful_ingest
 from reelframe.workload.registry import query
@@ -78,6 +79,22 @@ def keyset_page(v):
     return paging.keyset_page(v.docs.select("ID", "doc_id", "lang"), "doc_id", 50, after=100)
 
 
+@query("clustered_page", sql("SELECT ID, doc_id, lang FROM docs WHERE doc_id > 100 ORDER BY doc_id LIMIT 50", "docs"))
+def clustered_page(v):
+    table = ClusteredTable(v.scratch("clustered"), "doc_id")
+    table.write(v.docs.select("ID", "doc_id", "lang"), files=16)
+    return table.page(v.spark, 50, after=100)
+
+
+@query("clustered_lookup", "SELECT lang, doc_id FROM documents WHERE lang IN (SELECT max(lang) FROM documents)")
+def clustered_lookup(v):
+    """All rows of one key that many rows share; its rows lie in several files."""
+    table = ClusteredTable(v.scratch("clustered"), "lang")
+    docs = v.table("documents").select("lang", "doc_id")
+    table.write(docs, files=16)
+    return table.select(v.spark, [docs.agg(F.max("lang")).first()[0]])
+
+
 @query("deep_page", """
     SELECT lang, doc_id FROM documents ORDER BY lang, doc_id LIMIT 10 OFFSET (SELECT count(*) * 9 // 100 * 10 FROM documents)""")
 def deep_page(v):
