@@ -12,7 +12,8 @@ class ClusteredTable:
     """Files that each hold one range of keys, a table of their bounds, and bloom filters on the key.
 
     The table is written once, to a new folder. The rows of a key with very many of them are spread over several files,
-    whose ranges then meet in that key. Null keys come first.
+    whose ranges then meet in that key. Null keys come first. The bounds name files without their folder, so the whole
+    table can be moved.
     """
 
     def __init__(self, path: str, key: str):
@@ -33,13 +34,14 @@ class ClusteredTable:
             .write.option(f"parquet.bloom.filter.enabled#{self.key}", "true").parquet(self.rows)
         )
         key = F.col(self.key)
-        spark.read.parquet(self.rows).groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        spark.read.parquet(self.rows).groupBy(F.col("_metadata.file_name").alias("file")).agg(
             F.min(key).alias("lo"), F.max(key).alias("hi"), F.count(F.lit(1)).alias("n_rows"),
             F.count_if(key.isNull()).alias("n_null")).write.parquet(self.bounds)
 
     def _read(self, spark: SparkSession, files: list[str]) -> DataFrame:
         schema = spark.read.parquet(self.rows).schema
-        return spark.read.schema(schema).parquet(*files) if files else spark.createDataFrame([], schema)
+        paths = [f"{self.rows}/{name}" for name in files]
+        return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
     def page(self, spark: SparkSession, n: int = 5000, after=None) -> DataFrame:
         """The next ``n`` rows in key order after the last key seen, as ``keyset_page`` gives them.

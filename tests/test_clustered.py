@@ -56,6 +56,6 @@ def test_empty_tables_and_text_keys(spark, tmp_path):
     table = ClusteredTable(str(tmp_path / "empty"), "k")
     table.write(spark.createDataFrame([], "k string, v long"))
     assert table.page(spark, 5).count() == 0 and table.select(spark, ["a"]).count() == 0
-    table = ClusteredTable(str(tmp_path / "only"), "k")
+    table = ClusteredTable(str(tmp_path / "with a blank"), "k")
     table.write(spark.createDataFrame([("é",), ("b",), ("b",), (None,)], "k string"), files=3)
     assert keys(table.page(spark, 9)) == [None, "b", "b", "é"] and keys(table.page(spark, 9, "b")) == ["é"]
