@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from reelframe.sources.csv_splits import scan_records
 from reelframe.sources.splits import parsed_entries, scan_entries
 
 CONTENT_SCHEMA = ("ID STRING, Genre STRING, CleanTitle STRING, Synopsis STRING, Directors STRING, Cast STRING, "
@@ -18,12 +19,21 @@ def scan_csv(spark: SparkSession, path: str, schema: str, multi_line: bool = Tru
     """Headed CSV with a declared schema; blanks after a comma do not belong to the value.
 
     A quoted value may run over several lines, so a file is read by one task. Files
-    whose values have no line breaks can be split with ``multi_line=False``.
+    whose values have no line breaks can be split with ``multi_line=False``, large
+    files with line breaks are for :func:`scan_csv_records`.
     """
     return spark.read.csv(path, schema=schema, header=True, ignoreLeadingWhiteSpace=True, escape='"',
                           multiLine=multi_line)
 
 
+def scan_csv_records(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The rows of :func:`scan_csv`, line breaks in quoted values included, each file read by as many tasks as it has
+    splits (:mod:`reelframe.sources.csv_splits`). A file that ends inside a quoted value stops with its name.
+    """
+    options = {"escape": '"', "ignoreLeadingWhiteSpace": "true", "multiLine": "true"}
+    return scan_records(spark, path).select(F.from_csv("record", schema, options).alias("row")).select("row.*")
+
+
 def scan_documents(spark: SparkSession, path: str, key: str, format: str = "parquet") -> DataFrame:
     """A document collection, with its key as the text column ``doc_key``."""
     return spark.read.format(format).load(path).withColumn("doc_key", F.col(key).cast("string"))

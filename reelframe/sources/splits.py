@@ -22,13 +22,14 @@ _EFFECTS = ("file_key string, _block long, _first long, _n long, bytes long, par
 _BLANKS = np.array([32, 9, 10, 13], np.uint8)
 
 
-def _pieces(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("recursiveFileLookup", "true").option("lineSep", ",").text(path).select(
+def split_pieces(spark: SparkSession, path: str, separator: str) -> DataFrame:
+    """The pieces of files between separators as bytes, with the file split that each lies in and its place."""
+    return spark.read.option("recursiveFileLookup", "true").option("lineSep", separator).text(path).select(
         F.col("_metadata.file_path").alias("file_key"), F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_row"), F.col("value").cast("binary").alias("_piece"))
 
 
-def _runs(batch: pa.RecordBatch) -> Iterator[tuple[str, int, pa.RecordBatch]]:
+def runs_of_splits(batch: pa.RecordBatch) -> Iterator[tuple[str, int, pa.RecordBatch]]:
     """The stretches of a batch that belong to one split."""
     files = pc.run_end_encode(batch.column("file_key")).run_ends.to_numpy()
     blocks = np.flatnonzero(np.diff(batch.column("_block").to_numpy())) + 1
@@ -72,7 +73,7 @@ def _effects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_pylist([out], schema=schema)
 
     for batch in batches:
-        for file, block, part in _runs(batch):
+        for file, block, part in runs_of_splits(batch):
             if row is None or (file, block) != (row["file_key"], row["_block"]):
                 if row is not None:
                     yield finished()
@@ -118,7 +119,7 @@ def _cut(fragments: bool):
 
         for batch in batches:
             rows = []
-            for file, block, part in _runs(batch):
+            for file, block, part in runs_of_splits(batch):
                 if state is None or (file, block) != (state["file_key"], state["_block"]):
                     if state is not None:
                         rows += left()
@@ -176,7 +177,7 @@ def scan_entries(spark: SparkSession, path: str, brackets: str = "[]") -> DataFr
     holds to plan it. Memory holds one batch of pieces and one entry.
     """
     opening, closing = brackets
-    pieces = _pieces(spark, path)
+    pieces = split_pieces(spark, path, ",")
     effects = scratch_path(spark, "split-effects")
     pieces.mapInArrow(_effects, _EFFECTS).write.parquet(effects)
     effect = spark.read.parquet(effects)

@@ -68,6 +68,15 @@ def scan_csv(v):
     return documents.scan_csv(v.spark, path, "id BIGINT, name STRING, brand STRING, price DOUBLE")
 
 
+@query("scan_csv_records", "SELECT doc_id, md5(text) AS text_md5, lang FROM documents")
+def scan_csv_records(v):
+    """Whole texts with their line breaks and quotes, written as CSV and read in splits."""
+    path = v.scratch("csv")
+    v.table("documents").select("doc_id", "text", "lang").write.csv(path, header=True, escape='"', quoteAll=True)
+    found = documents.scan_csv_records(v.spark, path, "doc_id BIGINT, text STRING, lang STRING")
+    return found.select("doc_id", F.md5("text").alias("text_md5"), "lang")
+
+
 @query("scan_documents", """
     SELECT doc_id, doc_id::VARCHAR AS doc_key, text, lang, source, n_chars FROM documents""")
 def scan_documents(v):
