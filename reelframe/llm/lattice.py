@@ -5,7 +5,8 @@ probability of the text is the sum over all of them, found by a forward recursio
 bytes without ASCII white space, written with a leading blank, and a piece never reaches over a blank, so the recursion
 runs once for every different word. A text ends with an end piece, which makes the sum over all texts one. Single bytes
 are always pieces: no text has probability zero. A word of the training texts has one more edge, over the whole word,
-which takes its count less a discount; the pieces share the mass that the discounts free.
+which takes its count less a discount; the pieces share the mass that the discounts free. The discount of each class
+comes from its numbers of words that occur once and twice, so a corpus whose words all recur gives little to the pieces.
 
 The vocabulary files give the pieces and, by rank, their first weights; the weights are then fitted to the different
 words of the training texts by expectation maximisation, every round over all of them. There
@@ -38,7 +39,6 @@ from reelframe.llm.common import U64, Lookup, slices, written
 
 VOCABULARIES = ("piece_bpe_32k.model", "word_bpe_49k.json")
 CLASSES = 7
-DISCOUNT = 0.7
 HEAD = 200_000
 """At most so many words are sent to the tasks, none of them longer than ``HEAD_BYTES``."""
 HEAD_BYTES = 64
@@ -190,8 +190,9 @@ class Lattice:
 class Model:
     """The lattice and, for each class, its tokens, ends and different words in training, and its share of the texts.
 
-    A word of class c has probability ``(count - DISCOUNT) / tokens`` by its own edge plus
-    ``DISCOUNT * different / tokens`` times its sum over pieces; nothing is discounted from the end.
+    A word of class c has probability ``(count - discount) / tokens`` by its own edge plus
+    ``discount * different / tokens`` times its sum over pieces; nothing is discounted from the end. Without a discount
+    there are no edges for words, and the pieces have the mass of all words.
     """
 
     lattice: Lattice
@@ -199,10 +200,14 @@ class Model:
     ends: np.ndarray
     different: np.ndarray
     prior: np.ndarray
+    discount: np.ndarray | None = None
 
     def log10(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
-        spelled = self.lattice.score(words)[0] + np.log((DISCOUNT * self.different + 0.5) / self.tokens)
-        whole = np.log(np.maximum(counts - DISCOUNT, 1e-300) / self.tokens)
+        spelled = self.lattice.score(words)[0]
+        if self.discount is None:
+            return (spelled + np.log((self.tokens - self.ends - 0.5) / self.tokens)) / _LOG10
+        spelled += np.log((self.discount * self.different + 0.5) / self.tokens)
+        whole = np.log(np.maximum(counts - self.discount, 1e-300) / self.tokens)
         return np.logaddexp(spelled, np.where(counts > 0, whole, -np.inf)) / _LOG10
 
     @property
@@ -218,6 +223,14 @@ def _texts(column: pa.Array) -> list[bytes]:
     return [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]
 
 
+def discounts(once: np.ndarray, twice: np.ndarray) -> np.ndarray:
+    """What leaving one out takes from a count, by the numbers of words that occur once and twice.
+
+    Each is raised by one half, so the discount lies between 0 and 1 and is a third where there are no such words.
+    """
+    return (once + 0.5) / (once + 0.5 + 2 * (twice + 0.5))
+
+
 def _counting(classes: int):
     """Words of the task with their counts in the training texts of each class; other words come with zeros."""
     def rows(counts: list[Counter], seen: Counter) -> pa.RecordBatch:
@@ -316,8 +329,13 @@ def _head_level(words: DataFrame) -> int:
 
 
 def score_texts(docs: DataFrame, held_out: Column, paths: list[str] | None = None, id_col: str = "doc_id",
-                text_col: str = "text", label_col: str | None = "lang") -> DataFrame:
-    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every row."""
+                text_col: str = "text", label_col: str | None = "lang", rounds: int = ROUNDS,
+                word_edges: bool = True) -> DataFrame:
+    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every row.
+
+    With ``rounds=0, word_edges=False, label_col=None`` the lattice has nothing but the weights by vocabulary rank; only the
+    ends and the mass of all words are counted then.
+    """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"), held_out.alias("held_out"), F.col(text_col).alias("text"),
                        (F.col(label_col) if label_col else F.lit(None)).cast("string").alias("label"))
@@ -339,22 +357,24 @@ def score_texts(docs: DataFrame, held_out: Column, paths: list[str] | None = Non
         .groupBy("word").agg(*[F.sum(c).alias(c) for c in counted])
         .withColumn("c", total).withColumn("level", level.cast("int")), "lm-words")
     sums = words.agg(F.sum("c"), F.sum((F.col("c") > 0).cast("long")), *[F.sum(c) for c in counted],
-                     *[F.sum((F.col(c) > 0).cast("long")) for c in counted]).first()
+                     *[F.sum((F.col(c) > 0).cast("long")) for c in counted],
+                     *[F.sum((F.col(c) == n).cast("long")) for n in (1, 2) for c in counted]).first()
     train_tokens, different = (sums[0] or 0) + n_ends, (sums[1] or 0) + (n_ends > 0)
-    of_class = np.array([x or 0 for x in sums[2:]], float).reshape(2, classes)
+    of_class = np.array([x or 0 for x in sums[2:]], float).reshape(4, classes)
     least = _head_level(words)
 
     lattice = Lattice(vocabulary_pieces(paths or vocabulary_paths()), classes)
     frequent = F.col("level") >= least
     trained_words = words.filter(F.col("c") > 0).select("word", *counted)
-    for _ in range(ROUNDS):
+    for _ in range(rounds):
         shared = spark.sparkContext.broadcast(lattice)
         uses = trained_words.mapInArrow(_expecting(shared, classes), "piece long, class long, uses double") \
             .groupBy("piece", "class").agg(F.sum("uses").alias("uses")).toArrow()
         found = np.zeros_like(lattice.weight)
         found[uses.column("piece").to_numpy(), uses.column("class").to_numpy()] = uses.column("uses").to_numpy()
         lattice.refit(found)
-    model = Model(lattice, of_class[0] + ends + 1, ends, of_class[1], (ends + 0.5) / (ends + 0.5).sum())
+    model = Model(lattice, of_class[0] + ends + 1, ends, of_class[1], (ends + 0.5) / (ends + 0.5).sum(),
+                  discounts(of_class[2], of_class[3]) if word_edges else None)
     shared = spark.sparkContext.broadcast(model)
     scored = written(words.mapInArrow(_scoring(shared, classes), "word binary, c long, level int, "
                                       + ", ".join(f"{p} double" for p in scores)), "lm-scores")
