@@ -47,6 +47,7 @@ _GATHERED = 300_000
 _LANES_UP_TO = 48
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _PIECE_BYTES = 1 << 20
+_STRETCH = 1 << 16
 _WORDS = 10_000
 _LOG10 = np.log(10.0)
 
@@ -151,28 +152,50 @@ class Lattice:
                 np.add.at(share, (word, i + 1 - self.length[piece]), part)
         return out, uses
 
+    def _ending(self, raw: np.ndarray, begin: int, stop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The pieces that end at the bytes from ``begin`` to ``stop`` of one word: piece, place before it, first of each byte."""
+        at, state = np.arange(begin, stop), np.zeros(stop - begin, np.int64)
+        alive, places, pieces, depth = np.arange(stop - begin), [], [], 0
+        while len(alive):
+            step = self.steps((state[alive] * 256 + raw[at[alive] - depth]).astype(U64))
+            alive = alive[step >= 0]
+            state[alive] = self.states[step[step >= 0]]
+            piece = self.ends_in[state[alive]]
+            places.append(at[alive[piece >= 0]])
+            pieces.append(piece[piece >= 0])
+            depth += 1
+            alive = alive[at[alive] >= depth]
+        place, piece = np.concatenate(places), np.concatenate(pieces)
+        by_place = np.argsort(place, kind="stable")
+        place, piece = place[by_place], piece[by_place]
+        return piece, place + 1 - self.length[piece], np.searchsorted(place, np.arange(begin, stop + 1))
+
     def _one(self, word: bytes, counts: np.ndarray | None, uses: np.ndarray | None) -> np.ndarray:
-        """The same for one long word."""
-        raw, edges = np.frombuffer(word, np.uint8).astype(np.int64), []
-        forward = np.full((len(word) + 1, self.weight.shape[1]), -np.inf)
+        """The same for one long word, whose pieces are found for a stretch of bytes at a time."""
+        raw, size = np.frombuffer(word, np.uint8).astype(np.int64), len(word)
+        forward = np.full((size + 1, self.weight.shape[1]), -np.inf)
         forward[0] = 0
-        longest = int(self.length.max())
-        for i in range(len(word)):
-            begin = max(0, i + 1 - longest)
-            _, piece = self._ends(raw[begin:], np.zeros(1, np.int64), i - begin)
-            value = forward[i + 1 - self.length[piece]] + self.weight[piece]
-            top = value.max(axis=0)
-            forward[i + 1] = top + np.log(np.exp(value - top).sum(axis=0))
-            if uses is not None:
-                edges.append((piece, value))
+        stretches = [(begin, min(size, begin + _STRETCH)) for begin in range(0, size, _STRETCH)]
+        for begin, stop in stretches:
+            piece, before, cut = self._ending(raw, begin, stop)
+            weight, cut = self.weight[piece], cut.tolist()
+            for i in range(stop - begin):
+                own = slice(cut[i], cut[i + 1])
+                value = forward[before[own]] + weight[own]
+                top = value.max(axis=0)
+                forward[begin + i + 1] = top + np.log(np.exp(value - top).sum(axis=0))
         if uses is not None:
             share = np.zeros_like(forward)
             share[-1] = counts
-            for i in range(len(word) - 1, -1, -1):
-                piece, value = edges[i]
-                part = share[i + 1] * np.exp(value - forward[i + 1])
-                uses[piece] += part
-                share[i + 1 - self.length[piece]] += part
+            for begin, stop in reversed(stretches):
+                piece, before, cut = self._ending(raw, begin, stop)
+                weight, cut = self.weight[piece], cut.tolist()
+                for i in range(stop - begin - 1, -1, -1):
+                    own = slice(cut[i], cut[i + 1])
+                    value = forward[before[own]] + weight[own]
+                    part = share[begin + i + 1] * np.exp(value - forward[begin + i + 1])
+                    uses[piece[own]] += part
+                    share[before[own]] += part
         return forward[-1]
 
     def of_class(self, c: int) -> Lattice:

@@ -30,10 +30,14 @@ def test_sum_over_segmentations_and_expected_uses():
         assert math.isclose(x, math.log(brute(b" " + w, weights)), rel_tol=1e-12)
     spans = sum(c * (len(w) + 1) for w, c in zip(words, range(1, 7)))
     assert math.isclose(float(uses[:, 0] @ lattice.length), spans, rel_tol=1e-9)
-    long, _ = lattice.score([b"ab" * 40])
-    with pytest.MonkeyPatch.context() as patch:
-        patch.setattr(m, "_LANES_UP_TO", 1000)
-        assert math.isclose(long[0, 0], lattice.score([b"ab" * 40])[0][0, 0], rel_tol=1e-12)
+    words = [b"ab" * 40, b"abaca" * 30]
+    for stretch in (7, 1 << 16):  # long words, in stretches or at once, as short ones
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(m, "_STRETCH", stretch)
+            long = lattice.score(words, np.array([[1.0], [2.0]]))
+            patch.setattr(m, "_LANES_UP_TO", 1000)
+            for x, y in zip(long, lattice.score(words, np.array([[1.0], [2.0]]))):
+                assert np.allclose(x, y, rtol=1e-10)
 
 
 def test_classes_are_scored_side_by_side():
@@ -115,7 +119,8 @@ def scores_by_hand(rows, out, rounds, word_edges):
             ends[k] += 1
     pieces = m.vocabulary_pieces(m.vocabulary_paths())
     first = {p: 1 / (i + 100) for i, p in enumerate(pieces)}
-    weights = [{p: w / sum(first.values()) for p, w in first.items()}] * kinds
+    whole = sum(first.values())
+    weights = [{p: w / whole for p, w in first.items()}] * kinds
     for _ in range(rounds):
         for k in range(kinds):
             uses = dict.fromkeys(pieces, 0.0)
@@ -155,16 +160,19 @@ def test_every_score_by_hand(spark, sf_dir, setting):
 def test_fit_and_edges_each_raise_the_score_and_labels_beat_the_base(spark, sf_dir):
     """Held-out texts of the next larger table, where there is one: 200 documents are few for a fit by label."""
     larger = Path(sf_dir).parent / "sf0.01"
-    docs = spark.read.parquet(f"{larger if larger.exists() else sf_dir}/documents.parquet").withColumn("row", F.lit(1))
     out = held_out(F.col("doc_id"), 10, 0)
-    total = lambda **setting: m.score_texts(docs, out, **setting).filter("held_out") \
-        .agg(F.sum("score"), F.sum("base_score")).first()
-    plain = total(rounds=0, word_edges=False, label_col=None)
-    fitted = total(word_edges=False, label_col=None)
-    edges, registered = total(label_col=None), total()
-    assert plain[0] < fitted[0] < edges[0] < registered[0]
+
+    def total(folder, **setting):
+        docs = spark.read.parquet(f"{folder}/documents.parquet").withColumn("row", F.lit(1))
+        return m.score_texts(docs, out, **setting).filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+
+    plain = total(sf_dir, rounds=0, word_edges=False, label_col=None)
+    fitted = total(sf_dir, word_edges=False, label_col=None)
+    assert plain[0] < fitted[0] < total(sf_dir, label_col=None)[0]
     if larger.exists():
+        registered = total(larger)
         assert registered[0] > registered[1]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     assert m.score_texts(docs.limit(0), out).count() == 0
 
 
