@@ -149,8 +149,8 @@ def concat_tables(v):
 
 @query("union_ids", sql("SELECT item FROM movie_rows UNION SELECT item FROM serie_rows", "movie_rows", "serie_rows"))
 def union_ids(v):
-    series = profiles.explode_favorites(_users(v), "favoriteSeriesIds")
-    return sets.union_ids(_movies(v).select("item"), series.select("item"))
+    films, series = (profiles.explode_favorites(_users(v), c) for c in ("favoriteMoviesIds", "favoriteSeriesIds"))
+    return sets.union_ids(films.select("item"), series.select("item"))
 
 
 @query("missing_items", sql(f"SELECT item FROM {_LIKED} EXCEPT SELECT ID FROM content", "movie_rows", "serie_rows", "content"))
