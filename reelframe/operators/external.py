@@ -5,8 +5,11 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_type
+
+PIECE_ROWS = 256  # rows of an Arrow batch whose texts are taken into Python at once
 
 
 def call_with_retry(fn: Callable[[list[str]], list], texts: list[str], retries: int, wait: float,
@@ -37,6 +40,12 @@ def batch_ends(lengths: list[int], max_items: int, max_codepoints: int | None) -
     return ends
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, PIECE_ROWS):
+            yield batch.slice(start, PIECE_ROWS)
+
+
 def apply_batched(df: DataFrame, key: str, text: str, load: Callable[[], Callable[[list[str]], list]],
                   result_type: T.DataType | str, *, keep: tuple[str, ...] = (), max_items: int = 50,
                   max_codepoints: int | None = None, retries: int = 3, wait: float = 1.0, backoff: float = 2.0,
@@ -45,7 +54,8 @@ def apply_batched(df: DataFrame, key: str, text: str, load: Callable[[], Callabl
 
     ``load`` is called once per task and returns the function, which takes a list of
     texts and answers with a list of the same length. Batches are cut while the rows
-    stream through the task, so nothing is shuffled and memory holds one batch.
+    stream through the task, so nothing is shuffled; memory holds the Arrow batch that
+    Spark hands over, and as Python texts only a piece of it and the open batch.
     Null or blank text is not sent and has a null result. A batch that fails in all
     its tries is halved, down to single texts, so an error stands beside the key of
     the text that causes it and the others get their answers.
@@ -63,34 +73,46 @@ def apply_batched(df: DataFrame, key: str, text: str, load: Callable[[], Callabl
     schema = T.StructType([*source.schema.fields, T.StructField("result", result_type),
                            T.StructField("error", T.StringType())])
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fn, called, open_batch = load(), False, None
+    arrow_type, names = to_arrow_type(result_type), schema.names
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fn, called, open_rows = load(), False, None
 
-        def send(batch: pd.DataFrame) -> pd.DataFrame:
+        def ask(texts: list[str]) -> tuple[list, list[str | None]]:
+            """An answer or an error for each text; a batch that fails is halved."""
             nonlocal called
             if pause and called:
                 time.sleep(pause)
             called = True
-            answers, error = call_with_retry(fn, batch[text].tolist(), retries, wait, backoff)
-            if error is not None and len(batch) > 1:
-                half = len(batch) // 2
-                return pd.concat([send(batch.iloc[:half]), send(batch.iloc[half:])])
-            return batch.assign(result=pd.Series(answers, dtype=object, index=batch.index), error=error)
-
-        for part in parts:
-            blank = part[text].isna() | (part[text].fillna("").str.strip() == "")
-            if blank.any():
-                yield part[blank].assign(result=None, error=None)
-            rows = part[~blank] if open_batch is None else pd.concat([open_batch, part[~blank]])
-            rows, start = rows.reset_index(drop=True), 0
-            for end in batch_ends(rows[text].str.len().tolist(), max_items, max_codepoints):
-                yield send(rows.iloc[start:end])
+            answers, error = call_with_retry(fn, texts, retries, wait, backoff)
+            if error is not None and len(texts) > 1:
+                half = len(texts) // 2
+                (first, failed), (second, more) = ask(texts[:half]), ask(texts[half:])
+                return first + second, failed + more
+            return answers, [error] * len(texts)
+
+        def send(rows: pa.RecordBatch, texts: list[str]) -> pa.RecordBatch:
+            answers, errors = ask(texts)
+            return pa.RecordBatch.from_arrays(
+                [*rows.columns, pa.array(answers, arrow_type, from_pandas=True), pa.array(errors, pa.string())], names)
+
+        for piece in _pieces(parts):
+            full = [t is not None and t.strip() != "" for t in piece.column(text).to_pylist()]
+            if not all(full):
+                blank = piece.filter(pa.array([not x for x in full], pa.bool_()))
+                yield pa.RecordBatch.from_arrays(
+                    [*blank.columns, pa.nulls(len(blank), arrow_type), pa.nulls(len(blank), pa.string())], names)
+            rows = piece.filter(pa.array(full, pa.bool_()))  # a copy, so that the whole batch is not kept for its last rows
+            rows = rows if open_rows is None else pa.concat_batches([open_rows, rows])
+            texts, start = rows.column(text).to_pylist(), 0
+            for end in batch_ends([len(t) for t in texts], max_items, max_codepoints):
+                yield send(rows.slice(start, end - start), texts[start:end])
                 start = end
-            open_batch = rows.iloc[start:]
-        if open_batch is not None and len(open_batch):
-            yield send(open_batch)
+            open_rows = rows.slice(start)
+        if open_rows is not None and len(open_rows):
+            yield send(open_rows, open_rows.column(text).to_pylist())
 
-    return source.mapInPandas(run, schema)
+    return source.mapInArrow(run, schema)
 
 
 def failures(results: DataFrame, key: str) -> DataFrame:

@@ -255,10 +255,10 @@ def write_vectors(v):
             return [[0.0] for _ in texts]
         return fn
 
-    path = v.scratch("vectors")
-    files.write_vectors(embed_items(v.content.where("Type = 'movie'"), load, retries=1), path)
-    files.write_vectors(embed_items(v.content, _load_counter), path)
-    files.write_vectors(embed_items(v.content, lambda: _fail, retries=1), path)
+    path, tasks = v.scratch("vectors"), v.spark.sparkContext.defaultParallelism
+    files.write_vectors(embed_items(v.content.where("Type = 'movie'"), load, retries=1, tasks=tasks), path)
+    files.write_vectors(embed_items(v.content, _load_counter, tasks=tasks), path)
+    files.write_vectors(embed_items(v.content, lambda: _fail, retries=1, tasks=tasks), path)
     found = vector_source.scan_vector_store(v.spark, path, "ID", "embedding")
     return found.select("ID", F.col("embedding")[0].alias("first"))
 
@@ -428,8 +428,8 @@ def _shape(text: str) -> str:
     FROM scored QUALIFY rank <= k""", *_PROFILE_VIEWS))
 def recommend_for_all_query(v):
     """Profiles to recommendations in one plan; the vectors come from a stand-in model."""
-    path = v.scratch("vectors")
-    files.write_vectors(embed_items(v.content, _load_shape, "full"), path)
+    path, tasks = v.scratch("vectors"), v.spark.sparkContext.defaultParallelism
+    files.write_vectors(embed_items(v.content, _load_shape, "full", tasks=tasks), path)
     items = vector_source.scan_vector_store(v.spark, path, "ID", "embedding")
     found = recommend_for_all(v.stored_prefs, v.content, v.genres, items, _load_shape, exclude_seen=True)
     return found.withColumn("score", F.round("score", 6))
