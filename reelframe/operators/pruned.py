@@ -7,7 +7,8 @@ less its radius, so only the cells that could reach the k-th score found are vis
 the user. The result is that of :func:`reelframe.operators.similarity.recommend_topk`, ties included.
 
 Centres are at most ``CENTRES`` item vectors, chosen by a hash of their IDs; they and one row per cell go through the
-driver. Large cells are split into parts and their visitors into rows of at most ``CELL_ROWS``, as in the plain grid.
+driver. Large cells are split into parts and their visitors into rows of at most ``CELL_ROWS`` and ``CELL_VALUES``, as in
+the plain grid. A task deals its users in slices, so it holds at most ``PIECE_VALUES`` components of visits, or one user's.
 The dealt items and users are written to the shared folder, since several steps read them.
 """
 
@@ -23,6 +24,7 @@ from reelframe.operators import similarity as sim
 from reelframe.session import scratch_path
 
 CENTRES = 256
+PIECE_VALUES = 2_097_152  # vector components that one slice of users takes to its cells
 _SLACK = 1e-6  # more than rounding can change an angle or a relative distance
 _ZERO = -1     # the cell of items without a direction
 
@@ -53,6 +55,16 @@ class _Centres:
         return out
 
 
+def _pieces(batches, width: int):
+    """The batches in slices of about ``PIECE_VALUES`` vector components, if each row becomes ``width`` rows."""
+    for batch in batches:
+        if batch.num_rows:
+            values = len(batch.column("vector").flatten()) / batch.num_rows
+            rows = max(1, int(PIECE_VALUES // max(1.0, values * width)))
+            for start in range(0, batch.num_rows, rows):
+                yield batch.slice(start, rows)
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     return sim._matrix(column) if len(column) else np.zeros((0, 1))
 
@@ -60,17 +72,16 @@ def _matrix(column: pa.Array) -> np.ndarray:
 def _dealing(centres: _Centres):
     """Adds to each item its cell and its distance to the centre."""
     def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                vectors = _matrix(batch.column("vector"))
-                gaps = centres.distances(vectors)
-                cell = gaps.argmin(axis=1)
-                gap = gaps[np.arange(len(cell)), cell]
-                if centres.metric == "cosine":
-                    nothing = ~vectors.any(axis=1)
-                    cell[nothing], gap[nothing] = _ZERO, 0
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell, pa.int32()), pa.array(gap)],
-                                                 [*batch.schema.names, "cell", "gap"])
+        for batch in _pieces(batches, 16):
+            vectors = _matrix(batch.column("vector"))
+            gaps = centres.distances(vectors)
+            cell = gaps.argmin(axis=1)
+            gap = gaps[np.arange(len(cell)), cell]
+            if centres.metric == "cosine":
+                nothing = ~vectors.any(axis=1)
+                cell[nothing], gap[nothing] = _ZERO, 0
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell, pa.int32()), pa.array(gap)],
+                                             [*batch.schema.names, "cell", "gap"])
     return run
 
 
@@ -93,9 +104,7 @@ def _visiting(centres: _Centres, cells: dict[int, tuple[float, int]], k: int, ha
     sizes = np.array([cells[c][1] for c in known], np.int64)
 
     def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _pieces(batches, len(cells)):
             vectors = _matrix(batch.column("vector"))
             gaps = centres.distances(vectors)[:, known]
             if len(known):
@@ -124,11 +133,12 @@ def _visiting(centres: _Centres, cells: dict[int, tuple[float, int]], k: int, ha
     return run
 
 
-def _scored(visits: DataFrame, items: DataFrame, cells: dict[int, tuple[float, int]], k: int, metric: str,
+def _scored(visits: DataFrame, items: DataFrame, cells: dict[int, tuple[float, int]], width: int, k: int, metric: str,
             schema: T.StructType, work: Observation | None) -> DataFrame:
     """The best items of the visited cells, part by part."""
-    spark, cell = visits.sparkSession, max(1, sim.CELL_ROWS)
+    spark = visits.sparkSession
     visits = _stored(visits, "visits")
+    cell = max(1, min(sim.CELL_ROWS, sim.CELL_VALUES // max(1, width)))
     visitors = {r["cell"]: r["n"] for r in visits.groupBy("cell").agg(F.count("*").alias("n")).collect()}
     if not visitors:
         return spark.createDataFrame([], schema)
@@ -176,10 +186,10 @@ def recommend_pruned(users: DataFrame, items: DataFrame, k: int, *, user_id: str
     left = _stored(left, "dealt-users")
     visit = lambda df, first: df.mapInArrow(
         _visiting(centre, cells, k, seen is not None, first), fields(left, ("cell", T.IntegerType())))
-    one = _stored(_scored(visit(left, True), dealt, cells, k, metric, schema, work and work[0]), "first-scores")
+    one = _stored(_scored(visit(left, True), dealt, cells, size, k, metric, schema, work and work[0]), "first-scores")
     sign = 1.0 if metric == "cosine" else -1.0
     limits = sim._ranked(one, k, metric).where(F.col("rank") == k).select("user", (F.col("score") * sign).alias("limit"))
-    two = _scored(visit(left.join(limits, "user", "left"), False), dealt, cells, k, metric, schema, work and work[1])
+    two = _scored(visit(left.join(limits, "user", "left"), False), dealt, cells, size, k, metric, schema, work and work[1])
     return sim._ranked(one.unionByName(two), k, metric).withColumnsRenamed({"user": user_id, "item": item_id})
 
 
