@@ -431,7 +431,8 @@ def recommend_for_all_query(v):
     path, tasks = v.scratch("vectors"), v.spark.sparkContext.defaultParallelism
     files.write_vectors(embed_items(v.content, _load_shape, "full", tasks=tasks), path)
     items = vector_source.scan_vector_store(v.spark, path, "ID", "embedding")
-    found = recommend_for_all(v.stored_prefs, v.content, v.genres, items, _load_shape, exclude_seen=True)
+    found = recommend_for_all(v.stored_prefs, v.content, v.genres, items, _load_shape, exclude_seen=True,
+                              search=pruned.recommend_pruned)
     return found.withColumn("score", F.round("score", 6))
 
 

@@ -3,6 +3,7 @@
 from datetime import date
 
 from __spark_entry__ import queries
+from reelframe.operators import similarity
 
 
 def tables(spark, path):
@@ -22,3 +23,17 @@ def test_union_of_film_and_series_ids(spark, tmp_path):
     got = queries()["union_ids"](spark, str(tmp_path))
     assert got.columns == ["item"]
     assert sorted(r["item"] for r in got.collect()) == ["1", "2", "3", "4"]
+
+
+def test_recommend_for_all_does_not_compare_all_pairs(spark, tmp_path, monkeypatch):
+    def grid(*args):
+        raise AssertionError("every user was dealt to every item")
+
+    tables(spark, tmp_path)
+    monkeypatch.setattr(similarity, "_cells", grid)
+    found = {}
+    for r in queries()["recommend_for_all"](spark, str(tmp_path)).collect():
+        found.setdefault((r["userId"].lstrip("0"), r["kind"]), []).append(r["ID"])
+    assert {key: sorted(ids) for key, ids in found.items()} == {
+        ("5-0", "movies"): ["3", "4", "tt2"], ("5-0", "series"): ["1", "4", "tt2"],
+        ("6-0", "movies"): ["3", "4", "tt2"], ("6-0", "series"): ["1", "3", "tt2"]}
