@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 PIECE_ROWS = 256  # rows of an Arrow batch whose texts are taken into Python at once
+PIECE_BYTES = 4_000_000  # and their bytes, unless a single row has more
 
 
 def call_with_retry(fn: Callable[[list[str]], list], texts: list[str], retries: int, wait: float,
@@ -43,7 +44,16 @@ def batch_ends(lengths: list[int], max_items: int, max_codepoints: int | None) -
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, batch.num_rows, PIECE_ROWS):
-            yield batch.slice(start, PIECE_ROWS)
+            yield from _halves(batch.slice(start, PIECE_ROWS))
+
+
+def _halves(piece: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    if piece.num_rows < 2 or piece.nbytes <= PIECE_BYTES:
+        yield piece
+    else:
+        half = piece.num_rows // 2
+        yield from _halves(piece.slice(0, half))
+        yield from _halves(piece.slice(half))
 
 
 def apply_batched(df: DataFrame, key: str, text: str, load: Callable[[], Callable[[list[str]], list]],
@@ -55,7 +65,8 @@ def apply_batched(df: DataFrame, key: str, text: str, load: Callable[[], Callabl
     ``load`` is called once per task and returns the function, which takes a list of
     texts and answers with a list of the same length. Batches are cut while the rows
     stream through the task, so nothing is shuffled; memory holds the Arrow batch that
-    Spark hands over, and as Python texts only a piece of it and the open batch.
+    Spark hands over, which the session's rows and bytes per batch bound, and as Python
+    texts only a piece of it (``PIECE_ROWS`` and ``PIECE_BYTES``) and the open batch.
     Null or blank text is not sent and has a null result. A batch that fails in all
     its tries is halved, down to single texts, so an error stands beside the key of
     the text that causes it and the others get their answers.
@@ -76,7 +87,7 @@ def apply_batched(df: DataFrame, key: str, text: str, load: Callable[[], Callabl
     arrow_type, names = to_arrow_type(result_type), schema.names
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fn, called, open_rows = load(), False, None
+        fn, called, open_rows, texts = load(), False, [], []
 
         def ask(texts: list[str]) -> tuple[list, list[str | None]]:
             """An answer or an error for each text; a batch that fails is halved."""
@@ -103,14 +114,19 @@ def apply_batched(df: DataFrame, key: str, text: str, load: Callable[[], Callabl
                 yield pa.RecordBatch.from_arrays(
                     [*blank.columns, pa.nulls(len(blank), arrow_type), pa.nulls(len(blank), pa.string())], names)
             rows = piece.filter(pa.array(full, pa.bool_()))  # a copy, so that the whole batch is not kept for its last rows
-            rows = rows if open_rows is None else pa.concat_batches([open_rows, rows])
-            texts, start = rows.column(text).to_pylist(), 0
-            for end in batch_ends([len(t) for t in texts], max_items, max_codepoints):
-                yield send(rows.slice(start, end - start), texts[start:end])
-                start = end
-            open_rows = rows.slice(start)
-        if open_rows is not None and len(open_rows):
-            yield send(open_rows, open_rows.column(text).to_pylist())
+            if not len(rows):
+                continue
+            open_rows.append(rows)
+            texts += rows.column(text).to_pylist()
+            ends, start = batch_ends([len(t) for t in texts], max_items, max_codepoints), 0
+            if ends:  # rows that stay open are not copied for each piece
+                joined = pa.concat_batches(open_rows)
+                for end in ends:
+                    yield send(joined.slice(start, end - start), texts[start:end])
+                    start = end
+                open_rows, texts = [joined.slice(start)], texts[start:]
+        if texts:
+            yield send(pa.concat_batches(open_rows), texts)
 
     return source.mapInArrow(run, schema)
 

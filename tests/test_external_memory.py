@@ -3,6 +3,7 @@
 import sys
 import time
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from reelframe.operators import external
@@ -53,3 +54,39 @@ def test_blank_texts_and_batches_across_pieces(spark):
     assert len(rows) == 700
     assert all(rows[i][1:] == (None, None) for i in range(700) if i % 7 < 2)
     assert sorted(rows[i][1][0] for i in range(700) if i % 7 >= 2) == [200] * 200 + [300] * 300
+
+
+def test_pieces_of_long_texts_are_bounded_by_bytes():
+    texts = [str(i) * (100_000 if i % 3 else 10) for i in range(300)] + [None, "x" * 9_000_000, "", "y"]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(len(texts))), "t": texts})
+    pieces = list(external._pieces(iter([batch.slice(0, 290), batch.slice(290), batch.slice(0, 0)])))
+    assert [t for p in pieces for t in p.column("t").to_pylist()] == texts
+    assert all(p.num_rows <= external.PIECE_ROWS for p in pieces)
+    assert all(p.num_rows == 1 or p.nbytes <= 4_000_000 for p in pieces)
+
+
+def test_memory_does_not_grow_with_the_length_of_texts_by_rows_of_a_piece(spark):
+    """256 texts of 100,000 letters are 26 MB; beside the Arrow batch only a part of them may be in Python."""
+    def load():
+        import tracemalloc
+
+        def fn(texts):
+            return [tracemalloc.get_traced_memory()[0]] * len(texts)
+        tracemalloc.start()
+        return fn
+
+    long = spark.range(256, numPartitions=1).select("id", F.rpad(F.col("id").cast("string"), 100_000, "x").alias("t"))
+    done = external.apply_batched(long, "id", "t", load, "long", max_items=500, max_codepoints=30_000)
+    rows = done.select("id", "result").collect()
+    assert sorted(r["id"] for r in rows) == list(range(256))
+    assert max(r["result"] for r in rows) < 256 * 100_000 + 12_000_000
+
+
+def test_an_open_batch_over_many_pieces_is_whole(spark):
+    df = spark.range(90, numPartitions=1).select("id", F.rpad(F.col("id").cast("string"), 200_000, "x").alias("t"))
+    load = lambda: lambda texts: [[len(texts), int(t.rstrip("x"))] for t in texts]
+    done = external.apply_batched(df, "id", "t", load, "array<int>", max_items=70)
+    rows = done.select("id", "result", F.length("t").alias("n")).collect()
+    assert sorted(r["id"] for r in rows) == list(range(90))
+    assert all(r["result"][1] == r["id"] and r["n"] == 200_000 for r in rows)
+    assert sorted(r["result"][0] for r in rows) == [20] * 20 + [70] * 70
