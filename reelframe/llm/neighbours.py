@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from reelframe.llm.common import ragged, written
 from reelframe.llm.vectors import DIMS, by_size, fit_tree, matrix, projected, unit, usable
@@ -35,7 +36,7 @@ SURE = 0.97
 PER_LEAF = 4096
 """Different vectors of a leaf; more once there are ``_LEAVES`` leaves, up to ``_LARGEST``."""
 _LEAVES, _LARGEST = 64, 32_768
-_QUERIES = 16_384
+_QUERIES = 32_768
 """Queries of a block. Neither a block nor a part of a leaf has more than ``_COMPONENTS`` numbers in its vectors."""
 _COMPONENTS = 1 << 22
 _BUCKET, _BUCKETS = 64, 128
@@ -244,7 +245,9 @@ def nearest(rows: DataFrame, queries: Column, k: int = 5, key: str = "vec_id", v
             sure: float = SURE) -> DataFrame:
     """``query_id, rank, vec_id, score``: for every row that ``queries`` selects, its ``k`` nearest other rows found."""
     spark, reach = rows.sparkSession, chi_square_quantile(sure, DIMS)
-    clean = F.transform(F.col(vector), lambda x: (x + F.lit(0.0)).cast("double"))
+    # vectors of floats travel as floats; the tasks compute in double precision
+    kind = "float" if rows.schema[vector].dataType.elementType == FloatType() else "double"
+    clean = F.transform(F.col(vector), lambda x: (x + F.lit(0.0)).cast(kind))
     good = rows.filter(usable(F.col(vector)) & F.col(key).isNotNull()).select(
         F.col(key).cast("long").alias("id"), clean.alias("v"), F.coalesce(queries, F.lit(False)).alias("asked"))
     turn = F.row_number().over(Window.partitionBy("v").orderBy("id"))
@@ -254,10 +257,10 @@ def nearest(rows: DataFrame, queries: Column, k: int = 5, key: str = "vec_id", v
     per_leaf = min(max(PER_LEAF, count / _LEAVES), max(PER_LEAF, _LARGEST))
     most = max(_BUCKET, _COMPONENTS // (width or 1))
     tree = spark.sparkContext.broadcast(fit_tree(index.select(F.col("ids")[0].alias("id"), "v"), count, per_leaf))
-    leafed = written(index.mapInArrow(_homes(tree), "v array<double>, ids array<long>, leaf long"), "leaves")
+    leafed = written(index.mapInArrow(_homes(tree), f"v array<{kind}>, ids array<long>, leaf long"), "leaves")
     parts = leafed.groupBy("leaf").agg(F.ceil(F.count("*") / min(2 * per_leaf, most)).alias("parts"))
     asked = written(good.filter("asked").select("v", F.col("id").alias("query_id"))
-                    .mapInArrow(_homes(tree), "v array<double>, query_id long, leaf long"), "queries")
+                    .mapInArrow(_homes(tree), f"v array<{kind}>, query_id long, leaf long"), "queries")
     schema = "query_id long, vec_id long, score double"
 
     def searched(asking: DataFrame, label: str, alone: int) -> DataFrame:
@@ -286,7 +289,7 @@ def nearest(rows: DataFrame, queries: Column, k: int = 5, key: str = "vec_id", v
     ranged = asked.join(kth.hint("merge"), F.col("query_id") == F.col("of"), "left").drop("of") \
         .withColumn("worst", F.coalesce("worst", F.lit(-1.0)))
     visits = written(ranged.mapInArrow(
-        _visits(tree, reach), "v array<double>, query_id long, leaf array<long>, worst double"), "visits")
+        _visits(tree, reach), f"v array<{kind}>, query_id long, leaf array<long>, worst double"), "visits")
     second = searched(visits.withColumn("leaf", F.explode("leaf")), "near-2", 1)
     return first.union(second).distinct().withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k) \
         .select("query_id", "rank", "vec_id", "score")
